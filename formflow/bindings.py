@@ -99,7 +99,7 @@ select o_orderkey as id, 'enc-' || cast(o_orderkey as varchar(20)) as uuid, 'Vis
        o_custkey as individual_id, cast(substr(o_orderpriority, 1, 1) as bigint) as encounter_type_id,
        cast(o_orderkey % 25 + 100 as bigint) as address_id,
        case when o_orderkey % 3 = 0 then null else o_orderdate - interval '7' day end as earliest_visit_date_time,
-       o_orderdate + interval '7' day as max_visit_date_time,
+       o_orderdate + interval '1' day * cast(case when o_orderkey % 10 < 3 then 1 else 7 end as int) as max_visit_date_time,
        case when o_orderstatus = 'F' then o_orderdate + interval '1' day * cast(o_orderkey % 15 as int) end as encounter_date_time,
        case when o_orderstatus = 'P' then o_orderdate + interval '3' day end as cancel_date_time,
        cast(null as varchar(20)) as encounter_location, cast(null as varchar(20)) as cancel_location,

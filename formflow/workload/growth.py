@@ -252,7 +252,7 @@ def _run(spark, sf_dir):
     config = growth_config(as_of=AS_OF)
     out = run_steps(spark, config, tables, PREV, NEW)
     report = out["individual_child_growth_monitoring_report"]
-    return report.select(growth.KEY, growth.DAY, "SAM", growth.MONTH_FLAGS["SAM"][2], growth.NRC, "GP", "HH ID")
+    return report.select(growth.KEY, growth.DAY, growth.MONTH_FLAGS["SAM"][2], growth.NRC, "GP", "HH ID")
 
 
 QUERIES["pe1_growth_run"] = _run
@@ -263,7 +263,7 @@ ORACLE["pe1_growth_run"] = _sql(
         n as (select individual_id, max(case when cancel_date_time is not null then 'Yes' else 'No' end) as s from encounter f
               where not is_voided and {_CHANGED} group by 1),
         h as (select id from individual where subject_type_id = 3 and not is_voided)
-        select ins."Beneficiary ID", ins."Date of Measurement", ins."SAM", m."{growth.MONTH_FLAGS['SAM'][2]}", n.s as "{growth.NRC}", v.nation as "GP", h.id as "HH ID"
+        select ins."Beneficiary ID", ins."Date of Measurement", m."{growth.MONTH_FLAGS['SAM'][2]}", n.s as "{growth.NRC}", v.nation as "GP", h.id as "HH ID"
         from ins join individual i on i.id = ins."Beneficiary ID" left join m on m.individual_id = i.id left join n on n.individual_id = i.id
         left join a v on v.id = i.address_id and not v.is_voided
         left join group_subject g on g.member_subject_id = i.id and not g.is_voided left join h on h.id = g.group_subject_id""",
