@@ -314,10 +314,6 @@ class TableSpec:
     def answers(self) -> tuple[ColumnSpec, ...]:
         return tuple(c for c in self.columns if c.is_answer)
 
-    @property
-    def live_answers(self) -> tuple[ColumnSpec, ...]:
-        return tuple(c for c in self.answers if not c.voided)
-
     @property
     def parent_type(self) -> str | None:
         """Which form a repeat-group table hangs off."""

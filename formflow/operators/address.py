@@ -50,11 +50,11 @@ def address_rows(
         placed.append(F.when(own_level == type_id, F.col("id")).alias(f"{name} id"))
     rows = levels.where(own_level.isin([t for t, _, _ in chain]))
     keep = [*placed, *ADDRESS_COLUMNS]
-    if spec is None or not spec.live_answers:
+    if spec is None or not spec.answers:
         return rows.select(*keep)
-    uuids = sorted({c.concept_uuid for c in spec.live_answers})
+    uuids = sorted({c.concept_uuid for c in spec.answers})
     answers = concept_map(concept, concept_answer, uuids)
-    return project_answers(rows, spec.live_answers, obs_source(spec), answers, keep)
+    return project_answers(rows, spec.answers, obs_source(spec), answers, keep)
 
 
 def propagate_parents(address: DataFrame, levels: DataFrame, types: DataFrame) -> DataFrame:

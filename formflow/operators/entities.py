@@ -68,7 +68,7 @@ HEAD_COLUMN = "Head of household ID"
 
 
 def answer_dictionary(ctx: Context, spec: TableSpec) -> DataFrame:
-    uuids = sorted({c.concept_uuid for c in spec.live_answers})
+    uuids = sorted({c.concept_uuid for c in spec.answers})
     return concept_map(ctx.table("concept"), ctx.table("concept_answer"), uuids)
 
 
@@ -82,7 +82,7 @@ def subjects_of_type(ctx: Context, spec: TableSpec, key: str = "individual_id")
     ids = type_ids(ctx, "subject_type", spec.subject_type_uuid, "subject_type_id")
     columns = [F.col("id").alias(key), "subject_type_id"]
     keep = [key]
-    if any(c.is_sync_attribute for c in spec.live_answers):
+    if any(c.is_sync_attribute for c in spec.answers):
         columns.append(F.col("observations").alias("subject_observations"))
         keep.append("subject_observations")
     return ctx.table("individual").select(*columns).join(ids, "subject_type_id", "left_semi").select(*keep)
@@ -91,7 +91,7 @@ def subjects_of_type(ctx: Context, spec: TableSpec, key: str = "individual_id")
 def _answers(ctx: Context, spec: TableSpec, rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     return project_answers(
         rows,
-        spec.live_answers,
+        spec.answers,
         obs_source(spec),
         answer_dictionary(ctx, spec),
         list(keep),

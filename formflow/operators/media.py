@@ -258,7 +258,7 @@ class MediaSource:
 def media_of(source: MediaSource) -> list[DataFrame]:
     """Media rows of one table: at most one pass per answer form."""
     spec = source.spec
-    columns = [c for c in spec.of_concept_types(*MEDIA_CONCEPTS) if not c.voided]
+    columns = spec.of_concept_types(*MEDIA_CONCEPTS)
     key = subject_id_col(spec)
     if spec.repeat_uuid:
         parent_id = PARENT_KEY[spec.parent_type]

@@ -35,7 +35,7 @@ def _project(ctx: Context, spec: TableSpec, rows: DataFrame, keys: tuple[str, ..
     keep = [*keys, *_TAIL]
     exploded = explode_group(rows.select(*keep, "observations"), "observations", spec.repeat_uuid)
     return project_answers(
-        exploded, spec.live_answers, "observations", answer_dictionary(ctx, spec), [*keep, INDEX]
+        exploded, spec.answers, "observations", answer_dictionary(ctx, spec), [*keep, INDEX]
     )
 
 

@@ -8,6 +8,7 @@ are brought to the driver, where a plan has to be made for each table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from itertools import groupby
 
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from formflow.functions.naming import column_name, table_name
-from formflow.model import ColumnSpec, TableSpec, answer_column, base_columns, ordered
+from formflow.model import SUBJECT_TYPES, ColumnSpec, TableSpec, answer_column, base_columns, ordered
 
 # --- fixed values -----------------------------------------------------------
 PLACEHOLDER_CONCEPT = "b4e5a662-97bf-4846-b9b7-9baeab4d89c4"
@@ -470,29 +471,43 @@ def address_spec(meta: Meta) -> TableSpec:
 
 
 def derive_specs(meta: Meta) -> list[TableSpec]:
-    """All target tables of a tenant, in processing order."""
-    forms = to_specs(form_specs(meta))
-    for row in user_subject_specs(meta).collect():
-        forms.append(
-            TableSpec(
-                name=table_name([row["subject_type_name"]], REGISTRATION_FORM),
-                type="User",
-                subject_type_uuid=row["subject_type_uuid"],
-                columns=base_columns("UserSubject"),
-            )
+    """All target tables of a tenant, in processing order.
+
+    The parts are independent small queries, so they run side by side.
+    """
+    parts = {
+        "forms": lambda: to_specs(form_specs(meta)),
+        "repeats": lambda: to_specs(repeat_specs(meta)),
+        "users": lambda: user_subject_specs(meta).collect(),
+        "decisions": lambda: decision_cols(meta).orderBy("concept_id").collect(),
+        "sync": lambda: sync_attr_cols(meta).orderBy("role", "concept_id").collect(),
+        "members": lambda: membership_specs(meta).collect(),
+        "address": lambda: address_spec(meta),
+    }
+    with ThreadPoolExecutor(len(parts)) as pool:
+        found = dict(zip(parts, pool.map(lambda part: part(), parts.values())))
+
+    forms = found["forms"] + [
+        TableSpec(
+            name=table_name([row["subject_type_name"]], REGISTRATION_FORM),
+            type="User",
+            subject_type_uuid=row["subject_type_uuid"],
+            columns=base_columns("UserSubject"),
         )
+        for row in found["users"]
+    ]
     decisions: dict[str, list[ColumnSpec]] = {}
-    for r in decision_cols(meta).orderBy("concept_id").collect():
+    for r in found["decisions"]:
         column = answer_column(
             r["concept_name"], r["concept_id"], r["element_type"], r["concept_uuid"], voided=bool(r["concept_voided"])
         )
         decisions.setdefault(r["form_uuid"], []).append(column)
     sync = [
         answer_column(r["concept_name"], r["concept_id"], r["element_type"], r["concept_uuid"], role=r["role"])
-        for r in sync_attr_cols(meta).orderBy("role", "concept_id").collect()
+        for r in found["sync"]
     ]
     forms = [_plus(t, decisions.get(t.form_uuid, [])) for t in forms]
-    forms = [t if t.type in ("Individual", "Person", "Household", "Group") or t.is_user_subject else _plus(t, sync) for t in forms]
+    forms = [t if t.type in SUBJECT_TYPES or t.is_user_subject else _plus(t, sync) for t in forms]
     members = [
         TableSpec(
             name=table_name([r["group_subject_type_name"], r["member_subject_type_name"]], "Registration"),
@@ -501,9 +516,9 @@ def derive_specs(meta: Meta) -> list[TableSpec]:
             member_subject_type_uuid=r["member_subject_type_uuid"],
             columns=base_columns(r["table_type"]),
         )
-        for r in membership_specs(meta).collect()
+        for r in found["members"]
     ]
-    return ordered(forms + members + [address_spec(meta)] + fixed_specs() + to_specs(repeat_specs(meta)))
+    return ordered(forms + members + [found["address"]] + fixed_specs() + found["repeats"])
 
 
 def spec_counts(specs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from formflow.functions.naming import voided_name
 from formflow.model import ColumnSpec, TableSpec, spark_type
-from formflow.sources.snapshots import Store
+from formflow.sources.snapshots import Entry, Store
 
 SPEC_TABLE = "_specs"
 # --- fixed values -----------------------------------------------------------
@@ -81,7 +81,7 @@ def specs_of(rows: DataFrame) -> list[TableSpec]:
     return [replace(heads[k], columns=tuple(c)) for k, c in tables.items()]
 
 
-def save_specs(store: Store, specs: Sequence[TableSpec]) -> str:
+def save_specs(store: Store, specs: Sequence[TableSpec]) -> Entry:
     """Write the specs as a snapshot; visible once its folder is committed."""
     return store.write(spec_rows(store.spark, specs), SPEC_TABLE, sort_by=None)
 

@@ -1,21 +1,41 @@
 """Publishing flat tables on plain files.
 
-Parquet files are never changed in place. A table is a chain of numbered
-snapshots, and one small manifest says which snapshot of every table is
-current, so a run that touches many tables becomes visible all at once or
-not at all.
+Parquet files are never changed in place. A table is a list of pieces, each a
+folder written by one run, and one small manifest lists the pieces of every
+table. A run writes new folders aside and commits one new manifest, so all of
+its tables become visible at once or not at all, and a run that dies half-way
+leaves only folders that nothing refers to.
+
+Large tables are partitioned by the month a row was created in. A month lives
+in exactly one piece; a run rewrites the months it touches and leaves the
+folders of all other months alone.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PART = "_month"
+# pieces of an append-only table before they are written together
+MAX_PIECES = 48
+
+# A piece is {"folder": path, "parts": [month, ...] or None for all of it}.
+Entry = list[dict]
+
+
+def month_of(column: str) -> Column:
+    """The partition a row belongs to; never changes for a row."""
+    return F.coalesce(F.date_format(F.col(column), "'m'yyyy_MM"), F.lit("none"))
 
 
 class Store:
-    """Snapshots and manifest of one tenant schema under ``root``."""
+    """Tables and manifest of one tenant schema under ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -25,16 +45,16 @@ class Store:
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     # manifest ---------------------------------------------------------------
-    def _manifests(self) -> list[int]:
+    def _versions(self) -> list[int]:
         folder = self._path(f"{self.root}/_manifest")
         if not self._fs.exists(folder):
             return []
         names = (s.getPath().getName() for s in self._fs.listStatus(folder))
         return sorted(int(n.split(".")[0]) for n in names if n.endswith(".json"))
 
-    def manifest(self) -> dict[str, str]:
-        """Table name to snapshot folder, as of the last commit."""
-        versions = self._manifests()
+    def manifest(self) -> dict:
+        """Table name to pieces, and named values, as of the last commit."""
+        versions = self._versions()
         if not versions:
             return {}
         stream = self._fs.open(self._path(f"{self.root}/_manifest/{versions[-1]:012d}.json"))
@@ -44,15 +64,14 @@ class Store:
         finally:
             stream.close()
 
-    def commit(self, changes: dict[str, str | None]) -> None:
+    def commit(self, changes: dict) -> None:
         """Make ``changes`` current in one step; None withdraws a table.
 
         The new manifest is written aside and renamed to the next number. A
         rename onto a taken number fails, so of two writers one is told.
         """
-        versions = self._manifests()
-        current = {**self.manifest(), **changes}
-        current = {k: v for k, v in current.items() if v is not None}
+        versions = self._versions()
+        current = {k: v for k, v in {**self.manifest(), **changes}.items() if v is not None}
         number = versions[-1] + 1 if versions else 1
         aside = self._path(f"{self.root}/_manifest/_tmp-{uuid.uuid4().hex}")
         target = self._path(f"{self.root}/_manifest/{number:012d}.json")
@@ -64,38 +83,74 @@ class Store:
         if self._fs.exists(target) or not self._fs.rename(aside, target):
             raise RuntimeError(f"manifest {number} was written by another run")
 
-    # tables -----------------------------------------------------------------
-    def write(
-        self,
-        df: DataFrame,
-        name: str,
-        sort_by: str | None = "last_modified_date_time",
-        partition_by: list[str] | None = None,
-    ) -> str:
-        """Write a snapshot and return its folder; not visible before commit.
+    # reading ----------------------------------------------------------------
+    def exists(self, name: str) -> bool:
+        return name in self.manifest()
+
+    def read(self, name: str, with_part: bool = False) -> DataFrame:
+        return self.load(self.manifest()[name], with_part)
+
+    def load(self, entry: Entry, with_part: bool = False) -> DataFrame:
+        """The rows of a table's pieces."""
+        frames = []
+        for piece in entry:
+            if piece["parts"] is None:
+                df = self.spark.read.parquet(piece["folder"])
+                frames.append(df.withColumn(PART, F.lit("none")) if with_part else df)
+            else:
+                paths = [f"{piece['folder']}/{PART}={p}" for p in piece["parts"]]
+                frames.append(self.spark.read.option("basePath", piece["folder"]).parquet(*paths))
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return df if with_part else df.drop(PART)
+
+    # writing ----------------------------------------------------------------
+    def write(self, df: DataFrame, name: str, sort_by: str | None = "last_modified_date_time") -> Entry:
+        """Write a whole table; not visible before it is committed.
 
         Rows are sorted inside each task by modified time, which gives row
         groups narrow time ranges for the next run's incremental scans.
         """
         folder = f"{self.root}/{name}/v={uuid.uuid4().hex}"
         if sort_by and sort_by in df.columns:
-            df = df.sortWithinPartitions(*(partition_by or []), sort_by)
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(folder)
-        return folder
+            df = df.sortWithinPartitions(sort_by)
+        df.write.mode("errorifexists").parquet(folder)
+        return [{"folder": folder, "parts": None}]
+
+    def write_months(
+        self, df: DataFrame, name: str, old: Entry | None = None, touched: Sequence[str] | None = None,
+        created: str = "created_date_time", sort_by: str = "last_modified_date_time",
+    ) -> Entry:
+        """Write the given months; pieces of ``old`` keep all other months.
+
+        Rows are rebalanced by month first: a large month is split over
+        tasks and files, small ones share a task.
+        """
+        folder = f"{self.root}/{name}/v={uuid.uuid4().hex}"
+        rows = df.withColumn(PART, month_of(created)).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, sort_by)
+        rows.write.mode("errorifexists").partitionBy(PART).parquet(folder)
+        written = [
+            s.getPath().getName().split("=", 1)[1]
+            for s in self._fs.listStatus(self._path(folder))
+            if s.getPath().getName().startswith(f"{PART}=")
+        ]
+        gone = set(touched or []) | set(written)
+        kept = []
+        for piece in old or []:
+            # a piece without months is the empty table
+            parts = [p for p in piece["parts"] or [] if p not in gone]
+            if parts:
+                kept.append({"folder": piece["folder"], "parts": parts})
+        if written:
+            kept.append({"folder": folder, "parts": sorted(written)})
+        # a table without rows still has columns
+        return kept or self.write(self.spark.createDataFrame([], df.schema), name, None)
+
+    def append(self, df: DataFrame, name: str, old: Entry | None = None, **how) -> Entry:
+        """Add rows to a table that only grows; compacts now and then."""
+        entry = [*(old or []), *self.write(df, name, **how)]
+        return entry if len(entry) <= MAX_PIECES else self.write(self.load(entry), name, **how)
 
     def publish(self, df: DataFrame, name: str, **how) -> DataFrame:
         """Write, commit and read back one table."""
         self.commit({name: self.write(df, name, **how)})
         return self.read(name)
-
-    def exists(self, name: str) -> bool:
-        return name in self.manifest()
-
-    def read(self, name: str) -> DataFrame:
-        return self.load(self.manifest()[name])
-
-    def load(self, folder: str) -> DataFrame:
-        return self.spark.read.parquet(folder)

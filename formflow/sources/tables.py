@@ -116,4 +116,7 @@ class Context:
         return tenant_filter(df, self.org_ids)
 
     def changed(self, name: str) -> DataFrame:
-        return delta(self.table(name), self.start, self.end)
+        """Rows changed in the window, from their staged copy if there is one."""
+        staged = f"changed/{name}"
+        rows = self._tables[staged] if staged in self._tables else self.table(name)
+        return delta(rows, self.start, self.end)
