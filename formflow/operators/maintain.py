@@ -127,30 +127,37 @@ def drop_unexited(exits: DataFrame, enrolments: DataFrame) -> DataFrame:
     return delete_matching(exits, enrolments.where(F.col("program_exit_date_time").isNull()), ["id"])
 
 
-def newest_status(approvals: DataFrame, statuses: DataFrame, entity_type: str) -> DataFrame:
-    """The latest live approval status of each entity of a type."""
-    live = approvals.where((~F.col("is_voided")) & (F.col("entity_type") == entity_type))
+def newest_statuses(approvals: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The latest live approval status of every entity, by entity type."""
     named = statuses.select(F.col("id").alias("approval_status_id"), "status")
+    live = approvals.where(~F.col("is_voided")).join(named, "approval_status_id")
     return (
         keep_latest(
-            live.join(named, "approval_status_id").select("id", "entity_id", "status_date_time", "status"),
-            ["entity_id"],
+            live.select("id", "entity_type", "entity_id", "status_date_time", "status"),
+            ["entity_type", "entity_id"],
             "status_date_time",
             tie_break=[F.col("id").desc()],
         )
         .where(F.col("status").isNotNull())
-        .select(F.col("entity_id").alias("id"), F.col("status").alias("_status"))
+        .select("entity_type", "entity_id", "status")
     )
 
 
-def latest_approval(target: DataFrame, approvals: DataFrame, statuses: DataFrame, entity_type: str) -> DataFrame:
-    """``target`` with ``latest_approval_status`` brought up to date."""
+def set_approval(target: DataFrame, newest: DataFrame, entity_type: str) -> DataFrame:
+    """``target`` with the status of its entities; without one, as before."""
     column = "latest_approval_status"
     old = F.col(column) if column in target.columns else F.lit(None).cast("string")
-    keep = [c for c in target.columns if c != column]
-    return target.join(newest_status(approvals, statuses, entity_type), "id", "left").select(
-        *[F.col(f"`{c}`") for c in keep], F.coalesce("_status", old).alias(column)
+    keep = [F.col(f"`{c}`") for c in target.columns if c != column]
+    mine = newest.where(F.col("entity_type") == entity_type).select(
+        F.col("entity_id").alias("id"), F.col("status").alias("_status")
     )
+    return target.join(mine, "id", "left").select(*keep, F.coalesce("_status", old).alias(column))
+
+
+def latest_approval(target: DataFrame, approvals: DataFrame, statuses: DataFrame, entity_type: str) -> DataFrame:
+    """``target`` with ``latest_approval_status`` brought up to date."""
+    mine = approvals.where(F.col("entity_type") == entity_type)
+    return set_approval(target, newest_statuses(mine, statuses), entity_type)
 
 
 def compose_renames(migrations: Sequence[tuple[str, str]]) -> dict[str, str]:

@@ -8,10 +8,10 @@ commit at the end, which moves the watermarks as well.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +22,8 @@ from formflow.model import (
 from formflow.operators import address, entities, maintain, media, repeat
 from formflow.plans import catalog
 from formflow.plans.evolve import SPEC_TABLE, Change, conform, diff, evolve, load_specs, merge_specs, save_specs
-from formflow.sources.snapshots import PART, Entry, Store, month_of
+from formflow.plans.merge import merge_months
+from formflow.sources.snapshots import Entry, Store
 from formflow.sources.state import STATE_TABLE, advanced_state
 from formflow.sources.tables import EPOCH, Context, delta, tenant_filter
 
@@ -80,6 +81,7 @@ class Run:
     done: dict[str, Entry]
     staged: dict[str, DataFrame] = field(default_factory=dict)
     staged_from: str = EPOCH
+    statuses: DataFrame | None = None
 
     def context(self, spec: TableSpec) -> Context:
         """The table's window; a new table looks further back than the
@@ -116,9 +118,14 @@ def stage_sources(run: Run) -> None:
         if len(users) < 2 or name not in run.tables:
             continue
         changed = Context(run.tables, run.staged_from, run.now).changed(name)
-        folder = f"{run.store.root}/_staged/{uuid.uuid4().hex}/{name}"
-        changed.hint("rebalance", F.col(key)).write.partitionBy(key).parquet(folder)
-        run.staged[name] = run.store.spark.read.schema(changed.schema).parquet(folder)
+        run.staged[name] = run.store.stage(changed, name, key)
+
+
+def stage_statuses(run: Run) -> None:
+    """Each entity's latest approval status, worked out once for all tables."""
+    if "entity_approval_status" in run.tables:
+        newest = maintain.newest_statuses(run.tables["entity_approval_status"], run.tables["approval_status"])
+        run.statuses = run.store.stage(newest, "approvals", "entity_type")
 
 
 class Staged(Mapping):
@@ -180,21 +187,18 @@ def fresh_rows(run: Run, spec: TableSpec) -> tuple[DataFrame, list[str], str]:
     return entities.flatten(ctx, spec), ["id"], "row_number"
 
 
-def _touched(run: Run, spec: TableSpec, fresh: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys whose stored rows this run may change."""
-    parts = [fresh.select(keys[0])]
+def _touched(run: Run, spec: TableSpec, key: str) -> DataFrame | None:
+    """Keys without a changed row of their own that this run may change."""
+    parts = []
     if spec.type in CANCELS:
         source, _ = CANCELS[spec.type]
         parts.append(run.context(spec).changed(source).select("id"))
-    if spec.type in APPROVAL_ENTITY and "entity_approval_status" in run.tables:
+    if spec.type in APPROVAL_ENTITY and run.statuses is not None:
         approvals = run.tables["entity_approval_status"].where(F.col("entity_type") == APPROVAL_ENTITY[spec.type])
         column = TS if TS in approvals.columns else "status_date_time"
         recent = delta(approvals, run.last_sync.get(spec.name, EPOCH), run.now, column)
-        parts.append(recent.select(F.col("entity_id").alias(keys[0])))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+        parts.append(recent.select(F.col("entity_id").alias(key)))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def sync_table(run: Run, spec: TableSpec) -> Entry:
@@ -205,34 +209,29 @@ def sync_table(run: Run, spec: TableSpec) -> Entry:
     entry = run.old_entry(spec)
     changes = run.changes.get(spec.name, [])
     renames = migrations(run, spec)
-    by_month = any(c.name == "created_date_time" for c in spec.columns)
-    if entry is None:
-        merged, months = maintain.keep_latest(fresh, keys, TS, ties), None
-    else:
-        old = store.load(entry, with_part=True)
-        months = None
-        if by_month and not changes and not renames:
-            keys_now = _touched(run, spec, fresh, keys)
-            hit = old.join(keys_now, keys[0], "left_semi").select(PART)
-            # months of a tenant's history: a few hundred values at most
-            months = [r[0] for r in hit.union(fresh.select(month_of("created_date_time").alias(PART))).distinct().collect()]
-            old = old.where(F.col(PART).isin(months)) if months else old.limit(0)
-        old = conform(renamed(evolve(old.drop(PART), changes), spec, renames), spec)
-        merged = maintain.upsert_latest(old, fresh, keys, TS, ties)
-    if spec.type in CANCELS:
-        source, column = CANCELS[spec.type]
-        primary = run.context(spec).changed(source)
-        merged = maintain.delete_matching(merged, primary.where(F.col(column).isNull()), ["id"])
-    if spec.type in APPROVAL_ENTITY and "entity_approval_status" in run.tables:
-        merged = maintain.latest_approval(
-            merged, run.tables["entity_approval_status"], run.tables["approval_status"], APPROVAL_ENTITY[spec.type]
+    if entry is not None:
+        fresh = store.stage(fresh, spec.name)  # read for its keys, its months and its rows
+
+    def prepare(old: DataFrame) -> DataFrame:
+        return conform(renamed(evolve(old, changes), spec, renames), spec)
+
+    def finish(rows: DataFrame) -> DataFrame:
+        if spec.type in CANCELS:
+            source, column = CANCELS[spec.type]
+            primary = run.context(spec).changed(source)
+            rows = maintain.delete_matching(rows, primary.where(F.col(column).isNull()), ["id"])
+        if spec.type in APPROVAL_ENTITY and run.statuses is not None:
+            rows = maintain.set_approval(rows, run.statuses, APPROVAL_ENTITY[spec.type])
+        return conform(rows, spec)
+
+    if spec.has("created_date_time"):
+        return merge_months(
+            store, spec.name, entry, fresh, keys, TS, ties,
+            touched=_touched(run, spec, keys[0]), prepare=prepare, finish=finish, whole=bool(changes or renames),
         )
-    merged = conform(merged, spec)
-    if not by_month:
-        return store.write(merged, spec.name)
-    if months is not None:
-        return store.write_months(merged, spec.name, entry, months) if months else entry
-    return store.write_months(merged, spec.name)
+    if entry is None:
+        return store.write(finish(maintain.keep_latest(fresh, keys, TS, ties)), spec.name)
+    return store.write(finish(maintain.upsert_latest(prepare(store.load(entry)), fresh, keys, TS, ties)), spec.name)
 
 
 def sync_address(run: Run, spec: TableSpec) -> Entry:
@@ -310,13 +309,17 @@ def sync_media(run: Run, spec: TableSpec) -> Entry | None:
     group, index = "question_group_concept_name", "repeatable_question_group_index"
     serial = F.xxhash64("entity_id", "concept_name", F.coalesce(group, F.lit("")), F.coalesce(index, F.lit(-1)), "image_url", TS)
     fresh = conform(fresh.withColumn("id", serial), spec)
-    if entry is None:
-        return run.store.write(media.dedupe_media(fresh), spec.name)
-    keyed = lambda df: df.withColumns({"_g": F.coalesce(group, F.lit("")), "_i": F.coalesce(index, F.lit(-1))})
-    merged = maintain.upsert_latest(
-        keyed(conform(run.store.load(entry), spec)), keyed(fresh), ["entity_id", "concept_name", "_g", "_i"], TS, "rank"
+    if entry is not None:
+        fresh = run.store.stage(fresh, spec.name)
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.withColumns({"_g": F.coalesce(group, F.lit("")), "_i": F.coalesce(index, F.lit(-1))})
+
+    return merge_months(
+        run.store, spec.name, entry, keyed(fresh), ["entity_id", "concept_name", "_g", "_i"], TS, "rank",
+        prepare=lambda old: keyed(conform(old, spec)), finish=lambda rows: rows.drop("_g", "_i"),
+        whole=bool(run.changes.get(spec.name)),
     )
-    return run.store.write(merged.drop("_g", "_i"), spec.name)
 
 
 def _step(spec: TableSpec) -> Callable[[Run, TableSpec], Entry] | None:
@@ -356,6 +359,7 @@ def sync_tenant(
     last = watermarks(store, tenant)
     last_sync = {s.name: last.get(old_names.get(s.name, s.name), EPOCH) for s in specs}
     run = Run(store, mine, tenant, now, specs, changes, old_names, last_sync, store.manifest(), {})
+    stage_statuses(run)
     if stage:
         stage_sources(run)
 

@@ -20,6 +20,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 PART = "_month"
 # pieces of an append-only table before they are written together
@@ -29,9 +30,12 @@ MAX_PIECES = 48
 Entry = list[dict]
 
 
-def month_of(column: str) -> Column:
-    """The partition a row belongs to; never changes for a row."""
-    return F.coalesce(F.date_format(F.col(column), "'m'yyyy_MM"), F.lit("none"))
+def month_of(df: DataFrame, column: str) -> Column:
+    """The partition a row belongs to; the same in every session time zone."""
+    time = F.col(column).cast("timestamp_ntz")
+    if isinstance(df.schema[column].dataType, TimestampType):
+        time = F.convert_timezone(None, F.lit("UTC"), time)
+    return F.coalesce(F.date_format(time, "'m'yyyy_MM"), F.lit("none"))
 
 
 class Store:
@@ -126,7 +130,7 @@ class Store:
         tasks and files, small ones share a task.
         """
         folder = f"{self.root}/{name}/v={uuid.uuid4().hex}"
-        rows = df.withColumn(PART, month_of(created)).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, sort_by)
+        rows = df.withColumn(PART, month_of(df, created)).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, sort_by)
         rows.write.mode("errorifexists").partitionBy(PART).parquet(folder)
         written = [
             s.getPath().getName().split("=", 1)[1]
@@ -150,6 +154,18 @@ class Store:
         entry = [*(old or []), *self.write(df, name, **how)]
         return entry if len(entry) <= MAX_PIECES else self.write(self.load(entry), name, **how)
 
+    def stage(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        """Write rows that several plans of this run read, and read them back.
+
+        The folder is shared storage, so losing an executor costs a re-read.
+        """
+        folder = f"{self.root}/_staged/{uuid.uuid4().hex}/{name}"
+        writer = df.write
+        if partition_by:
+            writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
+        writer.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def publish(self, df: DataFrame, name: str, **how) -> DataFrame:
         """Write, commit and read back one table."""
         self.commit({name: self.write(df, name, **how)})
