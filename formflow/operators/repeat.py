@@ -26,9 +26,10 @@ def explode_group(df: DataFrame, json_col: str, uuid: str) -> DataFrame:
     elements = F.coalesce(
         F.try_variant_get(answer, "$", "array<variant>"), F.try_variant_get(in_text, "$", "array<variant>")
     )
-    return df.withColumn("_obs", parse_obs(df, json_col)).select(
+    exploded = df.withColumn("_obs", parse_obs(df, json_col)).select(
         *rest, F.posexplode(elements).alias(INDEX, json_col)
     )
+    return exploded.withColumn(INDEX, F.col(INDEX).cast("bigint"))
 
 
 def _project(ctx: Context, spec: TableSpec, rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -254,13 +254,16 @@ def _telemetry(spark, sf_dir):
 
 _USER_SUBJECTS = f"""select {', '.join('us.user_id' if c == 'user_id' else 'i.' + c for c in entities.USER_SUBJECT_COLUMNS)}
         from individual i join user_subject us on us.subject_id = i.id
-        where not exists (select 1 from user_subject x where x.user_id = us.user_id and x.subject_id = us.subject_id and x.subject_id % 5 = 0)"""
+        where not i.is_voided"""
 
 
 def _user_subjects(compat):
     def run(spark, sf_dir):
         ctx = context(spark, sf_dir)
-        existing = ctx.table("user_subject").where("subject_id % 5 = 0").select("user_id", F.col("subject_id").alias("id"))
+        # links of voided subjects are in the table already
+        voided = ctx.table("individual").where("is_voided").select("id")
+        links = ctx.table("user_subject").select("user_id", F.col("subject_id").alias("id"))
+        existing = links.join(voided, "id", "left_semi")
         table = spec("UserSubject", "st-user")
         return entities.user_subjects(ctx, existing, table, compat)
 

@@ -46,14 +46,12 @@ ORACLE["u1_upsert_latest"] = ORACLE["u1_keep_latest"]
 
 
 def _generations(spark, sf_dir):
-    """Repeat groups of two generations, half of the parents changed later."""
+    """Repeat groups of two generations: voided rows came back later."""
     rows = bound(spark, sf_dir, "program_encounter").select(
-        F.col("program_enrolment_id").alias("encounter_id"), F.col("tie_1").alias("element"), "last_modified_date_time"
+        F.col("program_enrolment_id").alias("encounter_id"), F.col("tie_1").alias("element"), "last_modified_date_time", "is_voided"
     )
-    again = rows.where("encounter_id % 2 = 0").withColumn(
-        "last_modified_date_time", F.expr("timestamp_ntz '2002-01-01 00:00:00'")
-    )
-    return rows.unionByName(again)
+    again = rows.where("is_voided").withColumn("last_modified_date_time", F.expr("timestamp_ntz '2002-01-01 00:00:00'"))
+    return rows.unionByName(again).drop("is_voided")
 
 
 def _keep_generation(spark, sf_dir):
@@ -64,7 +62,7 @@ QUERIES["u2_keep_generation"] = _keep_generation
 ORACLE["u2_keep_generation"] = with_bindings(
     ["program_encounter"],
     """with g as (select program_enrolment_id as encounter_id, tie_1 as element, last_modified_date_time from program_encounter
-                  union all select program_enrolment_id, tie_1, timestamp '2002-01-01 00:00:00' from program_encounter where program_enrolment_id % 2 = 0)
+                  union all select program_enrolment_id, tie_1, timestamp '2002-01-01 00:00:00' from program_encounter where is_voided)
        select * from g qualify rank() over (partition by encounter_id order by last_modified_date_time desc nulls first) = 1""",
 )
 
@@ -150,25 +148,27 @@ ORACLE["u6_rename_multi"] = with_bindings(
 
 
 def _uncancelled(spark, sf_dir):
+    """A cancel table from a time when every visit had been cancelled."""
     visits = bound(spark, sf_dir, "encounter").select("id", "uuid", "cancel_date_time")
-    return maintain.drop_uncancelled(visits.where("id % 5 = 0"), visits)
+    return maintain.drop_uncancelled(visits, visits)
 
 
 QUERIES["u7_drop_uncancelled"] = _uncancelled
 ORACLE["u7_drop_uncancelled"] = with_bindings(
-    ["encounter"], "select id, uuid, cancel_date_time from encounter where id % 5 = 0 and cancel_date_time is not null"
+    ["encounter"], "select id, uuid, cancel_date_time from encounter where cancel_date_time is not null"
 )
 
 
 def _unexited(spark, sf_dir):
+    """An exit table from a time when every enrolment had been exited."""
     rows = bound(spark, sf_dir, "program_enrolment").select("id", "uuid", "program_exit_date_time")
-    return maintain.drop_unexited(rows.where("id % 5 = 0"), rows)
+    return maintain.drop_unexited(rows, rows)
 
 
 QUERIES["u8_drop_unexited"] = _unexited
 ORACLE["u8_drop_unexited"] = with_bindings(
     ["program_enrolment"],
-    "select id, uuid, program_exit_date_time from program_enrolment where id % 5 = 0 and program_exit_date_time is not null",
+    "select id, uuid, program_exit_date_time from program_enrolment where program_exit_date_time is not null",
 )
 
 

@@ -30,7 +30,7 @@ def _activity(compat):
             "enrolments": _tables(spark, sf_dir, ENROLMENTS),
             "program_encounters": _tables(spark, sf_dir, PROGRAM_ENCOUNTERS),
         }
-        return reports.user_activity(families, bound(spark, sf_dir, "users"), START, END, USERS, compat=compat)
+        return reports.user_activity(families, bound(spark, sf_dir, "users"), START, END, compat=compat)
 
     return run
 
@@ -64,7 +64,7 @@ def _activity_sql(distinct: str) -> str:
         _NAMES,
         f"""with {_COUNTS.strip()}
             select u.id, coalesce(u.name, u.username) as name, {parts}, cast({total} as bigint) as total
-            from c join users u on u.id = c.u where {_LIVE_USERS} and u.id in ({', '.join(map(str, USERS))})
+            from c join users u on u.id = c.u where {_LIVE_USERS}
             group by u.id, coalesce(u.name, u.username) order by total desc, u.id limit 10""",
     )
 

@@ -34,15 +34,15 @@ ORACLE["s2_tenant_filter"] = with_bindings(
 
 
 def _group(spark, sf_dir):
-    """Members of a tenant group as rows: tenants with more than one user."""
-    members = bound(spark, sf_dir, "users").where("id % 3 = 1").select("organisation_id")
+    """Members of a tenant group as rows: tenants with a voided user."""
+    members = bound(spark, sf_dir, "users").where("is_voided").select("organisation_id")
     return tenant_filter(bound(spark, sf_dir, "encounter"), members).select(*_SHORT)
 
 
 QUERIES["s2_tenant_group"] = _group
 ORACLE["s2_tenant_group"] = with_bindings(
     ["encounter", "users"],
-    f"select {', '.join(_SHORT)} from encounter where organisation_id in (select organisation_id from users where id % 3 = 1)",
+    f"select {', '.join(_SHORT)} from encounter where organisation_id in (select organisation_id from users where is_voided)",
 )
 
 QUERIES["s3_delta"] = lambda spark, sf_dir: delta(bound(spark, sf_dir, "encounter"), **WINDOW).select(*_SHORT)
