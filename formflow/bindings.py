@@ -275,12 +275,12 @@ select s_suppkey as id, 'fm-' || cast(s_suppkey as varchar(20)) as uuid, s_suppk
        s_suppkey % 13 = 12 as is_voided
 from $supplier""",
     "m_subject_type": """
-select t.id, t.uuid, t.name, t.type, t.allow_middle_name, p.c1 as sync_registration_concept_1, p.c2 as sync_registration_concept_2
-from (select * from (values (1, 'st-person', 'Person', 'Person', true), (2, 'st-individual', 'Beneficiary', 'Individual', false),
+select t.id, t.uuid, t.name, t.type, t.allow_middle_name,
+  (select 'mc-' || cast(min(l_partkey) as varchar(20)) from $lineitem where l_suppkey % 5 = 0) as sync_registration_concept_1,
+  (select 'mc-' || cast(max(l_partkey) as varchar(20)) from $lineitem where l_suppkey % 5 = 0) as sync_registration_concept_2
+from (values (1, 'st-person', 'Person', 'Person', true), (2, 'st-individual', 'Beneficiary', 'Individual', false),
   (3, 'st-household', 'Household', 'Household', false), (4, 'st-group', 'Self Help Group', 'Group', false), (5, 'st-user', 'Field Worker', 'User', false),
-  (6, 'st-volunteer', 'Volunteer', 'User', false)) as v(id, uuid, name, type, allow_middle_name)) t
-cross join (select 'mc-' || cast(min(l_partkey) as varchar(20)) as c1, 'mc-' || cast(max(l_partkey) as varchar(20)) as c2
-            from $lineitem where l_suppkey % 5 = 0) p""",
+  (6, 'st-volunteer', 'Volunteer', 'User', false)) as t(id, uuid, name, type, allow_middle_name)""",
     "m_operational_subject_type": """
 select * from (values (1, 'Person'), (2, 'Beneficiary'), (3, 'Household'), (4, 'Self Help Group'), (5, 'Field Worker'), (6, 'Volunteer')) as t(subject_type_id, name)""",
     "m_operational_program": "select * from (values (1, 2, 'Child'), (2, 3, 'Elderly'), (3, 4, 'Youth')) as t(id, program_id, name)",

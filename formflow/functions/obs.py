@@ -137,8 +137,8 @@ def obs_col(spec: ColumnSpec, obs: Column, answer_map: Column, strict: bool = Tr
 def concept_map(concept: DataFrame, concept_answer: DataFrame, uuids: list[str]) -> DataFrame:
     """One row, one map: uuid to name of every answer of the given questions.
 
-    Bounded by the answers a single form offers, so it may be broadcast. No
-    answers at all still gives the one row, with an empty map.
+    Bounded by the answers a single form offers. No answers at all still
+    gives the one row, with an empty map.
     """
     return concept_map_of(concept, concept_answer, concept.where(F.col("uuid").isin(uuids)))
 
@@ -157,6 +157,15 @@ def concept_map_of(concept: DataFrame, concept_answer: DataFrame, questions: Dat
     return pairs.agg(F.map_from_entries(F.collect_list(F.struct("uuid", "name"))).alias("answer_map"))
 
 
+def with_dictionary(df: DataFrame, answers: DataFrame) -> DataFrame:
+    """Adds the map of :func:`concept_map` as column ``answer_map``.
+
+    It is a scalar subquery: worked out once and carried as a constant,
+    without a join.
+    """
+    return df.withColumn("answer_map", answers.select("answer_map").scalar())
+
+
 def project_answers(
     df: DataFrame,
     columns: list[ColumnSpec] | tuple[ColumnSpec, ...],
@@ -176,11 +185,9 @@ def project_answers(
         parsed["_subject_obs"] = parse_obs(df, subject_json_col)
     if not parsed:
         return df.select(*keep)
+    answer_map = F.lit(None)
     if any(c.concept_type in CODED_CONCEPTS for c in columns):
-        df = df.crossJoin(F.broadcast(answers))  # a single row
-        answer_map = F.col("answer_map")
-    else:
-        answer_map = F.lit(None)
+        df, answer_map = with_dictionary(df, answers), F.col("answer_map")
     df = df.withColumns(parsed)
     return df.select(
         *keep,

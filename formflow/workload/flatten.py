@@ -35,7 +35,7 @@ def _obs(name: str, sql: str, build):
         pairs = obs.concept_map(
             bound(spark, sf_dir, "concept"), bound(spark, sf_dir, "concept_answer"), ["q-one", "q-many"]
         )
-        rows = rows.withColumn("_o", obs.parse_obs(rows, "observations")).crossJoin(F.broadcast(pairs))
+        rows = obs.with_dictionary(rows.withColumn("_o", obs.parse_obs(rows, "observations")), pairs)
         return plain(rows.select("id", build(F.col("_o"), F.col("answer_map")).alias("answer")))
 
     QUERIES[name] = run

@@ -126,7 +126,7 @@ def _decoded(spark, sf_dir):
 
     rows = bound(spark, sf_dir, "encounter").select("id", "observations")
     names = obs.concept_map(bound(spark, sf_dir, "concept"), bound(spark, sf_dir, "concept_answer"), ["q-one", "q-many"])
-    rows = rows.withColumn("o", obs.parse_obs(rows, "observations")).crossJoin(F.broadcast(names))
+    rows = obs.with_dictionary(rows.withColumn("o", obs.parse_obs(rows, "observations")), names)
     return rows.select(
         "id",
         obs.coded(F.col("o"), obs.obs_path("q-one"), F.col("answer_map")).alias("one"),
