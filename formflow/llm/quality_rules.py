@@ -81,20 +81,22 @@ def measured(df: DataFrame) -> DataFrame:
     """``df`` (with a column ``text``, not null) with the base measures added.
 
     Each array is a column of its own: several expressions read it, so the
-    optimizer keeps it as a projection and it is worked out once per row.
+    optimizer keeps it as a projection and it is worked out once per row. The
+    measures leave through a one-row generator, which a later filter on them does
+    not pass; below it, the filter would repeat all of these expressions.
     """
     step = df.withColumn("__words", F.array_remove(F.split("text", SPACE, -1), ""))
     step = step.withColumn("__windows", _windows(F.col("__words")))
     step = step.withColumn("__places", _repeated(F.col("__windows")))
     step = step.withColumn("__lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
-    return step.select(
-        *df.columns,
+    measures = F.struct(
         F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(F.col("__places")), F.lit(0)).cast("long").alias("n_repeat_words"),
     )
+    return step.select(*df.columns, F.inline(F.array(measures)))
 
 
 BASE_FAILED = "(n_words < 50 or 100 * n_repeat_words > 50 * n_words)"
@@ -110,8 +112,8 @@ def order_rules(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int
     taken = docs.select(text_of("text").alias("text")).take(sample_rows)
     if not taken:
         return list(rules)
-    sample = measured(spark.createDataFrame(taken, "text string")).select("text", *MEASURES)
-    rows = [tuple(r) for r in sample.where(f"not {BASE_FAILED}").collect()]
+    sample = measured(spark.createDataFrame(taken, "text string")).where(f"not {BASE_FAILED}")
+    rows = [tuple(r) for r in sample.collect()]
     if not rows:
         return list(rules)
     left = spark.createDataFrame(rows, sample.schema)

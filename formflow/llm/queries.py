@@ -23,8 +23,8 @@ QUALITY_SQL = rf"""
 with texts as (
     select row_number() over () as row_no, doc_id, coalesce(text, '') as text from documents
 ), split_up as (
-    select *, list_filter(regexp_split_to_array(text, '{_SPACES}'), x -> x <> '') as words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
+    select *, list_filter(regexp_split_to_array(text, '{_SPACES}'), lambda x: x <> '') as words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
         len(string_split(text, chr(10))) as all_lines
     from texts
 ), windows as (
