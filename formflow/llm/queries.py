@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import quality_rules
+from formflow.llm import near_dedup, quality_rules
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -58,3 +58,10 @@ with texts as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not rejected as kept from judged
 """
 ORACLE["op5_quality_rules"] = QUALITY_SQL
+
+
+def op7_minhash_near_dedup(spark, sf_dir) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["op7_minhash_near_dedup"] = op7_minhash_near_dedup
