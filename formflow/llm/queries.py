@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import near_dedup, quality_rules
+from formflow.llm import decontaminate, near_dedup, quality_rules
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -65,3 +65,52 @@ def op7_minhash_near_dedup(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op7_minhash_near_dedup"] = op7_minhash_near_dedup
+
+
+def op2_benchmark_decontamination(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        f"{ROW}.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+QUERIES["op2_benchmark_decontamination"] = op2_benchmark_decontamination
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"regexp_extract_all({}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+DECONTAMINATION_SQL = f"""
+with items as (
+    select item_id, {_ALNUM.format(_LOWER)} as words from benchmark
+), sized as (
+    select item_id, words, least(13, len(words)) as size from items where len(words) > 0
+), windows as (
+    select item_id, size, array_to_string(words[place:place + size - 1], ' ') as w
+    from (select *, unnest(range(1, len(words) - size + 2)) as place from sized)
+), docs as (
+    select row_number() over () as row_no, doc_id, {_ALNUM.format(_LOWER)} as words from documents
+), places as (
+    select row_no, size, place, array_to_string(words[place:place + size - 1], ' ') as w
+    from (
+        select row_no, words, size, unnest(range(1, len(words) - size + 2)) as place
+        from docs, (select distinct size from sized) where len(words) >= size
+    )
+), found as (
+    select row_no, place, p.size, item_id from places p join windows using (size, w)
+), hits as (
+    select row_no, count(distinct word) as n_hit
+    from (select row_no, unnest(range(place, place + size)) as word from found) group by row_no
+), named as (
+    select row_no, list_sort(list(distinct item_id::varchar)) as ids from found where item_id is not null group by row_no
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(len(ids), 0)::bigint as n_items,
+    sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from docs left join hits using (row_no) left join named using (row_no)
+"""
+ORACLE["op2_benchmark_decontamination"] = DECONTAMINATION_SQL
