@@ -29,10 +29,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def packed(df: DataFrame, **columns: Column) -> DataFrame:
-    """The whole row as one struct beside the working columns, so that no column
-    of the input can clash with one of the operator's own."""
-    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias(ROW), *(c.alias(n) for n, c in columns.items()))
+def packed(df: DataFrame, keep: list[str] | None = None, **columns: Column) -> DataFrame:
+    """The row (or its columns in ``keep``) as one struct beside the working columns, so that
+    no column of the input can clash with one of the operator's own."""
+    row = F.struct(*(F.col(f"`{c}`") for c in keep or df.columns))
+    return df.select(row.alias(ROW), *(c.alias(n) for n, c in columns.items()))
 
 
 def unpacked(df: DataFrame) -> DataFrame:

@@ -250,10 +250,10 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[lis
         yield held
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of ``docs`` packed, with n_words, the word ranges hit (``spans``, flat) and the ``items`` found."""
+def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
+    """Rows of ``docs`` packed (all columns, or those of ``keep``), with n_words, the word ranges hit (``spans``, flat) and the ``items`` found."""
     spark = docs.sparkSession
-    out = packed(docs, text=text_of("text").cast("binary"), n_words=F.lit(0).cast("long")).select(
+    out = packed(docs, keep, text=text_of("text").cast("binary"), n_words=F.lit(0).cast("long")).select(
         ROW, "text", "n_words", F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items")
     )
     row = out.schema[ROW].dataType.simpleString()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import decontaminate, near_dedup, quality_rules
+from formflow.llm import byte_bpe, decontaminate, near_dedup, quality_rules
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -68,8 +69,7 @@ QUERIES["op7_minhash_near_dedup"] = op7_minhash_near_dedup
 
 
 def op2_benchmark_decontamination(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.matches(docs, table(spark, sf_dir, "benchmark"))
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select(
         f"{ROW}.doc_id",
         "n_words",
@@ -114,3 +114,19 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from docs left join hits using (row_no) left join named using (row_no)
 """
 ORACLE["op2_benchmark_decontamination"] = DECONTAMINATION_SQL
+
+
+def encoded_digests(docs: DataFrame) -> DataFrame:
+    """The digest columns of op3, from the ids and the bytes decoded from them."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    out = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]), ranks)
+    return out.select(
+        f"{ROW}.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op3_byte_bpe(spark, sf_dir) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op3_byte_bpe"] = op3_byte_bpe
