@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, decontaminate, near_dedup, quality_rules
+from formflow.llm import byte_bpe, decontaminate, log_bloom, near_dedup, quality_rules
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -130,3 +130,14 @@ def op3_byte_bpe(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op3_byte_bpe"] = op3_byte_bpe
+
+
+def op10_lm_scoring(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    training = docs.where(~F.coalesce(held_out, F.lit(False)))
+    scored = log_bloom.score(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), training, keep=["doc_id", "held_out"])
+    return scored.select(f"{ROW}.doc_id", f"{ROW}.held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+QUERIES["op10_lm_scoring"] = op10_lm_scoring
