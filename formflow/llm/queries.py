@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, decontaminate, log_bloom, near_dedup, quality_rules
+from formflow.llm import byte_bpe, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -141,3 +141,16 @@ def op10_lm_scoring(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op10_lm_scoring"] = op10_lm_scoring
+
+
+SHARDS = 40
+
+
+def op4_hilbert_sharding(spark, sf_dir) -> DataFrame:
+    placed = hilbert_shards.shards(table(spark, sf_dir, "documents"), SHARDS, "rows", keep=["doc_id"])
+    return placed.select(
+        f"{ROW}.doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve"
+    )
+
+
+QUERIES["op4_hilbert_sharding"] = op4_hilbert_sharding
