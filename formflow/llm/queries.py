@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules
+from formflow.llm import byte_bpe, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules, url_reputation
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -154,3 +154,78 @@ def op4_hilbert_sharding(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op4_hilbert_sharding"] = op4_hilbert_sharding
+
+
+#: Fixed rules of the query.
+URL_RULES = (
+    url_reputation.Rule("allow", "org/"),
+    url_reputation.Rule("block", "example.org/es/"),
+    url_reputation.Rule("block", "example.org/en/1"),
+    url_reputation.Rule("allow", "com/fr/"),
+    url_reputation.Rule("block", "com/de/"),
+)
+
+
+def op1_url_reputation(spark, sf_dir) -> DataFrame:
+    """Pages are labelled by the rows of ``labels`` with their number: of bad quality or toxic."""
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("quality = 0 or toxic = 1").alias("bad"))
+    judged = url_reputation.judge(table(spark, sf_dir, "pages"), outcomes, URL_RULES, keep=["page_id"])
+    return judged.select(f"{ROW}.page_id", "host", "path", "rule", "verdict", "bad_rate", "bad_bound")
+
+
+QUERIES["op1_url_reputation"] = op1_url_reputation
+
+_RULE_CASE = "case " + " ".join(
+    f"when (host = '{r.prefix.partition('/')[0]}' or host like '%.{r.prefix.partition('/')[0]}')"
+    f" and starts_with(path, '/{r.prefix.partition('/')[2]}') then struct_pack(prefix := '{r.prefix}', verdict := '{r.verdict}')"
+    for r in sorted(URL_RULES, key=lambda r: -len(r.prefix))
+) + " end"
+
+
+def _level_sql(name: str, children: str) -> str:
+    return f"""
+{name}_children as ({children}),
+{name}_strength as (
+    select case when scale > 0 then 1 / least(greatest(over / scale, 0.001), 0.95) - 1 else 1.0 end as m
+    from (select sum((bad - n * prior) ** 2 - n * prior * (1 - prior)) as over, sum(n * (n - 1) * prior * (1 - prior)) as scale
+          from {name}_children)
+), {name} as (
+    select *, sqrt(rate * (1 - rate) / (n + m + 1)) as deviation
+    from (select c.*, m, (prior * m + bad) / (n + m) as rate from {name}_children c, {name}_strength)
+)"""
+
+
+URL_SQL = f"""
+with parsed as (
+    select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end as rest from pages
+), split_up as (
+    select page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), '{url_reputation.UPPER}', '{url_reputation.LOWER}') as host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
+    from parsed
+), labelled as (
+    select doc_id as page_id, max((quality = 0 or toxic = 1)::int) as bad from labels where (quality = 0 or toxic = 1) is not null group by 1
+), counted as (
+    select host, count(bad)::double as n, coalesce(sum(bad), 0)::double as bad,
+        string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') as parts
+    from split_up left join labelled using (page_id) group by host
+), domained as (
+    select *, array_to_string(parts[case when array_to_string(parts[-2:], '.') in ({', '.join(f"'{s}'" for s in url_reputation.LONG_SUFFIXES)})
+        then -3 else -2 end:], '.') as domain
+    from counted
+), hosts as (
+    select *, case when contains(domain, '.') then substr(domain, strpos(domain, '.') + 1) else domain end as suffix from domained
+), overall as (
+    select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) as p from hosts
+),
+{_level_sql("suffixes", "select suffix, sum(n) as n, sum(bad) as bad, max(p) as prior from hosts, overall group by suffix")},
+{_level_sql("domains", "select h.suffix, domain, sum(h.n) as n, sum(h.bad) as bad, max(rate) as prior from hosts h join suffixes s using (suffix) group by h.suffix, domain")},
+{_level_sql("rates", "select host, h.n, h.bad, d.rate as prior from hosts h join domains d using (domain)")},
+judged as (
+    select page_id, host, path, {_RULE_CASE} as m, rate, greatest(0, rate - {url_reputation.DEVIATIONS} * deviation) as bound
+    from split_up left join rates using (host)
+)
+select page_id, host, path, m.prefix as rule, coalesce(m.verdict, case when bound > {url_reputation.LIMIT} then 'block' else 'allow' end) as verdict,
+    round(rate, 6) as bad_rate, round(bound, 6) as bad_bound
+from judged
+"""
+ORACLE["op1_url_reputation"] = URL_SQL
