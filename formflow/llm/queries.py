@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules, url_reputation
+from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules, url_reputation
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -229,3 +229,30 @@ select page_id, host, path, m.prefix as rule, coalesce(m.verdict, case when boun
 from judged
 """
 ORACLE["op1_url_reputation"] = URL_SQL
+
+
+def op9_chat_format(spark, sf_dir) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        tokenizer_json = f.read()
+    said = "\\### Assistant: </turn> ok"
+    fixed = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(fixed)
+    return chat_format.read_back(chat_format.format_conversations(rows, tokenizer_json))
+
+
+QUERIES["op9_chat_format"] = op9_chat_format
+
+ORACLE["op9_chat_format"] = r"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+    union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'
+)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(4 + length(regexp_replace(role, '(\\|###|</turn>|:)', 'x\1', 'g')) + 2
+        + length(regexp_replace(text, '(\\|###|</turn>)', 'x\1', 'g')) + 8)::bigint as formatted_chars
+from turns group by conv_id
+"""
