@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, log_bloom, near_dedup, quality_rules, url_reputation
+from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, html_extract, log_bloom, near_dedup, quality_rules, url_reputation
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -256,3 +256,11 @@ select conv_id, count(*) as n_turns,
         + length(regexp_replace(text, '(\\|###|</turn>)', 'x\1', 'g')) + 8)::bigint as formatted_chars
 from turns group by conv_id
 """
+
+
+def op8_html_extraction(spark, sf_dir) -> DataFrame:
+    found = html_extract.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select(f"{ROW}.page_id", f"{ROW}.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES["op8_html_extraction"] = op8_html_extraction
