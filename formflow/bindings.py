@@ -86,14 +86,16 @@ select c.c_custkey as id, 'sub-' || cast(c.c_custkey as varchar(20)) as uuid, c.
                  when c.c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'FURNITURE') then 1 else 2 end as bigint) as subject_type_id,
        cast(c.c_custkey % 3 + 1 as bigint) as gender_id,
        cast(c.c_nationkey + 100 as bigint) as address_id,
-       cast(o.first_dt as date) as registration_date, cast(null as varchar(20)) as registration_location,
-       cast(o.first_dt as date) as date_of_birth, c.c_custkey % 2 = 0 as date_of_birth_verified,
+       cast(c.first_dt as date) as registration_date, cast(null as varchar(20)) as registration_location,
+       cast(c.first_dt as date) as date_of_birth, c.c_custkey % 2 = 0 as date_of_birth_verified,
        c.c_custkey % 17 = 0 as is_voided, c.c_custkey % 8 as created_by_id, c.c_custkey % 10 as last_modified_by_id,
        cast(c.c_custkey % 3 + 1 as bigint) as organisation_id, 'l' || cast(c.c_custkey as varchar(20)) as legacy_id,
-       o.first_dt as created_date_time, o.last_dt as last_modified_date_time,
+       c.first_dt as created_date_time, c.last_dt as last_modified_date_time,
        '{{"q-sync":"ward ' || cast(c.c_custkey % 11 as varchar(20)) || '",' || substr({_visit_json('c.c_custkey')}, 2) as observations
-from $customer c join (select o_custkey, min(o_orderdate) as first_dt, max(o_orderdate) as last_dt
-                       from $orders group by o_custkey) o on o.o_custkey = c.c_custkey""",
+from (select c.*, coalesce(o.first_dt, cast('1995-01-01 00:00:00' as timestamp) + interval '1' day * cast(c.c_custkey % 1000 as int)) as first_dt,
+             coalesce(o.last_dt, cast('1996-01-01 00:00:00' as timestamp) + interval '1' day * cast(c.c_custkey % 1000 as int)) as last_dt
+      from $customer c left join (select o_custkey, min(o_orderdate) as first_dt, max(o_orderdate) as last_dt
+                                  from $orders group by o_custkey) o on o.o_custkey = c.c_custkey) c""",
     "encounter": f"""
 select o_orderkey as id, 'enc-' || cast(o_orderkey as varchar(20)) as uuid, 'Visit ' || cast(o_orderkey % 3 as varchar(20)) as name,
        o_custkey as individual_id, cast(substr(o_orderpriority, 1, 1) as bigint) as encounter_type_id,
@@ -121,7 +123,7 @@ select o_orderkey as id, 'enr-' || cast(o_orderkey as varchar(20)) as uuid, o_cu
        cast(o_orderkey % 3 + 1 as bigint) as organisation_id, cast(null as varchar(20)) as legacy_id,
        {_visit_json('o_orderkey')} as observations,
        '{{"q-why":"x' || cast(o_orderkey % 5 as varchar(20)) || '"}}' as program_exit_observations
-from $orders where o_orderkey % 2 = 0""",
+from $orders""",
     "program_encounter": f"""
 select l.l_orderkey * 10 + l.l_linenumber as id, 'pen-' || cast(l.l_orderkey * 10 + l.l_linenumber as varchar(20)) as uuid,
        'Check ' || cast(l.l_linenumber as varchar(20)) as name, l.l_orderkey as program_enrolment_id, o.o_custkey as individual_id,
@@ -144,7 +146,7 @@ select o_orderkey as id, 'elg-' || cast(o_orderkey as varchar(20)) as uuid, o_cu
        o_orderdate as check_date, o_orderkey % 19 = 0 as is_voided, o_orderkey % 8 as created_by_id,
        o_orderkey % 10 as last_modified_by_id, o_orderdate as created_date_time, o_orderdate as last_modified_date_time,
        cast(o_orderkey % 3 + 1 as bigint) as organisation_id, {_visit_json('o_orderkey')} as observations
-from $orders where o_orderkey % 3 = 1""",
+from $orders""",
     "group_subject": """
 select c.c_custkey as id, 'gs-' || cast(c.c_custkey as varchar(20)) as uuid, c.c_custkey - c.c_custkey % 10 as group_subject_id,
        c.c_custkey as member_subject_id,
@@ -153,10 +155,12 @@ select c.c_custkey as id, 'gs-' || cast(c.c_custkey as varchar(20)) as uuid, c.c
                  else case when c.c_custkey % 10 = 1 then 4
                    when c.c_mktsegment in ('AUTOMOBILE', 'BUILDING', 'FURNITURE') then 5 else 6 end end as bigint) as group_role_id,
        c.c_custkey % 13 = 0 as is_voided, c.c_custkey % 8 as created_by_id, c.c_custkey % 10 as last_modified_by_id,
-       o.first_dt as created_date_time, o.last_dt as last_modified_date_time,
+       c.first_dt as created_date_time, c.last_dt as last_modified_date_time,
        cast(c.c_custkey % 3 + 1 as bigint) as organisation_id
-from $customer c join (select o_custkey, min(o_orderdate) as first_dt, max(o_orderdate) as last_dt
-                       from $orders group by o_custkey) o on o.o_custkey = c.c_custkey
+from (select c.*, coalesce(o.first_dt, cast('1995-01-01 00:00:00' as timestamp) + interval '1' day * cast(c.c_custkey % 1000 as int)) as first_dt,
+             coalesce(o.last_dt, cast('1996-01-01 00:00:00' as timestamp) + interval '1' day * cast(c.c_custkey % 1000 as int)) as last_dt
+      from $customer c left join (select o_custkey, min(o_orderdate) as first_dt, max(o_orderdate) as last_dt
+                                  from $orders group by o_custkey) o on o.o_custkey = c.c_custkey) c
 where c.c_custkey % 10 <> 0""",
     "users": """
 select s_suppkey as id, 'usr-' || cast(s_suppkey as varchar(20)) as uuid,
@@ -171,7 +175,7 @@ select s_suppkey as id, 'usr-' || cast(s_suppkey as varchar(20)) as uuid,
        cast(null as varchar(20)) as phone_number
 from $supplier""",
     "user_subject": """
-select c_custkey % 10 as user_id, c_custkey as subject_id from $customer where c_custkey % 3 <> 0""",
+select c_custkey % 10 as user_id, c_custkey as subject_id from $customer""",
     "sync_telemetry": """
 select event_id as id, 'tel-' || cast(event_id as varchar(20)) as uuid, user_id % 10 as user_id,
        (user_id + 1) % 10 as last_modified_by_id, user_id % 10 as created_by_id,
