@@ -78,101 +78,94 @@ def _element_type(data_type: Column, element_kind: Column) -> Column:
     return F.when(data_type == "Coded", element_kind).otherwise(data_type)
 
 
-def repeatable_elements(meta: Meta) -> DataFrame:
-    """Ids of form elements marked as repeatable groups."""
-    pairs = F.from_json("key_values", "array<struct<key:string,value:string>>")
-    return (
-        meta["form_element"]
-        .select("id", F.explode(pairs).alias("kv"))
-        .where((F.col("kv.key") == "repeatable") & (F.col("kv.value") == "true"))
-        .select("id")
-        .distinct()
-    )
+def _named(meta: Meta, kind: str) -> DataFrame:
+    """Programs or visit kinds: their operational name, and whether they have one."""
+    names = meta[f"operational_{kind}"].select(F.col(f"{kind}_id").alias("key"), F.struct("name").alias("shown"))
+    return meta[kind].select(F.col("id").alias("key"), "uuid").join(names, "key", "left")
 
 
-def _mappings(meta: Meta) -> DataFrame:
-    """Live form mappings whose names are in operational use."""
-    mapping = meta["form_mapping"].where(~F.col("is_voided"))
-    rows = (
-        _as(mapping, "fm", "uuid", "form_id", "entity_id", "observations_type_entity_id", "subject_type_id")
-        .join(_as(meta["form"], "f", "id", "uuid", "form_type"), F.col("fm_form_id") == F.col("f_id"))
-        .join(
-            _as(meta["subject_type"], "st", "id", "uuid", "type", "allow_middle_name"),
-            F.col("fm_subject_type_id") == F.col("st_id"),
-        )
-        .join(
-            _as(meta["operational_subject_type"], "ost", "subject_type_id", "name"),
-            F.col("st_id") == F.col("ost_subject_type_id"),
-        )
-        .join(_as(meta["program"], "p", "id", "uuid"), F.col("fm_entity_id") == F.col("p_id"), "left")
-        .join(
-            _as(meta["operational_program"], "op", "id", "program_id", "name"),
-            F.col("p_id") == F.col("op_program_id"),
-            "left",
-        )
-        .join(
-            _as(meta["encounter_type"], "et", "id", "uuid"),
-            F.col("fm_observations_type_entity_id") == F.col("et_id"),
-            "left",
-        )
-        .join(
-            _as(meta["operational_encounter_type"], "oet", "id", "encounter_type_id", "name"),
-            F.col("et_id") == F.col("oet_encounter_type_id"),
-            "left",
-        )
+def live_mappings(meta: Meta) -> DataFrame:
+    """Form mappings in use, each with its form, subject type, program and visit kind as structs.
+
+    A mapping to a program or visit kind without an operational name is not in use.
+    """
+    shown = meta["operational_subject_type"].select(F.col("subject_type_id").alias("subject_key"), F.col("name").alias("label"))
+    subject = (
+        meta["subject_type"]
+        .withColumnRenamed("id", "subject_key")
+        .join(shown, "subject_key")
+        .select("subject_key", F.struct("uuid", "type", "allow_middle_name", "label").alias("subject"))
+    )
+    form = meta["form"].select(F.col("id").alias("form_key"), F.struct("uuid", "form_type").alias("form"))
+    sides = {
+        name: _named(meta, name).select(F.col("key").alias(f"{name}_key"), F.struct("uuid", "shown").alias(name))
+        for name in ("program", "encounter_type")
+    }
+    mapping = meta["form_mapping"].where(~F.col("is_voided")).select(
+        F.col("uuid").alias("mapping"),
+        F.col("form_id").alias("form_key"),
+        F.col("subject_type_id").alias("subject_key"),
+        F.col("entity_id").alias("program_key"),
+        F.col("observations_type_entity_id").alias("encounter_type_key"),
     )
-    named = (F.col("p_id").isNull() | F.col("op_id").isNotNull()) & (F.col("et_id").isNull() | F.col("oet_id").isNotNull())
-    return rows.where(named)
+    rows = mapping.join(form, "form_key").join(subject, "subject_key")
+    for name, side in sides.items():
+        rows = rows.join(side, f"{name}_key", "left").where(F.col(name).isNull() | F.col(f"{name}.shown").isNotNull())
+    return rows
 
 
-def _elements(meta: Meta) -> DataFrame:
-    """Live form elements with their form, parent element and marks."""
-    groups = _as(meta["form_element_group"], "feg", "id", "form_id")
+def live_questions(meta: Meta) -> DataFrame:
+    """Live form elements by form: concept, kind of choice, and the group they are in, if that is live.
+
+    Whether a group is repeatable is a mark on its own element, which the group brings along.
+    """
+    mark = F.from_json("key_values", "array<struct<key:string,value:string>>")
+    repeats = F.coalesce(F.exists(mark, lambda m: (m["key"] == "repeatable") & (m["value"] == "true")), F.lit(False))
     live = meta["form_element"].where(~F.col("is_voided"))
-    elements = _as(live, "fe", "id", "form_element_group_id", "concept_id", "group_id", "type")
-    parents = _as(live, "gfe", "id", "concept_id", "type")
-    unused = meta["non_applicable_form_element"].select(F.col("form_element_id").alias("fe_id")).distinct()
-    repeatable = repeatable_elements(meta).select(F.col("id").alias("gfe_id"))
+    within = live.select(F.col("id").alias("group_id"), F.struct(F.col("concept_id").alias("concept_key"), "type", repeats.alias("repeats")).alias("within"))
+    skipped = meta["non_applicable_form_element"].select(F.col("form_element_id").alias("id")).distinct()
+    sections = meta["form_element_group"].select(F.col("id").alias("form_element_group_id"), F.col("form_id").alias("form_key"))
     return (
-        elements.join(groups, F.col("fe_form_element_group_id") == F.col("feg_id"))
-        .join(parents, F.col("fe_group_id") == F.col("gfe_id"), "left")
-        .join(unused.withColumn("unused", F.lit(True)), "fe_id", "left")
-        .join(repeatable.withColumn("repeatable", F.lit(True)), "gfe_id", "left")
+        live.select("id", "form_element_group_id", "group_id", F.col("concept_id").alias("concept_key"), "type")
+        .join(sections, "form_element_group_id")
+        .join(within, "group_id", "left")
+        .join(skipped.withColumn("skipped", F.lit(True)), "id", "left")
+        .select("form_key", "concept_key", "type", "within", F.coalesce("skipped", F.lit(False)).alias("skipped"))
     )
 
 
+def _with_concept(rows: DataFrame, concepts: DataFrame, key: str, name: str) -> DataFrame:
+    """``rows`` with the concept of a key as a struct, null if it is not among ``concepts``."""
+    side = concepts.select(F.col("id").alias(f"_{name}"), F.struct("id", "uuid", "name", "data_type", "is_voided").alias(name))
+    return rows.join(side, F.col(key) == F.col(f"_{name}"), "left").drop(f"_{name}")
+
+
 def _concepts(meta: Meta, prefix: str) -> DataFrame:
     return _as(meta["concept"], prefix, "id", "uuid", "name", "data_type", "is_voided")
 
 
 def _form_row(rows: DataFrame, **fixed: Column) -> DataFrame:
-    c = F.col
+    """Rows of (mapping, question, group) as the flat columns of ``FORM_ROW``."""
     out = {
-        "form_mapping_uuid": c("fm_uuid"),
-        "form_uuid": c("f_uuid"),
-        "subject_type_name": c("ost_name"),
-        "subject_type_uuid": c("st_uuid"),
-        "subject_type_type": c("st_type"),
-        "subject_type_allow_middle_name": c("st_allow_middle_name"),
-        "table_type": c("f_form_type"),
-        "parent_table_type": F.lit(None).cast("string"),
-        "program_uuid": c("p_uuid"),
-        "program_name": c("op_name"),
-        "encounter_type_uuid": c("et_uuid"),
-        "encounter_type_name": c("oet_name"),
-        "concept_name": c("c_name"),
-        "parent_concept_name": c("gc_name"),
-        "concept_id": c("c_id"),
-        "parent_concept_id": c("gc_id"),
-        "concept_uuid": c("c_uuid"),
-        "parent_concept_uuid": c("gc_uuid"),
-        "repeat_uuid": F.lit(None).cast("string"),
-        "concept_voided": c("c_is_voided"),
-        "element_type": _element_type(c("c_data_type"), c("fe_type")),
-        "parent_element_type": _element_type(c("gc_data_type"), c("gfe_type")),
+        "form_mapping_uuid": "mapping",
+        "form_uuid": "form.uuid",
+        "table_type": "form.form_type",
+        "subject_type_name": "subject.label",
+        "program_name": "program.shown.name",
+        "program_uuid": "program.uuid",
+        "encounter_type_name": "encounter_type.shown.name",
+        "encounter_type_uuid": "encounter_type.uuid",
+        "concept_voided": "question.is_voided",
     }
-    out.update(fixed)
-    return rows.select(*[out[name].alias(name) for name in FORM_ROW])
+    out |= {f"subject_type_{x}": f"subject.{x}" for x in ("uuid", "type", "allow_middle_name")}
+    for prefix, side in (("concept", "question"), ("parent_concept", "parent")):
+        out |= {f"{prefix}_{x}": f"{side}.{x}" for x in ("id", "uuid", "name")}
+    columns = {name: F.col(path) for name, path in out.items()}
+    columns["element_type"] = _element_type(F.col("question.data_type"), F.col("type"))
+    columns["parent_element_type"] = _element_type(F.col("parent.data_type"), F.col("within.type"))
+    none = F.lit(None).cast("string")
+    columns = {"parent_table_type": none, "repeat_uuid": none} | columns | fixed
+    return rows.select(*[columns[name].alias(name) for name in FORM_ROW])
 
 
 def form_specs(meta: Meta) -> DataFrame:
@@ -181,32 +174,26 @@ def form_specs(meta: Meta) -> DataFrame:
     A form without questions keeps one row without a question. Children of
     repeatable groups are left out; they have tables of their own.
     """
-    questions = _concepts(meta, "c").where((F.col("c_data_type") != "QuestionGroup") & (F.col("c_uuid") != PLACEHOLDER_CONCEPT))
-    elements = (
-        _elements(meta)
-        .join(questions, F.col("fe_concept_id") == F.col("c_id"), "left")
-        .join(_concepts(meta, "gc"), F.col("gfe_concept_id") == F.col("gc_id"), "left")
-    )
-    rows = _mappings(meta).join(elements, F.col("f_id") == F.col("feg_form_id"), "left")
-    return _form_row(rows.where(F.col("unused").isNull() & F.col("repeatable").isNull()))
+    concepts = meta["concept"]
+    answered = concepts.where((F.col("data_type") != "QuestionGroup") & (F.col("uuid") != PLACEHOLDER_CONCEPT))
+    questions = _with_concept(live_questions(meta), answered, "concept_key", "question")
+    questions = _with_concept(questions, concepts, "within.concept_key", "parent")
+    rows = live_mappings(meta).join(questions, "form_key", "left")
+    left_out = F.coalesce("skipped", F.lit(False)) | F.coalesce("within.repeats", F.lit(False))
+    return _form_row(rows.where(~left_out))
 
 
 def repeat_specs(meta: Meta) -> DataFrame:
     """One row per (form mapping, repeatable group, question in it)."""
-    groups = _concepts(meta, "gc").where(F.col("gc_data_type") == "QuestionGroup")
-    elements = (
-        _elements(meta)
-        .where(F.col("unused").isNull() & F.col("repeatable"))
-        .join(_concepts(meta, "c"), F.col("fe_concept_id") == F.col("c_id"), "left")
-        .join(groups, F.col("gfe_concept_id") == F.col("gc_id"), "left")
-    )
-    rows = _mappings(meta).join(elements, F.col("f_id") == F.col("feg_form_id"))
+    inside = live_questions(meta).where(~F.col("skipped") & F.col("within.repeats"))
+    inside = _with_concept(inside, meta["concept"], "concept_key", "question")
+    inside = _with_concept(inside, meta["concept"].where("data_type = 'QuestionGroup'"), "within.concept_key", "parent")
     return _form_row(
-        rows,
+        live_mappings(meta).join(inside, "form_key"),
         table_type=F.lit("RepeatableQuestionGroup"),
-        parent_table_type=F.col("f_form_type"),
+        parent_table_type=F.col("form.form_type"),
         parent_concept_uuid=F.lit(None).cast("string"),
-        repeat_uuid=F.col("gc_uuid"),
+        repeat_uuid=F.col("parent.uuid"),
     )
 
 

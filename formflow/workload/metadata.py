@@ -10,29 +10,54 @@ from formflow.plans.evolve import Change
 
 QUERIES, ORACLE = {}, {}
 
-_MAPPED = """from m_form_mapping fm join m_form f on f.id = fm.form_id join m_subject_type st on st.id = fm.subject_type_id
-   join m_operational_subject_type ost on ost.subject_type_id = st.id left join program p on p.id = fm.entity_id
-   left join m_operational_program op on op.program_id = p.id left join encounter_type et on et.id = fm.observations_type_entity_id
-   left join m_operational_encounter_type oet on oet.encounter_type_id = et.id"""
-_MAPPED_WHERE = "not fm.is_voided and (p.id is null or op.id is not null) and (et.id is null or oet.id is not null)"
 _NAMES = [
     "m_form_mapping", "m_form", "m_subject_type", "m_operational_subject_type", "program", "m_operational_program", "encounter_type",
     "m_operational_encounter_type", "m_form_element_group", "m_form_element", "m_concept", "m_non_applicable_form_element",
 ]
-_ELEMENTS = """left join m_form_element_group feg on feg.form_id = f.id
-   left join m_form_element fe on fe.form_element_group_id = feg.id and not fe.is_voided
-   left join m_form_element gfe on gfe.id = fe.group_id and not gfe.is_voided"""
-_ELEMENT_WHERE = "fe.id not in (select form_element_id from m_non_applicable_form_element)"
-_REPEATABLE = """coalesce(gfe.key_values like '%"repeatable","value":true%', false)"""
-_ROW = """fm.uuid as form_mapping_uuid, f.uuid as form_uuid, ost.name as subject_type_name, st.uuid as subject_type_uuid, st.type as subject_type_type,
-   st.allow_middle_name as subject_type_allow_middle_name, {0} as table_type, {1} as parent_table_type, p.uuid as program_uuid, op.name as program_name,
-   et.uuid as encounter_type_uuid, oet.name as encounter_type_name, c.name as concept_name, gc.name as parent_concept_name, c.id as concept_id,
-   gc.id as parent_concept_id, c.uuid as concept_uuid, {2} as parent_concept_uuid, {3} as repeat_uuid, c.is_voided as concept_voided,
-   case when c.data_type = 'Coded' then fe.type else c.data_type end as element_type,
-   case when gc.data_type = 'Coded' then gfe.type else gc.data_type end as parent_element_type"""
-FORM_SQL = f"""select {_ROW.format('f.form_type', 'cast(null as varchar)', 'gc.uuid', 'cast(null as varchar)')} {_MAPPED} {_ELEMENTS}
-   left join m_concept c on c.id = fe.concept_id and c.data_type <> 'QuestionGroup' left join m_concept gc on gc.id = gfe.concept_id
-   where {_MAPPED_WHERE} and not {_REPEATABLE} and (fe.id is null or {_ELEMENT_WHERE})"""
+_FORMS = """with usage as (
+    select link.uuid as mapping, form.id as form_key, form.uuid as form_uuid, form.form_type as kind, subject.uuid as subject_uuid,
+        subject.type as subject_kind, subject.allow_middle_name as middle, label.name as subject_label, plan.uuid as plan_uuid,
+        plan_label.name as plan_name, visit.uuid as visit_uuid, visit_label.name as visit_name
+    from m_form_mapping link, m_form form, m_subject_type subject, m_operational_subject_type label
+    left join program plan on plan.id = link.entity_id
+    left join m_operational_program plan_label on plan_label.program_id = plan.id
+    left join encounter_type visit on visit.id = link.observations_type_entity_id
+    left join m_operational_encounter_type visit_label on visit_label.encounter_type_id = visit.id
+    where form.id = link.form_id and subject.id = link.subject_type_id and label.subject_type_id = subject.id and not link.is_voided
+      and (plan.id is null) = (plan_label.id is null) and (visit.id is null) = (visit_label.id is null)
+), live as (
+    select *, coalesce(contains(key_values, '"repeatable","value":true'), false) as repeats from m_form_element where not is_voided
+), questions as (
+    select section.form_id as form_key, live.concept_id, live.type, holder.concept_id as holder_concept, holder.type as holder_type,
+        coalesce(holder.repeats, false) as repeats
+    from live join m_form_element_group section on section.id = live.form_element_group_id left join live holder on holder.id = live.group_id
+    where not exists (select 1 from m_non_applicable_form_element off where off.form_element_id = live.id)
+), has_questions as (
+    select distinct section.form_id as form_key from live join m_form_element_group section on section.id = live.form_element_group_id
+)"""
+
+
+def _form_select(table: str, parent_table: str, parent_uuid: str, repeat: str) -> str:
+    typed = "case {0}.data_type when 'Coded' then {1} else {0}.data_type end"
+    columns = {
+        "form_mapping_uuid": "u.mapping", "form_uuid": "u.form_uuid", "table_type": table, "parent_table_type": parent_table,
+        "subject_type_uuid": "u.subject_uuid", "subject_type_type": "u.subject_kind", "subject_type_name": "u.subject_label",
+        "subject_type_allow_middle_name": "u.middle", "program_uuid": "u.plan_uuid", "program_name": "u.plan_name",
+        "encounter_type_uuid": "u.visit_uuid", "encounter_type_name": "u.visit_name", "concept_id": "own.id", "concept_uuid": "own.uuid",
+        "concept_name": "own.name", "concept_voided": "own.is_voided", "parent_concept_id": "outer_one.id", "parent_concept_name": "outer_one.name",
+        "parent_concept_uuid": parent_uuid, "repeat_uuid": repeat, "element_type": typed.format("own", "q.type"),
+        "parent_element_type": typed.format("outer_one", "q.holder_type"),
+    }
+    return "select " + ", ".join(f"{value} as {name}" for name, value in columns.items())
+
+
+_NO_TEXT = "cast(null as varchar)"
+FORM_SQL = f"""{_FORMS}
+{_form_select("u.kind", _NO_TEXT, "outer_one.uuid", _NO_TEXT)}
+from usage u left join questions q using (form_key)
+left join m_concept own on own.id = q.concept_id and own.data_type <> 'QuestionGroup'
+left join m_concept outer_one on outer_one.id = q.holder_concept
+where case when q.form_key is null then u.form_key not in (select form_key from has_questions) else not q.repeats end"""
 QUERIES["m1_form_specs"] = lambda spark, sf_dir: catalog.form_specs(metadata(spark, sf_dir))
 # a live form of the data always has live elements, and an element group
 # without any gives no row of its own here
@@ -41,9 +66,11 @@ ORACLE["m1_form_specs"] = with_bindings(_NAMES, FORM_SQL)
 QUERIES["m2_repeat_specs"] = lambda spark, sf_dir: catalog.repeat_specs(metadata(spark, sf_dir))
 ORACLE["m2_repeat_specs"] = with_bindings(
     _NAMES,
-    f"""select {_ROW.format("'RepeatableQuestionGroup'", 'f.form_type', 'cast(null as varchar)', 'gc.uuid')} {_MAPPED} {_ELEMENTS}
-        left join m_concept c on c.id = fe.concept_id left join m_concept gc on gc.id = gfe.concept_id and gc.data_type = 'QuestionGroup'
-        where {_MAPPED_WHERE} and fe.id is not null and {_REPEATABLE} and {_ELEMENT_WHERE}""",
+    f"""{_FORMS}
+{_form_select("'RepeatableQuestionGroup'", "u.kind", _NO_TEXT, "outer_one.uuid")}
+from usage u join questions q using (form_key) left join m_concept own on own.id = q.concept_id
+left join m_concept outer_one on outer_one.id = q.holder_concept and outer_one.data_type = 'QuestionGroup'
+where q.repeats""",
 )
 
 QUERIES["m3_decision_cols"] = lambda spark, sf_dir: catalog.decision_cols(metadata(spark, sf_dir))
