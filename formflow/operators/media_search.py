@@ -14,7 +14,7 @@ from formflow.sources.tables import time_literal
 
 # --- fixed values -----------------------------------------------------------
 PAGE_SIZE = 10
-DOWNLOAD_ROWS = 1000
+DOWNLOAD_ROWS = 1000  # of a download, with compat
 NOT_MEDIA = r"(?i)Adhoc|MobileDbBackup"
 MEDIA_UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 THUMBNAIL = r"(?i)thumbnails"
@@ -194,12 +194,15 @@ def search_media(
     req: MediaRequest,
     tables: Mapping[str, DataFrame] | None = None,
     specs: Sequence[TableSpec] = (),
-    limit: int = PAGE_SIZE,
+    limit: int | None = PAGE_SIZE,
     offset: int = 0,
 ) -> DataFrame:
-    """One page of a search, newest first."""
+    """One page of a search, newest first; everything, in no order, without a limit."""
     rows = matching_media(media, address, req, tables, specs).select(*SEARCH_COLUMNS)
-    return rows.orderBy(*_newest_first()).offset(offset).limit(limit)
+    if limit is None and not offset:
+        return rows
+    page = rows.orderBy(*_newest_first()).offset(offset)
+    return page if limit is None else page.limit(limit)
 
 
 def count_media(
@@ -256,9 +259,10 @@ def download_manifest(
     req: MediaRequest,
     tables: Mapping[str, DataFrame] | None = None,
     specs: Sequence[TableSpec] = (),
-    limit: int = DOWNLOAD_ROWS,
+    compat: bool = False,
 ) -> DataFrame:
-    """What a download of the first rows of a search would fetch."""
+    """What a download of a search fetches: all of it, or with ``compat`` the newest rows only."""
+    limit = DOWNLOAD_ROWS if compat else None
     return media_keys(search_media(media, address, req, tables, specs, limit)).select(*MANIFEST_COLUMNS)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from formflow.operators import growth
 from formflow.operators.growth import ensure_table
 from formflow.sources.snapshots import Store
-from formflow.sources.state import cutoff_get, cutoff_put
+from formflow.sources.state import CUTOFF_TABLE, advanced_cutoff, cutoff_get
 
 # A step reads tables by name and gives the new version of its target.
 StepFn = Callable[[Mapping[str, DataFrame], str, str], DataFrame]
@@ -116,8 +116,8 @@ def run_steps(
 def run_derived(store: Store, config: Config, tables: Mapping[str, DataFrame], tenant: str, now: str) -> None:
     """Run all steps over ``(last cut-off, now]`` and publish the result.
 
-    The cut-off moves only after the tables are committed, so a run that
-    fails in between is repeated over the same window.
+    Tables and cut-off become current in one commit: a run that is lost before
+    it is repeated over the same window, and one after it is not repeated.
     """
     prev = cutoff_get(store, tenant)
     known = dict(tables)
@@ -125,8 +125,9 @@ def run_derived(store: Store, config: Config, tables: Mapping[str, DataFrame], t
         if store.exists(target.table):
             known[target.table] = store.read(target.table)
     result = run_steps(store.spark, config, known, prev, now)
-    store.commit({name: store.write(df, name, sort_by=None) for name, df in result.items()})
-    cutoff_put(store, tenant, now)
+    written = {name: store.write(df, name, sort_by=None) for name, df in result.items()}
+    written[CUTOFF_TABLE] = store.write(advanced_cutoff(store, tenant, now), CUTOFF_TABLE, sort_by=None)
+    store.commit(written)
 
 
 def growth_config(

@@ -181,7 +181,8 @@ def fresh_rows(run: Run, spec: TableSpec) -> tuple[DataFrame, list[str], str]:
         serial = F.xxhash64(F.lit(spec.name), parent, repeat.INDEX, TS)
         return rows.withColumn("id", serial), [parent], "rank"
     if spec.type == "HouseholdToMember":
-        return entities.flatten(ctx, spec), ["id", entities.HEAD_COLUMN], "row_number"
+        # all heads of the newest change of an id; those of older ones go
+        return entities.flatten(ctx, spec), ["id"], "rank"
     if spec.type == "User":
         return entities.copy_users(ctx), ["id"], "row_number"
     return entities.flatten(ctx, spec), ["id"], "row_number"

@@ -32,10 +32,13 @@ def build_session(master: str | None = None, app: str = "formflow", **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
-    Only where it is unset (unit tests) a local folder is made and set.
+    Where it is unset, a local folder is made and set if the session is local
+    (unit tests); on a cluster executors would not share it.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="formflow-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found

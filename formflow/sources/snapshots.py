@@ -150,9 +150,16 @@ class Store:
         return kept or self.write(self.spark.createDataFrame([], df.schema), name, None)
 
     def append(self, df: DataFrame, name: str, old: Entry | None = None, **how) -> Entry:
-        """Add rows to a table that only grows; compacts now and then."""
+        """Add rows to a table that only grows.
+
+        Once there are many pieces the newest half of them, which are the small
+        ones, becomes one piece; older pieces are not read or written again.
+        """
         entry = [*(old or []), *self.write(df, name, **how)]
-        return entry if len(entry) <= MAX_PIECES else self.write(self.load(entry), name, **how)
+        if len(entry) <= MAX_PIECES:
+            return entry
+        kept, newest = entry[: MAX_PIECES // 2], entry[MAX_PIECES // 2 :]
+        return [*kept, *self.write(self.load(newest), name, **how)]
 
     def stage(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write rows that several plans of this run read, and read them back.

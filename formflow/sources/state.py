@@ -54,11 +54,16 @@ def cutoff_get(store: Store, tenant: str) -> str:
     return row[0] if row else EPOCH
 
 
-def cutoff_put(store: Store, tenant: str, cutoff: str) -> DataFrame:
+def advanced_cutoff(store: Store, tenant: str, cutoff: str) -> DataFrame:
+    """The cut-off table with the tenant's cut-off moved."""
     spark = store.spark
     known = store.read(CUTOFF_TABLE) if store.exists(CUTOFF_TABLE) else spark.createDataFrame([], CUTOFF_SCHEMA)
     fresh = spark.range(1).select(
         F.lit(tenant).alias("tenant"), F.lit(cutoff).cast("timestamp").alias("cutoff")
     )
     others = known.where(F.col("tenant") != tenant)
-    return store.publish(others.unionByName(fresh), CUTOFF_TABLE, sort_by=None)
+    return others.unionByName(fresh)
+
+
+def cutoff_put(store: Store, tenant: str, cutoff: str) -> DataFrame:
+    return store.publish(advanced_cutoff(store, tenant, cutoff), CUTOFF_TABLE, sort_by=None)

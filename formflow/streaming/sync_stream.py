@@ -58,3 +58,4 @@ def stream_sync(
         query.awaitTermination()
     elif not query.awaitTermination(timeout):
         query.stop()
+        raise TimeoutError(f"the source of {table} was not drained within {timeout} s; what was merged is committed")

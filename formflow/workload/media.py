@@ -245,9 +245,13 @@ _MANIFEST = ", ".join(
     for c in media_search.MANIFEST_COLUMNS
 )
 QUERIES["me12_download_manifest"] = lambda spark, sf_dir: media_search.download_manifest(
-    built(spark, sf_dir), wide_address(spark, sf_dir), MediaRequest(subject_types=("Person",)), limit=1000
+    built(spark, sf_dir), wide_address(spark, sf_dir), MediaRequest(subject_types=("Person",))
 )
-ORACLE["me12_download_manifest"] = _search_sql("m.subject_type_name = 'Person'", columns=_MANIFEST, tail=f"{_ORDER} limit 1000")
+ORACLE["me12_download_manifest"] = _search_sql("m.subject_type_name = 'Person'", columns=_MANIFEST)
+QUERIES["me12_download_manifest_compat"] = lambda spark, sf_dir: media_search.download_manifest(
+    built(spark, sf_dir), wide_address(spark, sf_dir), MediaRequest(subject_types=("Person",)), compat=True
+)
+ORACLE["me12_download_manifest_compat"] = _search_sql("m.subject_type_name = 'Person'", columns=_MANIFEST, tail=f"{_ORDER} limit 1000")
 
 QUERIES["me13_media_analysis"] = lambda spark, sf_dir: media_search.media_analysis(
     bound(spark, sf_dir, "stored_media").where(~F.col("is_voided")), bound(spark, sf_dir, "media_keys"), "/org/"
