@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, html_extract, log_bloom, near_dedup, quality_rules, url_reputation
+from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, html_extract, license_scan, log_bloom, near_dedup, quality_rules, url_reputation
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -264,3 +264,18 @@ def op8_html_extraction(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op8_html_extraction"] = op8_html_extraction
+
+
+def op6_license_scan(spark, sf_dir) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    named = F.array_sort(F.array_distinct("found"))
+    return found.select(
+        f"{ROW}.doc_id",
+        "paragraphs",
+        F.size("found").alias("notices"),
+        F.array_join(F.array_remove(named, "unknown"), ",").alias("licenses"),
+        F.array_contains("found", "unknown").alias("has_unknown"),
+    )
+
+
+QUERIES["op6_license_scan"] = op6_license_scan
