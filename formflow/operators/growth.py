@@ -45,33 +45,6 @@ REPORT_COLUMNS = (
     ("Is the child availing benefits (ATHR) under the CMAM program?", "string"),
     ("Did you receive additional THR (MSPY)?", "string"), ("Program Exited", "string"),
 )
-# The report's earlier and second layout, without the monthly flags.
-REPORT_COLUMNS_2 = (
-    ("Block", "string"), ("GP", "string"), ("Village/Hamlet", "string"),
-    ("Project/Block", "string"), ("Sector", "string"), ("AWC", "string"), ("HH ID", "bigint"),
-    ("Beneficiary ID", "bigint"), ("Name of Child Benefeciaries", "string"),
-    ("Date of Birth", "date"), ("Father's name", "string"), ("Mother's Name", "string"),
-    ("Date of Measurement", "date"), ("Severely Underweight", "string"),
-    ("Moderately Underweight", "string"), ("SAM", "string"),
-    ("Is it a relapse child (Yes/No)", "string"),
-    ("Was the child facilitated to CHC by QRT", "string"),
-    ("Was the child admitted to NRC before", "string"), ("MAM", "string"),
-    ("Moderately Stunted", "string"), ("Severely Stunted", "string"),
-    ("Growth Falter Status (GF-1/GF-2)", "string"), ("Height", "decimal(38,10)"),
-    ("Weight", "decimal(38,10)"), ("Is the child going to PPK?", "string"),
-    ("Is the child going to Creche?", "string"),
-    ("Is the child being currently exclusively breastfed?", "string"),
-    ("Is the child being currently breastfed?", "string"),
-    ("Number of day attended AWC (last month)", "decimal(38,10)"),
-    ("Is the child receiving egg from AWC", "string"),
-    ("Is the child receiving THR from AWC", "string"),
-    ("Did the child attended VHND last month", "string"),
-    ("What is the treatment advise for the SAM/MAM/GF2 child?", "string"),
-    ("Is the child enrolled in the CMAM program?", "string"),
-    ("Is the child availing benefits (ATHR) under the CMAM program?", "string"),
-    ("Did you receive additional THR (MSPY)?", "string"), ("Date of Last SAM", "date"),
-    ("Date of Last MAM", "date"),
-)
 # report column: (follow-up column, value that means Yes)
 FLAGS = {
     "Severely Underweight": ("Weight for age Status", "Severely Underweight"),

@@ -51,8 +51,8 @@ def _audit(when: str, org: int = 1) -> dict:
 
 REGISTRATION = (
     '{"c-num": 12.25, "c-one": "a-alpha", "c-many": ["a-delta", "a-kappa"], "c-date": "2022-04-04T18:30:00.000Z",'
-    ' "c-time": "10:30", "c-text": "This is a text", "c-dur": "P12Y12M", "c-grp": {"c-in1": "value 1", "c-in2": "value 2"},'
-    ' "c-photo": "http://m.example.com/org/one.jpg", "c-rep": [{"c-coin": 100, "c-place": "FTX"}, {"c-coin": 7, "c-place": "B"}]}'
+    ' "c-time": "10:30", "c-text": "Mill Lane", "c-dur": "P3Y9M", "c-grp": {"c-in1": "value 1", "c-in2": "value 2"},'
+    ' "c-photo": "http://m.example.com/org/one.jpg", "c-rep": [{"c-coin": 100, "c-place": "North gate"}, {"c-coin": 7, "c-place": "B"}]}'
 )
 
 CLINIC = {
@@ -78,7 +78,7 @@ CLINIC = {
                 ("c-num", "Weight", "Numeric"), ("c-one", "Choice", "Coded"), ("c-many", "Choices", "Coded"), ("c-date", "Day", "Date"),
                 ("c-time", "Clock", "Time"), ("c-text", "Ward", "Text"), ("c-dur", "Age", "Duration"), ("c-grp", "Parent", "QuestionGroup"),
                 ("c-in1", "Child 1", "Text"), ("c-in2", "Child 2", "Text"), ("c-photo", "Photo", "Image"), ("c-rep", "Wallet", "QuestionGroup"),
-                ("c-coin", "Bitcoin", "Numeric"), ("c-place", "Exchange", "Text"), ("c-why", "Reason", "Text"), ("c-image", "Picture", "ImageV2"),
+                ("c-coin", "Barley", "Numeric"), ("c-place", "Market", "Text"), ("c-why", "Reason", "Text"), ("c-image", "Picture", "ImageV2"),
                 ("c-rule", "Risk", "Coded"), ("a-alpha", "Alpha", "NA"), ("a-delta", "Delta", "NA"), ("a-kappa", "Kappa", "NA"), ("c-terrain", "Terrain", "Text"),
             ],
             1,

@@ -6,8 +6,8 @@ import pytest
 
 pytest.importorskip("duckdb")
 
-import __spark_entry__ as entry  # noqa: E402
 from check import ROOT, compare, oracle_connection  # noqa: E402
+from formflow.workload import ORACLE, QUERIES  # noqa: E402
 
 SF = f"{ROOT}/sf0.001"
 
@@ -18,10 +18,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    problem, _ = compare(spark, con, SF, entry.queries()[name], entry.oracle_sql().get(name))
+    problem, _ = compare(spark, con, SF, QUERIES[name], ORACLE[name])
     assert problem is None, problem

@@ -33,7 +33,7 @@ def first_edits(data):
     data["concept"].append(dict(id=40, uuid="c-new", name="New concept", data_type="Numeric", is_voided=False))
     data["form_element"].append(dict(id=40, form_element_group_id=6, concept_id=40, type="SingleSelect", is_voided=False))
     find(data["program_encounter"], id=1).update(
-        observations='{"c-num": 456, "c-new": 123}', last_modified_date_time=EDIT2
+        observations='{"c-num": 73, "c-new": 58}', last_modified_date_time=EDIT2
     )
     find(data["individual"], id=1).update(
         observations=find(data["individual"], id=1)["observations"].split(', "c-rep"')[0] + ', "c-rep": [{"c-coin": 1, "c-place": "X"}]}',
@@ -47,6 +47,8 @@ def first_edits(data):
     data["entity_approval_status"].append(
         dict(id=2, uuid="ea-2", entity_id=2, entity_type="Subject", approval_status_id=2, is_voided=False, status_date_time=EDIT2)
     )
+    for i, role in ((1, 2), (2, 1)):  # the household has another head
+        find(data["group_subject"], id=i).update(group_role_id=role, last_modified_date_time=EDIT2)
     find(data["address_level"], id=1).update(title="Capital", last_modified_date_time=EDIT2)
 
 
@@ -95,17 +97,17 @@ def test_first_run_fills_every_table(story):
     assert set(person) == {1, 2}
     asha = person[1]
     assert asha["Weight"] == 12.25 and asha["Choice"] == "Alpha" and asha["Choices"] == "Delta, Kappa"
-    assert asha["Day"] == datetime.date(2022, 4, 5) and asha["Clock"] == "10:30:00" and asha["Age"] == "P12Y12M"
+    assert asha["Day"] == datetime.date(2022, 4, 5) and asha["Clock"] == "10:30:00" and asha["Age"] == "P3Y9M"
     assert (asha["Parent Child 1"], asha["Parent Child 2"]) == ("value 1", "value 2")
     assert asha["gender"] == "Female" and asha["middle_name"] == "M" and asha["latest_approval_status"] == "Rejected"
     assert set(by_id(t["house"])) == {3}
     visits = by_id(t["person_visit"])
-    assert {i: visits[i]["Ward"] for i in (1, 2, 3)} == {1: "This is a text", 2: "east", 3: "east"}
+    assert {i: visits[i]["Ward"] for i in (1, 2, 3)} == {1: "Mill Lane", 2: "east", 3: "east"}
     assert [(r["id"], r["Reason"]) for r in t["person_visit_cancel"]] == [(2, "moved")]
     assert [(r["id"], r["Reason"]) for r in t["person_nutrition_exit"]] == [(2, "cured")]
     assert [(r["id"], r["Weight"]) for r in t["person_nutrition_weigh"]] == [(1, 8.5)]
-    wallet = sorted((r["repeatable_question_group_index"], r["individual_id"], r["Bitcoin"], r["Exchange"]) for r in t["person_wallet"])
-    assert wallet == [(0, 1, 100, "FTX"), (1, 1, 7, "B")]
+    wallet = sorted((r["repeatable_question_group_index"], r["individual_id"], r["Barley"], r["Market"]) for r in t["person_wallet"])
+    assert wallet == [(0, 1, 100, "North gate"), (1, 1, 7, "B")]
     assert sorted((r["id"], r["Head of household ID"]) for r in t["house_person"]) == [(1, 1), (2, 1)]
     assert [(r["user_id"], r["id"]) for r in t["worker"]] == [(1, 4)]
     assert len(t["users"]) == 2 and len(t["sync_telemetry"]) == 1
@@ -115,7 +117,7 @@ def test_media_names_and_sync_attribute(story):
     rows = sorted(story["after"][0]["media"], key=lambda r: r["image_url"])
     assert [(r["concept_name"], r["image_url"].rsplit("/", 1)[1]) for r in rows] == [("Picture", "a.png"), ("Picture", "b.png"), ("Photo", "one.jpg")]
     assert rows[0]["subject_type_name"] == "Person" and rows[0]["encounter_type_name"] == "Visit"
-    assert (rows[0]["sync_parameter_key1"], rows[0]["sync_parameter_value1"]) == ("Ward", "This is a text")
+    assert (rows[0]["sync_parameter_key1"], rows[0]["sync_parameter_value1"]) == ("Ward", "Mill Lane")
 
 
 def test_address_has_all_levels(story):
@@ -127,7 +129,7 @@ def test_address_has_all_levels(story):
 
 def test_edit_replaces_the_row_and_a_new_question_is_filled(story):
     rows = story["after"][1]["person_nutrition_weigh"]
-    assert [(r["id"], r["Weight"], r["New concept"]) for r in rows] == [(1, 456, 123)]
+    assert [(r["id"], r["Weight"], r["New concept"]) for r in rows] == [(1, 73, 58)]
     assert len(story["after"][1]["person_visit"]) == 7
 
 
@@ -151,7 +153,7 @@ def test_cancel_and_uncancel(story):
 
 
 def test_repeat_group_keeps_the_newest_generation(story):
-    assert [(r["Bitcoin"], r["Exchange"]) for r in story["after"][1]["person_wallet"]] == [(1, "X")]
+    assert [(r["Barley"], r["Market"]) for r in story["after"][1]["person_wallet"]] == [(1, "X")]
 
 
 def test_media_is_replaced_as_a_set(story):
@@ -163,6 +165,11 @@ def test_parent_rename_reaches_unchanged_addresses(story):
     assert {r["District"] for r in story["after"][1]["address"]} == {"Capital"}
 
 
+def test_a_new_head_replaces_the_old_one(story):
+    edges = [sorted((r["id"], r["Head of household ID"]) for r in t["house_person"]) for t in story["after"][:2]]
+    assert edges == [[(1, 1), (2, 1)], [(1, 2), (2, 2)]]
+
+
 def test_renames_of_question_and_type(story):
     t = story["after"][2]
     asha = by_id(t["person"])[1]
