@@ -40,6 +40,13 @@ def unpacked(df: DataFrame) -> DataFrame:
     return df.select(f"{ROW}.*")
 
 
+def slices(batches: Iterable, rows: int = 128) -> Iterable:
+    """Arrow batches cut into small ones, so that a task holds the Python values of a few rows only."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_of(column: str | Column) -> Column:
     """A text column; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm.common import ROW, packed, text_of
+from formflow.llm.common import ROW, packed, slices, text_of
 from formflow.llm.words import ALNUM, in_batches, split_words
 
 WINDOW = 13
@@ -194,7 +194,7 @@ def _searcher(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_in = block.value
         names = np.array([n or "" for n in found_in.names], object)
-        for batch in batches:
+        for batch in slices(batches, 1024):
             texts = batch.column("text").to_pylist()
             spans, items, counts = batch.column("spans").to_pylist(), batch.column("items").to_pylist(), []
             at = 0
