@@ -16,20 +16,28 @@ def components(links: DataFrame) -> DataFrame:
     with a map-side combine and the join on a node can be split, so a node with very
     many links is no single task's work. Nothing comes to the driver but a checksum.
     """
-    edges = staged(
-        links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "links"
-    )
+    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")), "links")
     seen = None
     while True:
         mark = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first())
         if mark == seen:
-            return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")).union(
-                edges.select(F.col("lo").alias("id"), F.col("lo").alias("root")).distinct()
-            )
+            return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")).union(edges.select("lo", "lo").distinct())
         seen = mark
         both = edges.selectExpr("hi as u", "lo as v").union(edges.selectExpr("lo as u", "hi as v"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").selectExpr("v as hi", "m as lo").distinct()
+        large = both.where("v > u").join(least, "u").selectExpr("v as hi", "m as lo")
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").where("lo <> m").selectExpr("lo as hi", "m as lo")
         edges = staged(small.union(low.selectExpr("hi", "m as lo")).distinct(), "links")
+
+
+def joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots(id, root)`` after further links: only the components that these link are worked on."""
+    of = roots.withColumnRenamed("root", "r")
+    ends = links.join(of.toDF("a", "ra"), "a", "left").join(of.toDF("b", "rb"), "b", "left")
+    ends = ends.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    further = components(ends).toDF("r", "root")
+    moved = of.join(further, "r", "left").select("id", F.coalesce("root", "r").alias("root"))
+    # ids that had no link before are their own root in ``further``
+    new = further.join(of.select(F.col("id").alias("r")), "r", "left_anti").select(F.col("r").alias("id"), "root")
+    return staged(moved.union(new), "roots")

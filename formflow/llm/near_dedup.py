@@ -8,17 +8,21 @@
 2. Bands of registers give buckets. In each bucket every text meets the bucket's
    leader (its least id). Pairs that the signatures leave possible are verified on the
    whole texts: probability Jaccard or Jaccard of the shingle sets of 0.8 or more.
-3. Buckets whose members are already one component are done. In the others, if they
-   are small, every two members of different components meet; large ones are split
-   by each further band that their members share, and 2 and 3 are repeated.
+3. A bucket whose members are one component by now is done. In a small one every two
+   members of different components meet. In a large one the members outside its
+   two largest components meet some members of those, then the members that are left
+   meet the next components, four times as many in every round, until none is left.
 4. A class is a component of the verified links.
 
-A bucket of any size costs rows in proportion to its members; no list of a group is
-ever built. Defined results: null counts as empty text; a text of one to four words
-has one shingle of all its words; texts without words are only linked to exact copies;
-repeated rows are copies; an empty table gives an empty result; other columns are
-left alone. Words are runs of ASCII letters, digits and non-ASCII characters, A-Z
-lower-cased.
+A pair at 0.8 shares ten of the 32 buckets on average, so a text outside a large group
+meets several members of it in each of about ten buckets. Nothing is cut off: a bucket
+of any size is worked through, by rows in proportion to its members as long as they
+fall into a few components, and no list of a group is ever built.
+
+Defined results: null counts as empty text; a text of one to four words has one shingle
+of all its words; texts without words are only linked to exact copies; repeated rows
+are copies; an empty table gives an empty result; other columns are left alone. Words
+are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.
 """
 
 from __future__ import annotations
@@ -27,12 +31,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formflow.llm.common import packed, staged, text_of, unpacked
-from formflow.llm.components import components
-from formflow.llm.words import ALNUM, in_batches, mix, split_words, windows
+from formflow.llm.common import packed, slices, staged, text_of, unpacked
+from formflow.llm.components import components, joined
+from formflow.llm.words import ALNUM, BATCH_BYTES, in_batches, mix, split_words, windows
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -40,6 +44,7 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000
 REGISTERS = BANDS * ROWS
 POSSIBLE = 0.64  # five standard deviations of the estimate below 0.8
 SMALL = 32  # members of a bucket of which every two may meet
+MET = 3  # members of a component whom others meet in a large bucket
 
 
 def weighted_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -92,7 +97,7 @@ def _band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[tuple]:
-    for batch in batches:
+    for batch in slices(batches):
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
@@ -102,7 +107,7 @@ _SIGNED = pa.schema(
 
 
 def _signed(batches):
-    for rows in in_batches(_text_rows(batches, ("text", "copy_key", "doc_key")), 0):
+    for rows in in_batches(_text_rows(batches, ("text", "copy_key", "doc_key")), 0, 2 * BATCH_BYTES):
         texts = [r[0] for r in rows]
         elements, weights, bounds = weighted_shingles(texts)
         found = signatures(elements, weights, bounds)
@@ -177,54 +182,60 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([pa.array([rows[k][c] for k in held], pa.int64()) for c in (3, 4)], names=["a", "b"])
 
 
-def _verify(docs: DataFrame, texts: DataFrame, pairs: DataFrame) -> DataFrame:
+def _verify(texts: DataFrame, whole: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of different text ids that are near duplicates; staged."""
     sketch = texts.select("id", "sketch")
-    pairs = pairs.distinct()
-    pairs = pairs.join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
+    pairs = pairs.distinct().join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
     possible = staged(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike, "a long, b long"), "possible")
-    wanted = possible.selectExpr("a as id").union(possible.selectExpr("b as id")).distinct()
-    wanted = wanted.join(texts.select("id", "copy_key", "doc_key"), "id")
-    # by text and doc_id: of a group of copies only the row that stands for it is read
-    found = _copies(docs).join(wanted, ["copy_key", "doc_key"]).groupBy("id").agg(F.first("text").alias("text"))
-    found = staged(found, "wanted")
-    both = possible.join(found.toDF("a", "text_a"), "a").join(found.toDF("b", "text_b"), "b")
+    both = possible.join(whole.toDF("a", "text_a"), "a").join(whole.toDF("b", "text_b"), "b")
     return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "verified")
 
 
-def _mixed(bands: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one component, with root and bucket size."""
-    labelled = bands.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    sizes = labelled.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return labelled.join(sizes.where("lo <> hi").select("key", "n"), "key")
+def _whole_texts(docs: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(id, text)`` of some distinct texts, each read from the one row that stands for its copies; staged."""
+    wanted = texts.join(ids, "id", "left_semi").select("id", "copy_key", "doc_key")
+    found = _copies(docs).join(wanted, ["copy_key", "doc_key"]).select("id", "text")
+    return staged(found.dropDuplicates(["id"]), "wanted")
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Of ``members(key, id, ...)`` those in buckets of more than one component, with their root."""
+    labelled = members.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    keys = labelled.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return staged(labelled.join(keys.select("key"), "key", "left_semi"), "mixed")
 
 
-def classes(docs: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The distinct texts and ``(id, root)`` of those that are linked to another."""
     texts = distinct_texts(docs)
     bands = texts.select("id", F.explode("bands").alias("key"))
-    work, links, roots = bands, None, None
+    leaders = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
+    shared = staged(bands.join(leaders, "key"), "shared")
+    whole = _whole_texts(docs, texts, shared.select("id").distinct())
+
+    pairs = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    roots = staged(components(_verify(texts, whole, pairs)), "roots")
+    rest, width = shared.select("key", "id", "n"), 1
     while True:
-        leaders = work.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a <> last").select("key", "a")
-        pairs = work.join(leaders, "key").where("id <> a").select("a", F.col("id").alias("b"))
-        found = _verify(docs, texts, pairs)
-        links = found if links is None else links.union(found)
-        roots = components(links)
-        mixed = staged(_mixed(work, roots), "mixed")
-        few = mixed.where(F.col("n") <= small)
+        rest = _mixed(rest, roots)
+        if rest.isEmpty():
+            return texts, roots
+        few = rest.where(F.col("n") <= SMALL)
         other = few.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
         pairs = few.withColumnRenamed("id", "a").join(other, "key").where("a < b and root <> root_b").select("a", "b")
-        if not few.isEmpty():
-            found = _verify(docs, texts, pairs)
-            if not found.isEmpty():
-                links = links.union(found)
-                roots = components(links)
-        many = mixed.where(F.col("n") > small).select("key", "id")
-        many = _mixed(many, roots).select("key", "id")
-        again = many.join(bands.withColumnRenamed("key", "other"), "id").where("key <> other")
-        work = staged(again.select("id", F.xxhash64("key", "other").alias("key")).distinct(), "split")
-        if work.isEmpty():
-            return texts, roots
+        many = rest.where(F.col("n") > SMALL)
+        met = [F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), F.col("id").alias("i"))) for k in range(MET)]
+        groups = many.groupBy("key", "root").agg(F.count("*").alias("c"), F.array(*met).alias("met"))
+        groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("c"), "root")))
+        groups = staged(groups, "groups")
+        placed = many.join(groups.select("key", "root", "place"), ["key", "root"])
+        heads = groups.where(F.col("place") <= width).select("key", F.col("place").alias("before"), F.explode("met.i").alias("a"))
+        pairs = pairs.union(placed.join(heads, "key").where("place > before").select("a", F.col("id").alias("b")))
+        found = _verify(texts, whole, pairs)
+        if not found.isEmpty():
+            roots = joined(roots, found)
+        rest = placed.where(F.col("place") > width).select("key", "id", "n")
+        width *= 2
 
 
 def memberships(docs: DataFrame) -> DataFrame:
