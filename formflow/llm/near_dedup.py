@@ -215,7 +215,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     pairs = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     roots = staged(components(_verify(texts, whole, pairs)), "roots")
-    rest, width = shared.select("key", "id", "n"), 1
+    rest, width = shared.select("key", "id", "n"), 2
     while True:
         rest = _mixed(rest, roots)
         if rest.isEmpty():
@@ -235,7 +235,7 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not found.isEmpty():
             roots = joined(roots, found)
         rest = placed.where(F.col("place") > width).select("key", "id", "n")
-        width *= 2
+        width *= 4
 
 
 def memberships(docs: DataFrame) -> DataFrame:
