@@ -38,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm.common import ROW, packed, staged, text_of
+from formflow.llm.common import ROW, packed, slices, staged, text_of
 from formflow.llm.words import SOLID, in_batches, mix, split_words
 
 BASE = 1.6
-BACK = 0.7
+BACK = 0.25
 MIN_PAIR = 2
 HEAD = 300_000
 SEGMENT_BYTES = 128 << 20
@@ -147,7 +147,7 @@ class Filter:
 
 
 def _texts(batches: Iterator[pa.RecordBatch], *others: str) -> Iterator[tuple]:
-    for batch in batches:
+    for batch in slices(batches):
         yield from zip(*(batch.column(c).to_pylist() for c in ("text", *others)), strict=True)
 
 
@@ -179,7 +179,7 @@ def _packed_counts(grams: np.ndarray, counts: np.ndarray, buckets: int, kind: in
 
 WORD, PAIR = 0, 1
 #: Texts are counted together up to so many bytes, so that equal grams of a task meet before they are sent.
-COUNT_BYTES = 16 << 20
+COUNT_BYTES = 8 << 20
 
 
 def _counter(word_buckets: int, pair_buckets: int):
@@ -254,7 +254,7 @@ def _scorer(model, first: bool):
             c_pair = np.minimum(expected(m["pair_filter"].level(pairs))[at], np.minimum(c_v, c_w))
             follows = np.divide(c_pair, c_v, out=np.zeros(len(c_v)), where=c_v > 0)
             p = BACK * follows + (1 - BACK) * (c_w + 1) / (total + distinct + 1)
-            columns = [pa.array([r[1] for r in rows], pa.int64()), pa.array(np.bincount(owner[mine], np.log10(p), len(rows)))]
+            columns = [pa.array([r[1] for r in rows], pa.int64()), pa.array(np.bincount(owner[mine], np.log10(p), len(rows)).astype(np.float64))]
             if first:
                 heads, n = m["head"]
                 at = np.minimum(np.searchsorted(heads, token), len(heads) - 1) if len(heads) else np.zeros(len(token), np.int64)
@@ -268,7 +268,7 @@ def _scorer(model, first: bool):
                 columns += [
                     pa.array(counts, pa.int64()),
                     pa.array(np.bincount(owner, known, len(rows)).astype(np.int64)),
-                    pa.array(np.bincount(owner, part, len(rows))),
+                    pa.array(np.bincount(owner, part, len(rows)).astype(np.float64)),
                     pa.array([t[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int64())),
                     pa.array([times[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int64())),
                 ]
