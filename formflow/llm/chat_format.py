@@ -91,7 +91,7 @@ def mask(tokens: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray,
 _FORMATTED = (
     "conv_id long, part int, text string, token_ids array<int>, loss_tokens array<int>, loss_start array<int>, loss_end array<int>"
 )
-_BATCH_CHARS = 4_000_000
+_BATCH_CHARS = 200_000  # encoded together; an encoding is some hundred times its text
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, int, list[tuple[str, str]]]]:
