@@ -9,15 +9,17 @@
    leader (its least id). Pairs that the signatures leave possible are verified on the
    whole texts: probability Jaccard or Jaccard of the shingle sets of 0.8 or more.
 3. A bucket whose members are one component by now is done. In a small one every two
-   members of different components meet. In a large one the members outside its
-   two largest components meet some members of those, then the members that are left
-   meet the next components, four times as many in every round, until none is left.
-4. A class is a component of the verified links.
-
-A pair at 0.8 shares ten of the 32 buckets on average, so a text outside a large group
-meets several members of it in each of about ten buckets. Nothing is cut off: a bucket
-of any size is worked through, by rows in proportion to its members as long as they
-fall into a few components, and no list of a group is ever built.
+   members of different components meet. In a large one the members outside its two
+   largest components meet some members of those, which links most of them.
+4. In the large buckets that still hold several components every two members of different
+   components meet, block by block: their signatures are compared, and the pairs these
+   leave possible are verified. Only equal components are left out.
+5. A class is a component of the verified links.
+
+So every two texts that share a bucket and are not of one component anyway are compared.
+A large bucket is dealt out in pairs of blocks of bounded size, so no list of a group is
+built; its rows are repeated once for each block it is met by, and comparing signatures
+costs time with the square of its members outside one component.
 
 Defined results: null counts as empty text; a text of one to four words has one shingle
 of all its words; texts without words are only linked to exact copies; repeated rows
@@ -44,7 +46,8 @@ BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000
 REGISTERS = BANDS * ROWS
 POSSIBLE = 0.64  # five standard deviations of the estimate below 0.8
 SMALL = 32  # members of a bucket of which every two may meet
-MET = 3  # members of a component whom others meet in a large bucket
+MET = 3  # members of a component whom others meet first in a large bucket
+BLOCK = 512  # members of a large bucket that are compared with as many others in one piece
 
 
 def weighted_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -205,6 +208,51 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return staged(labelled.join(keys.select("key"), "key", "left_semi"), "mixed")
 
 
+def _extended(roots: DataFrame, found: DataFrame) -> DataFrame:
+    return roots if found.isEmpty() else joined(roots, found)
+
+
+def _block_pairs(key, part):
+    """Of two blocks (or one twice): the pairs of different components that the signatures leave possible."""
+    side, ids, roots = (part.column(c).to_numpy() for c in ("side", "id", "root"))
+    sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    once = not side.any()
+    found = [np.empty((0, 2), np.int64)]
+    for i in np.flatnonzero(side == 0):
+        with_i = np.flatnonzero((roots != roots[i]) & ((ids > ids[i]) if once else (side == 1)))
+        near = ids[with_i[(sketch[with_i] == sketch[i]).mean(axis=1) >= POSSIBLE]]
+        found.append(np.column_stack([np.minimum(near, ids[i]), np.maximum(near, ids[i])]))
+    pairs = np.concatenate(found)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _all_met(texts: DataFrame, members: DataFrame) -> DataFrame:
+    """Of ``members(key, id, n, root)``: every two of one bucket and different components that may be near duplicates.
+
+    A component of BLOCK members or more has blocks of its own, which do not meet each other; the smaller
+    ones share blocks."""
+    sizes = members.groupBy("key", "root").agg(F.count("*").alias("c"))
+    own = F.col("c") >= BLOCK
+    placed = members.join(sizes, ["key", "root"]).select(
+        "key",
+        "id",
+        "root",
+        F.when(own, F.col("root")).otherwise(-1).alias("own"),
+        F.when(own, F.expr(f"pmod(xxhash64(id), ceil(c / {BLOCK}))")).otherwise(F.expr(f"pmod(xxhash64(root), ceil(n / {BLOCK}))")).alias("part"),
+    )
+    placed = staged(placed.join(texts.select("id", "sketch"), "id"), "placed")
+    blocks = placed.select("key", "own", "part").distinct()
+    both = blocks.toDF("key", "own_a", "part_a").join(blocks.toDF("key", "own_b", "part_b"), "key")
+    both = both.where("struct(own_a, part_a) <= struct(own_b, part_b) and (own_a = -1 or own_a <> own_b)")
+    both = staged(both.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
+    at = ["key", "own", "part"]
+    first = placed.join(both.selectExpr("key", "own_a as own", "part_a as part", "meeting", "0 as side"), at)
+    second = both.where("own_a <> own_b or part_a <> part_b")
+    second = placed.join(second.selectExpr("key", "own_b as own", "part_b as part", "meeting", "1 as side"), at)
+    columns = ["meeting", "side", "id", "root", "sketch"]
+    return first.select(columns).union(second.select(columns)).groupBy("meeting").applyInArrow(_block_pairs, "a long, b long")
+
+
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The distinct texts and ``(id, root)`` of those that are linked to another."""
     texts = distinct_texts(docs)
@@ -215,27 +263,23 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     pairs = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     roots = staged(components(_verify(texts, whole, pairs)), "roots")
-    rest, width = shared.select("key", "id", "n"), 2
-    while True:
-        rest = _mixed(rest, roots)
-        if rest.isEmpty():
-            return texts, roots
-        few = rest.where(F.col("n") <= SMALL)
-        other = few.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
-        pairs = few.withColumnRenamed("id", "a").join(other, "key").where("a < b and root <> root_b").select("a", "b")
-        many = rest.where(F.col("n") > SMALL)
-        met = [F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), F.col("id").alias("i"))) for k in range(MET)]
-        groups = many.groupBy("key", "root").agg(F.count("*").alias("c"), F.array(*met).alias("met"))
-        groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("c"), "root")))
-        groups = staged(groups, "groups")
-        placed = many.join(groups.select("key", "root", "place"), ["key", "root"])
-        heads = groups.where(F.col("place") <= width).select("key", F.col("place").alias("before"), F.explode("met.i").alias("a"))
-        pairs = pairs.union(placed.join(heads, "key").where("place > before").select("a", F.col("id").alias("b")))
-        found = _verify(texts, whole, pairs)
-        if not found.isEmpty():
-            roots = joined(roots, found)
-        rest = placed.where(F.col("place") > width).select("key", "id", "n")
-        width *= 4
+    rest = _mixed(shared.select("key", "id", "n"), roots)
+    few = rest.where(F.col("n") <= SMALL)
+    other = few.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
+    pairs = few.withColumnRenamed("id", "a").join(other, "key").where("a < b and root <> root_b").select("a", "b")
+    many = rest.where(F.col("n") > SMALL)
+    met = [F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), F.col("id").alias("i"))) for k in range(MET)]
+    groups = many.groupBy("key", "root").agg(F.count("*").alias("c"), F.array(*met).alias("met"))
+    groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("c"), "root")))
+    groups = staged(groups, "groups")
+    placed = many.join(groups.select("key", "root", "place"), ["key", "root"])
+    heads = groups.where("place <= 2").select("key", F.col("place").alias("before"), F.explode("met.i").alias("a"))
+    pairs = pairs.union(placed.join(heads, "key").where("place > before").select("a", F.col("id").alias("b")))
+    roots = _extended(roots, _verify(texts, whole, pairs))
+    rest = _mixed(many.select("key", "id", "n"), roots)
+    if not rest.isEmpty():
+        roots = _extended(roots, _verify(texts, whole, _all_met(texts, rest)))
+    return texts, roots
 
 
 def memberships(docs: DataFrame) -> DataFrame:

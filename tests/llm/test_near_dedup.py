@@ -76,6 +76,26 @@ def test_classes_are_those_of_brute_force(spark, small, monkeypatch):
     assert all(k == min(v) for k, v in got.items())
 
 
+def test_single_links_between_components_of_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(nd, "SMALL", 1)
+    monkeypatch.setattr(nd, "BLOCK", 40, raising=False)
+    rng = random.Random(5)
+    # ten slots of two passages: texts that differ in one slot are linked, in two they are not
+    slots = [[words_of(rng, 40) for _ in range(2)] for _ in range(10)]
+    text = lambda n: " ".join(w for k in range(10) for w in slots[k][n >> k & 1])
+    # each of the last ones is linked to one of the first 512 and to nothing else
+    lone = []
+    for n in range(512, 1024):
+        if all((n ^ x).bit_count() > 2 for x in lone):
+            lone.append(n)
+    rows = [(n, text(n)) for n in [*range(512), *lone]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in nd.near_duplicates(docs).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in got.values()} == brute_classes(rows)
+
+
 def test_one_row_of_a_class_stays_with_all_columns(spark):
     rows = [(1, "x", "a b c d e f"), (1, "x", "a b c d e f"), (2, "y", "a b c d e f"), (3, "z", None), (4, "z", ""), (None, "n", "solo words here")]
     docs = spark.createDataFrame(rows, "doc_id long, copy_key string, text string")
