@@ -5,8 +5,10 @@
    rate is its weight, each arrival picks a register, and a register keeps the shingle
    that arrives first. A shingle whose next arrival is later than the latest register
    is done. Two registers agree with the probability Jaccard similarity of the texts.
-2. Bands of registers give buckets. In each bucket every text meets the bucket's
-   leader (its least id). Pairs that the signatures leave possible are verified on the
+   A text that repeats a shingle has a second signature with all weights 1, whose
+   registers agree with the Jaccard similarity of the sets; for others it is the same.
+2. Bands of registers, of both signatures alike, give buckets. In each bucket every text meets the bucket's
+   leader (its least id). Pairs that either estimate leaves possible are verified on the
    whole texts: probability Jaccard or Jaccard of the shingle sets of 0.8 or more.
 3. A bucket whose members are one component by now is done. In a small one every two
    members of different components meet. In a large one the members outside its two
@@ -114,14 +116,19 @@ def _signed(batches):
         texts = [r[0] for r in rows]
         elements, weights, bounds = weighted_shingles(texts)
         found = signatures(elements, weights, bounds)
-        keys, low = _band_keys(found), (found & np.uint64(0xFFFF)).astype("<u2")
-        some = np.diff(bounds) > 0
+        sizes = np.diff(bounds)
+        repeats = np.bincount(np.repeat(np.arange(len(rows)), sizes), weights > 1, len(rows)) > 0
+        ones = np.repeat(repeats, sizes)
+        plain = signatures(elements[ones], np.ones(ones.sum()), np.append(0, np.cumsum(sizes[repeats])))
+        keys, low = list(_band_keys(found)), [x.tobytes() for x in (found & np.uint64(0xFFFF)).astype("<u2")]
+        for i, k, x in zip(np.flatnonzero(repeats), _band_keys(plain), (plain & np.uint64(0xFFFF)).astype("<u2"), strict=True):
+            keys[i], low[i] = np.union1d(keys[i], k), low[i] + x.tobytes()
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([r[1] for r in rows], pa.binary()),
                 pa.array([r[2] for r in rows], pa.int64()),
-                pa.array([keys[i] if some[i] else [] for i in range(len(rows))], pa.list_(pa.int64())),
-                pa.array([low[i].tobytes() for i in range(len(rows))], pa.binary()),
+                pa.array([keys[i] if sizes[i] else [] for i in range(len(rows))], pa.list_(pa.int64())),
+                pa.array(low, pa.binary()),
             ],
             schema=_SIGNED,
         )
@@ -149,12 +156,23 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
     return staged(one.withColumn("id", F.monotonically_increasing_id()), "texts")
 
 
+def _sketches(column) -> np.ndarray:
+    """Of each text the registers with weights, then those without: the same where only one signature was made."""
+    held = column.to_pylist()
+    return np.frombuffer(b"".join(x if len(x) > 2 * REGISTERS else x + x for x in held), "<u2").reshape(len(held), 2, REGISTERS)
+
+
+def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which pairs either estimate allows to be near duplicates."""
+    return (a == b).mean(axis=-1).max(axis=-1) >= POSSIBLE
+
+
 def _alike(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(-1, REGISTERS) for c in ("sketch_a", "sketch_b"))
-        yield batch.filter(pa.array((a == b).mean(axis=1) >= POSSIBLE)).select(["a", "b"])
+        a, b = (_sketches(batch.column(c)) for c in ("sketch_a", "sketch_b"))
+        yield batch.filter(pa.array(_possible(a, b))).select(["a", "b"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -215,12 +233,12 @@ def _extended(roots: DataFrame, found: DataFrame) -> DataFrame:
 def _block_pairs(key, part):
     """Of two blocks (or one twice): the pairs of different components that the signatures leave possible."""
     side, ids, roots = (part.column(c).to_numpy() for c in ("side", "id", "root"))
-    sketch = np.frombuffer(b"".join(part.column("sketch").to_pylist()), "<u2").reshape(-1, REGISTERS)
+    sketch = _sketches(part.column("sketch"))
     once = not side.any()
     found = [np.empty((0, 2), np.int64)]
     for i in np.flatnonzero(side == 0):
         with_i = np.flatnonzero((roots != roots[i]) & ((ids > ids[i]) if once else (side == 1)))
-        near = ids[with_i[(sketch[with_i] == sketch[i]).mean(axis=1) >= POSSIBLE]]
+        near = ids[with_i[_possible(sketch[with_i], sketch[i])]]
         found.append(np.column_stack([np.minimum(near, ids[i]), np.maximum(near, ids[i])]))
     pairs = np.concatenate(found)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})

@@ -96,6 +96,18 @@ def test_single_links_between_components_of_large_buckets(spark, monkeypatch):
     assert {frozenset(g) for g in got.values()} == brute_classes(rows)
 
 
+def test_copies_that_repeat_a_passage_more_often_are_linked(spark):
+    rng, rows = random.Random(8), []
+    for _ in range(12):
+        body, line = words_of(rng, 200), words_of(rng, 20)
+        rows += [(len(rows), " ".join(body + line * 2)), (len(rows) + 1, " ".join(body + line * 20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {}
+    for r in nd.near_duplicates(docs).collect():
+        got.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in got.values()} == brute_classes(rows) == {frozenset((k, k + 1)) for k in range(0, 24, 2)}
+
+
 def test_one_row_of_a_class_stays_with_all_columns(spark):
     rows = [(1, "x", "a b c d e f"), (1, "x", "a b c d e f"), (2, "y", "a b c d e f"), (3, "z", None), (4, "z", ""), (None, "n", "solo words here")]
     docs = spark.createDataFrame(rows, "doc_id long, copy_key string, text string")
