@@ -12,8 +12,8 @@ Scoring: a token w after v has probability
     BACK * (c(v, w) / c(v)) + (1 - BACK) * (c(w) + 1) / (N + V + 1)
 
 with counts from the filter, c(v, w) bounded by the other two. v is the word before or
-the begin mark; w a word or the end mark. Pairs enter from MIN_PAIR occurrences on,
-which is a property of the model at every size; single tokens always enter.
+the begin mark; w a word or the end mark. Every word and every pair of the training texts
+enters, also those that occur once.
 
 The filter is cut by the hash of v into segments of at most SEGMENT_BYTES. One segment
 at a time is sent to the workers; each gives every text the sum over the tokens whose v
@@ -43,7 +43,6 @@ from formflow.llm.words import SOLID, in_batches, mix, split_words
 
 BASE = 1.6
 BACK = 0.25
-MIN_PAIR = 2
 HEAD = 300_000
 SEGMENT_BYTES = 128 << 20
 #: Filter bits for each entry, and probes for each: 1 % of the probes of absent entries hit.
@@ -206,8 +205,6 @@ def _summed(key, part):
     grams, counts = grams[order], counts[order]
     at = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
     grams, counts = grams[at], np.add.reduceat(counts, at)
-    if key[0].as_py() == PAIR:
-        grams, counts = grams[counts >= MIN_PAIR], counts[counts >= MIN_PAIR]
     return pa.table({"kind": pa.array(np.full(len(grams), key[0].as_py()), pa.int32()), "gram": grams.view(np.int64), "n": counts})
 
 

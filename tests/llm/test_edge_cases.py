@@ -197,6 +197,13 @@ def test_base_score_and_counts(spark, monkeypatch):
     assert all(math.isfinite(r.score) for r in log_bloom.score(docs, training.limit(0)).collect())
 
 
+def test_pairs_that_occur_once_are_counted(spark):
+    docs = spark.createDataFrame([(1, "one two three four five")], "doc_id long, text string")
+    got = log_bloom.score(docs, docs).collect()[0].score
+    # six tokens with the end mark, each once after its word: counts of 1 are exact
+    assert abs(got - 6 * math.log10(log_bloom.BACK + (1 - log_bloom.BACK) * 2 / 13)) < 1e-9
+
+
 def test_filter_never_counts_too_low():
     rng = np.random.default_rng(5)
     grams = np.unique(rng.integers(0, 2**63, 4000, dtype=np.uint64))
