@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm import byte_bpe, chat_format, decontaminate, hilbert_shards, html_extract, license_scan, log_bloom, near_dedup, quality_rules, url_reputation
+from formflow.llm import (
+    byte_bpe,
+    chat_format,
+    decontaminate,
+    hilbert_shards,
+    html_extract,
+    license_scan,
+    log_bloom,
+    near_dedup,
+    orchard,
+    periodic_runs,
+    quality_rules,
+    simhash,
+    url_reputation,
+)
 from formflow.llm.common import ROW, table
 
 QUERIES, ORACLE = {}, {}
@@ -279,3 +293,92 @@ def op6_license_scan(spark, sf_dir) -> DataFrame:
 
 
 QUERIES["op6_license_scan"] = op6_license_scan
+
+
+def op11_centroid_clustering(spark, sf_dir) -> DataFrame:
+    assigned, centroids = orchard.clusters(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    out = orchard.with_inertia(assigned, centroids)
+    return out.select(f"{ROW}.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+QUERIES["op11_centroid_clustering"] = op11_centroid_clustering
+
+
+def _round_sql(k: int) -> str:
+    """Round k: vectors to their nearest centroids of the round before; the floor of the means."""
+    return f"""
+near_{k} as ({_NEAREST.format(centroids=f"centroids_{k - 1}")}),
+means_{k} as (
+    select number, place, (total - ((total % n) + n) % n) // n as value
+    from (
+        select number, place, sum(value)::hugeint as total, count(*) as n
+        from (select number, unnest(range(1, 65)) as place, unnest(v) as value from near_{k}) group by number, place
+    )
+), centroids_{k} as (
+    select number, coalesce(m.c, o.c) as c
+    from centroids_{k - 1} o left join (select number, list(value order by place) as c from means_{k} group by number) m using (number)
+)"""
+
+
+_NEAREST = """
+    select row_no, vec_id, v, arg_min(number, struct_pack(d := d, number := number)) as number, min(d) as distance
+    from (
+        select row_no, vec_id, v, number,
+            list_sum(list_transform(list_zip(v, c), lambda x: ((x[1] - x[2]) * (x[1] - x[2]))::hugeint)) as d
+        from vectors, {centroids}
+    ) group by row_no, vec_id, v"""
+
+ORACLE["op11_centroid_clustering"] = f"""
+with vectors as (
+    select row_number() over () as row_no, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+    from embeddings
+    where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), centroids_0 as (
+    select number - 1 as number, v::hugeint[] as c
+    from (select v, row_number() over (order by sha256('1:' || coalesce(vec_id::varchar, '')), v) as number from vectors) where number <= 16
+), {", ".join(_round_sql(k) for k in (1, 2, 3))},
+near as ({_NEAREST.format(centroids="centroids_3")}),
+named as (select number, sha256(array_to_string(c::varchar[], ',')) as centroid_sha256 from centroids_3)
+select vec_id, number::int as cluster, distance::bigint as distance, (sum(distance) over (partition by number))::bigint as cluster_inertia,
+    (sum(distance) over ())::bigint as inertia, centroid_sha256
+from near join named using (number)
+"""
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, where one text in ten becomes periodic from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = "filter(split(coalesce(text, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), x -> x <> '')"
+    from_word = "cast(g % size(ws) as int)"
+    period = f"cast(1 + (size(ws) - {from_word}) div (3 + g % 8) as int)"
+    again = f"transform(ws, (w, i) -> if(i < {from_word}, w, ws[{from_word} + (i - {from_word}) % {period}]))"
+    periodic = F.expr(f"array_join(transform(array({words}), ws -> if(size(ws) = 0, ws, {again}))[0], ' ')")
+    return docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g")).select(
+        "doc_id", F.when(F.col("h") % 10 == 0, periodic).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op12_periodic_runs(spark, sf_dir) -> DataFrame:
+    found = periodic_runs.periodic_runs(planted(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    line = "concat_ws(',', cast(r.start as string), cast(r.length as string), cast(r.period as string))"
+    return found.withColumn("best", periodic_runs.longest()).select(
+        f"{ROW}.doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.expr(f"array_join(transform(runs, r -> {line} || '\n'), '')"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+QUERIES["op12_periodic_runs"] = op12_periodic_runs
+
+
+def op13_simhash_near_dedup(spark, sf_dir) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select(f"{ROW}.doc_id", "fingerprint", "component_id")
+
+
+QUERIES["op13_simhash_near_dedup"] = op13_simhash_near_dedup

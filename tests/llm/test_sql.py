@@ -19,4 +19,4 @@ def test_query(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert [q.split("_")[0] for q in QUERIES] and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert [q.split("_")[0] for q in QUERIES] and {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
