@@ -11,9 +11,9 @@ The array leaves out suffixes that cannot start a window: words that occur in no
 cut the text into runs, and a run shorter than the shortest window has none. Matches
 shorter than that are not reported; nothing else is left out.
 
-The benchmark travels to the workers in blocks of at most ``BLOCK_BYTES``; the blocks
-are passed through one after the other over the same documents, each adding to what
-the former found, so a benchmark of any size needs no join and no shuffle.
+The benchmark travels to the workers in blocks of at most ``BLOCK_BYTES``. One block is
+one pass without a shuffle. Several are one pass each over the same stored rows, with one
+block in a worker at a time; what they find is gathered by row.
 
 Defined results: a null text has no words; an item without words has no window; a null
 item_id is found but not listed; repeated items count once; repeated rows are judged
@@ -23,13 +23,14 @@ one by one; an empty table or benchmark gives no hits; other columns are left al
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm.common import ROW, packed, slices, text_of
+from formflow.llm.common import ROW, packed, slices, staged, text_of
 from formflow.llm.words import ALNUM, in_batches, split_words
 
 WINDOW = 13
@@ -47,7 +48,8 @@ def suffix_array(ids: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
     width = 1
     while width < depth:
         after = np.zeros(n, np.int64)
-        after[: n - width] = rank[width:] if width < n else after[:0]
+        if width < n:
+            after[: n - width] = rank[width:]
         after[rank == 0] = 0
         pair = rank * (rank.max(initial=0) + 1) + after
         values, rank = np.unique(pair, return_inverse=True)
@@ -71,6 +73,7 @@ class Block:
         size = np.minimum(last - first, WINDOW)
         begins = self.left >= size
         self.window, self.size = self.suffix[begins], size[begins]
+        self.begin = (self.suffix - first)[begins]
         self.item = np.repeat(np.arange(len(items)), np.diff(bounds))[begins]
         self.names = [name for name, _ in items]
         self.shortest = int(self.size.min()) if len(self.size) else 0
@@ -120,12 +123,12 @@ def _bound(text, array, block, suffix, limit, upper):
 def search(block: Block, texts: list[bytes]) -> dict:
     """All window places of ``block`` in a shard of texts, and each item suffix's longest match.
 
-    ``start``, ``size``: word ranges hit (positions in the shard), ``item``: whose window;
+    ``start``, ``size``: word ranges hit (positions in the shard), ``item``: whose window, ``from``: where in the item;
     ``best``, ``where``: per item suffix its longest match of a window's length or more, and a place of it.
     """
     words = split_words(texts, ALNUM)
     none = np.zeros(0, np.int64)
-    out = {"words": words, "start": none, "size": none, "item": none, "best": np.zeros(len(block.suffix), np.int64), "where": np.full(len(block.suffix), -1)}
+    out = {"words": words, "start": none, "size": none, "item": none, "from": none, "best": np.zeros(len(block.suffix), np.int64), "where": np.full(len(block.suffix), -1)}
     if not len(block.size) or not len(words.hashes):
         return out
     ids = block.known(words.hashes)
@@ -182,21 +185,50 @@ def search(block: Block, texts: list[bytes]) -> dict:
         bool,
     )
     out["start"], out["size"], out["item"] = start[true], block.size[which][true], block.item[which][true]
+    out["from"] = block.begin[which][true]
     return out
 
 
-_FOUND = "n_words long, spans array<int>, items array<string>"
+def longest_in(found: dict) -> dict[tuple[int, int], tuple[int, int, int]]:
+    """For each text (by number) and item of a ``search`` its longest verbatim match: words, first word in the text and
+    in the item (ties: smallest places). Windows that follow each other in both are one match."""
+    bounds = found["words"].bounds
+    owner = np.searchsorted(bounds, found["start"], side="right") - 1
+    place, of, at = found["start"], found["item"], found["from"]
+    order = np.lexsort((place, place - at, of, owner))
+    owner, place, of, at, size = owner[order], place[order], of[order], at[order], found["size"][order]
+    follows = (owner[1:] == owner[:-1]) & (of[1:] == of[:-1]) & (place[1:] == place[:-1] + 1) & (at[1:] == at[:-1] + 1)
+    first = np.flatnonzero(np.append(True, ~follows)[: len(order)])
+    words = np.diff(np.append(first, len(order))) - 1 + size[first]
+    best: dict[tuple[int, int], tuple[int, int, int]] = {}
+    for o, i, n, s, a in zip(*(x.tolist() for x in (owner[first], of[first], words, (place - bounds[owner])[first], at[first])), strict=True):
+        if (o, i) not in best or (-n, s, a) < (-best[o, i][0], *best[o, i][1:]):
+            best[o, i] = (n, s, a)
+    return best
 
 
-def _searcher(block):
-    """A pass over rows (n, text, spans, items): what this block finds is added to spans and items."""
+_MATCH = "array<struct<item:string,words:int,doc_word:int,item_word:int>>"
+_FOUND = f"n_words long, spans array<int>, items array<string>, longest {_MATCH}"
+_MATCH_ARROW = pa.list_(pa.struct([("item", pa.string()), ("words", pa.int32()), ("doc_word", pa.int32()), ("item_word", pa.int32())]))
+
+
+def _best_of(matches: list[tuple[str, int, int, int]]) -> list[dict]:
+    """Of (item, words, doc_word, item_word) the longest of each item, by item."""
+    best: dict[str, tuple] = {}
+    for item, n, s, a in matches:
+        best[item] = min(best.get(item, (0, 0, 0)), (-n, s, a))
+    return [{"item": k, "words": -n, "doc_word": s, "item_word": a} for k, (n, s, a) in sorted(best.items())]
+
+
+def _searcher(block, key: str, all_rows: bool):
+    """A pass over rows (key, text): what a block's windows hit in each. Rows without hits are left out, unless ``all_rows``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found_in = block.value
-        names = np.array([n or "" for n in found_in.names], object)
         for batch in slices(batches, 1024):
             texts = batch.column("text").to_pylist()
-            spans, items, counts = batch.column("spans").to_pylist(), batch.column("items").to_pylist(), []
+            counts: list[int] = []
+            spans, items, longest = [[] for _ in texts], [[] for _ in texts], [[] for _ in texts]
             at = 0
             for rows in in_batches(((t,) for t in texts), 0, SHARD_BYTES):
                 found = search(found_in, [r[0] for r in rows])
@@ -204,26 +236,46 @@ def _searcher(block):
                 bounds = found["words"].bounds
                 owner = np.searchsorted(bounds, found["start"], side="right") - 1
                 for i in np.unique(owner):
-                    mine = owner == i
-                    start = found["start"][mine] - bounds[i]
-                    pairs = np.stack([start, start + found["size"][mine]], 1)
-                    spans[at + i] = merged([*zip(*[iter(spans[at + i])] * 2, strict=True), *map(tuple, pairs.tolist())])
-                    items[at + i] = sorted({*items[at + i], *names[np.unique(found["item"][mine])]} - {""})
+                    start = found["start"][owner == i] - bounds[i]
+                    spans[at + i] = merged(list(zip(start.tolist(), (start + found["size"][owner == i]).tolist(), strict=True)))
+                named: dict[int, list] = {}
+                for (i, item), match in longest_in(found).items():
+                    if found_in.names[item] is not None:
+                        named.setdefault(i, []).append((found_in.names[item], *match))
+                for i, some in named.items():
+                    longest[at + i] = _best_of(some)
+                    items[at + i] = [m["item"] for m in longest[at + i]]
                 at += len(rows)
-            yield pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [
-                    batch.column(ROW),
-                    batch.column("text"),
+                    batch.column(key),
                     pa.array(counts, pa.int64()),
                     pa.array(spans, pa.list_(pa.int32())),
                     pa.array(items, pa.list_(pa.string())),
+                    pa.array(longest, _MATCH_ARROW),
                 ],
-                names=[ROW, "text", "n_words", "spans", "items"],
+                names=[key, "n_words", "spans", "items", "longest"],
             )
+            yield out if all_rows else out.filter(pa.array([bool(x) for x in spans], pa.bool_()))
 
     return run
 
 
+def _united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (row_no, n_words, spans, items, longest) of several blocks, gathered by row, as if of one block."""
+    for batch in slices(batches, 1024):
+        spans = [merged([*zip(*[iter(x)] * 2, strict=True)]) for x in batch.column("spans").to_pylist()]
+        longest = [_best_of([tuple(m.values()) for m in x]) for x in batch.column("longest").to_pylist()]
+        columns = [
+            batch.column("row_no"),
+            batch.column("n_words"),
+            pa.array(spans, pa.list_(pa.int32())),
+            pa.array([[m["item"] for m in x] for x in longest], pa.list_(pa.string())),
+            pa.array(longest, _MATCH_ARROW),
+        ]
+        yield pa.RecordBatch.from_arrays(columns, names=["row_no", "n_words", "spans", "items", "longest"])
+
+
 def merged(spans: list[tuple[int, int]]) -> list[int]:
     """Disjoint ranges, flat: start, end, start, end ..."""
     out: list[int] = []
@@ -251,22 +303,43 @@ def blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[lis
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``docs`` packed (all columns, or those of ``keep``), with n_words, the word ranges hit (``spans``, flat) and the ``items`` found."""
+    """Rows of ``docs`` packed (all columns, or those of ``keep``), with n_words, the word ranges hit (``spans``, flat), the
+    ``items`` found, and of each its ``longest`` verbatim match: words, and where it begins in the document and in the item."""
     spark = docs.sparkSession
-    out = packed(docs, keep, text=text_of("text").cast("binary"), n_words=F.lit(0).cast("long")).select(
-        ROW, "text", "n_words", F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items")
-    )
-    row = out.schema[ROW].dataType.simpleString()
-    for items in blocks(benchmark, block_bytes):
-        sent = spark.sparkContext.broadcast(Block(items))
-        out = out.mapInArrow(_searcher(sent), f"{ROW} {row}, text binary, {_FOUND}")
+    rows = packed(docs, keep, text=text_of("text").cast("binary"))
+    row = rows.schema[ROW].dataType.simpleString()
+    held = blocks(benchmark, block_bytes)
+    first, second = next(held), next(held, None)
+    if second is None:
+        out = rows.mapInArrow(_searcher(spark.sparkContext.broadcast(Block(first)), ROW, True), f"{ROW} {row}, {_FOUND}")
+    else:
+        rows = staged(rows.withColumn("row_no", F.monotonically_increasing_id()), "texts")
+        found = None
+        for items in chain([first, second], held):
+            sent = spark.sparkContext.broadcast(Block(items))
+            run = _searcher(sent, "row_no", found is None)  # the first pass counts the words of all rows
+            part = staged(rows.select("row_no", "text").mapInArrow(run, f"row_no long, {_FOUND}"), "matches")
+            sent.unpersist()
+            found = part if found is None else found.union(part)
+        lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items", "longest")]  # one entry for each block at most
+        whole = found.groupBy("row_no").agg(F.max("n_words").alias("n_words"), *lists).mapInArrow(_united, f"row_no long, {_FOUND}")
+        out = rows.select(ROW, "row_no").join(whole, "row_no").drop("row_no")
     n_hit = F.expr(
         "aggregate(spans, named_struct('n', 0L, 'sign', -1L), (s, x) -> named_struct('n', s.n + s.sign * x, 'sign', -s.sign), s -> s.n)"
     )
-    out = out.select(ROW, "n_words", n_hit.alias("n_hit"), "spans", "items")
+    out = out.select(ROW, "n_words", n_hit.alias("n_hit"), "spans", "items", "longest")
     return out.withColumn("contaminated", F.expr(f"n_hit > 0 and {SHARE} * n_hit >= n_words"))
 
 
+def longest_matches(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Of each item found by ``matches`` its longest verbatim match over all documents: item, words, the document
+    and where the match begins in both (ties: the least document, then the least places)."""
+    each = found.select(F.col(f"{ROW}.`{id_column}`").alias("doc"), F.explode("longest").alias("m"))
+    order = F.struct((-F.col("m.words")).alias("less"), "doc", "m.doc_word", "m.item_word")
+    best = each.groupBy("m.item").agg(F.min(order).alias("b"))
+    return best.select("item", (-F.col("b.less")).alias("words"), F.col("b.doc").alias(id_column), "b.doc_word", "b.item_word")
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their columns."""
     return matches(docs, benchmark).where("not contaminated").select(f"{ROW}.*")
