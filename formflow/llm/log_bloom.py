@@ -11,8 +11,8 @@ Scoring: a token w after v has probability
 
     BACK * (c(v, w) / c(v)) + (1 - BACK) * (c(w) + 1) / (N + V + 1)
 
-with counts from the filter, c(v, w) bounded by the other two. v is the word before or
-the begin mark; w a word or the end mark. Every word and every pair of the training texts
+with counts from the filter, c(v, w) bounded by the other two; the word term alone, with its
+whole weight, where v does not occur. v is the word before or the begin mark; w a word or the end mark. Every word and every pair of the training texts
 enters, also those that occur once.
 
 The filter is cut by the hash of v into segments of at most SEGMENT_BYTES. One segment
@@ -234,14 +234,23 @@ def _in_filter(grams: DataFrame, parts: int) -> Filter:
     return Filter({r.part: (r.bits, bytes(r.data)) for r in built}, parts)
 
 
-def _scorer(model, first: bool):
+def _pieces(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[list[bytes], list[pa.Array]]]:
+    """Texts in lists of a bounded size, with the columns ``key`` of their rows."""
+    for batch in slices(batches, 512):
+        at = 0
+        for some in in_batches(((t,) for t in batch.column("text").to_pylist()), 0):
+            yield [t for (t,) in some], [batch.column(c).slice(at, len(some)) for c in key]
+            at += len(some)
+
+
+def _scorer(model, key: list[str], first: bool):
     """Sums over the tokens whose context is in the model's segment; the first one also does the base score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         total, distinct = m["tokens"], m["words"]
-        for rows in in_batches(_texts(batches, "row_no"), 0):
-            token, before, counts = tokens([r[0] for r in rows])
+        for rows, kept in _pieces(batches, key):
+            token, before, counts = tokens(rows)
             owner = np.repeat(np.arange(len(rows)), counts)
             mine = segment_of(before, m["segments"]) == m["segment"]
             words, at = np.unique(np.concatenate([token[mine], before[mine]]), return_inverse=True)
@@ -250,8 +259,8 @@ def _scorer(model, first: bool):
             pairs, at = np.unique(pair_hash(before[mine], token[mine]), return_inverse=True)
             c_pair = np.minimum(expected(m["pair_filter"].level(pairs))[at], np.minimum(c_v, c_w))
             follows = np.divide(c_pair, c_v, out=np.zeros(len(c_v)), where=c_v > 0)
-            p = BACK * follows + (1 - BACK) * (c_w + 1) / (total + distinct + 1)
-            columns = [pa.array([r[1] for r in rows], pa.int64()), pa.array(np.bincount(owner[mine], np.log10(p), len(rows)).astype(np.float64))]
+            p = BACK * follows + np.where(c_v > 0, 1 - BACK, 1.0) * (c_w + 1) / (total + distinct + 1)
+            columns = [*kept, pa.array(np.bincount(owner[mine], np.log10(p), len(rows)).astype(np.float64))]
             if first:
                 heads, n = m["head"]
                 at = np.minimum(np.searchsorted(heads, token), len(heads) - 1) if len(heads) else np.zeros(len(token), np.int64)
@@ -269,7 +278,7 @@ def _scorer(model, first: bool):
                     pa.array([t[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int64())),
                     pa.array([times[a:b] for a, b in zip(cut, cut[1:], strict=False)], pa.list_(pa.int64())),
                 ]
-            yield pa.RecordBatch.from_arrays(columns, names=["row_no", "score", *_FIRST][: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, names=[*key, "score", *_FIRST][: len(columns)])
 
     return run
 
@@ -299,13 +308,17 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None, h
         "word_filter": _in_filter(words, max(1, math.ceil(sizes.get(WORD, 0) / BUCKET))),
     }
     rows = packed(docs, keep, text=text_of("text").cast("binary"), row_no=F.monotonically_increasing_id())
+    if segments > 1:  # the passes must agree on the numbers; a single one writes them with its result
+        rows = staged(rows, "texts")
     passes = []
     for k in range(segments):
         pairs = grams.where(F.col("kind") == PAIR).where(F.floor(F.col("gram").bitwiseAND(0xFFFF) * segments / 65536) == k)
         held = model | {"segment": k, "pair_filter": _in_filter(pairs.select("gram", "n"), max(1, math.ceil(sizes.get(PAIR, 0) / segments / BUCKET)))}
-        types = "row_no long, score double" + (f", {_FIRST_TYPES}" if not k else "")
-        run = _scorer(spark.sparkContext.broadcast(held), not k)
-        passes.append(staged(rows.select("text", "row_no").mapInArrow(run, types), "scores"))
+        key = ["row_no"] if k else [ROW, "row_no"]
+        types = "row_no long, score double" if k else f"{ROW} {rows.schema[ROW].dataType.simpleString()}, row_no long, score double, {_FIRST_TYPES}"
+        sent = spark.sparkContext.broadcast(held)
+        passes.append(staged(rows.select("text", *key).mapInArrow(_scorer(sent, key, not k), types), "scores"))
+        sent.unpersist()
     first = passes[0]
     rare = first.select("row_no", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row_no", F.col("x.rare").alias("gram"), F.col("x.times").alias("k"))
     tail = rare.join(real, "gram").groupBy("row_no").agg(
@@ -314,7 +327,7 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None, h
     whole = first.drop("rare", "times")
     for k, more in enumerate(passes[1:]):
         whole = whole.join(more.withColumnRenamed("score", f"score_{k}"), "row_no").withColumn("score", F.col("score") + F.col(f"score_{k}")).drop(f"score_{k}")
-    whole = rows.drop("text").join(whole, "row_no").join(tail, "row_no", "left")
+    whole = whole.join(tail, "row_no", "left")
     n_tokens = F.col("n_tokens")
     return whole.select(
         ROW,
