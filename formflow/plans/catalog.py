@@ -10,9 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from formflow.functions.naming import column_name, table_name
@@ -24,35 +23,35 @@ REGISTRATION_FORM = "IndividualProfile"
 LOCATION_FORM = "Location"
 # table type: (trim kind, name parts, suffix)
 NAMING = {
-    "Individual": ("Registration", ("subject_type_name",), None),
-    "Person": ("Registration", ("subject_type_name",), None),
-    "Household": ("Registration", ("subject_type_name",), None),
-    "Group": ("Registration", ("subject_type_name",), None),
-    "ProgramEnrolment": ("ProgramEnrolment", ("subject_type_name", "program_name"), None),
-    "ProgramExit": ("ProgramEnrolment", ("subject_type_name", "program_name"), "EXIT"),
-    "ProgramEncounter": ("ProgramEncounter", ("subject_type_name", "program_name", "encounter_type_name"), None),
+    "Individual": ("Registration", ("subject",), None),
+    "Person": ("Registration", ("subject",), None),
+    "Household": ("Registration", ("subject",), None),
+    "Group": ("Registration", ("subject",), None),
+    "ProgramEnrolment": ("ProgramEnrolment", ("subject", "program"), None),
+    "ProgramExit": ("ProgramEnrolment", ("subject", "program"), "EXIT"),
+    "ProgramEncounter": ("ProgramEncounter", ("subject", "program", "visit"), None),
     "ProgramEncounterCancellation": (
-        "ProgramEncounter", ("subject_type_name", "program_name", "encounter_type_name"), "CANCEL",
+        "ProgramEncounter", ("subject", "program", "visit"), "CANCEL",
     ),
-    "Encounter": ("Encounter", ("subject_type_name", "encounter_type_name"), None),
-    "IndividualEncounterCancellation": ("Encounter", ("subject_type_name", "encounter_type_name"), "CANCEL"),
+    "Encounter": ("Encounter", ("subject", "visit"), None),
+    "IndividualEncounterCancellation": ("Encounter", ("subject", "visit"), "CANCEL"),
     "ManualProgramEnrolmentEligibility": (
-        "ProgramEligibility", ("subject_type_name", "program_name"), "manual_program_eligibility",
+        "ProgramEligibility", ("subject", "program"), "manual_program_eligibility",
     ),
-    "GroupToMember": ("Registration", ("group_subject_type_name", "member_subject_type_name"), None),
-    "HouseholdToMember": ("Registration", ("group_subject_type_name", "member_subject_type_name"), None),
+    "GroupToMember": ("Registration", ("group", "member"), None),
+    "HouseholdToMember": ("Registration", ("group", "member"), None),
 }
 REPEAT_NAMING = {
-    "IndividualProfile": ("RegistrationRepeatableQuestionGroup", ("subject_type_name", "parent_concept_name")),
+    "IndividualProfile": ("RegistrationRepeatableQuestionGroup", ("subject", "repeat")),
     "Encounter": (
-        "EncounterRepeatableQuestionGroup", ("subject_type_name", "encounter_type_name", "parent_concept_name"),
+        "EncounterRepeatableQuestionGroup", ("subject", "visit", "repeat"),
     ),
     "ProgramEnrolment": (
-        "ProgramEnrolmentRepeatableQuestionGroup", ("subject_type_name", "program_name", "parent_concept_name"),
+        "ProgramEnrolmentRepeatableQuestionGroup", ("subject", "program", "repeat"),
     ),
     "ProgramEncounter": (
         "ProgramEncounterRepeatableQuestionGroup",
-        ("subject_type_name", "program_name", "encounter_type_name", "parent_concept_name"),
+        ("subject", "program", "visit", "repeat"),
     ),
 }
 FIXED_TABLES = (("media", "Media"), ("media_analysis", "MediaAnalysis"), ("sync_telemetry", "SyncTelemetry"), ("users", "User"))
@@ -60,22 +59,10 @@ FIXED_TABLES = (("media", "Media"), ("media_analysis", "MediaAnalysis"), ("sync_
 
 Meta = Mapping[str, DataFrame]
 
-FORM_ROW = (
-    "form_mapping_uuid", "form_uuid", "subject_type_name", "subject_type_uuid", "subject_type_type",
-    "subject_type_allow_middle_name", "table_type", "parent_table_type", "program_uuid",
-    "program_name", "encounter_type_uuid", "encounter_type_name", "concept_name",
-    "parent_concept_name", "concept_id", "parent_concept_id", "concept_uuid",
-    "parent_concept_uuid", "repeat_uuid", "concept_voided", "element_type", "parent_element_type",
-)
 
-
-def _as(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
-    """The named columns under ``<prefix>_<column>``."""
-    return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
-
-
-def _element_type(data_type: Column, element_kind: Column) -> Column:
-    return F.when(data_type == "Coded", element_kind).otherwise(data_type)
+def _answer(data_type: Column, choice: Column) -> Column:
+    """What kind of answer a question takes: of a coded one, whether one or several choices."""
+    return F.when(data_type == "Coded", choice).otherwise(data_type)
 
 
 def _named(meta: Meta, kind: str) -> DataFrame:
@@ -84,32 +71,34 @@ def _named(meta: Meta, kind: str) -> DataFrame:
     return meta[kind].select(F.col("id").alias("key"), "uuid").join(names, "key", "left")
 
 
+def _subjects(meta: Meta) -> DataFrame:
+    """Subject types that have an operational name, as a struct by their key."""
+    shown = meta["operational_subject_type"].select(F.col("subject_type_id").alias("subject_key"), F.col("name").alias("label"))
+    types = meta["subject_type"].withColumnRenamed("id", "subject_key").join(shown, "subject_key")
+    return types.select("subject_key", F.struct("uuid", "type", "allow_middle_name", "label").alias("subject"))
+
+
+def _mapped(meta: Meta) -> DataFrame:
+    """Form mappings that are not voided, each with its form and the keys of what the form is for."""
+    form = meta["form"].select(F.col("id").alias("form_key"), F.struct("uuid", "form_type").alias("form"))
+    live = meta["form_mapping"].where(~F.col("is_voided"))
+    keys = {"mapping": "uuid", "form_key": "form_id", "subject_key": "subject_type_id", "program_key": "entity_id", "encounter_type_key": "observations_type_entity_id"}
+    return live.select(*(F.col(c).alias(k) for k, c in keys.items())).join(form, "form_key")
+
+
+def _registrations(meta: Meta) -> DataFrame:
+    """Which forms register which subject types."""
+    return _mapped(meta).where(F.col("form.form_type") == REGISTRATION_FORM).select("subject_key", "form_key").distinct()
+
+
 def live_mappings(meta: Meta) -> DataFrame:
     """Form mappings in use, each with its form, subject type, program and visit kind as structs.
 
     A mapping to a program or visit kind without an operational name is not in use.
     """
-    shown = meta["operational_subject_type"].select(F.col("subject_type_id").alias("subject_key"), F.col("name").alias("label"))
-    subject = (
-        meta["subject_type"]
-        .withColumnRenamed("id", "subject_key")
-        .join(shown, "subject_key")
-        .select("subject_key", F.struct("uuid", "type", "allow_middle_name", "label").alias("subject"))
-    )
-    form = meta["form"].select(F.col("id").alias("form_key"), F.struct("uuid", "form_type").alias("form"))
-    sides = {
-        name: _named(meta, name).select(F.col("key").alias(f"{name}_key"), F.struct("uuid", "shown").alias(name))
-        for name in ("program", "encounter_type")
-    }
-    mapping = meta["form_mapping"].where(~F.col("is_voided")).select(
-        F.col("uuid").alias("mapping"),
-        F.col("form_id").alias("form_key"),
-        F.col("subject_type_id").alias("subject_key"),
-        F.col("entity_id").alias("program_key"),
-        F.col("observations_type_entity_id").alias("encounter_type_key"),
-    )
-    rows = mapping.join(form, "form_key").join(subject, "subject_key")
-    for name, side in sides.items():
+    rows = _mapped(meta).join(_subjects(meta), "subject_key")
+    for name in ("program", "encounter_type"):
+        side = _named(meta, name).select(F.col("key").alias(f"{name}_key"), F.struct("uuid", "shown").alias(name))
         rows = rows.join(side, f"{name}_key", "left").where(F.col(name).isNull() | F.col(f"{name}.shown").isNotNull())
     return rows
 
@@ -124,48 +113,42 @@ def live_questions(meta: Meta) -> DataFrame:
     live = meta["form_element"].where(~F.col("is_voided"))
     within = live.select(F.col("id").alias("group_id"), F.struct(F.col("concept_id").alias("concept_key"), "type", repeats.alias("repeats")).alias("within"))
     skipped = meta["non_applicable_form_element"].select(F.col("form_element_id").alias("id")).distinct()
-    sections = meta["form_element_group"].select(F.col("id").alias("form_element_group_id"), F.col("form_id").alias("form_key"))
+    sections = meta["form_element_group"].select(
+        F.col("id").alias("form_element_group_id"), F.col("form_id").alias("form_key"), F.coalesce("is_voided", F.lit(False)).alias("section_voided")
+    )
     return (
         live.select("id", "form_element_group_id", "group_id", F.col("concept_id").alias("concept_key"), "type")
         .join(sections, "form_element_group_id")
         .join(within, "group_id", "left")
         .join(skipped.withColumn("skipped", F.lit(True)), "id", "left")
-        .select("form_key", "concept_key", "type", "within", F.coalesce("skipped", F.lit(False)).alias("skipped"))
+        .select("form_key", "section_voided", "concept_key", "type", "within", F.coalesce("skipped", F.lit(False)).alias("skipped"))
     )
 
 
-def _with_concept(rows: DataFrame, concepts: DataFrame, key: str, name: str) -> DataFrame:
-    """``rows`` with the concept of a key as a struct, null if it is not among ``concepts``."""
-    side = concepts.select(F.col("id").alias(f"_{name}"), F.struct("id", "uuid", "name", "data_type", "is_voided").alias(name))
-    return rows.join(side, F.col(key) == F.col(f"_{name}"), "left").drop(f"_{name}")
-
-
-def _concepts(meta: Meta, prefix: str) -> DataFrame:
-    return _as(meta["concept"], prefix, "id", "uuid", "name", "data_type", "is_voided")
-
-
-def _form_row(rows: DataFrame, **fixed: Column) -> DataFrame:
-    """Rows of (mapping, question, group) as the flat columns of ``FORM_ROW``."""
-    out = {
-        "form_mapping_uuid": "mapping",
-        "form_uuid": "form.uuid",
-        "table_type": "form.form_type",
-        "subject_type_name": "subject.label",
-        "program_name": "program.shown.name",
-        "program_uuid": "program.uuid",
-        "encounter_type_name": "encounter_type.shown.name",
-        "encounter_type_uuid": "encounter_type.uuid",
-        "concept_voided": "question.is_voided",
-    }
-    out |= {f"subject_type_{x}": f"subject.{x}" for x in ("uuid", "type", "allow_middle_name")}
-    for prefix, side in (("concept", "question"), ("parent_concept", "parent")):
-        out |= {f"{prefix}_{x}": f"{side}.{x}" for x in ("id", "uuid", "name")}
-    columns = {name: F.col(path) for name, path in out.items()}
-    columns["element_type"] = _element_type(F.col("question.data_type"), F.col("type"))
-    columns["parent_element_type"] = _element_type(F.col("parent.data_type"), F.col("within.type"))
-    none = F.lit(None).cast("string")
-    columns = {"parent_table_type": none, "repeat_uuid": none} | columns | fixed
-    return rows.select(*[columns[name].alias(name) for name in FORM_ROW])
+def _with_concept(rows: DataFrame, concepts: DataFrame, key: str, name: str, choice: str, how: str = "left") -> DataFrame:
+    """``rows`` with the concept of a key as a struct (null if it is not among ``concepts``); ``choice``: the column with the kind of choice."""
+    side = concepts.select(F.col("id").alias(f"_{name}"), F.struct("id", "uuid", "name", "is_voided", "data_type").alias("_found"))
+    found = rows.join(side, F.col(key) == F.col(f"_{name}"), how)
+    answer = _answer(F.col("_found.data_type"), F.col(choice)).alias("answer")
+    whole = F.when(F.col("_found").isNotNull(), F.struct("_found.id", "_found.uuid", "_found.name", F.col("_found.is_voided").alias("voided"), answer))
+    return found.withColumn(name, whole).drop(f"_{name}", "_found")
+
+
+def _table_rows(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Rows of a mapping and a question, in the shape that ``grouped_specs`` gathers by table."""
+    shape = {
+        "mapping": F.col("mapping"),
+        "form": F.col("form.uuid"),
+        "kind": F.col("form.form_type"),
+        "parent_kind": F.lit(None).cast("string"),
+        "subject": F.col("subject"),
+        "program": F.struct("program.uuid", "program.shown.name"),
+        "visit": F.struct("encounter_type.uuid", "encounter_type.shown.name"),
+        "repeat": F.lit(None).cast("struct<uuid:string,name:string>"),
+        "question": F.col("question"),
+        "holder": F.col("holder"),
+    } | columns
+    return rows.select(*(column.alias(name) for name, column in shape.items()))
 
 
 def form_specs(meta: Meta) -> DataFrame:
@@ -176,165 +159,88 @@ def form_specs(meta: Meta) -> DataFrame:
     """
     concepts = meta["concept"]
     answered = concepts.where((F.col("data_type") != "QuestionGroup") & (F.col("uuid") != PLACEHOLDER_CONCEPT))
-    questions = _with_concept(live_questions(meta), answered, "concept_key", "question")
-    questions = _with_concept(questions, concepts, "within.concept_key", "parent")
+    questions = _with_concept(live_questions(meta), answered, "concept_key", "question", "type")
+    questions = _with_concept(questions, concepts, "within.concept_key", "holder", "within.type")
     rows = live_mappings(meta).join(questions, "form_key", "left")
     left_out = F.coalesce("skipped", F.lit(False)) | F.coalesce("within.repeats", F.lit(False))
-    return _form_row(rows.where(~left_out))
+    return _table_rows(rows.where(~left_out))
 
 
 def repeat_specs(meta: Meta) -> DataFrame:
     """One row per (form mapping, repeatable group, question in it)."""
     inside = live_questions(meta).where(~F.col("skipped") & F.col("within.repeats"))
-    inside = _with_concept(inside, meta["concept"], "concept_key", "question")
-    inside = _with_concept(inside, meta["concept"].where("data_type = 'QuestionGroup'"), "within.concept_key", "parent")
-    return _form_row(
+    inside = _with_concept(inside, meta["concept"], "concept_key", "question", "type")
+    inside = _with_concept(inside, meta["concept"].where("data_type = 'QuestionGroup'"), "within.concept_key", "holder", "within.type")
+    return _table_rows(
         live_mappings(meta).join(inside, "form_key"),
-        table_type=F.lit("RepeatableQuestionGroup"),
-        parent_table_type=F.col("form.form_type"),
-        parent_concept_uuid=F.lit(None).cast("string"),
-        repeat_uuid=F.col("parent.uuid"),
+        kind=F.lit("RepeatableQuestionGroup"),
+        parent_kind=F.col("form.form_type"),
+        repeat=F.when(F.col("holder").isNotNull(), F.struct("holder.uuid", "holder.name")),
+        # the group is the table here, so its uuid is no part of the question's address
+        holder=F.col("holder").withField("uuid", F.lit(None).cast("string")),
     )
 
 
-def _first_per(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key, always the one with the lowest question id."""
-    window = Window.partitionBy(*keys).orderBy("concept_id", "concept_uuid")
-    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+def _first_named(rows: DataFrame, *keys: str) -> DataFrame:
+    """One question (its struct) per key and name, always the one with the lowest id."""
+    least = F.min(F.struct("question.id", "question.uuid", "question.answer", "question.voided"))
+    found = rows.groupBy(*keys, F.col("question.name").alias("name")).agg(least.alias("q"))
+    return found.select(*keys, "q.id", "q.uuid", "name", "q.voided", "q.answer")
 
 
 def decision_cols(meta: Meta) -> DataFrame:
     """Questions decided by rules, per form; a name is taken once."""
-    concepts = _concepts(meta, "c")
-    forms = _as(meta["form"], "f", "id", "uuid")
-    rows = (
-        _as(meta["decision_concept"], "dc", "concept_id", "form_id")
-        .join(forms, F.col("dc_form_id") == F.col("f_id"))
-        .join(concepts, F.col("dc_concept_id") == F.col("c_id"))
-        .select(
-            F.col("f_uuid").alias("form_uuid"),
-            F.col("c_id").alias("concept_id"),
-            F.col("c_uuid").alias("concept_uuid"),
-            F.col("c_name").alias("concept_name"),
-            F.col("c_is_voided").alias("concept_voided"),
-            _element_type(F.col("c_data_type"), F.lit("MultiSelect")).alias("element_type"),
-        )
-    )
-    return _first_per(rows, ["form_uuid", "concept_name"])
+    forms = meta["form"].select(F.col("id").alias("form_id"), F.col("uuid").alias("form"))
+    decided = meta["decision_concept"].join(forms, "form_id").select("form", "concept_id", F.lit("MultiSelect").alias("type"))
+    return _first_named(_with_concept(decided, meta["concept"], "concept_id", "question", "type", "inner"), "form")
 
 
 def sync_attr_cols(meta: Meta) -> DataFrame:
-    """Questions of registration forms that drive synchronisation."""
-    mapping = meta["form_mapping"].where(~F.col("is_voided"))
-    types = meta["subject_type"].select(
-        F.col("id").alias("st_id"),
-        F.explode(
-            F.array(
-                F.struct(F.lit("sync1").alias("role"), F.col("sync_registration_concept_1").alias("uuid")),
-                F.struct(F.lit("sync2").alias("role"), F.col("sync_registration_concept_2").alias("uuid")),
-            )
-        ).alias("sync"),
+    """Questions of registration forms whose answers decide what a device synchronises, by role; a name is taken once."""
+    wanted = meta["subject_type"].select(
+        F.col("id").alias("subject_key"), *(F.col(f"sync_registration_concept_{i}").alias(f"sync{i}") for i in (1, 2))
     )
-    forms = meta["form"].where(F.col("form_type") == REGISTRATION_FORM)
-    groups = meta["form_element_group"].where(~F.coalesce("is_voided", F.lit(False)))
-    elements = meta["form_element"].where(~F.col("is_voided"))
-    rows = (
-        _as(mapping, "fm", "form_id", "subject_type_id")
-        .join(types.where(F.col("sync.uuid").isNotNull()), F.col("fm_subject_type_id") == F.col("st_id"))
-        .join(_as(forms, "f", "id"), F.col("fm_form_id") == F.col("f_id"))
-        .join(_as(groups, "feg", "id", "form_id"), F.col("feg_form_id") == F.col("f_id"))
-        .join(
-            _as(elements, "fe", "form_element_group_id", "concept_id", "type"),
-            F.col("fe_form_element_group_id") == F.col("feg_id"),
-        )
-        .join(_concepts(meta, "c"), (F.col("fe_concept_id") == F.col("c_id")) & (F.col("sync.uuid") == F.col("c_uuid")))
-        .select(
-            F.col("sync.role").alias("role"),
-            F.col("c_id").alias("concept_id"),
-            F.col("c_uuid").alias("concept_uuid"),
-            F.col("c_name").alias("concept_name"),
-            _element_type(F.col("c_data_type"), F.col("fe_type")).alias("element_type"),
-        )
-    )
-    return _first_per(rows, ["role", "concept_name"])
+    asked = live_questions(meta).where(~F.col("section_voided")).select("form_key", "concept_key", "type")
+    asked = _with_concept(asked, meta["concept"], "concept_key", "question", "type", "inner")
+    rows = _registrations(meta).join(wanted, "subject_key").join(asked, "form_key")
+    roles = F.array_compact(F.array(*(F.when(F.col("question.uuid") == F.col(f"sync{i}"), F.lit(f"sync{i}")) for i in (1, 2))))
+    return _first_named(rows.withColumn("role", F.explode(roles)), "role")
 
 
 def membership_specs(meta: Meta) -> DataFrame:
-    """One row per (group type, member type) of registered group types."""
-    mapping = meta["form_mapping"].where(~F.col("is_voided"))
-    forms = meta["form"].where(F.col("form_type") == REGISTRATION_FORM)
-    group_types = meta["subject_type"].where(F.col("type").isin("Group", "Household"))
-    names = _as(meta["operational_subject_type"], "ost", "subject_type_id", "name")
-    member_names = names.withColumnsRenamed({c: f"m{c}" for c in names.columns})
+    """The pairs of a group type and a member type of its roles, for group types that a live form registers."""
+    pairs = meta["group_role"].select(F.col("group_subject_type_id").alias("subject_key"), "member_subject_type_id").distinct()
+    groups = _subjects(meta).where(F.col("subject.type").isin("Group", "Household")).join(_registrations(meta), "subject_key", "left_semi")
+    members = _subjects(meta).select(F.col("subject_key").alias("member_subject_type_id"), F.col("subject").alias("member"))
     return (
-        _as(mapping, "fm", "form_id", "subject_type_id")
-        .join(_as(forms, "f", "id"), F.col("fm_form_id") == F.col("f_id"))
-        .join(_as(group_types, "st", "id", "uuid", "type"), F.col("fm_subject_type_id") == F.col("st_id"))
-        .join(names, F.col("st_id") == F.col("ost_subject_type_id"))
-        .join(
-            _as(meta["group_role"], "gr", "group_subject_type_id", "member_subject_type_id"),
-            F.col("gr_group_subject_type_id") == F.col("st_id"),
-        )
-        .join(_as(meta["subject_type"], "mst", "id", "uuid"), F.col("gr_member_subject_type_id") == F.col("mst_id"))
-        .join(member_names, F.col("mst_id") == F.col("most_subject_type_id"))
+        pairs.join(groups, "subject_key")
+        .join(members, "member_subject_type_id")
         .select(
-            F.when(F.col("st_type") == "Group", "GroupToMember").otherwise("HouseholdToMember").alias("table_type"),
-            F.col("st_uuid").alias("group_subject_type_uuid"),
-            F.col("ost_name").alias("group_subject_type_name"),
-            F.col("mst_uuid").alias("member_subject_type_uuid"),
-            F.col("most_name").alias("member_subject_type_name"),
+            F.concat("subject.type", F.lit("ToMember")).alias("kind"),
+            F.col("subject.uuid").alias("group_uuid"),
+            F.col("subject.label").alias("group"),
+            F.col("member.uuid").alias("member_uuid"),
+            F.col("member.label").alias("member"),
         )
         .distinct()
     )
 
 
 def address_spec_rows(meta: Meta) -> DataFrame:
-    """Columns of the address table: levels, then location questions."""
-    levels = meta["address_level_type"].where(~F.col("is_voided")).select(
-        F.lit("level").alias("kind"),
-        F.col("name").alias("concept_name"),
-        F.lit(None).cast("bigint").alias("concept_id"),
-        F.lit(None).cast("string").alias("concept_uuid"),
-        F.lit(None).cast("string").alias("element_type"),
+    """What the address table has columns for: live levels, and questions of live location forms."""
+    levels = meta["address_level_type"].where(~F.col("is_voided")).select("name").distinct()
+    location = meta["form"].where((F.col("form_type") == LOCATION_FORM) & ~F.col("is_voided")).select(F.col("id").alias("form_key"))
+    asked = live_questions(meta).join(location, "form_key", "left_semi").select("concept_key", "type")
+    questions = _with_concept(asked, meta["concept"], "concept_key", "question", "type", "inner").select(
+        "question.name", "question.id", "question.uuid", "question.answer"
     )
-    forms = meta["form"].where((F.col("form_type") == LOCATION_FORM) & ~F.col("is_voided"))
-    elements = meta["form_element"].where(~F.col("is_voided"))
-    questions = (
-        _as(forms, "f", "id")
-        .join(_as(meta["form_element_group"], "feg", "id", "form_id"), F.col("f_id") == F.col("feg_form_id"))
-        .join(
-            _as(elements, "fe", "form_element_group_id", "concept_id", "type"),
-            F.col("feg_id") == F.col("fe_form_element_group_id"),
-        )
-        .join(_concepts(meta, "c"), F.col("fe_concept_id") == F.col("c_id"))
-        .select(
-            F.lit("question").alias("kind"),
-            F.col("c_name").alias("concept_name"),
-            F.col("c_id").cast("bigint").alias("concept_id"),
-            F.col("c_uuid").alias("concept_uuid"),
-            _element_type(F.col("c_data_type"), F.col("fe_type")).alias("element_type"),
-        )
-    )
-    return levels.unionByName(questions).distinct()
+    return levels.withColumn("level", F.lit(True)).unionByName(questions.distinct().withColumn("level", F.lit(False)), allowMissingColumns=True)
 
 
 def user_subject_specs(meta: Meta) -> DataFrame:
-    """User-typed subject types without a registration form."""
-    registration = meta["form"].where(F.col("form_type") == REGISTRATION_FORM).select(F.col("id").alias("form_id"))
-    registered = (
-        meta["form_mapping"]
-        .where(~F.col("is_voided"))
-        .join(registration, "form_id", "left_semi")
-        .select(F.col("subject_type_id").alias("id"))
-    )
-    users = meta["subject_type"].where(F.col("type") == "User").join(registered, "id", "left_anti")
-    names = meta["operational_subject_type"].select(F.col("subject_type_id").alias("id"), "name")
-    return (
-        users.select("id", "uuid")
-        .join(names, "id")
-        .select(F.col("name").alias("subject_type_name"), F.col("uuid").alias("subject_type_uuid"))
-        .distinct()
-    )
+    """Subject types for users that no live form registers."""
+    users = _subjects(meta).where(F.col("subject.type") == "User")
+    return users.join(_registrations(meta), "subject_key", "left_anti").select("subject.uuid", "subject.label").distinct()
 
 
 def type_names(meta: Meta) -> DataFrame:
@@ -361,79 +267,67 @@ def sync_concepts(meta: Meta) -> DataFrame:
 
 
 def grouped_specs(rows: DataFrame) -> DataFrame:
-    """Question rows gathered per table: form mapping, or mapping and group.
+    """Rows of ``form_specs`` or ``repeat_specs`` gathered to one row per table: what the table is for, and its
+    ``questions`` in order of their ids, each with the group that holds it.
 
-    Column names: a question inside a group is ``<group> <question>``, a
-    question of a repeatable group keeps its own name.
+    ``title`` is the name a question's column is made from: with the group's name before
+    it, but for questions of a repeatable group.
     """
-    inside = F.col("parent_concept_name").isNotNull() & (F.col("table_type") != "RepeatableQuestionGroup")
-    name = F.when(inside, F.concat_ws(" ", "parent_concept_name", "concept_name")).otherwise(F.col("concept_name"))
-    keys = ["form_mapping_uuid", "repeat_uuid", "table_type", "form_uuid", "subject_type_uuid", "program_uuid", "encounter_type_uuid"]
-    column = F.struct(name.alias("name"), "concept_uuid", "parent_concept_uuid", "element_type")
-    return (
-        rows.groupBy(*keys)
-        .agg(F.array_sort(F.collect_set(F.when(F.col("concept_id").isNotNull(), column))).alias("columns"))
-        .withColumn("column_count", F.size("columns"))
+    inside = F.col("holder").isNotNull() & (F.col("kind") != "RepeatableQuestionGroup")
+    title = F.when(inside, F.concat_ws(" ", "holder.name", "question.name")).otherwise(F.col("question.name"))
+    question = F.struct(
+        F.col("question.id").alias("id"),
+        F.coalesce("holder.id", F.lit(0)).alias("holder_id"),
+        title.alias("title"),
+        F.col("question.uuid").alias("uuid"),
+        F.col("question.answer").alias("answer"),
+        F.col("holder.uuid").alias("holder_uuid"),
+        F.col("holder.name").alias("holder"),
+        F.coalesce("question.voided", F.lit(False)).alias("voided"),
     )
+    keys = ["mapping", "form", "kind", "parent_kind", "subject", "program", "visit", "repeat"]
+    return rows.groupBy(*keys).agg(F.array_sort(F.collect_set(F.when(F.col("question").isNotNull(), question))).alias("questions"))
 
 
 # --- driver side: a plan per table -------------------------------------------
 
 
-def _table_type(row: Row) -> str:
-    return row["subject_type_type"] if row["table_type"] == REGISTRATION_FORM else row["table_type"]
-
-
-def _question(row: Row) -> ColumnSpec:
-    inside = row["parent_concept_name"] is not None and row["table_type"] != "RepeatableQuestionGroup"
-    return answer_column(
-        f"{row['parent_concept_name']} {row['concept_name']}" if inside else row["concept_name"],
-        row["concept_id"],
-        row["element_type"],
-        row["concept_uuid"],
-        row["parent_concept_uuid"],
-        row["parent_concept_name"],
-        bool(row["concept_voided"]),
-    )
-
-
-def _form_table(rows: list[Row]) -> TableSpec | None:
-    """The spec of one table from its question rows; None if unsupported."""
-    head = rows[0]
-    type_ = _table_type(head)
+def _form_table(row: Row) -> TableSpec | None:
+    """The spec of one table of ``grouped_specs``; None if unsupported."""
+    type_ = row["subject"]["type"] if row["kind"] == REGISTRATION_FORM else row["kind"]
+    names = {"subject": row["subject"]["label"], "program": row["program"]["name"], "visit": row["visit"]["name"]}
+    suffix = None
     if type_ == "RepeatableQuestionGroup":
-        kind, parts = REPEAT_NAMING[head["parent_table_type"]]
-        suffix = None
-        columns = base_columns(f"{type_}/{head['parent_table_type']}")
+        kind, parts = REPEAT_NAMING[row["parent_kind"]]
+        names["repeat"] = row["repeat"] and row["repeat"]["name"]
+        columns = base_columns(f"{type_}/{row['parent_kind']}")
     elif type_ in NAMING:
         kind, parts, suffix = NAMING[type_]
         columns = base_columns(type_)
-        if type_ == "Person" and head["subject_type_allow_middle_name"]:
+        if type_ == "Person" and row["subject"]["allow_middle_name"]:
             columns += (ColumnSpec("middle_name", "text"),)
     else:
         return None
     seen: dict[str, ColumnSpec] = {}
-    for row in sorted((r for r in rows if r["concept_id"] is not None), key=lambda r: (r["concept_id"], r["parent_concept_id"] or 0)):
-        column = _question(row)
+    for q in row["questions"]:
+        column = answer_column(q["title"], q["id"], q["answer"], q["uuid"], q["holder_uuid"], q["holder"], q["voided"])
         seen.setdefault(column.name, column)
     return TableSpec(
-        name=table_name([head[p] for p in parts], kind, suffix),
+        name=table_name([names[p] for p in parts], kind, suffix),
         type=type_,
-        subject_type_uuid=head["subject_type_uuid"],
-        program_uuid=head["program_uuid"],
-        encounter_type_uuid=head["encounter_type_uuid"],
-        form_uuid=head["form_uuid"],
-        repeat_uuid=head["repeat_uuid"],
+        subject_type_uuid=row["subject"]["uuid"],
+        program_uuid=row["program"]["uuid"],
+        encounter_type_uuid=row["visit"]["uuid"],
+        form_uuid=row["form"],
+        repeat_uuid=row["repeat"] and row["repeat"]["uuid"],
         columns=columns + tuple(seen.values()),
     )
 
 
 def to_specs(rows: DataFrame) -> list[TableSpec]:
-    """Specs of the tables in ``form_specs`` or ``repeat_specs`` rows."""
-    key = lambda r: (r["form_mapping_uuid"], r["repeat_uuid"] or "")
-    collected = sorted(rows.distinct().collect(), key=key)
-    tables = (_form_table(list(group)) for _, group in groupby(collected, key))
-    return [t for t in tables if t is not None]
+    """Specs of the tables in ``form_specs`` or ``repeat_specs`` rows; one row a table comes to the driver."""
+    found = sorted(grouped_specs(rows).collect(), key=lambda r: (r["mapping"], (r["repeat"] and r["repeat"]["uuid"]) or ""))
+    return [t for t in map(_form_table, found) if t is not None]
 
 
 def _plus(spec: TableSpec, extra: Sequence[ColumnSpec]) -> TableSpec:
@@ -446,14 +340,18 @@ def fixed_specs() -> list[TableSpec]:
     return [TableSpec(name=name, type=type_, columns=base_columns(type_)) for name, type_ in FIXED_TABLES]
 
 
+def _asked(row: Row, **how) -> ColumnSpec:
+    return answer_column(row["name"], row["id"], row["answer"], row["uuid"], **how)
+
+
 def address_spec(meta: Meta) -> TableSpec:
     rows = address_spec_rows(meta).collect()
-    levels = sorted(r["concept_name"] for r in rows if r["kind"] == "level")
-    questions = sorted((r for r in rows if r["kind"] == "question"), key=lambda r: r["concept_id"])
+    levels = sorted(r["name"] for r in rows if r["level"])
+    questions = sorted((r for r in rows if not r["level"]), key=lambda r: r["id"])
     columns = [ColumnSpec(column_name(n), "text") for n in levels]
     columns += [ColumnSpec(column_name(f"{n} id"), "integer") for n in levels]
     columns += base_columns("Address")
-    columns += [answer_column(r["concept_name"], r["concept_id"], r["element_type"], r["concept_uuid"]) for r in questions]
+    columns += [_asked(r) for r in questions]
     return TableSpec(name="address", type="Address", columns=tuple(columns))
 
 
@@ -466,8 +364,8 @@ def derive_specs(meta: Meta) -> list[TableSpec]:
         "forms": lambda: to_specs(form_specs(meta)),
         "repeats": lambda: to_specs(repeat_specs(meta)),
         "users": lambda: user_subject_specs(meta).collect(),
-        "decisions": lambda: decision_cols(meta).orderBy("concept_id").collect(),
-        "sync": lambda: sync_attr_cols(meta).orderBy("role", "concept_id").collect(),
+        "decisions": lambda: decision_cols(meta).orderBy("id").collect(),
+        "sync": lambda: sync_attr_cols(meta).orderBy("role", "id").collect(),
         "members": lambda: membership_specs(meta).collect(),
         "address": lambda: address_spec(meta),
     }
@@ -475,33 +373,22 @@ def derive_specs(meta: Meta) -> list[TableSpec]:
         found = dict(zip(parts, pool.map(lambda part: part(), parts.values())))
 
     forms = found["forms"] + [
-        TableSpec(
-            name=table_name([row["subject_type_name"]], REGISTRATION_FORM),
-            type="User",
-            subject_type_uuid=row["subject_type_uuid"],
-            columns=base_columns("UserSubject"),
-        )
-        for row in found["users"]
+        TableSpec(name=table_name([r["label"]], REGISTRATION_FORM), type="User", subject_type_uuid=r["uuid"], columns=base_columns("UserSubject"))
+        for r in found["users"]
     ]
     decisions: dict[str, list[ColumnSpec]] = {}
     for r in found["decisions"]:
-        column = answer_column(
-            r["concept_name"], r["concept_id"], r["element_type"], r["concept_uuid"], voided=bool(r["concept_voided"])
-        )
-        decisions.setdefault(r["form_uuid"], []).append(column)
-    sync = [
-        answer_column(r["concept_name"], r["concept_id"], r["element_type"], r["concept_uuid"], role=r["role"])
-        for r in found["sync"]
-    ]
+        decisions.setdefault(r["form"], []).append(_asked(r, voided=bool(r["voided"])))
+    sync = [_asked(r, role=r["role"]) for r in found["sync"]]
     forms = [_plus(t, decisions.get(t.form_uuid, [])) for t in forms]
     forms = [t if t.type in SUBJECT_TYPES or t.is_user_subject else _plus(t, sync) for t in forms]
     members = [
         TableSpec(
-            name=table_name([r["group_subject_type_name"], r["member_subject_type_name"]], "Registration"),
-            type=r["table_type"],
-            group_subject_type_uuid=r["group_subject_type_uuid"],
-            member_subject_type_uuid=r["member_subject_type_uuid"],
-            columns=base_columns(r["table_type"]),
+            name=table_name([r["group"], r["member"]], "Registration"),
+            type=r["kind"],
+            group_subject_type_uuid=r["group_uuid"],
+            member_subject_type_uuid=r["member_uuid"],
+            columns=base_columns(r["kind"]),
         )
         for r in found["members"]
     ]

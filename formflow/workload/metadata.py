@@ -37,20 +37,29 @@ _FORMS = """with usage as (
 )"""
 
 
-def _form_select(table: str, parent_table: str, parent_uuid: str, repeat: str) -> str:
-    typed = "case {0}.data_type when 'Coded' then {1} else {0}.data_type end"
+def _form_select(kind: str, parent_kind: str, holder_uuid: str, repeat: str) -> str:
+    """Table rows with their structs spread out."""
+    answer = "case {0}.data_type when 'Coded' then {1} else {0}.data_type end"
     columns = {
-        "form_mapping_uuid": "u.mapping", "form_uuid": "u.form_uuid", "table_type": table, "parent_table_type": parent_table,
-        "subject_type_uuid": "u.subject_uuid", "subject_type_type": "u.subject_kind", "subject_type_name": "u.subject_label",
-        "subject_type_allow_middle_name": "u.middle", "program_uuid": "u.plan_uuid", "program_name": "u.plan_name",
-        "encounter_type_uuid": "u.visit_uuid", "encounter_type_name": "u.visit_name", "concept_id": "own.id", "concept_uuid": "own.uuid",
-        "concept_name": "own.name", "concept_voided": "own.is_voided", "parent_concept_id": "outer_one.id", "parent_concept_name": "outer_one.name",
-        "parent_concept_uuid": parent_uuid, "repeat_uuid": repeat, "element_type": typed.format("own", "q.type"),
-        "parent_element_type": typed.format("outer_one", "q.holder_type"),
+        "mapping": "u.mapping", "form": "u.form_uuid", "kind": kind, "parent_kind": parent_kind, "subject_uuid": "u.subject_uuid",
+        "subject_type": "u.subject_kind", "subject_label": "u.subject_label", "subject_middle": "u.middle", "program_uuid": "u.plan_uuid",
+        "program_name": "u.plan_name", "visit_uuid": "u.visit_uuid", "visit_name": "u.visit_name", "repeat_uuid": repeat,
+        "question_id": "own.id", "question_uuid": "own.uuid", "question_name": "own.name", "question_voided": "own.is_voided",
+        "question_answer": answer.format("own", "q.type"), "holder_id": "outer_one.id", "holder_uuid": holder_uuid,
+        "holder_name": "outer_one.name", "holder_answer": answer.format("outer_one", "q.holder_type"),
     }
     return "select " + ", ".join(f"{value} as {name}" for name, value in columns.items())
 
 
+def _spread(rows):
+    columns = {"subject_middle": "subject.allow_middle_name"}
+    columns |= {f"subject_{c}": f"subject.{c}" for c in ("uuid", "type", "label")} | {"repeat_uuid": "repeat.uuid"}
+    columns |= {f"{side}_{c}": f"{side}.{c}" for side in ("program", "visit") for c in ("uuid", "name")}
+    columns |= {f"question_{c}": f"question.{c}" for c in ("id", "uuid", "name", "voided", "answer")}
+    columns |= {f"holder_{c}": f"holder.{c}" for c in ("id", "uuid", "name", "answer")}
+    return rows.select("mapping", "form", "kind", "parent_kind", *(F.col(path).alias(name) for name, path in columns.items()))
+
+
 _NO_TEXT = "cast(null as varchar)"
 FORM_SQL = f"""{_FORMS}
 {_form_select("u.kind", _NO_TEXT, "outer_one.uuid", _NO_TEXT)}
@@ -58,12 +67,12 @@ from usage u left join questions q using (form_key)
 left join m_concept own on own.id = q.concept_id and own.data_type <> 'QuestionGroup'
 left join m_concept outer_one on outer_one.id = q.holder_concept
 where case when q.form_key is null then u.form_key not in (select form_key from has_questions) else not q.repeats end"""
-QUERIES["m1_form_specs"] = lambda spark, sf_dir: catalog.form_specs(metadata(spark, sf_dir))
+QUERIES["m1_form_specs"] = lambda spark, sf_dir: _spread(catalog.form_specs(metadata(spark, sf_dir)))
 # a live form of the data always has live elements, and an element group
 # without any gives no row of its own here
 ORACLE["m1_form_specs"] = with_bindings(_NAMES, FORM_SQL)
 
-QUERIES["m2_repeat_specs"] = lambda spark, sf_dir: catalog.repeat_specs(metadata(spark, sf_dir))
+QUERIES["m2_repeat_specs"] = lambda spark, sf_dir: _spread(catalog.repeat_specs(metadata(spark, sf_dir)))
 ORACLE["m2_repeat_specs"] = with_bindings(
     _NAMES,
     f"""{_FORMS}
@@ -76,84 +85,100 @@ where q.repeats""",
 QUERIES["m3_decision_cols"] = lambda spark, sf_dir: catalog.decision_cols(metadata(spark, sf_dir))
 ORACLE["m3_decision_cols"] = with_bindings(
     ["m_decision_concept", "m_concept", "m_form"],
-    """select f.uuid as form_uuid, c.id as concept_id, c.uuid as concept_uuid, c.name as concept_name, c.is_voided as concept_voided,
-              case when c.data_type = 'Coded' then 'MultiSelect' else c.data_type end as element_type
-       from m_decision_concept dc join m_concept c on c.id = dc.concept_id join m_form f on f.id = dc.form_id
-       qualify row_number() over (partition by f.uuid, c.name order by c.id) = 1""",
+    """with decided as (
+           select (select uuid from m_form where id = d.form_id) as form, unnest(list(d.concept_id)) as id from m_decision_concept d group by d.form_id
+       )
+       select form, id, uuid, name, is_voided as voided, if(data_type = 'Coded', 'MultiSelect', data_type) as answer
+       from decided join m_concept using (id) where form is not null qualify id = min(id) over (partition by form, name)""",
 )
 
+#: Which subject types a live form registers, and each subject type under its operational name.
+_REGISTERED = """registered as (
+    select distinct subject_type_id as id, form_id from m_form_mapping
+    where is_voided = false and form_id in (select id from m_form where form_type = 'IndividualProfile')
+), kinds as (
+    select id, uuid, type, label from m_subject_type
+    join (select subject_type_id as id, name as label from m_operational_subject_type) using (id)
+)"""
+
 QUERIES["m4_sync_attr_cols"] = lambda spark, sf_dir: catalog.sync_attr_cols(metadata(spark, sf_dir))
-_SYNC = """select {0} as role, c.id as concept_id, c.uuid as concept_uuid, c.name as concept_name,
-              case when c.data_type = 'Coded' then fe.type else c.data_type end as element_type
-       from m_form_mapping fm join m_subject_type st on st.id = fm.subject_type_id join m_form f on f.id = fm.form_id
-       join m_form_element_group feg on feg.form_id = f.id and not feg.is_voided
-       join m_form_element fe on fe.form_element_group_id = feg.id and not fe.is_voided
-       join m_concept c on c.uuid = st.{1} and c.id = fe.concept_id where not fm.is_voided and f.form_type = 'IndividualProfile'"""
 ORACLE["m4_sync_attr_cols"] = with_bindings(
-    ["m_form_mapping", "m_subject_type", "m_form", "m_form_element_group", "m_form_element", "m_concept"],
-    f"""select distinct on (role, concept_name) * from ({_SYNC.format("'sync1'", 'sync_registration_concept_1')} union
-        {_SYNC.format("'sync2'", 'sync_registration_concept_2')}) x order by role, concept_name, concept_id, element_type""",
+    ["m_form_mapping", "m_subject_type", "m_operational_subject_type", "m_form", "m_form_element_group", "m_form_element", "m_concept"],
+    f"""with {_REGISTERED}, roles as (
+           select id, unnest([{{'role': 'sync1', 'uuid': sync_registration_concept_1}}, {{'role': 'sync2', 'uuid': sync_registration_concept_2}}], recursive := true)
+           from m_subject_type
+       ), asked as (
+           select form_id, concept_id, type from (select * from m_form_element where is_voided = false)
+           join (select id as form_element_group_id, form_id from m_form_element_group where is_voided = false) using (form_element_group_id)
+       )
+       select role, q.id, q.uuid, q.name, first(q.is_voided) as voided, min(if(q.data_type = 'Coded', asked.type, q.data_type)) as answer
+       from registered join roles using (id) join asked using (form_id) join m_concept q on q.id = asked.concept_id
+       where q.uuid = roles.uuid group by role, q.id, q.uuid, q.name qualify q.id = min(q.id) over (partition by role, q.name)""",
 )
 
 QUERIES["m5_membership_specs"] = lambda spark, sf_dir: catalog.membership_specs(metadata(spark, sf_dir))
 ORACLE["m5_membership_specs"] = with_bindings(
     ["m_form_mapping", "m_form", "m_subject_type", "m_operational_subject_type", "group_role"],
-    """select distinct case when st.type = 'Group' then 'GroupToMember' else 'HouseholdToMember' end as table_type, st.uuid as group_subject_type_uuid,
-              ost.name as group_subject_type_name, mst.uuid as member_subject_type_uuid, most.name as member_subject_type_name
-       from m_form_mapping fm join m_form f on f.id = fm.form_id join m_subject_type st on st.id = fm.subject_type_id
-       join m_operational_subject_type ost on ost.subject_type_id = st.id join group_role gr on gr.group_subject_type_id = st.id
-       join m_subject_type mst on mst.id = gr.member_subject_type_id join m_operational_subject_type most on most.subject_type_id = mst.id
-       where not fm.is_voided and f.form_type = 'IndividualProfile' and st.type in ('Group', 'Household')""",
+    f"""with {_REGISTERED}, pairs as (select distinct group_subject_type_id as whole, member_subject_type_id as part from group_role)
+       select distinct if(g.type = 'Group', 'GroupToMember', 'HouseholdToMember') as kind, g.uuid as group_uuid, g.label as "group",
+           m.uuid as member_uuid, m.label as member
+       from pairs, kinds g, kinds m
+       where g.id = whole and m.id = part and g.type in ('Group', 'Household') and whole in (select id from registered)""",
 )
 
 QUERIES["m6_address_spec"] = lambda spark, sf_dir: catalog.address_spec_rows(metadata(spark, sf_dir))
 ORACLE["m6_address_spec"] = with_bindings(
     ["address_level_type", "m_form", "m_form_element_group", "m_form_element", "m_concept"],
-    """select 'level' as kind, name as concept_name, cast(null as bigint) as concept_id, cast(null as varchar) as concept_uuid, cast(null as varchar) as element_type
-       from address_level_type where not is_voided
-       union select 'question', c.name, c.id, c.uuid, case when c.data_type = 'Coded' then fe.type else c.data_type end
-       from m_form f join m_form_element_group feg on feg.form_id = f.id join m_form_element fe on fe.form_element_group_id = feg.id and not fe.is_voided
-       join m_concept c on c.id = fe.concept_id where f.form_type = 'Location' and not f.is_voided""",
+    """with sections as (
+           select id from m_form_element_group where form_id in (select id from m_form where form_type = 'Location' and is_voided = false)
+       ), asked as (
+           select distinct concept_id as id, type from m_form_element where is_voided = false and form_element_group_id in (select id from sections)
+       )
+       select distinct name, true as level, cast(null as bigint) as id, cast(null as varchar) as uuid, cast(null as varchar) as answer
+       from address_level_type where is_voided = false
+       union all
+       select distinct name, false, id, uuid, if(data_type = 'Coded', asked.type, data_type) from m_concept join asked using (id)""",
 )
 
 QUERIES["m7_user_subject_specs"] = lambda spark, sf_dir: catalog.user_subject_specs(metadata(spark, sf_dir))
 ORACLE["m7_user_subject_specs"] = with_bindings(
     ["m_form_mapping", "m_form", "m_subject_type", "m_operational_subject_type"],
-    """select distinct ost.name as subject_type_name, st.uuid as subject_type_uuid from m_operational_subject_type ost
-       join m_subject_type st on st.id = ost.subject_type_id where st.type = 'User' and st.id not in (
-         select fm.subject_type_id from m_form_mapping fm join m_form f on f.id = fm.form_id where not fm.is_voided and f.form_type = 'IndividualProfile')""",
+    f"""with {_REGISTERED} select distinct uuid, label from kinds anti join registered using (id) where type = 'User'""",
 )
 
-_GROUP_KEYS = "form_mapping_uuid, repeat_uuid, table_type, form_uuid, subject_type_uuid, program_uuid, encounter_type_uuid"
-
 
 def _grouped(spark, sf_dir):
+    """The tables that ``to_specs`` makes its plans from."""
     rows = catalog.grouped_specs(catalog.form_specs(metadata(spark, sf_dir)))
-    names = F.transform("columns", lambda c: F.concat_ws("|", c["name"], c["concept_uuid"], c["parent_concept_uuid"], c["element_type"]))
-    return rows.withColumn("columns", F.array_join(F.array_sort(names), ";"))
+    names = F.transform("questions", lambda q: F.concat_ws("|", q["title"], q["uuid"], q["holder_uuid"], q["answer"]))
+    return rows.select(
+        "mapping", "form", "kind", F.col("subject.uuid").alias("subject_uuid"), F.col("program.uuid").alias("program_uuid"),
+        F.col("visit.uuid").alias("visit_uuid"), F.array_join(F.array_sort(names), ";").alias("columns"), F.size("questions").alias("column_count"),
+    )
 
 
 QUERIES["m8_grouped_specs"] = _grouped
 ORACLE["m8_grouped_specs"] = with_bindings(
     _NAMES,
-    f"""with r as ({FORM_SQL}), c as (select distinct {_GROUP_KEYS}, case when concept_id is not null then concat_ws('|',
-             case when parent_concept_name is not null then parent_concept_name || ' ' || concept_name else concept_name end,
-             concept_uuid, parent_concept_uuid, element_type) end as col from r)
-        select {_GROUP_KEYS}, coalesce(string_agg(col, ';' order by col), '') as columns, cast(count(col) as int) as column_count from c group by all""",
+    f"""with r as ({FORM_SQL}), c as (select distinct mapping, form, kind, subject_uuid, program_uuid, visit_uuid, question_id, holder_id,
+             case when question_id is not null then concat_ws('|', case when holder_name is not null then holder_name || ' ' || question_name
+             else question_name end, question_uuid, holder_uuid, question_answer) end as col from r)
+        select mapping, form, kind, subject_uuid, program_uuid, visit_uuid, coalesce(string_agg(col, ';' order by col), '') as columns,
+            cast(count(col) as int) as column_count from c group by all""",
 )
 
 
 # --- diff: the specs of the data against an edited copy ---------------------------
-_SPEC = """select 'T-' || form_mapping_uuid as table_name, case when table_type = 'IndividualProfile' then 'Person' else table_type end as type,
-    form_mapping_uuid as subject_type_uuid, program_uuid, encounter_type_uuid, form_uuid, cast(null as {0}) as group_subject_type_uuid,
-    cast(null as {0}) as member_subject_type_uuid, cast(null as {0}) as repeat_uuid, concept_name || ' ' || cast(concept_id as {0}) as column_name,
-    case element_type when 'Numeric' then 'numeric' when 'Date' then 'date' when 'ImageV2' then 'jsonb' else 'text' end as column_type,
-    concept_id, element_type as concept_type, concept_uuid, parent_concept_uuid as parent_uuid, parent_concept_name as parent_name, concept_voided as voided
-    from {1} where concept_id is not null"""
+_SPEC = """select 'T-' || mapping as table_name, case when kind = 'IndividualProfile' then 'Person' else kind end as type,
+    mapping as subject_type_uuid, program_uuid, visit_uuid as encounter_type_uuid, form as form_uuid, cast(null as {0}) as group_subject_type_uuid,
+    cast(null as {0}) as member_subject_type_uuid, cast(null as {0}) as repeat_uuid, question_name || ' ' || cast(question_id as {0}) as column_name,
+    case question_answer when 'Numeric' then 'numeric' when 'Date' then 'date' when 'ImageV2' then 'jsonb' else 'text' end as column_type,
+    question_id as concept_id, question_answer as concept_type, question_uuid as concept_uuid, holder_uuid as parent_uuid,
+    holder_name as parent_name, question_voided as voided from {1} where question_id is not null"""
 
 
 def _specs(spark, sf_dir):
-    rows = catalog.form_specs(metadata(spark, sf_dir))
+    rows = _spread(catalog.form_specs(metadata(spark, sf_dir)))
     return spark.sql(_SPEC.format("string", "{rows}"), rows=rows).distinct()
 
 
