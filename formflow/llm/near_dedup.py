@@ -7,21 +7,20 @@
    is done. Two registers agree with the probability Jaccard similarity of the texts.
    A text that repeats a shingle has a second signature with all weights 1, whose
    registers agree with the Jaccard similarity of the sets; for others it is the same.
-2. Bands of registers, of both signatures alike, give buckets. In each bucket every text meets the bucket's
-   leader (its least id). Pairs that either estimate leaves possible are verified on the
-   whole texts: probability Jaccard or Jaccard of the shingle sets of 0.8 or more.
-3. A bucket whose members are one component by now is done. In a small one every two
-   members of different components meet. In a large one the members outside its two
-   largest components meet some members of those, which links most of them.
-4. In the large buckets that still hold several components every two members of different
-   components meet, block by block: their signatures are compared, and the pairs these
-   leave possible are verified. Only equal components are left out.
-5. A class is a component of the verified links.
-
-So every two texts that share a bucket and are not of one component anyway are compared.
-A large bucket is dealt out in pairs of blocks of bounded size, so no list of a group is
-built; its rows are repeated once for each block it is met by, and comparing signatures
-costs time with the square of its members outside one component.
+2. Bands of registers, of both signatures alike, give buckets; buckets with the same members
+   count once. The members of a bucket are dealt into blocks of bounded size, with their
+   whole texts. In a block every two members that are not of one component yet are
+   compared exactly: probability Jaccard or Jaccard of the shingle sets of 0.8 or more is
+   a link, and only links that join two components go on.
+3. A bucket of one block is done, and so is one whose members are one component by now. In
+   the others every two blocks meet in the same way; a component that fills blocks of its
+   own does not meet itself.
+4. A class is a component of the verified links.
+
+So every two texts that share a bucket and are not of one component anyway are compared,
+on their whole texts. Pairs are never rows: a block gives fewer links than it has members.
+A bucket's rows are repeated once for each block that they meet, and the comparisons in
+tasks grow with the square of its members outside one component.
 
 Defined results: null counts as empty text; a text of one to four words has one shingle
 of all its words; texts without words are only linked to exact copies; repeated rows
@@ -46,10 +45,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5  # a pair at 0.8 shares no band once in 300,000
 REGISTERS = BANDS * ROWS
-POSSIBLE = 0.64  # five standard deviations of the estimate below 0.8
-SMALL = 32  # members of a bucket of which every two may meet
-MET = 3  # members of a component whom others meet first in a large bucket
-BLOCK = 512  # members of a large bucket that are compared with as many others in one piece
+BLOCK = 512  # members of a bucket that are compared with each other in one task, about
+BLOCK_BYTES = 4 << 20  # and their texts
 
 
 def weighted_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,9 +103,7 @@ def _text_rows(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Ite
         yield from zip(*(batch.column(n).to_pylist() for n in names), strict=True)
 
 
-_SIGNED = pa.schema(
-    [("copy_key", pa.binary()), ("doc_key", pa.int64()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())]
-)
+_SIGNED = pa.schema([("copy_key", pa.binary()), ("doc_key", pa.int64()), ("size", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def _signed(batches):
@@ -120,15 +115,15 @@ def _signed(batches):
         repeats = np.bincount(np.repeat(np.arange(len(rows)), sizes), weights > 1, len(rows)) > 0
         ones = np.repeat(repeats, sizes)
         plain = signatures(elements[ones], np.ones(ones.sum()), np.append(0, np.cumsum(sizes[repeats])))
-        keys, low = list(_band_keys(found)), [x.tobytes() for x in (found & np.uint64(0xFFFF)).astype("<u2")]
-        for i, k, x in zip(np.flatnonzero(repeats), _band_keys(plain), (plain & np.uint64(0xFFFF)).astype("<u2"), strict=True):
-            keys[i], low[i] = np.union1d(keys[i], k), low[i] + x.tobytes()
+        keys = list(_band_keys(found))
+        for i, k in zip(np.flatnonzero(repeats), _band_keys(plain), strict=True):
+            keys[i] = np.union1d(keys[i], k)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([r[1] for r in rows], pa.binary()),
                 pa.array([r[2] for r in rows], pa.int64()),
+                pa.array([len(t) for t in texts], pa.int64()),
                 pa.array([keys[i] if sizes[i] else [] for i in range(len(rows))], pa.list_(pa.int64())),
-                pa.array(low, pa.binary()),
             ],
             schema=_SIGNED,
         )
@@ -148,33 +143,14 @@ def _copies(docs: DataFrame) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row per text: id, copy_key, its least doc_id as doc_key, number of rows, band keys, sketch."""
-    signed = _copies(docs).mapInArrow(_signed, "copy_key binary, doc_key long, bands array<long>, sketch binary")
+    """One row per text: id, copy_key, its least doc_id as doc_key, number of rows, size in bytes, band keys."""
+    signed = _copies(docs).mapInArrow(_signed, "copy_key binary, doc_key long, size long, bands array<long>")
     one = signed.groupBy("copy_key").agg(
-        F.min("doc_key").alias("doc_key"), F.count("*").alias("n_rows"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("doc_key").alias("doc_key"), F.count("*").alias("n_rows"), F.first("size").alias("size"), F.first("bands").alias("bands")
     )
     return staged(one.withColumn("id", F.monotonically_increasing_id()), "texts")
 
 
-def _sketches(column) -> np.ndarray:
-    """Of each text the registers with weights, then those without: the same where only one signature was made."""
-    held = column.to_pylist()
-    return np.frombuffer(b"".join(x if len(x) > 2 * REGISTERS else x + x for x in held), "<u2").reshape(len(held), 2, REGISTERS)
-
-
-def _possible(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Which pairs either estimate allows to be near duplicates."""
-    return (a == b).mean(axis=-1).max(axis=-1) >= POSSIBLE
-
-
-def _alike(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b = (_sketches(batch.column(c)) for c in ("sketch_a", "sketch_b"))
-        yield batch.filter(pa.array(_possible(a, b))).select(["a", "b"])
-
-
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """The larger of Jaccard similarity and probability Jaccard similarity of two weighted sets (ids ascending)."""
     both, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -194,22 +170,75 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return max(plain, float((1 / ((above + only_x) / xs + (below + only_y) / ys)).sum()))
 
 
-def _verified(batches):
-    for rows in in_batches(((r[0] + b"\n" + r[1], *r) for r in _text_rows(batches, ("text_a", "text_b", "a", "b"))), 0):
-        texts = [t for r in rows for t in r[1:3]]
-        elements, weights, bounds = weighted_shingles(texts)
-        part = [(elements[s:e], weights[s:e]) for s, e in zip(bounds, bounds[1:], strict=False)]
-        held = [k for k in range(len(rows)) if similarity(part[2 * k], part[2 * k + 1]) >= SIMILARITY - 1e-9]
-        yield pa.RecordBatch.from_arrays([pa.array([rows[k][c] for k in held], pa.int64()) for c in (3, 4)], names=["a", "b"])
-
-
-def _verify(texts: DataFrame, whole: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` of different text ids that are near duplicates; staged."""
-    sketch = texts.select("id", "sketch")
-    pairs = pairs.distinct().join(sketch.toDF("a", "sketch_a"), "a").join(sketch.toDF("b", "sketch_b"), "b")
-    possible = staged(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike, "a long, b long"), "possible")
-    both = possible.join(whole.toDF("a", "text_a"), "a").join(whole.toDF("b", "text_b"), "b")
-    return staged(both.select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a long, b long"), "verified")
+def _forest(sets: list[tuple[np.ndarray, np.ndarray]], roots: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Links (by place) that join all of the weighted sets whose roots differ and that are near duplicates. With two sides
+    only sets of different sides are compared."""
+    roots = np.unique(roots, return_inverse=True)[1]
+    sizes = np.array([len(x) for x, _ in sets])
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    _, flat = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True)
+    weights = np.concatenate([w / w.sum() for _, w in sets])
+    repeats = np.array([w.max() > 1 for _, w in sets])
+    mark, other = np.zeros(flat.max() + 1, bool), np.zeros(flat.max() + 1)
+    links = []
+    first = int(np.searchsorted(side, 1)) if side[-1] else 0  # sides are sorted
+    for i in range(first or len(sets) - 1):
+        at = max(first, i + 1)
+        if (roots[at:] == roots[i]).all():
+            continue
+        mine = flat[bounds[i] : bounds[i + 1]]
+        mark[mine] = True
+        cut = bounds[at:-1] - bounds[at]
+        rest = flat[bounds[at] :]
+        shared = np.add.reduceat(mark[rest], cut, dtype=np.int64)
+        mark[mine] = False
+        near = shared >= (SIMILARITY - 1e-9) * (sizes[i] + sizes[at:] - shared)
+        # without repeats both measures are equal; with them the shared weight is a bound of the other one
+        if repeats[i] or (repeats[at:] & ~near & (shared > 0)).any():
+            other[mine] = weights[bounds[i] : bounds[i + 1]]
+            common = np.add.reduceat(np.minimum(other[rest], weights[bounds[at] :]), cut)
+            other[mine] = 0
+            for j in np.flatnonzero(~near & (repeats[at:] | repeats[i]) & (common >= SIMILARITY - 1e-9) & (roots[at:] != roots[i])):
+                near[j] = similarity(sets[i], sets[at + j]) >= SIMILARITY - 1e-9
+        for j in np.flatnonzero(near).tolist():
+            if roots[at + j] != roots[i]:
+                links.append((i, at + j))
+                roots[roots == roots[at + j]] = roots[i]
+    return links
+
+
+def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows (meeting, side, id, root, text), sorted by meeting, as one list for each meeting."""
+    held: list[tuple] = []
+    for row in _text_rows(batches, ("meeting", "side", "id", "root", "text")):
+        if held and row[0] != held[0][0]:
+            yield held
+            held = []
+        held.append(row)
+    if held:
+        yield held
+
+
+def _met(batches):
+    meetings = ((b"".join(r[4] for r in rows), rows) for rows in _meetings(batches))
+    for some in in_batches(meetings, 0):
+        elements, weights, bounds = weighted_shingles([r[4] for _, rows in some for r in rows])
+        sets = [(elements[s:e], weights[s:e]) for s, e in zip(bounds, bounds[1:], strict=False)]
+        a, b, at = [], [], 0
+        for _, rows in some:
+            side, ids, roots = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
+            for i, j in _forest(sets[at : at + len(rows)], roots, side):
+                a.append(ids[i])
+                b.append(ids[j])
+            at += len(rows)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b)], names=["a", "b"])
+
+
+def _links(rows: DataFrame, whole: DataFrame) -> DataFrame:
+    """The verified links ``(a, b)`` of ``rows(meeting, side, id, root)`` that join components; staged."""
+    dealt = rows.join(whole, "id").select("meeting", "side", "id", "root", "text")
+    dealt = dealt.repartition("meeting").sortWithinPartitions("meeting", "side", "id")
+    return staged(dealt.mapInArrow(_met, "a long, b long"), "links")
 
 
 def _whole_texts(docs: DataFrame, texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -226,77 +255,65 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return staged(labelled.join(keys.select("key"), "key", "left_semi"), "mixed")
 
 
-def _extended(roots: DataFrame, found: DataFrame) -> DataFrame:
-    return roots if found.isEmpty() else joined(roots, found)
+def _blocks(count: Column, size: Column) -> Column:
+    """In how many blocks so many members with so many bytes are dealt."""
+    return F.greatest(F.lit(1), F.ceil(count / BLOCK), F.ceil(size / BLOCK_BYTES))
+
+
+def _buckets(texts: DataFrame) -> DataFrame:
+    """``(key, id, size, blocks)`` of the texts that share a band, each set of members once; staged."""
+    bands = texts.select("id", "size", F.explode("bands").alias("key"))
+    members = [F.bit_xor(F.xxhash64("id", F.lit(k))).alias(f"members_{k}") for k in (0, 1)]
+    keys = bands.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *members).where("n > 1")
+    keys = keys.groupBy("n", "bytes", "members_0", "members_1").agg(F.min("key").alias("key"))
+    return staged(bands.join(keys.select("key", _blocks(F.col("n"), F.col("bytes")).alias("blocks")), "key"), "buckets")
 
 
-def _block_pairs(key, part):
-    """Of two blocks (or one twice): the pairs of different components that the signatures leave possible."""
-    side, ids, roots = (part.column(c).to_numpy() for c in ("side", "id", "root"))
-    sketch = _sketches(part.column("sketch"))
-    once = not side.any()
-    found = [np.empty((0, 2), np.int64)]
-    for i in np.flatnonzero(side == 0):
-        with_i = np.flatnonzero((roots != roots[i]) & ((ids > ids[i]) if once else (side == 1)))
-        near = ids[with_i[_possible(sketch[with_i], sketch[i])]]
-        found.append(np.column_stack([np.minimum(near, ids[i]), np.maximum(near, ids[i])]))
-    pairs = np.concatenate(found)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+def _first_meetings(buckets: DataFrame) -> DataFrame:
+    """Each block of each bucket by itself; nothing is linked yet."""
+    part = F.pmod(F.xxhash64("id", "key"), F.col("blocks"))
+    meeting = F.when(F.col("blocks") > 1, F.xxhash64("key", part)).otherwise(F.col("key"))
+    return buckets.select(meeting.alias("meeting"), F.lit(0).alias("side"), "id", F.col("id").alias("root"))
 
 
-def _all_met(texts: DataFrame, members: DataFrame) -> DataFrame:
-    """Of ``members(key, id, n, root)``: every two of one bucket and different components that may be near duplicates.
+def _later_meetings(members: DataFrame) -> DataFrame:
+    """Of ``members(key, id, size, root)`` every two blocks of one bucket.
 
-    A component of BLOCK members or more has blocks of its own, which do not meet each other; the smaller
+    A component that fills a block or more has blocks of its own, which do not meet each other; the smaller
     ones share blocks."""
-    sizes = members.groupBy("key", "root").agg(F.count("*").alias("c"))
-    own = F.col("c") >= BLOCK
-    placed = members.join(sizes, ["key", "root"]).select(
-        "key",
-        "id",
-        "root",
-        F.when(own, F.col("root")).otherwise(-1).alias("own"),
-        F.when(own, F.expr(f"pmod(xxhash64(id), ceil(c / {BLOCK}))")).otherwise(F.expr(f"pmod(xxhash64(root), ceil(n / {BLOCK}))")).alias("part"),
+    sizes = members.groupBy("key", "root").agg(_blocks(F.count("*"), F.sum("size")).alias("blocks"), F.count("*").alias("c"), F.sum("size").alias("bytes"))
+    own = (F.col("c") >= BLOCK) | (F.col("bytes") >= BLOCK_BYTES)
+    shared = sizes.where(~own).groupBy("key").agg(_blocks(F.sum("c"), F.sum("bytes")).alias("shared_blocks"))
+    sizes = sizes.join(shared, "key", "left").select(
+        "key", "root", F.when(own, F.col("root")).otherwise(-1).alias("own"), F.when(own, F.col("blocks")).otherwise(F.col("shared_blocks")).alias("blocks")
     )
-    placed = staged(placed.join(texts.select("id", "sketch"), "id"), "placed")
-    blocks = placed.select("key", "own", "part").distinct()
-    both = blocks.toDF("key", "own_a", "part_a").join(blocks.toDF("key", "own_b", "part_b"), "key")
+    mine = F.when(F.col("own") == -1, F.xxhash64("root", "key")).otherwise(F.xxhash64("id", "key"))
+    placed = members.join(sizes, ["key", "root"]).select("key", "id", "root", "own", F.pmod(mine, F.col("blocks")).alias("part"))
+    placed = staged(placed, "placed")
+    at = placed.select("key", "own", "part").distinct()
+    both = at.toDF("key", "own_a", "part_a").join(at.toDF("key", "own_b", "part_b"), "key")
     both = both.where("struct(own_a, part_a) <= struct(own_b, part_b) and (own_a = -1 or own_a <> own_b)")
     both = staged(both.withColumn("meeting", F.monotonically_increasing_id()), "meetings")
     at = ["key", "own", "part"]
     first = placed.join(both.selectExpr("key", "own_a as own", "part_a as part", "meeting", "0 as side"), at)
     second = both.where("own_a <> own_b or part_a <> part_b")
     second = placed.join(second.selectExpr("key", "own_b as own", "part_b as part", "meeting", "1 as side"), at)
-    columns = ["meeting", "side", "id", "root", "sketch"]
-    return first.select(columns).union(second.select(columns)).groupBy("meeting").applyInArrow(_block_pairs, "a long, b long")
+    columns = ["meeting", "side", "id", "root"]
+    return first.select(columns).union(second.select(columns))
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The distinct texts and ``(id, root)`` of those that are linked to another."""
     texts = distinct_texts(docs)
-    bands = texts.select("id", F.explode("bands").alias("key"))
-    leaders = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("leader")).where("n > 1")
-    shared = staged(bands.join(leaders, "key"), "shared")
-    whole = _whole_texts(docs, texts, shared.select("id").distinct())
-
-    pairs = shared.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    roots = staged(components(_verify(texts, whole, pairs)), "roots")
-    rest = _mixed(shared.select("key", "id", "n"), roots)
-    few = rest.where(F.col("n") <= SMALL)
-    other = few.select("key", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    pairs = few.withColumnRenamed("id", "a").join(other, "key").where("a < b and root <> root_b").select("a", "b")
-    many = rest.where(F.col("n") > SMALL)
-    met = [F.min(F.struct(F.xxhash64("id", "key", F.lit(k)).alias("h"), F.col("id").alias("i"))) for k in range(MET)]
-    groups = many.groupBy("key", "root").agg(F.count("*").alias("c"), F.array(*met).alias("met"))
-    groups = groups.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("c"), "root")))
-    groups = staged(groups, "groups")
-    placed = many.join(groups.select("key", "root", "place"), ["key", "root"])
-    heads = groups.where("place <= 2").select("key", F.col("place").alias("before"), F.explode("met.i").alias("a"))
-    pairs = pairs.union(placed.join(heads, "key").where("place > before").select("a", F.col("id").alias("b")))
-    roots = _extended(roots, _verify(texts, whole, pairs))
-    rest = _mixed(many.select("key", "id", "n"), roots)
-    if not rest.isEmpty():
-        roots = _extended(roots, _verify(texts, whole, _all_met(texts, rest)))
+    buckets = _buckets(texts)
+    whole = _whole_texts(docs, texts, buckets.select("id").distinct())
+    found = _links(_first_meetings(buckets), whole)
+    roots = staged(components(found), "roots")
+    large = buckets.where("blocks > 1")
+    if not large.isEmpty():
+        further = _links(_later_meetings(_mixed(large.select("key", "id", "size"), roots)), whole)
+        if not further.isEmpty():
+            roots = joined(roots, further)
     return texts, roots
 
 

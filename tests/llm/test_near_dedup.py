@@ -64,10 +64,11 @@ def corpus(rng):
     return [*rows, (n, None), (n + 1, ""), (n + 2, "One"), (n + 3, "one!"), (n + 4, "one")]
 
 
-@pytest.mark.parametrize("small", [32, 1])
-def test_classes_are_those_of_brute_force(spark, small, monkeypatch):
-    monkeypatch.setattr(nd, "SMALL", small)
-    rows = corpus(random.Random(small))
+@pytest.mark.parametrize(("block", "block_bytes"), [(512, 4 << 20), (3, 4 << 20), (512, 700)])
+def test_classes_are_those_of_brute_force(spark, block, block_bytes, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", block)
+    monkeypatch.setattr(nd, "BLOCK_BYTES", block_bytes)
+    rows = corpus(random.Random(32))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {}
     for r in nd.near_duplicates(docs).collect():
@@ -77,8 +78,7 @@ def test_classes_are_those_of_brute_force(spark, small, monkeypatch):
 
 
 def test_single_links_between_components_of_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(nd, "SMALL", 1)
-    monkeypatch.setattr(nd, "BLOCK", 40, raising=False)
+    monkeypatch.setattr(nd, "BLOCK", 40)
     rng = random.Random(5)
     # ten slots of two passages: texts that differ in one slot are linked, in two they are not
     slots = [[words_of(rng, 40) for _ in range(2)] for _ in range(10)]
@@ -108,6 +108,53 @@ def test_copies_that_repeat_a_passage_more_often_are_linked(spark):
     assert {frozenset(g) for g in got.values()} == brute_classes(rows) == {frozenset((k, k + 1)) for k in range(0, 24, 2)}
 
 
+def test_a_large_group_of_texts_that_are_alike_but_not_linked(spark, monkeypatch):
+    """2,000 texts at about 0.7 of each other, two of them at more: one link, and no more rows than members."""
+    monkeypatch.setattr(nd, "BLOCK", 200)
+    rng = random.Random(6)
+    base = words_of(rng, 300)
+    rows = []
+    for n in range(2000):
+        text = list(base)
+        for k in range(5):
+            text[(n * 7 + k * 60 + rng.randrange(50)) % 300] = f"own{n}x{k}"
+        rows.append((n, " ".join(text)))
+    twin = rows[700][1].split()
+    twin[150] = "twin"
+    rows.append((5000, " ".join(twin)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = {n: frozenset(shingle_set(t)) for n, t in rows}
+    found = {r.doc_id: r.class_id for r in nd.near_duplicates(docs).collect()}
+    texts = nd.distinct_texts(docs)
+    met = nd._buckets(texts).count()
+    assert met <= 2001 * nd.BANDS
+    order = sorted(sets)
+    index = {s: i for i, s in enumerate({s for v in sets.values() for s in v})}
+    member = np.zeros((len(order), len(index)), np.float32)
+    for k, n in enumerate(order):
+        member[k, [index[s] for s in sets[n]]] = 1
+    both = member @ member.T
+    size = member.sum(1)
+    near = both >= 0.8 * (size[:, None] + size[None] - both) - 1e-4
+    label = np.arange(len(order))
+    while True:  # least label among neighbours
+        new = np.where(near, label[None], len(order)).min(1)
+        if (new == label).all():
+            break
+        label = new
+    assert found == {n: order[label[k]] for k, n in enumerate(order)}
+    assert found[5000] == found[700] and len(set(found.values())) > 1000
+
+
+def test_a_very_long_text_and_clashing_columns(spark):
+    long = " ".join(f"w{i % 4999}" for i in range(60_000))
+    rows = [(1, long, "x"), (2, long + " end", "y"), (2, long + " end", "y"), (3, "short text of six words here", None), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, class_id string")
+    out = sorted((r.doc_id or 0, r.class_id or 0, r.class_rows, r.stays) for r in nd.near_duplicates(docs).collect())
+    assert out == [(0, 0, 1, True), (1, 1, 3, True), (2, 1, 3, False), (2, 1, 3, False), (3, 3, 1, True)]
+    assert nd.keep_one(docs).columns == docs.columns
+
+
 def test_one_row_of_a_class_stays_with_all_columns(spark):
     rows = [(1, "x", "a b c d e f"), (1, "x", "a b c d e f"), (2, "y", "a b c d e f"), (3, "z", None), (4, "z", ""), (None, "n", "solo words here")]
     docs = spark.createDataFrame(rows, "doc_id long, copy_key string, text string")
