@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from formflow.functions.quantiles import grouped_median
 from formflow.model import TableSpec
+from formflow.operators.families import TAG
 from formflow.operators.maintain import keep_latest
 
 # --- fixed values -----------------------------------------------------------
@@ -24,6 +25,13 @@ SERIES_BACK_MONTHS = 3
 WEEK_DAYS = 7
 # --- end of fixed values ----------------------------------------------------
 
+#: A family of flat tables: a list of them, or all their rows with their table's tag.
+Tables = Sequence[DataFrame] | DataFrame
+REPORT_COLUMNS = (
+    "is_voided", "last_modified_by_id", "registration_date", "enrolment_date_time", "encounter_date_time",
+    "earliest_visit_date_time", "max_visit_date_time", "cancel_date_time",
+)
+
 
 def date_filter(column: str, start: str | None, end: str | None) -> Column:
     """Date of ``column`` between both days; no dates, no filter."""
@@ -57,23 +65,25 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _per_user(tables: Sequence[DataFrame], measures: dict[str, Column], when: Column, compat: bool) -> DataFrame:
+def _rows(family: Tables) -> DataFrame:
+    """The rows of a family: tagged already, or of a list of tables, each tagged by its place."""
+    if isinstance(family, DataFrame):
+        return family
+    needed = [c for c in REPORT_COLUMNS if c in family[0].columns]
+    return _union([t.select(*needed).withColumn(TAG, F.lit(str(i))) for i, t in enumerate(family)])
+
+
+def _per_user(family: Tables, measures: dict[str, Column], when: Column, compat: bool) -> DataFrame:
     """Sums of ``measures`` over live rows per last modifying user.
 
     ``compat`` adds each distinct per-table number only once, as a report
     does that sums distinct values after joining several tables' counts.
     """
-    needed = list(measures)
-    counted = [
-        t.where(~F.col("is_voided") & when).select(
-            F.col("last_modified_by_id").alias("user_id"),
-            F.lit(i).alias("_table"),
-            *[c.cast("bigint").alias(n) for n, c in measures.items()],
-        )
-        for i, t in enumerate(tables)
-    ]
-    keys = ["user_id", "_table"] if compat else ["user_id"]
-    return _union(counted).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in needed])
+    counted = _rows(family).where(~F.col("is_voided") & when).select(
+        F.col("last_modified_by_id").alias("user_id"), TAG, *[c.cast("bigint").alias(n) for n, c in measures.items()]
+    )
+    keys = ["user_id", TAG] if compat else ["user_id"]
+    return counted.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
 
 
 def _sum(name: str, compat: bool) -> Column:
@@ -92,7 +102,7 @@ ACTIVITY = (
 
 
 def user_activity(
-    families: dict[str, Sequence[DataFrame]],
+    families: dict[str, Tables],
     users: DataFrame,
     start: str | None = None,
     end: str | None = None,
@@ -107,17 +117,18 @@ def user_activity(
     names = [name for _, name, _ in ACTIVITY]
     parts = []
     for family, name, day in ACTIVITY:
-        for i, table in enumerate(families[family]):
-            parts.append(
-                table.where(~F.col("is_voided") & date_filter(day, start, end)).select(
-                    F.col("last_modified_by_id").alias("user_id"),
-                    F.lit(i).alias("_table"),
-                    *[F.lit(1 if n == name else None).cast("bigint").alias(n) for n in names],
-                )
+        if not isinstance(families[family], DataFrame) and not families[family]:
+            continue
+        parts.append(
+            _rows(families[family]).where(~F.col("is_voided") & date_filter(day, start, end)).select(
+                F.col("last_modified_by_id").alias("user_id"),
+                TAG,
+                *[F.lit(1 if n == name else None).cast("bigint").alias(n) for n in names],
             )
-    rows = _union(parts)
+        )
+    rows = _union(parts) if parts else users.sparkSession.createDataFrame([], ", ".join(["user_id bigint", f"{TAG} string", *(f"{n} bigint" for n in names)]))
     if compat:
-        rows = rows.groupBy("user_id", "_table").agg(*[F.sum(n).alias(n) for n in names])
+        rows = rows.groupBy("user_id", TAG).agg(*[F.sum(n).alias(n) for n in names])
     counts = rows.groupBy("user_id").agg(*[_sum(n, compat).alias(n) for n in names])
     total = reduce(lambda a, b: a + b, [F.col(n) for n in names])
     return (
@@ -255,8 +266,8 @@ def median_sync(telemetry: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def _visit_totals(
-    encounters: Sequence[DataFrame],
-    program_encounters: Sequence[DataFrame],
+    encounters: Tables,
+    program_encounters: Tables,
     users: DataFrame,
     measures: dict[str, Column],
     start: str | None,
@@ -266,18 +277,20 @@ def _visit_totals(
 ) -> DataFrame:
     """Measures of both visit families per user, general and programme apart."""
     when = date_filter("encounter_date_time", start, end)
-    general = _per_user(encounters, measures, when, compat).select(
-        "user_id", *[F.col(m).alias(f"g_{m}") for m in measures], *[F.lit(None).cast("bigint").alias(f"p_{m}") for m in measures]
-    )
-    program = _per_user(program_encounters, measures, when, compat).select(
-        "user_id", *[F.lit(None).cast("bigint").alias(f"g_{m}") for m in measures], *[F.col(m).alias(f"p_{m}") for m in measures]
-    )
-    sides = [f"{side}_{m}" for m in measures for side in "gp"]
-    both = general.unionByName(program)
+    sides = {"g": encounters, "p": program_encounters}
+    parts = []
+    for side, family in sides.items():
+        if not isinstance(family, DataFrame) and not family:
+            continue
+        counted = _per_user(family, measures, when, compat)
+        own = [F.when(F.lit(side == s), F.col(m)).alias(f"{s}_{m}") for m in measures for s in sides]
+        parts.append(counted.select("user_id", *own))
+    columns = [f"{side}_{m}" for m in measures for side in sides]
+    both = _union(parts) if parts else users.sparkSession.createDataFrame([], ", ".join(["user_id bigint", *(f"{c} bigint" for c in columns)]))
     return (
         both.join(active_users(users, ids), "user_id")
         .groupBy("name", "username")
-        .agg(*[_sum(c, compat).alias(c) for c in sides])
+        .agg(*[_sum(c, compat).alias(c) for c in columns])
         .select(
             F.coalesce("name", "username").alias("indicator"),
             *[(F.col(f"g_{m}") + F.col(f"p_{m}")).alias(m) for m in measures],
@@ -286,8 +299,8 @@ def _visit_totals(
 
 
 def on_time_users(
-    encounters: Sequence[DataFrame],
-    program_encounters: Sequence[DataFrame],
+    encounters: Tables,
+    program_encounters: Tables,
     users: DataFrame,
     lo: float | None = None,
     hi: float | None = None,
@@ -317,8 +330,8 @@ def on_time_users(
 
 
 def most_cancelled(
-    encounters: Sequence[DataFrame],
-    program_encounters: Sequence[DataFrame],
+    encounters: Tables,
+    program_encounters: Tables,
     users: DataFrame,
     start: str | None = None,
     end: str | None = None,

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from formflow.functions.obs import ANSWER_SEPARATOR
 from formflow.model import SUBJECT_TYPES, VISIT_TYPES, ColumnSpec, TableSpec, pick_tables
+from formflow.operators.families import KIND, Family, rows_of
 
 # --- fixed values -----------------------------------------------------------
 SUBJECT_VIEW = (
@@ -46,9 +47,6 @@ VISITS_VIEW = (
 COMPAT_NAMES = {"individual_uuid": "indvidual_uuid"}
 # --- end of fixed values ----------------------------------------------------
 
-Family = Sequence[tuple[TableSpec, DataFrame]]
-
-
 def address_columns(types: DataFrame, org_ids: Iterable[int] | None = None) -> list[str]:
     """Names of the live address levels, which are columns of every view."""
     live = types.where(~F.col("is_voided"))
@@ -64,7 +62,7 @@ def empty_view(spark: SparkSession, columns: Sequence[tuple[str, str]], levels:
     return spark.createDataFrame([], T.StructType(fields))
 
 
-def family(specs: Sequence[TableSpec], tables: dict[str, DataFrame], types: tuple[str, ...]) -> Family:
+def family(specs: Sequence[TableSpec], tables: dict[str, DataFrame], types: tuple[str, ...]) -> list[tuple[TableSpec, DataFrame]]:
     return [(s, tables[s.name]) for s in pick_tables(list(specs), types)]
 
 
@@ -103,29 +101,30 @@ def subject_view(
 ) -> DataFrame:
     """All live subjects with their type, address and user names."""
 
-    def part(spec: TableSpec, table: DataFrame) -> DataFrame:
-        person = spec.type == "Person"
-        return table.where(~F.col("is_voided")).select(
+    rows = rows_of(subjects)
+    if rows is None:
+        out = empty_view(users.sparkSession, SUBJECT_VIEW, levels)
+    else:
+        person = F.col(KIND) == "Person"
+        for name, kind in (("date_of_birth", "date"), ("gender", "string")):  # of persons only
+            known = F.when(person, F.col(name)) if name in rows.columns else F.lit(None)
+            rows = rows.withColumn(name, known.cast(kind))
+        rows = rows.where(~F.col("is_voided")).select(
             F.col("id").alias("individual_id"),
             F.col("uuid").alias("individual_uuid"),
             "first_name",
-            (F.col("date_of_birth") if person else F.lit(None)).cast("date").alias("date_of_birth"),
+            "date_of_birth",
             "last_name",
-            (F.col("gender") if person else F.lit(None)).cast("string").alias("gender"),
+            "gender",
             "registration_date",
             "created_date_time",
             "last_modified_date_time",
             "is_voided",
-            F.lit(spec.subject_type_uuid).alias("subject_type_uuid"),
+            "subject_type_uuid",
             "address_id",
             "created_by_id",
             "last_modified_by_id",
         )
-
-    if not subjects:
-        out = empty_view(users.sparkSession, SUBJECT_VIEW, levels)
-    else:
-        rows = _union([part(s, t) for s, t in subjects])
         rows = rows.join(_named(subject_types, "subject_type_uuid", "subject_type", org_ids), "subject_type_uuid")
         rows = _address(rows, address, levels)
         rows = _usernames(
@@ -147,26 +146,22 @@ def enrolment_view(
     org_ids: Iterable[int] | None = None,
 ) -> DataFrame:
     """All live enrolments with programme, subject, address and user names."""
-    if not enrolments:
+    rows = rows_of(enrolments)
+    if rows is None:
         return empty_view(users.sparkSession, ENROLMENT_VIEW, levels)
-    rows = _union(
-        [
-            table.where(~F.col("is_voided")).select(
-                F.col("id").alias("enrolment_id"),
-                F.col("uuid").alias("enrolment_uuid"),
-                F.lit(spec.program_uuid).alias("program_uuid"),
-                "individual_id",
-                "enrolment_date_time",
-                "created_date_time",
-                "last_modified_date_time",
-                "is_voided",
-                "program_exit_date_time",
-                "address_id",
-                "created_by_id",
-                "last_modified_by_id",
-            )
-            for spec, table in enrolments
-        ]
+    rows = rows.where(~F.col("is_voided")).select(
+        F.col("id").alias("enrolment_id"),
+        F.col("uuid").alias("enrolment_uuid"),
+        "program_uuid",
+        "individual_id",
+        "enrolment_date_time",
+        "created_date_time",
+        "last_modified_date_time",
+        "is_voided",
+        "program_exit_date_time",
+        "address_id",
+        "created_by_id",
+        "last_modified_by_id",
     )
     rows = rows.join(_named(programs, "program_uuid", "program_name", org_ids), "program_uuid")
     rows = rows.join(_people(individual), "individual_id")
@@ -192,30 +187,26 @@ def _visits(
     levels: Sequence[str],
     keep: Column,
 ) -> DataFrame:
-    if not visits:
+    rows = rows_of(visits)
+    if rows is None:
         return empty_view(users.sparkSession, VISITS_VIEW, levels)
-    rows = _union(
-        [
-            table.where(keep).select(
-                "id",
-                "uuid",
-                "name",
-                "individual_id",
-                F.lit(spec.encounter_type_uuid).alias("encounter_type_uuid"),
-                "encounter_date_time",
-                "cancel_date_time",
-                "is_voided",
-                "earliest_visit_date_time",
-                "max_visit_date_time",
-                "created_date_time",
-                "last_modified_date_time",
-                "address_id",
-                "created_by_id",
-                "last_modified_by_id",
-                "filled_by_id",
-            )
-            for spec, table in visits
-        ]
+    rows = rows.where(keep).select(
+        "id",
+        "uuid",
+        "name",
+        "individual_id",
+        "encounter_type_uuid",
+        "encounter_date_time",
+        "cancel_date_time",
+        "is_voided",
+        "earliest_visit_date_time",
+        "max_visit_date_time",
+        "created_date_time",
+        "last_modified_date_time",
+        "address_id",
+        "created_by_id",
+        "last_modified_by_id",
+        "filled_by_id",
     )
     rows = rows.join(_named(encounter_types, "encounter_type_uuid", "encounter_type_name", None), "encounter_type_uuid")
     rows = rows.join(_people(individual), "individual_id")
@@ -358,9 +349,9 @@ def enrolment_address(
     )
 
 
-def subject_family(specs: Sequence[TableSpec], tables: dict[str, DataFrame]) -> Family:
+def subject_family(specs: Sequence[TableSpec], tables: dict[str, DataFrame]) -> list[tuple[TableSpec, DataFrame]]:
     return family(specs, tables, SUBJECT_TYPES)
 
 
-def visit_family(specs: Sequence[TableSpec], tables: dict[str, DataFrame]) -> Family:
+def visit_family(specs: Sequence[TableSpec], tables: dict[str, DataFrame]) -> list[tuple[TableSpec, DataFrame]]:
     return family(specs, tables, VISIT_TYPES)

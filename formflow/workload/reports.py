@@ -4,33 +4,22 @@ from __future__ import annotations
 
 from formflow.bindings import bound, with_bindings
 from formflow.operators import reports
-from formflow.workload.common import encounter_spec, enrolment_spec, program_encounter_spec, spec
-from formflow.workload.views import flat_family
+from formflow.workload.views import ENCOUNTERS, ENROLMENTS, PROGRAM_ENCOUNTERS, SUBJECTS, family_rows
 
 QUERIES, ORACLE = {}, {}
 
-SUBJECTS = [spec("Person", "st-person"), spec("Individual", "st-individual"), spec("Household", "st-household")]
-ENCOUNTERS = [encounter_spec(k, answers=()) for k in (1, 2, 3)]
-ENROLMENTS = [enrolment_spec(p, answers=()) for p in (1, 2)]
-PROGRAM_ENCOUNTERS = [program_encounter_spec(k, p, answers=()) for k, p in ((3, 2), (2, 2), (1, 1))]
 START, END = "1996-01-01", "2000-12-31"
 USERS = list(range(0, 9))
 TEL_START, TEL_END = "2024-01-01", "2024-01-31"
 
 
-def _tables(spark, sf_dir, specs):
-    return [df for _, df in flat_family(spark, sf_dir, specs)]
+FAMILIES = {"subjects": SUBJECTS, "encounters": ENCOUNTERS, "enrolments": ENROLMENTS, "program_encounters": PROGRAM_ENCOUNTERS}
 
 
 def _activity(compat):
     def run(spark, sf_dir):
-        families = {
-            "subjects": _tables(spark, sf_dir, SUBJECTS),
-            "encounters": _tables(spark, sf_dir, ENCOUNTERS),
-            "enrolments": _tables(spark, sf_dir, ENROLMENTS),
-            "program_encounters": _tables(spark, sf_dir, PROGRAM_ENCOUNTERS),
-        }
-        return reports.user_activity(families, bound(spark, sf_dir, "users"), START, END, compat=compat)
+        rows = {name: family_rows(spark, sf_dir, specs) for name, specs in FAMILIES.items()}
+        return reports.user_activity(rows, bound(spark, sf_dir, "users"), START, END, compat=compat)
 
     return run
 
@@ -40,17 +29,18 @@ _BETWEEN = f"between date '{START}' and date '{END}'"
 _NAMES = ["individual", "encounter", "program_enrolment", "program_encounter", "users"]
 # every row of the flat tables: (family, table within it, row)
 _ROWS = """
-   enc as (select e.encounter_type_id as t, e.* from encounter e join individual i on i.id = e.individual_id
-           where i.subject_type_id = 1 and e.encounter_type_id in (1, 2, 3) and not e.is_voided),
-   penc as (select n.program_id * 10 + e.encounter_type_id as t, e.* from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id
-            join individual i on i.id = n.individual_id
-            where i.subject_type_id = 1 and n.program_id * 10 + e.encounter_type_id in (23, 22, 11) and not e.is_voided)"""
+   enc as (select struct_pack(s := i.subject_type_id, v := e.encounter_type_id, p := cast(null as bigint)) as t, e.*
+           from encounter e join individual i on i.id = e.individual_id where not e.is_voided),
+   penc as (select struct_pack(s := i.subject_type_id, v := e.encounter_type_id, p := n.program_id) as t, e.*
+            from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id
+            join individual i on i.id = n.individual_id where not e.is_voided)"""
 _COUNTS = f"""{_ROWS},
-   c as (select 1 as f, subject_type_id as t, last_modified_by_id as u, count(*) as n from individual
-           where subject_type_id in (1, 2, 3) and not is_voided and cast(registration_date as date) {_BETWEEN} group by all
+   c as (select 1 as f, struct_pack(s := subject_type_id, v := cast(null as bigint), p := cast(null as bigint)) as t, last_modified_by_id as u,
+           count(*) as n from individual where subject_type_id < 5 and not is_voided and cast(registration_date as date) {_BETWEEN} group by all
          union all select 2, t, last_modified_by_id, count(*) from enc where cast(encounter_date_time as date) {_BETWEEN} group by all
-         union all select 3, e.program_id, e.last_modified_by_id, count(*) from program_enrolment e join individual i on i.id = e.individual_id
-           where i.subject_type_id = 1 and e.program_id in (1, 2) and not e.is_voided and cast(e.enrolment_date_time as date) {_BETWEEN} group by all
+         union all select 3, struct_pack(s := i.subject_type_id, v := cast(null as bigint), p := e.program_id), e.last_modified_by_id, count(*)
+           from program_enrolment e join individual i on i.id = e.individual_id
+           where not e.is_voided and cast(e.enrolment_date_time as date) {_BETWEEN} group by all
          union all select 4, t, last_modified_by_id, count(*) from penc where cast(encounter_date_time as date) {_BETWEEN} group by all)"""
 
 
@@ -135,7 +125,7 @@ ORACLE["rp8_median_sync"] = with_bindings(
 def _on_time(compat, **share):
     def run(spark, sf_dir):
         return reports.on_time_users(
-            _tables(spark, sf_dir, ENCOUNTERS), _tables(spark, sf_dir, PROGRAM_ENCOUNTERS), bound(spark, sf_dir, "users"),
+            family_rows(spark, sf_dir, ENCOUNTERS), family_rows(spark, sf_dir, PROGRAM_ENCOUNTERS), bound(spark, sf_dir, "users"),
             start=START, end=END, compat=compat, **share,
         )
 
@@ -178,7 +168,7 @@ for _compat in (False, True):
 def _cancelled(compat):
     def run(spark, sf_dir):
         return reports.most_cancelled(
-            _tables(spark, sf_dir, ENCOUNTERS), _tables(spark, sf_dir, PROGRAM_ENCOUNTERS), bound(spark, sf_dir, "users"), compat=compat
+            family_rows(spark, sf_dir, ENCOUNTERS), family_rows(spark, sf_dir, PROGRAM_ENCOUNTERS), bound(spark, sf_dir, "users"), compat=compat
         )
 
     return run

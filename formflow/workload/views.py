@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import product
+
 from formflow.bindings import Bound, bound, with_bindings
 from formflow.functions import obs
-from formflow.operators import entities, views
+from formflow.operators import families, views
 from formflow.sources.tables import Context
 from formflow.workload.common import (
     ANSWERS, encounter_spec, enrolment_spec, js, named, program_encounter_spec, spec,
@@ -18,24 +20,36 @@ _LEVEL_SQL = ', '.join(f'a."{c}"' for c in LEVELS)
 AS_OF = "1998-06-01"
 
 
-def flat_family(spark, sf_dir, specs):
-    """Flat tables without answers, as a view reads them."""
-    ctx = Context(Bound(spark, sf_dir))
-    return [(s, entities.flatten(ctx, s)) for s in specs]
+KINDS, PROGRAMS = range(1, 6), range(1, 6)
+#: The subject types by id; those of users have no registration form.
+TYPES = {1: "Person", 2: "Individual", 3: "Household", 4: "Group", 5: "User"}
+SUBJECTS = [spec(kind, f"st-{kind.lower()}") for kind in TYPES.values() if kind != "User"]
+
+
+def _each(make, *ids, **how):
+    """A table for every subject type and every choice of the other types."""
+    return [make(*chosen, subject=f"st-{kind.lower()}", answers=(), **how) for kind in TYPES.values() for chosen in product(*ids)]
 
 
-SUBJECTS = [spec("Person", "st-person"), spec("Individual", "st-individual"), spec("Household", "st-household"), spec("Group", "st-group")]
-ENROLMENTS = [enrolment_spec(p, answers=()) for p in (1, 2, 3)]
-VISITS = [encounter_spec(k, answers=()) for k in (1, 2)] + [
-    encounter_spec(2, type_="IndividualEncounterCancellation", answers=()),
-    program_encounter_spec(3, 2, answers=()),
-    program_encounter_spec(3, 2, type_="ProgramEncounterCancellation", answers=()),
+ENCOUNTERS = _each(encounter_spec, KINDS)
+ENROLMENTS = _each(enrolment_spec, PROGRAMS)
+PROGRAM_ENCOUNTERS = _each(program_encounter_spec, KINDS, PROGRAMS)
+VISITS = [
+    *ENCOUNTERS,
+    *_each(encounter_spec, KINDS, type_="IndividualEncounterCancellation"),
+    *PROGRAM_ENCOUNTERS,
+    *_each(program_encounter_spec, KINDS, PROGRAMS, type_="ProgramEncounterCancellation"),
 ]
 
 
+def family_rows(spark, sf_dir, specs):
+    """All rows of the tables of ``specs``, tagged; one scan of each source."""
+    return families.scans(Context(Bound(spark, sf_dir)), specs)
+
+
 def _subjects(spark, sf_dir):
     return views.subject_view(
-        flat_family(spark, sf_dir, SUBJECTS), bound(spark, sf_dir, "users"), bound(spark, sf_dir, "subject_type"),
+        family_rows(spark, sf_dir, SUBJECTS), bound(spark, sf_dir, "users"), bound(spark, sf_dir, "subject_type"),
         wide_address(spark, sf_dir), LEVELS, org_ids=[1, 2],
     )
 
@@ -57,7 +71,7 @@ ORACLE["v1_subject_view"] = with_bindings(
 
 def _enrolments(spark, sf_dir):
     return views.enrolment_view(
-        flat_family(spark, sf_dir, ENROLMENTS), bound(spark, sf_dir, "users"), bound(spark, sf_dir, "program"),
+        family_rows(spark, sf_dir, ENROLMENTS), bound(spark, sf_dir, "users"), bound(spark, sf_dir, "program"),
         bound(spark, sf_dir, "individual"), wide_address(spark, sf_dir), LEVELS, org_ids=[1],
     )
 
@@ -73,22 +87,21 @@ ORACLE["v2_enrolment_view"] = with_bindings(
         from program_enrolment e join individual i on i.id = e.individual_id join subject_type st on st.id = i.subject_type_id
         join program p on p.id = e.program_id left join users cu on cu.id = e.created_by_id left join users mu on mu.id = e.last_modified_by_id
         join address a on a.id = e.address_id
-        where not e.is_voided and st.uuid = 'st-person' and p.uuid in ('p-1', 'p-2', 'p-3') and p.organisation_id in (1)""",
+        where not e.is_voided and p.organisation_id in (1)""",
 )
 
 _VISIT_COLUMNS = "id, uuid, name, individual_id, encounter_type_id, encounter_date_time, cancel_date_time, is_voided, earliest_visit_date_time, max_visit_date_time, created_date_time, last_modified_date_time, address_id, created_by_id, last_modified_by_id, filled_by_id"
+_COLUMNS = ", ".join("e." + c for c in _VISIT_COLUMNS.split(", "))
+# a cancelled visit is in two tables: that of its kind and that of the cancellations
 _VISIT_UNION = f"""
-   select {', '.join('e.' + c for c in _VISIT_COLUMNS.split(', '))} from encounter e join individual i on i.id = e.individual_id
-     where i.subject_type_id = 1 and e.encounter_type_id in (1, 2)
+   select {_COLUMNS} from encounter e join individual i on i.id = e.individual_id
    union all
-   select {', '.join('e.' + c for c in _VISIT_COLUMNS.split(', '))} from encounter e join individual i on i.id = e.individual_id
-     where i.subject_type_id = 1 and e.encounter_type_id = 2 and e.cancel_date_time is not null
+   select {_COLUMNS} from encounter e join individual i on i.id = e.individual_id where e.cancel_date_time is not null
    union all
-   select {', '.join('e.' + c for c in _VISIT_COLUMNS.split(', '))} from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id
-     join individual i on i.id = n.individual_id where i.subject_type_id = 1 and e.encounter_type_id = 3 and n.program_id = 2
+   select {_COLUMNS} from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id join individual i on i.id = n.individual_id
    union all
-   select {', '.join('e.' + c for c in _VISIT_COLUMNS.split(', '))} from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id
-     join individual i on i.id = n.individual_id where i.subject_type_id = 1 and e.encounter_type_id = 3 and n.program_id = 2 and e.cancel_date_time is not null
+   select {_COLUMNS} from program_encounter e join program_enrolment n on n.id = e.program_enrolment_id join individual i on i.id = n.individual_id
+   where e.cancel_date_time is not null
 """
 
 
@@ -111,7 +124,7 @@ def _visits(fn, *more):
     def run(spark, sf_dir):
         t = lambda n: bound(spark, sf_dir, n)
         return fn(
-            flat_family(spark, sf_dir, VISITS), t("users"), t("individual"), t("encounter_type"), wide_address(spark, sf_dir), LEVELS, *more
+            family_rows(spark, sf_dir, VISITS), t("users"), t("individual"), t("encounter_type"), wide_address(spark, sf_dir), LEVELS, *more
         )
 
     return run

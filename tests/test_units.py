@@ -197,6 +197,26 @@ def test_table_summary_and_empty_views(spark):
     assert "indvidual_uuid" in views.subject_view([], users, None, None, [], compat=True).columns
     assert views.enrolment_view([], users, None, None, None, []).count() == 0
     assert views.due_visits([], users, None, None, None, [], "2024-01-01").count() == 0
+    nobody = {name: [] for name in ("subjects", "encounters", "enrolments", "program_encounters")}
+    assert reports.user_activity(nobody, spark.createDataFrame([], "id long, name string, username string, is_voided boolean, organisation_id long")).collect() == []
+    assert reports.most_cancelled([], [], spark.createDataFrame([], "id long, name string, username string, is_voided boolean, organisation_id long")).collect() == []
+
+
+def test_a_family_is_one_scan_of_each_source(spark):
+    from formflow.bindings import context
+    from formflow.operators import families
+    from formflow.workload.views import PROGRAM_ENCOUNTERS, VISITS
+
+    ctx = context(spark, "/root/testdata/sf0.001")
+    rows = families.scan(ctx, PROGRAM_ENCOUNTERS)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    # 125 tables: visits with their dates, enrolments, subjects
+    assert len(PROGRAM_ENCOUNTERS) == 125 and plan.count("] parquet") == 4, plan
+    assert "observations" not in rows.columns
+    with pytest.raises(ValueError, match="one source"):
+        families.scan(ctx, VISITS)
+    tags = {r[0] for r in rows.select(families.TAG).distinct().collect()}
+    assert tags <= {s.name for s in PROGRAM_ENCOUNTERS} and len(tags) > 50
 
 
 # --- media -----------------------------------------------------------------------
