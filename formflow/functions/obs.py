@@ -106,9 +106,31 @@ def coded(obs: Column, path: str, answer_map: Column) -> Column:
     return F.nullif(F.array_join(names, ANSWER_SEPARATOR), F.lit(""))
 
 
-def sync_attr(subject_obs: Column, spec: ColumnSpec, answer_map: Column) -> Column:
+def subject_value(spec: ColumnSpec) -> str:
+    """Under which name a subject's answer to a sync question travels with its key."""
+    return f"subject:{spec.parent_uuid or ''}/{spec.concept_uuid}/{spec.concept_type}"
+
+
+def sync_attr(spec: ColumnSpec) -> Column:
     """A sync attribute is an answer of the subject, whatever the row is."""
-    return obs_col(spec, subject_obs, answer_map)
+    return F.col(f"`{subject_value(spec)}`").alias(spec.name)
+
+
+def subject_values(
+    subjects: DataFrame, columns: list[ColumnSpec], answers: DataFrame, keep: list[Column | str], strict: bool = True
+) -> DataFrame:
+    """``keep`` plus the subjects' answers to the sync questions, a few values each.
+
+    They are taken out where the subject is read, so that a join carries them and not the document.
+    """
+    columns = list({subject_value(c): c for c in columns}.values())
+    if not columns:
+        return subjects.select(*keep)
+    answer_map = F.lit(None)
+    if any(c.concept_type in CODED_CONCEPTS for c in columns):
+        subjects, answer_map = with_dictionary(subjects, answers), F.col("answer_map")
+    subjects = subjects.withColumn("_obs", parse_obs(subjects, "observations"))
+    return subjects.select(*keep, *[obs_col(c, F.col("_obs"), answer_map, strict).alias(subject_value(c)) for c in columns])
 
 
 def obs_col(spec: ColumnSpec, obs: Column, answer_map: Column, strict: bool = True) -> Column:
@@ -172,27 +194,17 @@ def project_answers(
     json_col: str,
     answers: DataFrame,
     keep: list[Column | str],
-    subject_json_col: str | None = None,
     strict: bool = True,
 ) -> DataFrame:
-    """``keep`` plus one typed column per answer column of a table."""
+    """``keep`` plus one typed column per answer column of a table.
+
+    Sync attributes are on the rows already, as :func:`subject_values` left them.
+    """
     own = [c for c in columns if not c.is_sync_attribute]
-    from_subject = [c for c in columns if c.is_sync_attribute]
-    parsed = {}
-    if own:
-        parsed["_obs"] = parse_obs(df, json_col)
-    if from_subject:
-        parsed["_subject_obs"] = parse_obs(df, subject_json_col)
-    if not parsed:
-        return df.select(*keep)
     answer_map = F.lit(None)
-    if any(c.concept_type in CODED_CONCEPTS for c in columns):
+    if any(c.concept_type in CODED_CONCEPTS for c in own):
         df, answer_map = with_dictionary(df, answers), F.col("answer_map")
-    df = df.withColumns(parsed)
-    return df.select(
-        *keep,
-        *[
-            obs_col(c, F.col("_subject_obs" if c.is_sync_attribute else "_obs"), answer_map, strict)
-            for c in columns
-        ],
-    )
+    if own:
+        df = df.withColumn("_obs", parse_obs(df, json_col))
+    made = [sync_attr(c) if c.is_sync_attribute else obs_col(c, F.col("_obs"), answer_map, strict) for c in columns]
+    return df.select(*keep, *made)

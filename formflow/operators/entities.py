@@ -3,17 +3,20 @@
 Each operator is one narrow scan of the changed source rows, joined to the
 keys that decide which table a row belongs to, with one typed column per
 question. Side tables are reduced to the ids that qualify before any join, so
-a join only ever carries an id (and the subject's document where a sync
-attribute needs it).
+a join only ever carries an id, and the few answers of the subject that are sync
+attributes. A run that fills many tables places each source's rows once, by
+:func:`place`; the tables then need no join with subjects at all.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.functions.obs import concept_map, obs_source, project_answers
-from formflow.model import TableSpec
+from formflow.functions.obs import concept_map, obs_source, project_answers, subject_values
+from formflow.model import ColumnSpec, TableSpec
 from formflow.operators.maintain import keep_latest
 from formflow.sources.tables import Context, in_window
 
@@ -62,10 +65,15 @@ USER_SUBJECT_COLUMNS = (
     "last_modified_by_id", "created_date_time", "last_modified_date_time", "organisation_id",
     "is_voided",
 )
+# Which column of a source names the subject.
+SUBJECT_KEYS = {"encounter": "individual_id", "program_enrolment": "individual_id", "subject_program_eligibility": "subject_id"}
 HEAD_ROLE = "Head of household"
 HEAD_COLUMN = "Head of household ID"
 # --- end of fixed values ----------------------------------------------------
 
+#: Type of a placed row's subject, and programme of a placed visit.
+SUBJECT_TYPE, PROGRAM = "_subject_type_id", "_program_id"
+
 
 def answer_dictionary(ctx: Context, spec: TableSpec) -> DataFrame:
     uuids = sorted({c.concept_uuid for c in spec.answers})
@@ -77,15 +85,48 @@ def type_ids(ctx: Context, table: str, uuid: str, name: str) -> DataFrame:
     return ctx.table(table).where(F.col("uuid") == uuid).select(F.col("id").alias(name))
 
 
-def subjects_of_type(ctx: Context, spec: TableSpec, key: str = "individual_id") -> DataFrame:
-    """Subjects a table may hold: their id, and document if it is read."""
-    ids = type_ids(ctx, "subject_type", spec.subject_type_uuid, "subject_type_id")
-    columns = [F.col("id").alias(key), "subject_type_id"]
-    keep = [key]
-    if any(c.is_sync_attribute for c in spec.answers):
-        columns.append(F.col("observations").alias("subject_observations"))
-        keep.append("subject_observations")
-    return ctx.table("individual").select(*columns).join(ids, "subject_type_id", "left_semi").select(*keep)
+def sync_columns(specs: Iterable[TableSpec]) -> list[ColumnSpec]:
+    return [c for s in specs for c in s.answers if c.is_sync_attribute]
+
+
+def subject_keys(ctx: Context, columns: Sequence[ColumnSpec], key: str, type_uuid: str | None = None) -> DataFrame:
+    """Of each subject (of one type) its id as ``key``, its type and its answers to the sync questions ``columns``."""
+    people = ctx.table("individual")
+    if type_uuid is not None:
+        people = people.join(type_ids(ctx, "subject_type", type_uuid, "subject_type_id"), "subject_type_id", "left_semi")
+    names = concept_map(ctx.table("concept"), ctx.table("concept_answer"), sorted({c.concept_uuid for c in columns}))
+    return subject_values(people, list(columns), names, [F.col("id").alias(key), F.col("subject_type_id").alias(SUBJECT_TYPE)])
+
+
+def enrolment_keys(ctx: Context, columns: Sequence[ColumnSpec], spec: TableSpec | None = None) -> DataFrame:
+    """Of each enrolment (that a table's visits may belong to) its id, programme and subject, with the subject's key columns."""
+    enrolled = ctx.table("program_enrolment").select(
+        F.col("id").alias("program_enrolment_id"), F.col("individual_id").alias("enrolled_id"), F.col("program_id").alias(PROGRAM)
+    )
+    if spec is not None:
+        enrolled = enrolled.join(type_ids(ctx, "program", spec.program_uuid, PROGRAM), PROGRAM, "left_semi")
+    return enrolled.join(subject_keys(ctx, columns, "enrolled_id", spec and spec.subject_type_uuid), "enrolled_id")
+
+
+def place(ctx: Context, source: str, rows: DataFrame, columns: Sequence[ColumnSpec], spec: TableSpec | None = None) -> DataFrame:
+    """Rows of a source with their subject's type and sync answers (a visit's in a programme: also its programme).
+
+    With ``spec`` only rows of subjects (and programmes) that fit the table.
+    """
+    if source == "program_encounter":
+        return rows.join(enrolment_keys(ctx, columns, spec), "program_enrolment_id")
+    key = SUBJECT_KEYS[source]
+    return rows.join(subject_keys(ctx, columns, key, spec and spec.subject_type_uuid), key)
+
+
+def of_subjects(ctx: Context, spec: TableSpec, source: str, rows: DataFrame) -> DataFrame:
+    """The rows whose subject (and programme) fits the table; of rows that are placed already without a join with subjects."""
+    if SUBJECT_TYPE not in rows.columns:
+        return place(ctx, source, rows, sync_columns([spec]), spec)
+    rows = rows.join(type_ids(ctx, "subject_type", spec.subject_type_uuid, SUBJECT_TYPE), SUBJECT_TYPE, "left_semi")
+    if source == "program_encounter":
+        rows = rows.join(type_ids(ctx, "program", spec.program_uuid, PROGRAM), PROGRAM, "left_semi")
+    return rows
 
 
 def _answers(ctx: Context, spec: TableSpec, rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -95,7 +136,6 @@ def _answers(ctx: Context, spec: TableSpec, rows: DataFrame, keep: tuple[str, ..
         obs_source(spec),
         answer_dictionary(ctx, spec),
         list(keep),
-        "subject_observations",
     )
 
 
@@ -122,7 +162,7 @@ def _encounters(ctx: Context, spec: TableSpec, cancelled: bool) -> DataFrame:
     if cancelled:
         visits = visits.where(F.col("cancel_date_time").isNotNull())
     kinds = type_ids(ctx, "encounter_type", spec.encounter_type_uuid, "encounter_type_id")
-    rows = visits.join(kinds, "encounter_type_id", "left_semi").join(subjects_of_type(ctx, spec), "individual_id")
+    rows = of_subjects(ctx, spec, "encounter", visits.join(kinds, "encounter_type_id", "left_semi"))
     return _answers(ctx, spec, rows, VISIT_COLUMNS)
 
 
@@ -141,7 +181,7 @@ def _enrolments(ctx: Context, spec: TableSpec, exited: bool) -> DataFrame:
     if exited:
         rows = rows.where(F.col("program_exit_date_time").isNotNull())
     programs = type_ids(ctx, "program", spec.program_uuid, "program_id")
-    rows = rows.join(programs, "program_id", "left_semi").join(subjects_of_type(ctx, spec), "individual_id")
+    rows = of_subjects(ctx, spec, "program_enrolment", rows.join(programs, "program_id", "left_semi"))
     return _answers(ctx, spec, rows, ENROLMENT_COLUMNS)
 
 
@@ -155,29 +195,12 @@ def flatten_exit(ctx: Context, spec: TableSpec) -> DataFrame:
     return _enrolments(ctx, spec, exited=True)
 
 
-def enrolments_of(ctx: Context, spec: TableSpec) -> DataFrame:
-    """Enrolments a programme visit may belong to, by programme and subject type."""
-    programs = type_ids(ctx, "program", spec.program_uuid, "program_id")
-    subjects = subjects_of_type(ctx, spec).withColumnRenamed("individual_id", "enrolled_id")
-    return (
-        ctx.table("program_enrolment")
-        .select(
-            F.col("id").alias("program_enrolment_id"),
-            F.col("individual_id").alias("enrolled_id"),
-            "program_id",
-        )
-        .join(programs, "program_id", "left_semi")
-        .join(subjects, "enrolled_id")
-        .drop("program_id")
-    )
-
-
 def _program_encounters(ctx: Context, spec: TableSpec, cancelled: bool) -> DataFrame:
     visits = ctx.changed("program_encounter")
     if cancelled:
         visits = visits.where(F.col("cancel_date_time").isNotNull())
     kinds = type_ids(ctx, "encounter_type", spec.encounter_type_uuid, "encounter_type_id")
-    rows = visits.join(kinds, "encounter_type_id", "left_semi").join(enrolments_of(ctx, spec), "program_enrolment_id")
+    rows = of_subjects(ctx, spec, "program_encounter", visits.join(kinds, "encounter_type_id", "left_semi"))
     return _answers(ctx, spec, rows, PROGRAM_VISIT_COLUMNS)
 
 
@@ -193,8 +216,7 @@ def flatten_program_encounter_cancel(ctx: Context, spec: TableSpec) -> DataFrame
 
 def flatten_eligibility(ctx: Context, spec: TableSpec) -> DataFrame:
     """Manual programme eligibility. Not narrowed to a programme."""
-    subjects = subjects_of_type(ctx, spec, key="subject_id")
-    rows = ctx.changed("subject_program_eligibility").join(subjects, "subject_id")
+    rows = of_subjects(ctx, spec, "subject_program_eligibility", ctx.changed("subject_program_eligibility"))
     return _answers(ctx, spec, rows, ELIGIBILITY_COLUMNS)
 
 
@@ -235,8 +257,9 @@ def household_members(ctx: Context, spec: TableSpec) -> DataFrame:
     """Edges from households to their members, with the head of household.
 
     The edge counts as changed when it or the head's edge changed. A
-    household without a live head edge gives no rows. When a head changed
-    more than once in one run, the newest row per (edge, head) stays.
+    household without a live head edge gives no rows; its stored rows are
+    taken back by :func:`headless`. When a head changed more than once in one
+    run, the newest row per (edge, head) stays.
     """
     modified = "last_modified_date_time"
     all_edges = ctx.table("group_subject")
@@ -264,6 +287,16 @@ def household_members(ctx: Context, spec: TableSpec) -> DataFrame:
     return keep_latest(rows, ["id", HEAD_COLUMN], modified)
 
 
+def headless(ctx: Context) -> DataFrame:
+    """Households with an edge that changed, and without a live head edge: (group_subject_id)."""
+    edges = ctx.table("group_subject")
+    roles = ctx.table("group_role").select(F.col("id").alias("group_role_id"), F.col("role").alias("head_role"))
+    heads = edges.where(~F.col("is_voided")).join(roles, "group_role_id", "left")
+    heads = heads.where((F.col("head_role") == HEAD_ROLE) | F.col("head_role").isNull())
+    touched = edges.where(in_window(edges, ctx.start, ctx.end)).select("group_subject_id").distinct()
+    return touched.join(heads.select("group_subject_id"), "group_subject_id", "left_anti")
+
+
 def copy_users(ctx: Context) -> DataFrame:
     return ctx.changed("users").select(*USER_COLUMNS)
 

@@ -127,20 +127,42 @@ def drop_unexited(exits: DataFrame, enrolments: DataFrame) -> DataFrame:
     return delete_matching(exits, enrolments.where(F.col("program_exit_date_time").isNull()), ["id"])
 
 
-def newest_statuses(approvals: DataFrame, statuses: DataFrame) -> DataFrame:
-    """The latest live approval status of every entity, by entity type."""
+STATUS_KEYS = ["entity_type", "entity_id"]
+
+
+def current_statuses(approvals: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The latest live approval status of every entity, with its id and time."""
     named = statuses.select(F.col("id").alias("approval_status_id"), "status")
     live = approvals.where(~F.col("is_voided")).join(named, "approval_status_id")
-    return (
-        keep_latest(
-            live.select("id", "entity_type", "entity_id", "status_date_time", "status"),
-            ["entity_type", "entity_id"],
-            "status_date_time",
-            tie_break=[F.col("id").desc()],
-        )
-        .where(F.col("status").isNotNull())
-        .select("entity_type", "entity_id", "status")
-    )
+    return _newest_status(live.select("id", *STATUS_KEYS, "status_date_time", "status"))
+
+
+def _newest_status(rows: DataFrame) -> DataFrame:
+    return keep_latest(rows, STATUS_KEYS, "status_date_time", tie_break=[F.col("id").desc()])
+
+
+def newest_statuses(approvals: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The latest live approval status of every entity, by entity type."""
+    return current_statuses(approvals, statuses).where(F.col("status").isNotNull()).select(*STATUS_KEYS, "status")
+
+
+def fold_statuses(state: DataFrame, window: DataFrame, history: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Newest statuses of the entities that ``window`` touches, from the stored ``state`` of :func:`current_statuses`.
+
+    A status is newer or it is not, so the window's rows are folded into the state. Only where the
+    window edits or voids the very row that is current, that entity is worked out from ``history``.
+    An entity that is left without a status gives no row.
+    """
+    touched = window.select(*STATUS_KEYS).distinct()
+    edited = state.join(window.select("id").distinct(), "id", "left_semi").select(*STATUS_KEYS)
+    known = state.join(touched, STATUS_KEYS, "left_semi").join(edited, STATUS_KEYS, "left_anti")
+    # rows whose id has been edited before it was current are in the window as they are now
+    fresh = current_statuses(window.join(edited, STATUS_KEYS, "left_anti"), statuses)
+    folded = _newest_status(known.unionByName(fresh.select(known.columns)))
+    if edited.isEmpty():
+        return folded
+    again = current_statuses(history.join(edited, STATUS_KEYS, "left_semi"), statuses)
+    return folded.unionByName(again)
 
 
 def set_approval(target: DataFrame, newest: DataFrame, entity_type: str) -> DataFrame:
@@ -182,6 +204,14 @@ def rename_single(df: DataFrame, column: str, migrations: Sequence[tuple[str, st
     return df.withColumn(column, _renamed(F.col(f"`{column}`"), lookup))
 
 
+def holds_any(column: str, names: Iterable[str], many: bool) -> Column:
+    """Whether an answer column holds one of the names, so that a rename would change the row."""
+    names = sorted(names)
+    if not many:
+        return F.col(f"`{column}`").isin(names)
+    return F.coalesce(F.arrays_overlap(F.split(F.col(f"`{column}`"), ANSWER_SEPARATOR), F.array(*map(F.lit, names))), F.lit(False))
+
+
 def rename_multi(df: DataFrame, column: str, migrations: Sequence[tuple[str, str]]) -> DataFrame:
     """Answer renames, in order, on whole elements of a multi-select column."""
     lookup = compose_renames(migrations)

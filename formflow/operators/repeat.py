@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from formflow.functions.obs import obs_path, parse_obs, project_answers
 from formflow.model import TableSpec
-from formflow.operators.entities import answer_dictionary, enrolments_of, subjects_of_type, type_ids
+from formflow.operators.entities import answer_dictionary, of_subjects, type_ids
+from formflow.sources.snapshots import PART, month_of
 from formflow.sources.tables import Context
 
 INDEX = "repeatable_question_group_index"
@@ -33,65 +34,52 @@ def explode_group(df: DataFrame, json_col: str, uuid: str) -> DataFrame:
 
 
 def _project(ctx: Context, spec: TableSpec, rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    keep = [*keys, *_TAIL]
+    keep = [*keys, *_TAIL, *([PART] if PART in rows.columns else [])]
     exploded = explode_group(rows.select(*keep, "observations"), "observations", spec.repeat_uuid)
     return project_answers(
         exploded, spec.answers, "observations", answer_dictionary(ctx, spec), [*keep, INDEX]
     )
 
 
-def repeat_subject(ctx: Context, spec: TableSpec) -> DataFrame:
-    ids = type_ids(ctx, "subject_type", spec.subject_type_uuid, "subject_type_id")
-    rows = ctx.changed("individual").join(ids, "subject_type_id", "left_semi")
-    return _project(ctx, spec, rows.withColumnRenamed("id", "individual_id"), ("individual_id",))
+def _of_kind(ctx: Context, spec: TableSpec, source: str) -> DataFrame:
+    """Changed visits of the table's kind that are not cancelled."""
+    kinds = type_ids(ctx, "encounter_type", spec.encounter_type_uuid, "encounter_type_id")
+    return ctx.changed(source).where(F.col("cancel_date_time").isNull()).join(kinds, "encounter_type_id", "left_semi")
 
 
-def repeat_encounter(ctx: Context, spec: TableSpec) -> DataFrame:
-    kinds = type_ids(ctx, "encounter_type", spec.encounter_type_uuid, "encounter_type_id")
-    rows = (
-        ctx.changed("encounter")
-        .where(F.col("cancel_date_time").isNull())
-        .join(kinds, "encounter_type_id", "left_semi")
-        .join(subjects_of_type(ctx, spec), "individual_id")
-        .withColumnRenamed("id", "encounter_id")
-    )
-    return _project(ctx, spec, rows, ("individual_id", "encounter_id"))
+def _subjects(ctx: Context, spec: TableSpec) -> DataFrame:
+    ids = type_ids(ctx, "subject_type", spec.subject_type_uuid, "subject_type_id")
+    return ctx.changed("individual").join(ids, "subject_type_id", "left_semi")
 
 
-def repeat_enrolment(ctx: Context, spec: TableSpec) -> DataFrame:
+def _enrolments(ctx: Context, spec: TableSpec) -> DataFrame:
     programs = type_ids(ctx, "program", spec.program_uuid, "program_id")
-    rows = (
-        ctx.changed("program_enrolment")
-        .join(programs, "program_id", "left_semi")
-        .join(subjects_of_type(ctx, spec), "individual_id")
-        .withColumnRenamed("id", "program_enrolment_id")
-    )
-    return _project(ctx, spec, rows, ("individual_id", "program_enrolment_id"))
+    return of_subjects(ctx, spec, "program_enrolment", ctx.changed("program_enrolment").join(programs, "program_id", "left_semi"))
 
 
-def repeat_program_encounter(ctx: Context, spec: TableSpec) -> DataFrame:
+def _program_visits(ctx: Context, spec: TableSpec) -> DataFrame:
     """The subject is the one of the enrolment."""
-    kinds = type_ids(ctx, "encounter_type", spec.encounter_type_uuid, "encounter_type_id")
-    enrolments = enrolments_of(ctx, spec).withColumnRenamed("enrolled_id", "individual_id")
-    rows = (
-        ctx.changed("program_encounter")
-        .where(F.col("cancel_date_time").isNull())
-        .join(kinds, "encounter_type_id", "left_semi")
-        .drop("individual_id")
-        .join(enrolments, "program_enrolment_id")
-        .withColumnRenamed("id", "program_encounter_id")
-    )
-    return _project(ctx, spec, rows, ("individual_id", "program_enrolment_id", "program_encounter_id"))
+    rows = _of_kind(ctx, spec, "program_encounter").drop("individual_id")
+    return of_subjects(ctx, spec, "program_encounter", rows).withColumnRenamed("enrolled_id", "individual_id")
 
 
-REPEAT = {
-    "IndividualProfile": repeat_subject,
-    "Encounter": repeat_encounter,
-    "ProgramEnrolment": repeat_enrolment,
-    "ProgramEncounter": repeat_program_encounter,
+# form of a repeat group: its rows, under which name their id is kept, and the ids kept besides
+_PARENTS = {
+    "IndividualProfile": (_subjects, "individual_id", ()),
+    "Encounter": (lambda ctx, spec: of_subjects(ctx, spec, "encounter", _of_kind(ctx, spec, "encounter")), "encounter_id", ("individual_id",)),
+    "ProgramEnrolment": (_enrolments, "program_enrolment_id", ("individual_id",)),
+    "ProgramEncounter": (_program_visits, "program_encounter_id", ("individual_id", "program_enrolment_id")),
 }
 
 
-def repeat_group(ctx: Context, spec: TableSpec) -> DataFrame:
-    """The changed rows of a repeat-group table, by the form it hangs off."""
-    return REPEAT[spec.parent_type](ctx, spec)
+def repeat_group(ctx: Context, spec: TableSpec, by_month: bool = False) -> DataFrame:
+    """The changed rows of a repeat-group table, by the form it hangs off.
+
+    ``by_month`` adds the partition of each row: the month its parent was created in,
+    so that a new list of a parent replaces the old one inside one month.
+    """
+    parents, key, others = _PARENTS[spec.parent_type]
+    rows = parents(ctx, spec)
+    if by_month:
+        rows = rows.withColumn(PART, month_of(rows, "created_date_time"))
+    return _project(ctx, spec, rows.withColumnRenamed("id", key), (*others, key))

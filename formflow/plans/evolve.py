@@ -209,8 +209,8 @@ def evolve(df: DataFrame, changes: Sequence[Change]) -> DataFrame:
     return df.select(*[value.alias(name) for name, value in columns.items()])
 
 
-def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Rows in the columns and types of a spec; missing columns are null."""
+def conform(df: DataFrame, spec: TableSpec, also: Sequence[str] = ()) -> DataFrame:
+    """Rows in the columns and types of a spec, and the columns ``also``; missing columns are null."""
     have = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in spec.columns:
@@ -221,4 +221,4 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
             out.append(F.col(f"`{c.name}`"))
         else:
             out.append(F.col(f"`{c.name}`").cast(wanted).alias(c.name))
-    return df.select(*out)
+    return df.select(*out, *also)

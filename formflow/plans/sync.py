@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from formflow.model import (
@@ -21,24 +21,30 @@ from formflow.model import (
 )
 from formflow.operators import address, entities, maintain, media, repeat
 from formflow.plans import catalog
+from formflow.plans.derive import Config, run_derived
 from formflow.plans.evolve import SPEC_TABLE, Change, conform, diff, evolve, load_specs, merge_specs, save_specs
 from formflow.plans.merge import merge_months
-from formflow.sources.snapshots import Entry, Store
+from formflow.sources.snapshots import PART, Entry, Store
 from formflow.sources.state import STATE_TABLE, advanced_state
 from formflow.sources.tables import EPOCH, Context, delta, tenant_filter
 
 TS = "last_modified_date_time"
+#: The stored approval state, by hash bucket of the entity.
+APPROVALS, APPROVAL_BUCKETS = "_approvals", 64
+STATUS_COLUMNS = ("id", *maintain.STATUS_KEYS, "status_date_time", "status")
 # source of a table type and the column that tells its tables apart
 STAGED = {
     "encounter": "encounter_type_id",
     "program_encounter": "encounter_type_id",
     "program_enrolment": "program_id",
+    "subject_program_eligibility": "program_id",
     "individual": "subject_type_id",
 }
 FED_BY = {
     "encounter": ("Encounter", "IndividualEncounterCancellation"),
     "program_encounter": ("ProgramEncounter", "ProgramEncounterCancellation"),
     "program_enrolment": ("ProgramEnrolment", "ProgramExit"),
+    "subject_program_eligibility": ("ManualProgramEnrolmentEligibility",),
     "individual": SUBJECT_TYPES + ("IndividualProfile",),
 }
 CANCELS = {
@@ -82,6 +88,9 @@ class Run:
     staged: dict[str, DataFrame] = field(default_factory=dict)
     staged_from: str = EPOCH
     statuses: DataFrame | None = None
+    reviewed: DataFrame | None = None
+    renames: list = field(default_factory=list)
+    keep_headless: bool = False
 
     def context(self, spec: TableSpec) -> Context:
         """The table's window; a new table looks further back than the
@@ -106,26 +115,59 @@ def watermarks(store: Store, tenant: str) -> dict[str, str]:
 
 
 def stage_sources(run: Run) -> None:
-    """Write each large source's changed rows once, by type.
+    """Write each large source's changed rows once, by type, with what their subjects decide.
 
-    A tenant has hundreds of tables and a handful of sources. Every table
-    then reads its own type's folder and not the whole source.
+    A tenant has hundreds of tables and a handful of sources. Each source is joined with its
+    subjects once, for their type and their answers to the sync questions; every table then
+    reads its own type's folder, without a join with subjects.
     """
     seen = [t for t in run.last_sync.values() if t > EPOCH]
     run.staged_from = min(seen, default=EPOCH)
     for name, key in STAGED.items():
         users = [s for s in run.specs if s.type in FED_BY[name] or s.parent_type in FED_BY[name]]
-        if len(users) < 2 or name not in run.tables:
+        if not users or name not in run.tables:
             continue
-        changed = Context(run.tables, run.staged_from, run.now).changed(name)
+        ctx = Context(run.tables, run.staged_from, run.now)
+        changed = ctx.changed(name)
+        if name != "individual":
+            changed = entities.place(ctx, name, changed, entities.sync_columns(users))
         run.staged[name] = run.store.stage(changed, name, key)
 
 
+def _bucket(df: DataFrame) -> DataFrame:
+    """Rows of entities with the partition of the approval state that they belong to."""
+    return df.withColumn(PART, F.concat(F.lit("b"), F.pmod(F.xxhash64(*maintain.STATUS_KEYS), F.lit(APPROVAL_BUCKETS)).cast("string")))
+
+
 def stage_statuses(run: Run) -> None:
-    """Each entity's latest approval status, worked out once for all tables."""
-    if "entity_approval_status" in run.tables:
-        newest = maintain.newest_statuses(run.tables["entity_approval_status"], run.tables["approval_status"])
-        run.statuses = run.store.stage(newest, "approvals", "entity_type")
+    """Each entity's latest approval status, kept from run to run: only the window's rows are folded in."""
+    if "entity_approval_status" not in run.tables:
+        return
+    history, names = run.tables["entity_approval_status"], run.tables["approval_status"]
+    store, entry = run.store, run.before.get(APPROVALS)
+    window = delta(history, run.last_sync.get(APPROVALS, EPOCH), run.now, TS if TS in history.columns else "status_date_time")
+    window = store.stage(window, "reviewed")
+    run.reviewed = window.select(*maintain.STATUS_KEYS)
+    buckets = sorted(r[0] for r in _bucket(run.reviewed).select(PART).distinct().collect())  # APPROVAL_BUCKETS at most
+    if entry is None:
+        fresh = _bucket(maintain.current_statuses(window, names))
+        entry = store.write_months(fresh, APPROVALS, sort_by="entity_id")
+    elif buckets:
+        state = store.load(entry, with_part=True).where(F.col(PART).isin(buckets)).select(*STATUS_COLUMNS)
+        folded = maintain.fold_statuses(state, window, history, names).select(*STATUS_COLUMNS)
+        touched = run.reviewed.distinct()
+        rows = state.join(touched, maintain.STATUS_KEYS, "left_anti").unionByName(folded)
+        entry = store.write_months(_bucket(rows), APPROVALS, entry, buckets, sort_by="entity_id")
+    run.done[APPROVALS] = entry
+    run.statuses = store.load(entry).where(F.col("status").isNotNull()).select(*maintain.STATUS_KEYS, "status")
+
+
+def collect_renames(run: Run) -> None:
+    """The answer renames of the run, in the order made: edits of metadata, a handful."""
+    if "answer_concept_migration" in run.tables:
+        rows = Context(run.tables, run.staged_from, run.now).changed("answer_concept_migration").where(~F.col("is_voided"))
+        columns = ["concept_id", "old_answer_concept_name", "new_answer_concept_name", F.col(TS).cast("string").alias("made")]
+        run.renames = rows.orderBy(TS, "id").select(*columns).collect()
 
 
 class Staged(Mapping):
@@ -146,24 +188,27 @@ class Staged(Mapping):
 
 
 def migrations(run: Run, spec: TableSpec) -> dict[str, list[tuple[str, str]]]:
-    """Answer renames of this window per column, in the order made."""
-    if "answer_concept_migration" not in run.tables or not spec.answers:
-        return {}
-    rows = (
-        run.context(spec).changed("answer_concept_migration")
-        .where(~F.col("is_voided"))
-        .orderBy(TS, "id")
-        .select("concept_id", "old_answer_concept_name", "new_answer_concept_name")
-        .collect()
-    )
+    """Answer renames of the table's window per column, in the order made."""
+    since = run.last_sync.get(spec.name, EPOCH)
     found: dict[str, list[tuple[str, str]]] = {}
     for column in spec.answers:
-        pairs = [(r[1], r[2]) for r in rows if r[0] == column.concept_id]
+        pairs = [(r[1], r[2]) for r in run.renames if r[0] == column.concept_id and r["made"] > since]
         if pairs:
             found[column.name] = pairs
     return found
 
 
+def _holds_old_name(spec: TableSpec, old: set[str], found: dict[str, list[tuple[str, str]]]) -> Column | None:
+    """Stored rows that a rename changes; other months keep their files. ``old``: the stored columns."""
+    types = {c.name: c.concept_type for c in spec.columns}
+    parts = [
+        maintain.holds_any(column, {first for first, _ in pairs}, types[column] == "MultiSelect")
+        for column, pairs in found.items()
+        if column in old
+    ]
+    return reduce(lambda a, b: a | b, parts) if parts else None
+
+
 def renamed(df: DataFrame, spec: TableSpec, found: dict[str, list[tuple[str, str]]]) -> DataFrame:
     types = {c.name: c.concept_type for c in spec.columns}
     for column, pairs in found.items():
@@ -177,7 +222,7 @@ def fresh_rows(run: Run, spec: TableSpec) -> tuple[DataFrame, list[str], str]:
     ctx = run.context(spec)
     if spec.type == "RepeatableQuestionGroup":
         parent = PARENT_KEY[spec.parent_type]
-        rows = repeat.repeat_group(ctx, spec)
+        rows = repeat.repeat_group(ctx, spec, by_month=True)
         serial = F.xxhash64(F.lit(spec.name), parent, repeat.INDEX, TS)
         return rows.withColumn("id", serial), [parent], "rank"
     if spec.type == "HouseholdToMember":
@@ -194,11 +239,12 @@ def _touched(run: Run, spec: TableSpec, key: str) -> DataFrame | None:
     if spec.type in CANCELS:
         source, _ = CANCELS[spec.type]
         parts.append(run.context(spec).changed(source).select("id"))
-    if spec.type in APPROVAL_ENTITY and run.statuses is not None:
-        approvals = run.tables["entity_approval_status"].where(F.col("entity_type") == APPROVAL_ENTITY[spec.type])
-        column = TS if TS in approvals.columns else "status_date_time"
-        recent = delta(approvals, run.last_sync.get(spec.name, EPOCH), run.now, column)
-        parts.append(recent.select(F.col("entity_id").alias(key)))
+    if spec.type in APPROVAL_ENTITY and run.reviewed is not None:
+        mine = run.reviewed.where(F.col("entity_type") == APPROVAL_ENTITY[spec.type])
+        parts.append(mine.select(F.col("entity_id").alias(key)))
+    if spec.type == "HouseholdToMember" and not run.keep_headless:
+        edges = run.tables["group_subject"].select("id", "group_subject_id")
+        parts.append(edges.join(entities.headless(run.context(spec)), "group_subject_id", "left_semi").select("id"))
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
@@ -206,29 +252,33 @@ def sync_table(run: Run, spec: TableSpec) -> Entry:
     """One flat table brought up to date; returns its new pieces."""
     store = run.store
     fresh, keys, ties = fresh_rows(run, spec)
-    fresh = conform(fresh, spec)
+    placed = [PART] if PART in fresh.columns else []
+    fresh = conform(fresh, spec, placed)
     entry = run.old_entry(spec)
     changes = run.changes.get(spec.name, [])
     renames = migrations(run, spec)
-    if entry is not None:
+    if entry is not None or ties == "rank":
         fresh = store.stage(fresh, spec.name)  # read for its keys, its months and its rows
 
     def prepare(old: DataFrame) -> DataFrame:
-        return conform(renamed(evolve(old, changes), spec, renames), spec)
+        return conform(renamed(evolve(old, changes), spec, renames), spec, placed)
 
     def finish(rows: DataFrame) -> DataFrame:
         if spec.type in CANCELS:
             source, column = CANCELS[spec.type]
             primary = run.context(spec).changed(source)
             rows = maintain.delete_matching(rows, primary.where(F.col(column).isNull()), ["id"])
+        if spec.type == "HouseholdToMember" and not run.keep_headless:
+            rows = rows.join(entities.headless(run.context(spec)), "group_subject_id", "left_anti")
         if spec.type in APPROVAL_ENTITY and run.statuses is not None:
             rows = maintain.set_approval(rows, run.statuses, APPROVAL_ENTITY[spec.type])
-        return conform(rows, spec)
+        return conform(rows, spec, placed)
 
-    if spec.has("created_date_time"):
+    if spec.has("created_date_time") or placed:
+        dirty = _holds_old_name(spec, set(store.load(entry).columns), renames) if renames and entry else None
         return merge_months(
-            store, spec.name, entry, fresh, keys, TS, ties,
-            touched=_touched(run, spec, keys[0]), prepare=prepare, finish=finish, whole=bool(changes or renames),
+            store, spec.name, entry, fresh, keys, TS, ties, touched=_touched(run, spec, keys[0]),
+            prepare=prepare, finish=finish, whole=bool(changes), dirty=dirty,
         )
     if entry is None:
         return store.write(finish(maintain.keep_latest(fresh, keys, TS, ties)), spec.name)
@@ -309,9 +359,8 @@ def sync_media(run: Run, spec: TableSpec) -> Entry | None:
         return entry or run.store.write(conform(empty, spec), spec.name)
     group, index = "question_group_concept_name", "repeatable_question_group_index"
     serial = F.xxhash64("entity_id", "concept_name", F.coalesce(group, F.lit("")), F.coalesce(index, F.lit(-1)), "image_url", TS)
-    fresh = conform(fresh.withColumn("id", serial), spec)
-    if entry is not None:
-        fresh = run.store.stage(fresh, spec.name)
+    # read for the newest time of each key and for its rows, on the first load too
+    fresh = run.store.stage(conform(fresh.withColumn("id", serial), spec), spec.name)
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumns({"_g": F.coalesce(group, F.lit("")), "_i": F.coalesce(index, F.lit(-1))})
@@ -340,11 +389,16 @@ def sync_tenant(
     group_member: bool = False,
     threads: int = 4,
     stage: bool = True,
+    derived: Config | None = None,
+    keep_headless: bool = False,
 ) -> list[TableSpec]:
-    """Bring all flat tables of a tenant up to ``now``.
+    """Bring all flat tables of a tenant up to ``now``, then the tables derived from them.
 
     The members of a tenant group are synced one after another into the
     group's store, each with its own ids and ``group_member`` set.
+
+    Members of a household whose last head edge was voided leave the table; with
+    ``keep_headless`` they stay, with the head they had.
     """
     mine = TenantTables(tables, org_ids)
     old = load_specs(store)
@@ -359,10 +413,12 @@ def sync_tenant(
     specs = merge_specs(old, wanted, group_member)
     last = watermarks(store, tenant)
     last_sync = {s.name: last.get(old_names.get(s.name, s.name), EPOCH) for s in specs}
-    run = Run(store, mine, tenant, now, specs, changes, old_names, last_sync, store.manifest(), {})
+    last_sync[APPROVALS] = last.get(APPROVALS, EPOCH)
+    run = Run(store, mine, tenant, now, specs, changes, old_names, last_sync, store.manifest(), {}, keep_headless=keep_headless)
     stage_statuses(run)
     if stage:
         stage_sources(run)
+    collect_renames(run)
 
     waves: Sequence[list[TableSpec]] = (
         [s for s in specs if s.type not in ("Media", "MediaAnalysis")],
@@ -373,7 +429,7 @@ def sync_tenant(
             for spec, entry in zip(wave, pool.map(lambda s: _step(s)(run, s), wave)):
                 run.done[spec.name] = entry
     synced = store.spark.createDataFrame(
-        [(s.name, tenant, now) for w in waves for s in w], "table_name string, tenant string, last_sync_time string"
+        [(name, tenant, now) for name in (*(s.name for w in waves for s in w), APPROVALS)], "table_name string, tenant string, last_sync_time string"
     )
     withdrawn = {old_name: None for old_name in old_names.values() if old_name not in run.done}
     store.commit(
@@ -384,4 +440,7 @@ def sync_tenant(
             STATE_TABLE: store.write(advanced_state(store, synced), STATE_TABLE, sort_by=None),
         }
     )
+    store.release_staged()
+    if derived is not None:
+        run_derived(store, derived, {s.name: store.read(s.name) for s in specs if store.exists(s.name)} | dict(mine), tenant, now)
     return specs

@@ -9,11 +9,17 @@ leaves only folders that nothing refers to.
 Large tables are partitioned by the month a row was created in. A month lives
 in exactly one piece; a run rewrites the months it touches and leaves the
 folders of all other months alone.
+
+A table that only grows is a list of pieces of different sizes. Pieces of like size
+are written together once there are ``FAN`` of them, as digits carry in a counter, so a
+row is rewritten a number of times that is logarithmic in the table's size.
 """
 
 from __future__ import annotations
 
 import json
+import math
+import time
 import uuid
 from collections.abc import Sequence
 from functools import reduce
@@ -23,8 +29,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 PART = "_month"
-# pieces of an append-only table before they are written together
-MAX_PIECES = 48
+#: So many pieces of like size of an append-only table are written together; a size class spans as large a factor.
+FAN = 8
+#: Smaller pieces are all of one class.
+LEAST_BYTES = 1 << 16
+#: Folders that nothing refers to are left alone for so long, as a run in progress may yet commit them.
+GRACE_HOURS = 24
 
 # A piece is {"folder": path, "parts": [month, ...] or None for all of it}.
 Entry = list[dict]
@@ -45,6 +55,7 @@ class Store:
         self.spark = spark
         self.root = root.rstrip("/")
         jvm = spark.sparkContext._jvm
+        self._staged: list[str] = []
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -59,9 +70,10 @@ class Store:
     def manifest(self) -> dict:
         """Table name to pieces, and named values, as of the last commit."""
         versions = self._versions()
-        if not versions:
-            return {}
-        stream = self._fs.open(self._path(f"{self.root}/_manifest/{versions[-1]:012d}.json"))
+        return self._manifest(versions[-1]) if versions else {}
+
+    def _manifest(self, number: int) -> dict:
+        stream = self._fs.open(self._path(f"{self.root}/_manifest/{number:012d}.json"))
         try:
             reader = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils
             return json.loads(reader.toString(stream, "UTF-8"))
@@ -130,7 +142,10 @@ class Store:
         tasks and files, small ones share a task.
         """
         folder = f"{self.root}/{name}/v={uuid.uuid4().hex}"
-        rows = df.withColumn(PART, month_of(df, created)).hint("rebalance", F.col(PART)).sortWithinPartitions(PART, sort_by)
+        rows = df if PART in df.columns else df.withColumn(PART, month_of(df, created))
+        if sort_by not in rows.columns:
+            sort_by = PART
+        rows = rows.hint("rebalance", F.col(PART)).sortWithinPartitions(PART, sort_by)
         rows.write.mode("errorifexists").partitionBy(PART).parquet(folder)
         written = [
             s.getPath().getName().split("=", 1)[1]
@@ -149,17 +164,33 @@ class Store:
         # a table without rows still has columns
         return kept or self.write(self.spark.createDataFrame([], df.schema), name, None)
 
+    def size(self, piece: dict) -> int:
+        """Bytes of a piece's files."""
+        folders = [piece["folder"]] if piece["parts"] is None else [f"{piece['folder']}/{PART}={p}" for p in piece["parts"]]
+        return sum(self._fs.getContentSummary(self._path(f)).getLength() for f in folders)
+
     def append(self, df: DataFrame, name: str, old: Entry | None = None, **how) -> Entry:
         """Add rows to a table that only grows.
 
-        Once there are many pieces the newest half of them, which are the small
-        ones, becomes one piece; older pieces are not read or written again.
+        While some ``FAN`` pieces are of one size class they become one piece of the next;
+        larger pieces are not read or written.
         """
-        entry = [*(old or []), *self.write(df, name, **how)]
-        if len(entry) <= MAX_PIECES:
-            return entry
-        kept, newest = entry[: MAX_PIECES // 2], entry[MAX_PIECES // 2 :]
-        return [*kept, *self.write(self.load(newest), name, **how)]
+        entry = [dict(piece) for piece in [*(old or []), *self.write(df, name, **how)]]
+        for piece in entry:
+            if "bytes" not in piece:
+                piece["bytes"] = self.size(piece)
+        while True:
+            classes: dict[int, Entry] = {}
+            for piece in entry:
+                level = int(math.log(max(piece["bytes"], LEAST_BYTES) / LEAST_BYTES, FAN))
+                classes.setdefault(level, []).append(piece)
+            full = next((c for _, c in sorted(classes.items()) if len(c) >= FAN), None)
+            if full is None:
+                return entry
+            (one,) = self.write(self.load(full), name, **how)
+            # files of few rows shrink when written together: at least the sum's class, so that classes fill up
+            one["bytes"] = max(self.size(one), sum(max(p["bytes"], LEAST_BYTES) for p in full))
+            entry = [p for p in entry if p not in full] + [one]
 
     def stage(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write rows that several plans of this run read, and read them back.
@@ -167,12 +198,45 @@ class Store:
         The folder is shared storage, so losing an executor costs a re-read.
         """
         folder = f"{self.root}/_staged/{uuid.uuid4().hex}/{name}"
+        self._staged.append(folder)
         writer = df.write
         if partition_by:
             writer = df.hint("rebalance", F.col(partition_by)).write.partitionBy(partition_by)
         writer.parquet(folder)
         return self.spark.read.schema(df.schema).parquet(folder)
 
+    def release_staged(self) -> None:
+        """Delete what this object has staged. Only once nothing that reads it is left to run."""
+        while self._staged:
+            self._fs.delete(self._path(self._staged.pop()).getParent(), True)
+
+    def vacuum(self, keep: int = 2, grace_hours: float = GRACE_HOURS) -> list[str]:
+        """Delete folders of pieces that none of the newest ``keep`` manifests lists, and older manifests; returns the folders.
+
+        Folders younger than ``grace_hours`` stay: a run in progress may yet commit them, and a
+        reader of an older manifest may still be at work.
+        """
+        versions = self._versions()
+        used = set()
+        for number in versions[-keep:]:
+            for entry in self._manifest(number).values():
+                used |= {piece["folder"].rsplit("/v=", 1)[-1] for piece in entry if isinstance(piece, dict)} if isinstance(entry, list) else set()
+        latest = time.time() * 1000 - grace_hours * 3_600_000
+        gone = []
+        for table in self._fs.listStatus(self._path(self.root)) if self._fs.exists(self._path(self.root)) else []:
+            name = table.getPath().getName()
+            if not table.isDirectory() or name == "_manifest":
+                continue
+            for folder in self._fs.listStatus(table.getPath()):
+                found = folder.getPath().getName()
+                unused = name == "_staged" or found.startswith("v=") and found[2:] not in used
+                if unused and folder.getModificationTime() <= latest:
+                    gone.append(f"{name}/{found}")
+                    self._fs.delete(folder.getPath(), True)
+        for number in versions[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/_manifest/{number:012d}.json"), False)
+        return gone
+
     def publish(self, df: DataFrame, name: str, **how) -> DataFrame:
         """Write, commit and read back one table."""
         self.commit({name: self.write(df, name, **how)})

@@ -100,10 +100,9 @@ def _concept_map(spark, sf_dir):
     ),
 )
 def _sync_attr(spark, sf_dir):
-    people = bound(spark, sf_dir, "individual")
-    people = people.select(F.col("id").alias("individual_id"), obs.parse_obs(people, "observations").alias("o"))
-    rows = bound(spark, sf_dir, "encounter").select("id", "individual_id").join(people, "individual_id")
-    return rows.select("id", obs.sync_attr(F.col("o"), WARD, F.lit(None)).alias("ward"))
+    ctx = context(spark, sf_dir)
+    rows = entities.place(ctx, "encounter", ctx.table("encounter").select("id", "individual_id"), [WARD])
+    return rows.select("id", obs.sync_attr(WARD).alias("ward"))
 
 
 # --- entities ------------------------------------------------------------------

@@ -16,7 +16,7 @@ from formflow.plans import derive, evolve
 from formflow.plans.evolve import Change
 from formflow.plans.merge import merge_months
 from formflow.sources import state, storage, tables
-from formflow.sources.snapshots import MAX_PIECES
+from formflow.sources.snapshots import FAN
 from formflow.streaming.sync_stream import stream_sync
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -303,13 +303,82 @@ def test_commit_is_one_step_and_conflicts_are_told(spark, store):
 
 def test_append_compacts(spark, store):
     entry = None
-    for i in range(MAX_PIECES + 1):
+    for i in range(FAN + 1):
         entry = store.append(spark.range(i, i + 1), "t", entry)
-    assert len(entry) == MAX_PIECES // 2 + 1 and store.load(entry).count() == MAX_PIECES + 1
+    assert len(entry) == 2 and store.load(entry).count() == FAN + 1
     again = store.append(spark.range(100, 101), "t", entry)
     assert again[:-1] == entry
 
 
+def test_appended_rows_are_rewritten_logarithmically(spark, store, monkeypatch):
+    """500 appends, of one row or of very many: sizes stand for rows here, nothing is written."""
+    written = []
+
+    def write(df, name, **how):
+        written.append(df)
+        return [{"folder": f"f{len(written)}", "parts": None, "rows": df}]
+
+    monkeypatch.setattr(store, "write", write)
+    monkeypatch.setattr(store, "load", lambda entry: sum(p["rows"] for p in entry))
+    monkeypatch.setattr(store, "size", lambda piece: piece["rows"] * 1000)
+    for first in (1, 10**9):
+        entry, written[:] = store.append(first, "t"), []
+        for _ in range(500):
+            entry = store.append(1, "t", entry)
+            assert len(entry) <= FAN * 4
+        assert sum(p["rows"] for p in entry) == first + 500
+        # each small row once when it comes and once for each size it passes; the large first piece never
+        assert sum(written) <= 500 * 4 and (first == 1 or max(written) < first)
+
+
+def test_vacuum_leaves_what_is_read(spark, store):
+    first = store.write(spark.range(3), "t")
+    store.commit({"t": first})
+    for n in (4, 5, 6):
+        store.commit({"t": store.write(spark.range(n), "t")})
+    store.stage(spark.range(1), "s")
+    assert store.vacuum() == []  # all too young
+    gone = store.vacuum(grace_hours=-1)
+    assert len(gone) == 3 and sum(g.startswith("_staged/") for g in gone) == 1
+    assert store.read("t").count() == 6 and len(store._versions()) == 2
+    store.stage(spark.range(1), "s")
+    store.release_staged()
+    assert store.vacuum(grace_hours=-1) == []
+
+
+def test_statuses_are_folded(spark):
+    """Every window folded into the state gives what the whole history gives, edits and voided rows included."""
+    import random
+
+    from formflow.operators import maintain
+
+    rng, history, state = random.Random(4), {}, None
+    names = spark.createDataFrame([(1, "Pending"), (2, "Approved"), (3, None)], "id long, status string")
+    schema = "id long, entity_type string, entity_id long, status_date_time timestamp_ntz, approval_status_id long, is_voided boolean"
+    for step in range(4):
+        window = []
+        for _ in range(25):
+            old = rng.choice(list(history)) if history and rng.random() < 0.4 else None
+            row = (
+                old or len(history) + 1, history[old][1] if old else rng.choice(["Subject", "Encounter"]), history[old][2] if old else rng.randrange(9),
+                datetime.datetime(2024, 1, 1 + rng.randrange(20)), rng.choice([1, 2, 2, 3, 9]), rng.random() < 0.3,
+            )
+            if row[0] in {w[0] for w in window}:
+                continue
+            history[row[0]] = row
+            window.append(row)
+        whole = spark.createDataFrame(list(history.values()), schema)
+        window = spark.createDataFrame(window, schema)
+        want = sorted(map(str, maintain.current_statuses(whole, names).select("entity_type", "entity_id", "id", "status").collect()))
+        if state is None:
+            state = maintain.current_statuses(window, names)
+        else:
+            folded = maintain.fold_statuses(state, window, whole, names)
+            state = state.join(window.select(*maintain.STATUS_KEYS).distinct(), maintain.STATUS_KEYS, "left_anti").unionByName(folded)
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert sorted(map(str, state.select("entity_type", "entity_id", "id", "status").collect())) == want, step
+
+
 def test_watermarks_and_cutoffs(spark, store):
     wanted = spark.createDataFrame([("t", "a"), ("u", "a")], "table_name string, tenant string")
     assert {str(r["last_sync_time"]) for r in state.load_state(store, wanted).collect()} == {tables.EPOCH}
