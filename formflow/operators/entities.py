@@ -253,33 +253,47 @@ def group_members(ctx: Context, spec: TableSpec) -> DataFrame:
     return edges.select(*EDGE_COLUMNS, "group_subject_id", "member_subject_id", "role")
 
 
-def household_members(ctx: Context, spec: TableSpec) -> DataFrame:
+def _head_edges(ctx: Context) -> DataFrame:
+    """Edges from households to their heads, voided ones too."""
+    edges = ctx.table("group_subject")
+    roles = ctx.table("group_role").select(F.col("id").alias("head_role_id"), F.col("role").alias("head_role"))
+    return (
+        edges.select(
+            "group_subject_id",
+            F.col("group_role_id").alias("head_role_id"),
+            F.col("member_subject_id").alias(HEAD_COLUMN),
+            F.col("last_modified_date_time").alias("head_modified"),
+            in_window(edges, ctx.start, ctx.end).alias("head_changed"),
+            F.col("is_voided").alias("head_voided"),
+        )
+        .join(roles, "head_role_id", "left")
+        .where((F.col("head_role") == HEAD_ROLE) | F.col("head_role").isNull())
+        .drop("head_role", "head_role_id")
+    )
+
+
+def household_members(ctx: Context, spec: TableSpec, retract: bool = False) -> DataFrame:
     """Edges from households to their members, with the head of household.
 
     The edge counts as changed when it or the head's edge changed. A
     household without a live head edge gives no rows; its stored rows are
     taken back by :func:`headless`. When a head changed more than once in one
     run, the newest row per (edge, head) stays.
+
+    With ``retract`` an edge counts as changed, at that time, when any head's edge of
+    its household did, a voided one too: its rows with a former head are replaced.
     """
     modified = "last_modified_date_time"
     all_edges = ctx.table("group_subject")
-    head_roles = ctx.table("group_role").select(F.col("id").alias("head_role_id"), F.col("role").alias("head_role"))
-    heads = (
-        all_edges.where(~F.col("is_voided"))
-        .select(
-            "group_subject_id",
-            F.col("group_role_id").alias("head_role_id"),
-            F.col("member_subject_id").alias(HEAD_COLUMN),
-            F.col(modified).alias("head_modified"),
-            in_window(all_edges, ctx.start, ctx.end).alias("head_changed"),
-        )
-        .join(head_roles, "head_role_id", "left")
-        .where((F.col("head_role") == HEAD_ROLE) | F.col("head_role").isNull())
-    )
+    heads = _head_edges(ctx)
+    live = heads.where(~F.col("head_voided")).drop("head_voided")
+    if retract:
+        of_household = heads.groupBy("group_subject_id").agg(F.max("head_modified").alias("head_modified"), F.bool_or("head_changed").alias("head_changed"))
+        live = live.drop("head_modified", "head_changed").join(of_household, "group_subject_id")
     edges = all_edges.withColumn("edge_changed", in_window(all_edges, ctx.start, ctx.end))
     rows = (
         _edges(ctx, spec, edges, ("Person",))
-        .join(heads, "group_subject_id")
+        .join(live, "group_subject_id")
         .where(F.col("edge_changed") | F.col("head_changed"))
         .withColumn(modified, F.greatest(modified, "head_modified"))
         .select(*EDGE_COLUMNS, "group_subject_id", "member_subject_id", "role", HEAD_COLUMN)
@@ -290,9 +304,7 @@ def household_members(ctx: Context, spec: TableSpec) -> DataFrame:
 def headless(ctx: Context) -> DataFrame:
     """Households with an edge that changed, and without a live head edge: (group_subject_id)."""
     edges = ctx.table("group_subject")
-    roles = ctx.table("group_role").select(F.col("id").alias("group_role_id"), F.col("role").alias("head_role"))
-    heads = edges.where(~F.col("is_voided")).join(roles, "group_role_id", "left")
-    heads = heads.where((F.col("head_role") == HEAD_ROLE) | F.col("head_role").isNull())
+    heads = _head_edges(ctx).where(~F.col("head_voided"))
     touched = edges.where(in_window(edges, ctx.start, ctx.end)).select("group_subject_id").distinct()
     return touched.join(heads.select("group_subject_id"), "group_subject_id", "left_anti")
 

@@ -273,10 +273,17 @@ def media_of(source: MediaSource) -> list[DataFrame]:
     return out
 
 
+def media_id() -> Column:
+    """A number that stays a file's own whatever run writes it: 60 bits of a hash of entity, question, place and file."""
+    place = [F.coalesce("question_group_concept_name", F.lit("")), F.coalesce("repeatable_question_group_index", F.lit(-1)).cast("string")]
+    text = F.concat_ws("|", F.col("entity_id").cast("string"), "concept_name", *place, "image_url")
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint").alias("id")
+
+
 def build_media(sources: Sequence[MediaSource]) -> DataFrame | None:
-    """All media rows of the given tables; None if no table has media."""
+    """All media rows of the given tables, with their ids; None if no table has media."""
     parts = [df for source in sources for df in media_of(source)]
-    return reduce(lambda a, b: a.unionByName(b), parts) if parts else None
+    return reduce(lambda a, b: a.unionByName(b), parts).select(media_id(), "*") if parts else None
 
 
 def dedupe_media(media: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ MEDIA_UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a
 THUMBNAIL = r"(?i)thumbnails"
 THUMBNAIL_FOLDER = "thumbnails/"
 SEARCH_COLUMNS = (
-    "uuid", "subject_first_name", "subject_last_name", "subject_middle_name", "is_voided",
+    "id", "uuid", "subject_first_name", "subject_last_name", "subject_middle_name", "is_voided",
     "created_by_id", "last_modified_by_id", "created_date_time", "last_modified_date_time",
     "organisation_id", "image_url", "sync_parameter_key1", "sync_parameter_key2",
     "sync_parameter_value1", "sync_parameter_value2", "subject_type_name",

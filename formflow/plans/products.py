@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 
 from formflow.functions.naming import view_name
 from formflow.model import SUBJECT_TYPES, TableSpec, pick_tables
-from formflow.operators import media_search, reports, views
+from formflow.operators import families, media_search, reports, views
 from formflow.operators.media_search import MediaRequest
 from formflow.plans.evolve import load_specs
 from formflow.sources.snapshots import Store
@@ -28,10 +28,25 @@ ACTIVITY = {
 }
 
 
-def stored(store: Store, specs: Iterable[TableSpec], types: Iterable[str]) -> views.Family:
-    """The stored tables of some types, with their specs."""
+#: What views and reports read of the tables of a family.
+COLUMNS = tuple(
+    dict.fromkeys([*reports.REPORT_COLUMNS, "id", "uuid", "name", "first_name", "last_name", "date_of_birth", "gender", "individual_id",
+                   "created_date_time", "last_modified_date_time", "program_exit_date_time", "address_id", "created_by_id", "filled_by_id"])
+)
+
+
+def family(store: Store, specs: Iterable[TableSpec], types: Iterable[str]) -> families.Family | None:
+    """All stored tables of some types as one tagged frame, of the columns that views and reports read; None if there are none."""
     known = store.manifest()
-    return [(s, store.load(known[s.name])) for s in pick_tables(list(specs), tuple(types)) if s.name in known]
+    mine = {s.name: s for s in pick_tables(list(specs), tuple(types)) if s.name in known}
+    if not mine:
+        return None
+    rows = store.load_family({name: known[name] for name in mine}, families.TAG, COLUMNS)
+    if rows is None:  # written before pieces said their schema
+        return families.union_tagged([(s, store.load(known[name])) for name, s in mine.items()])
+    marks = [(s.name, s.type, *(getattr(s, u) for u in families.TYPE_UUIDS)) for s in mine.values()]
+    fields = [families.TAG, families.KIND, *families.TYPE_UUIDS]
+    return rows.join(store.spark.createDataFrame(marks, ", ".join(f"{f} string" for f in fields)), families.TAG)
 
 
 def build_views(
@@ -46,32 +61,32 @@ def build_views(
     levels = views.address_columns(tables["address_level_type"], org_ids)
     address = store.read("address")
     users = tables["users"]
-    subjects = views.subject_family(specs, {s.name: df for s, df in stored(store, specs, SUBJECT_TYPES)})
-    people = [df for _, df in subjects]
-    individual = views._union([df.select("id", "uuid", "first_name", "last_name") for df in people]) if people else None
-    enrolments = stored(store, specs, ("ProgramEnrolment",))
-    visits = stored(store, specs, views.VISIT_TYPES)
+    subjects = family(store, specs, SUBJECT_TYPES)
+    individual = None if subjects is None else subjects.select("id", "uuid", "first_name", "last_name")
+    enrolments = family(store, specs, ("ProgramEnrolment",))
+    visits = family(store, specs, views.VISIT_TYPES)
     spark = store.spark
     out = {}
     out[SUBJECTS] = (
         views.subject_view(subjects, users, tables["subject_type"], address, levels, org_ids)
-        if subjects
+        if subjects is not None
         else views.empty_view(spark, views.SUBJECT_VIEW, levels)
     )
     out[ENROLMENTS] = (
         views.enrolment_view(enrolments, users, tables["program"], individual, address, levels)
-        if enrolments and individual is not None
+        if enrolments is not None and individual is not None
         else views.empty_view(spark, views.ENROLMENT_VIEW, levels)
     )
-    if visits and individual is not None:
+    if visits is not None and individual is not None:
         common = (visits, users, individual, tables["encounter_type"], address, levels)
         out |= {DUE: views.due_visits(*common, as_of), COMPLETED: views.completed_visits(*common), OVERDUE: views.overdue_visits(*common, as_of)}
     else:
         out |= {name: views.empty_view(spark, views.VISITS_VIEW, levels) for name in (DUE, COMPLETED, OVERDUE)}
+    known = store.manifest()
     for spec in specs:
         many = [c for c in spec.columns if c.concept_type == "MultiSelect"]
-        if many and store.exists(spec.name):
-            out[view_name(spec.name)] = views.coded_view(store.read(spec.name), many)
+        if many and spec.name in known:
+            out[view_name(spec.name)] = views.coded_view(store.load(known[spec.name]), many)
     return out
 
 
@@ -82,9 +97,13 @@ def publish_views(store: Store, tables: Mapping[str, DataFrame], as_of: str, org
     return sorted(made)
 
 
-def _activity(store: Store) -> dict[str, list[DataFrame]]:
+def _activity(store: Store) -> dict[str, reports.Tables]:
     specs = load_specs(store)
-    return {name: [df for _, df in stored(store, specs, types)] for name, types in ACTIVITY.items()}
+    return {name: _or_none(family(store, specs, types)) for name, types in ACTIVITY.items()}
+
+
+def _or_none(rows: families.Family | None) -> reports.Tables:
+    return [] if rows is None else rows
 
 
 def user_activity(store: Store, users: DataFrame, **how) -> DataFrame:
@@ -99,15 +118,16 @@ def on_time_users(store: Store, users: DataFrame, **how) -> DataFrame:
 
 def most_cancelled(store: Store, users: DataFrame, **how) -> DataFrame:
     specs = load_specs(store)
-    general = [df for _, df in stored(store, specs, ("Encounter", "IndividualEncounterCancellation"))]
-    program = [df for _, df in stored(store, specs, ("ProgramEncounter", "ProgramEncounterCancellation"))]
+    general = _or_none(family(store, specs, ("Encounter", "IndividualEncounterCancellation")))
+    program = _or_none(family(store, specs, ("ProgramEncounter", "ProgramEncounterCancellation")))
     return reports.most_cancelled(general, program, users, **how)
 
 
 def search_media(store: Store, request: MediaRequest, **how) -> DataFrame:
     """A media search whose answer filters are resolved from the stored specs and tables."""
     specs = load_specs(store)
-    named = {s.name: store.read(s.name) for s in specs if store.exists(s.name)}
+    known = store.manifest()
+    named = {s.name: store.load(known[s.name]) for s in specs if s.name in known}
     return media_search.search_media(store.read(MEDIA), store.read("address"), request, named, specs, **how)
 
 

@@ -227,7 +227,7 @@ def fresh_rows(run: Run, spec: TableSpec) -> tuple[DataFrame, list[str], str]:
         return rows.withColumn("id", serial), [parent], "rank"
     if spec.type == "HouseholdToMember":
         # all heads of the newest change of an id; those of older ones go
-        return entities.flatten(ctx, spec), ["id"], "rank"
+        return entities.household_members(ctx, spec, retract=not run.keep_headless), ["id"], "rank"
     if spec.type == "User":
         return entities.copy_users(ctx), ["id"], "row_number"
     return entities.flatten(ctx, spec), ["id"], "row_number"
@@ -358,9 +358,8 @@ def sync_media(run: Run, spec: TableSpec) -> Entry | None:
         empty = run.store.spark.createDataFrame([], "id bigint")
         return entry or run.store.write(conform(empty, spec), spec.name)
     group, index = "question_group_concept_name", "repeatable_question_group_index"
-    serial = F.xxhash64("entity_id", "concept_name", F.coalesce(group, F.lit("")), F.coalesce(index, F.lit(-1)), "image_url", TS)
     # read for the newest time of each key and for its rows, on the first load too
-    fresh = run.store.stage(conform(fresh.withColumn("id", serial), spec), spec.name)
+    fresh = run.store.stage(conform(fresh, spec), spec.name)
 
     def keyed(df: DataFrame) -> DataFrame:
         return df.withColumns({"_g": F.coalesce(group, F.lit("")), "_i": F.coalesce(index, F.lit(-1))})

@@ -26,7 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import StructType, TimestampType
 
 PART = "_month"
 #: So many pieces of like size of an append-only table are written together; a size class spans as large a factor.
@@ -36,7 +36,7 @@ LEAST_BYTES = 1 << 16
 #: Folders that nothing refers to are left alone for so long, as a run in progress may yet commit them.
 GRACE_HOURS = 24
 
-# A piece is {"folder": path, "parts": [month, ...] or None for all of it}.
+# A piece is {"folder": path, "parts": [month, ...] or None for all of it, "schema": of its files}.
 Entry = list[dict]
 
 
@@ -48,6 +48,10 @@ def month_of(df: DataFrame, column: str) -> Column:
     return F.coalesce(F.date_format(time, "'m'yyyy_MM"), F.lit("none"))
 
 
+def _stored_schema(df: DataFrame) -> dict:
+    return df.schema.jsonValue()
+
+
 class Store:
     """Tables and manifest of one tenant schema under ``root``."""
 
@@ -110,15 +114,39 @@ class Store:
         """The rows of a table's pieces."""
         frames = []
         for piece in entry:
+            reader = self.spark.read
+            if piece.get("schema"):  # no file has to be opened to plan a read
+                reader = reader.schema(StructType.fromJson(piece["schema"]))
             if piece["parts"] is None:
-                df = self.spark.read.parquet(piece["folder"])
-                frames.append(df.withColumn(PART, F.lit("none")) if with_part else df)
+                df = reader.parquet(piece["folder"])
+                frames.append(df.withColumn(PART, F.lit("none")) if with_part and PART not in df.columns else df)
             else:
                 paths = [f"{piece['folder']}/{PART}={p}" for p in piece["parts"]]
-                frames.append(self.spark.read.option("basePath", piece["folder"]).parquet(*paths))
+                frames.append(reader.option("basePath", piece["folder"]).parquet(*paths))
         df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
         return df if with_part else df.drop(PART)
 
+    def load_family(self, entries: dict[str, Entry], tag: str, columns: Sequence[str]) -> DataFrame | None:
+        """The common columns of many tables as one scan, with each row's table name in column ``tag``.
+
+        One relation over the folders of all tables, which Spark lists in parallel; the folder of a
+        row's file tells its table. None if a piece does not say its schema.
+        """
+        paths, routes, fields = [], [], {}
+        for name, entry in entries.items():
+            for piece in entry:
+                if not piece.get("schema"):
+                    return None
+                fields |= {f.name: f for f in StructType.fromJson(piece["schema"]) if f.name in columns and f.name not in fields}
+                for path in [piece["folder"]] if piece["parts"] is None else [f"{piece['folder']}/{PART}={p}" for p in piece["parts"]]:
+                    if path not in paths:  # the empty tables of a family share a folder
+                        paths.append(path)
+                        routes.append((path.rsplit("/v=", 1)[-1], name))
+        rows = self.spark.read.schema(StructType([fields[c] for c in columns if c in fields])).parquet(*paths)
+        place = F.regexp_extract(F.col("_metadata.file_path"), "/v=([^/]+(/[^/]+=[^/]+)?)/[^/]+$", 1)
+        known = self.spark.createDataFrame(routes, f"_place string, {tag} string")
+        return rows.withColumn("_place", place).join(known, "_place").drop("_place")
+
     # writing ----------------------------------------------------------------
     def write(self, df: DataFrame, name: str, sort_by: str | None = "last_modified_date_time") -> Entry:
         """Write a whole table; not visible before it is committed.
@@ -130,7 +158,17 @@ class Store:
         if sort_by and sort_by in df.columns:
             df = df.sortWithinPartitions(sort_by)
         df.write.mode("errorifexists").parquet(folder)
-        return [{"folder": folder, "parts": None}]
+        return [{"folder": folder, "parts": None, "schema": _stored_schema(df)}]
+
+    def write_family(self, df: DataFrame, family: str, tag: str, names: Sequence[str]) -> dict[str, Entry]:
+        """Write many tables of like columns in one job: the rows of each name in column ``tag`` become its table."""
+        folder = f"{self.root}/{family}/v={uuid.uuid4().hex}"
+        df.hint("rebalance", F.col(tag)).write.mode("errorifexists").partitionBy(tag).parquet(folder)
+        rows = df.drop(tag)
+        found = {s.getPath().getName() for s in self._fs.listStatus(self._path(folder))}
+        out = {n: [{"folder": f"{folder}/{tag}={n}", "parts": None, "schema": _stored_schema(rows)}] for n in names if f"{tag}={n}" in found}
+        empty = self.write(self.spark.createDataFrame([], rows.schema), f"{family}_empty", None) if len(out) < len(names) else None
+        return {n: out.get(n, empty) for n in names}
 
     def write_months(
         self, df: DataFrame, name: str, old: Entry | None = None, touched: Sequence[str] | None = None,
@@ -158,9 +196,9 @@ class Store:
             # a piece without months is the empty table
             parts = [p for p in piece["parts"] or [] if p not in gone]
             if parts:
-                kept.append({"folder": piece["folder"], "parts": parts})
+                kept.append(piece | {"parts": parts})
         if written:
-            kept.append({"folder": folder, "parts": sorted(written)})
+            kept.append({"folder": folder, "parts": sorted(written), "schema": _stored_schema(df.drop(PART))})
         # a table without rows still has columns
         return kept or self.write(self.spark.createDataFrame([], df.schema), name, None)
 
@@ -220,7 +258,7 @@ class Store:
         used = set()
         for number in versions[-keep:]:
             for entry in self._manifest(number).values():
-                used |= {piece["folder"].rsplit("/v=", 1)[-1] for piece in entry if isinstance(piece, dict)} if isinstance(entry, list) else set()
+                used |= {piece["folder"].rsplit("/v=", 1)[-1].split("/")[0] for piece in entry if isinstance(piece, dict)} if isinstance(entry, list) else set()
         latest = time.time() * 1000 - grace_hours * 3_600_000
         gone = []
         for table in self._fs.listStatus(self._path(self.root)) if self._fs.exists(self._path(self.root)) else []:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from formflow.workload import flatten, growth, maintain, media, metadata, reports, state, views
+from formflow.workload import flatten, growth, maintain, media, metadata, products, reports, state, views
 
-_PARTS = (state, metadata, flatten, maintain, media, views, reports, growth)
+_PARTS = (state, metadata, flatten, maintain, media, views, reports, growth, products)
 
 QUERIES = {name: fn for part in _PARTS for name, fn in part.QUERIES.items()}
 ORACLE = {name: sql for part in _PARTS for name, sql in part.ORACLE.items()}

@@ -110,10 +110,12 @@ def built(spark, sf_dir):
         media.MediaSource(FORM, rows, people, NAMES),
         media.MediaSource(_REPEAT, _group_rows(spark, sf_dir), people, media.MediaNames("Person", "Home Visit"), rows),
     ]
-    return media.build_media(sources).select(*media.MEDIA_COLUMNS)
+    return media.build_media(sources).select("id", *media.MEDIA_COLUMNS)
 
 
-_BUILT_SQL = f"{_LEGACY_SQL} union all {_V3_SQL} union all {_REPEAT_SQL}"
+_ID_SQL = """cast('0x' || substr(md5(concat_ws('|', cast(entity_id as varchar), concept_name, coalesce(question_group_concept_name, ''),
+       cast(coalesce(repeatable_question_group_index, -1) as varchar), image_url)), 1, 15) as bigint)"""
+_BUILT_SQL = f"select {_ID_SQL} as id, * from ({_LEGACY_SQL} union all by name {_V3_SQL} union all by name {_REPEAT_SQL})"
 QUERIES["me4_build_media"] = built
 ORACLE["me4_build_media"] = with_bindings(FORM_NAMES, _BUILT_SQL)
 

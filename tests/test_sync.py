@@ -137,7 +137,7 @@ def test_only_touched_months_are_rewritten(story):
     before, after = (m["person_visit"] for m in story["manifests"][:2])
     assert before[0]["parts"] == ["m2022_03", "m2022_04"]
     # visits 1 and 3 are of March; visit 2, of April, did not change
-    assert {"folder": before[0]["folder"], "parts": ["m2022_04"]} in after
+    assert (before[0]["folder"], ["m2022_04"]) in [(p["folder"], p["parts"]) for p in after]
     assert [p["parts"] for p in after if p["folder"] != before[0]["folder"]] == [["m2022_03"]]
 
 
@@ -215,3 +215,14 @@ def test_tenant_group_unites_its_members(spark, store):
     for now, org in ((NOW1, 1), (NOW1, 2), (NOW2, 1)):
         sync_tenant(store, shared, f"org{org}", now, [org], group_member=True, threads=8, stage=False)
     assert {r["id"] for r in store.read("person").collect()} == {1, 2, 5}
+
+
+def test_other_runs_leave_the_lists_of_other_months_alone(story):
+    """A repeat table is kept by its parent's month: the first edit gives subject 1 a new list, the later runs change no list."""
+    first, second, third = ([(p["folder"], p["parts"]) for p in m["person_wallet"]] for m in story["manifests"][:3])
+    assert all(parts and all(x.startswith("m") for x in parts) for _, parts in first)
+    assert second != first and third == second
+
+
+def test_nothing_staged_is_left(story, spark):
+    assert not any(name.startswith("_staged/") for name in story["store"].vacuum(grace_hours=0))
