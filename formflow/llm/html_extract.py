@@ -32,14 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from formflow.llm.common import ROW, packed, slices, text_of
+from formflow.llm.words import in_batches
 
 # Elements of HTML by what they do to text.
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer"
-    " form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav ol optgroup option p pre section select"
-    " summary table tbody td template textarea tfoot th thead title tr ul".split()
+    " canvas form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript object ol optgroup option p pre"
+    " section select summary svg table tbody td template textarea tfoot th thead title tr ul".split()
 )
-SILENT = frozenset("script style noscript template svg math textarea iframe object canvas".split())
+SILENT = frozenset(("script", "style"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A new one of these ends an open one of the same group.
 SIBLINGS = {"li": {"li"}, "p": {"p"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -48,6 +49,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:
 _NAMES = re.compile(r"""\b(?:class|id|role|itemprop|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d")
 
 
 @dataclass(slots=True)
@@ -59,7 +61,7 @@ class Leaf:
 
 
 def leaves(page: str) -> list[Leaf]:
-    """Blocks of text in page order; scripts, styles, comments and the head's elements are no text."""
+    """Blocks of text in page order; scripts, styles, markup comments and the head's elements are no text."""
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
@@ -132,20 +134,22 @@ def features(page: list[Leaf]) -> np.ndarray:
     """One vector for each block: hashed path, hashed names, hashed words, measures."""
     out = np.zeros((len(page), FEATURES), np.float32)
     for row, leaf in zip(out, page, strict=True):
-        for depth, tag in enumerate(leaf.path[-6:]):
+        # every tag of the path, the nearer the more; every word, by the length of the text
+        for up, tag in enumerate(reversed(leaf.path)):
             at, sign = _slot(tag, PATH)
-            row[at] += sign * (1.0 if depth == len(leaf.path[-6:]) - 1 else 0.7)
+            row[at] += sign * 0.85**up
         for name in set(leaf.names):
             at, sign = _slot("#" + name, PATH)
             row[PATH + at] += sign
         words = leaf.text.split()
-        for word in words[:32]:
+        share = 1 / max(4.0, np.sqrt(len(words)))
+        for word in words:
             at, sign = _slot(word.lower(), WORDS)
-            row[2 * PATH + at] += sign / 4
+            row[2 * PATH + at] += sign * share
         n = len(leaf.text)
         row[2 * PATH + WORDS :] = (
             np.log1p(len(words)) / 4, np.log1p(n) / 6, min(1.0, leaf.linked / max(1, n)), leaf.text[-1] in ".!?…", len(leaf.path) / 8,
-            leaf.text.count("|") > 1, "©" in leaf.text, sum(c.isdigit() for c in leaf.text[:200]) / max(1, min(n, 200)),
+            leaf.text.count("|") > 1, "©" in leaf.text, len(_DIGITS.findall(leaf.text)) / max(1, n),
         )
     return out
 
@@ -298,11 +302,14 @@ def example(rng: random.Random) -> tuple[str, list[bool]]:
         return f"<div{_class(rng, _AD_NAMES, 1)}>{_sentence(rng, words, 3, 25)}</div>"
 
     def notice() -> str:
+        if rng.random() < 0.15:
+            return block(rng.choice(["noscript", "iframe", "object", "canvas"]), False, _sentence(rng, words, 2, 15))
         return plain(rng.choice(["div", "section", "aside"]), _NOTE_NAMES)
 
     def form() -> str:
+        field = block("textarea", False, _sentence(rng, words, 1, 6)) if rng.random() < 0.2 else "<input type=text>"
         marks.extend([False, False])
-        return f"<form><label>{_sentence(rng, words, 1, 4)}</label><input type=text><button>{_sentence(rng, words, 1, 2)}</button></form>"
+        return f"<form><label>{_sentence(rng, words, 1, 4)}</label>{field}<button>{_sentence(rng, words, 1, 2)}</button></form>"
 
     def header() -> str:
         return f"<header{_class(rng, ['header', 'top', 'masthead'], 0.5)}>" + block(rng.choice(["h1", "div", "p"]), False, _sentence(rng, words, 1, 6)) + (
@@ -393,6 +400,10 @@ def train(pages: int = TRAIN_PAGES, epochs: int = EPOCHS, seed: int = 7) -> Labe
     return model
 
 
+#: Characters of pages that are labelled together; a longer page is alone.
+TOGETHER = 4 << 20
+
+
 @functools.lru_cache(1)
 def trained() -> Labeller:
     return train()
@@ -421,8 +432,11 @@ def extract(pages: DataFrame, keep: list[str] | None = None, model: Labeller | N
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(sent.value)
         for batch in slices(batches, 512):
-            texts = main_text(batch.column("html").to_pylist(), labeller)
-            yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(texts, pa.string())], names=[ROW, "text"])
+            at = 0
+            for some in in_batches(((page,) for page in batch.column("html").to_pylist()), 0, TOGETHER):
+                texts = main_text([page for (page,) in some], labeller)
+                yield pa.RecordBatch.from_arrays([batch.column(ROW).slice(at, len(some)), pa.array(texts, pa.string())], names=[ROW, "text"])
+                at += len(some)
 
     rows = packed(pages, keep, html=text_of("html"))
     return rows.mapInArrow(run, f"{ROW} {rows.schema[ROW].dataType.simpleString()}, text string")
