@@ -1,14 +1,15 @@
 """Shards along a Hilbert curve over metadata, so that files can be skipped by any of its dimensions.
 
-Each dimension is cut into 2 ** BITS ranges of about equally many rows (strings by
-their first bytes, so that ranges follow their order); a row's cell in that grid has
-an index on the Hilbert curve. Rows are ordered by index, then by a hash, and the
-order is cut into runs: of equal row counts, or of equal bytes.
+Each dimension is cut into 2 ** BITS ranges of about equally many rows; a row's cell in
+that grid has an index on the Hilbert curve. Rows are ordered by index, then by a hash,
+and the order is cut into runs: of equal row counts, or of equal bytes. The bounds of
+the ranges are quantiles: of numbers by an approximate aggregate, of strings by counting
+their distinct values, which are dealt by range and added up in order.
 
 The order is global, but no task sorts more than a share of it: the grid has a fixed
-number of cells, a cell with many rows is cut by the hash in proportion to its rows,
-and the row counts of these parts, a few thousand numbers at any size of the input,
-give each part's first place.
+number of cells, a cell with more than ``PART_ROWS`` rows is cut by the hash into parts of
+about so many, and the row counts of these parts, added up by cell, give each part's first
+place. Rows are joined to it by the key that they are dealt by for their order anyway.
 
 Defined results: a null text counts as empty; a null in a dimension is in its first
 range; rows equal in all that is used here are in any order among themselves; an empty
@@ -22,11 +23,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from formflow.llm.common import ROW, packed, text_of
+from formflow.llm.common import ROW, packed, staged, text_of
 
 BITS = 4
-#: Parts that cells are cut into, over all cells, besides one for each cell.
-PARTS = 2048
+#: Rows of a part, which is what one task orders.
+PART_ROWS = 5_000
+#: Pieces in which the distinct values of a string dimension are ordered.
+PIECES = 64
 DIMENSIONS = ("source", "lang", "n_chars")
 
 
@@ -50,30 +53,49 @@ def hilbert_index(cell: str, dims: int, bits: int = BITS) -> Column:
     )
 
 
-def _number(df: DataFrame, name: str) -> Column:
-    """A dimension as a number in the same order: strings by their first seven bytes."""
-    column = F.col(f"`{name}`")
-    if dict(df.dtypes)[name] != "string":
-        return column.cast("double")
-    head = F.rpad(F.substring(column.cast("binary"), 1, 7), 7, F.lit(b"\x00"))
-    return F.conv(F.hex(head), 16, 10).cast("double")
+def _text_bounds(df: DataFrame, name: str) -> list[str]:
+    """The values of a string dimension at which its 2 ** BITS ranges end, by rows.
+
+    Values are counted, dealt by range and added up piece by piece; PIECES sums and the bounds come to the driver.
+    """
+    counts = df.select(F.col(f"`{name}`").alias("value")).where("value is not null").groupBy("value").count()
+    dealt = staged(counts.repartitionByRange(PIECES, "value").withColumn("piece", F.spark_partition_id()), "values")
+    sums = dealt.groupBy("piece").agg(F.sum("count").alias("n")).orderBy("piece").collect()
+    total, before, firsts = sum(r.n for r in sums), 0, []
+    for r in sums:
+        firsts.append((r.piece, before))
+        before += r.n
+    if not total:
+        return []
+    known = df.sparkSession.createDataFrame(firsts, "piece int, before long")
+    inside = Window.partitionBy("piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = dealt.withColumn("inside", F.sum("count").over(inside)).join(F.broadcast(known), "piece")  # PIECES rows
+    upto = upto.select("value", "count", (F.col("before") + F.col("inside")).alias("upto"))
+    steps = 1 << BITS
+    # the values within which the rows pass a multiple of total / steps
+    crossed = upto.where(F.expr(f"(upto * {steps}) div {total} > ((upto - count) * {steps}) div {total} and upto < {total}"))
+    return [r.value for r in crossed.orderBy("value").select("value").collect()]
 
 
 def _ranges(df: DataFrame, dims: Sequence[str]) -> list[Column]:
-    """For each dimension the number of its range; the bounds, a fixed number, come from one aggregate."""
+    """For each dimension the number of its range; the bounds are a fixed number."""
     steps = [k / (1 << BITS) for k in range(1, 1 << BITS)]
-    bounds = df.agg(*(F.percentile_approx(_number(df, d), steps, 2000).alias(f"d{i}") for i, d in enumerate(dims))).first()
+    texts = {d for d in dims if dict(df.dtypes)[d] == "string"}
+    numbers = [d for d in dims if d not in texts]
+    value = {d: F.col(f"`{d}`") if d in texts else F.col(f"`{d}`").cast("double") for d in dims}
+    found = df.agg(*(F.percentile_approx(value[d], steps, 2000).alias(f"d{i}") for i, d in enumerate(numbers))).first() if numbers else []
+    bounds = {d: _text_bounds(df, d) for d in texts} | {d: found[i] or [] for i, d in enumerate(numbers)}
     out = []
-    for i, d in enumerate(dims):
+    for d in dims:
         at = F.lit(0)
-        for b in bounds[i] or []:
-            at = at + F.coalesce((_number(df, d) > F.lit(b)).cast("int"), F.lit(0))
+        for b in bounds[d]:
+            at = at + F.coalesce((value[d] > F.lit(b)).cast("int"), F.lit(0))
         out.append(at)
     return out
 
 
 def shards(
-    docs: DataFrame, count: int, law: str = "rows", dims: Sequence[str] = DIMENSIONS, keep: list[str] | None = None, parts: int = PARTS
+    docs: DataFrame, count: int, law: str = "rows", dims: Sequence[str] = DIMENSIONS, keep: list[str] | None = None, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """Rows of ``docs`` packed (all columns, or those of ``keep``), with size, text_crc32, curve index, shard and slot.
 
@@ -91,19 +113,26 @@ def shards(
         counted.select(
             "cell",
             hilbert_index("cell", len(dims)).alias("curve"),
-            F.ceil(F.col("count") * parts / max(total, 1)).alias("cuts"),
+            F.ceil(F.col("count") / part_rows).alias("cuts"),
         )
     )
     rows = packed(docs, keep, cell=cell, key=key, size=size, text_crc32=F.crc32(text), doc_id=F.col("doc_id"))
     rows = rows.join(cells, "cell").withColumn("part", F.pmod("key", "cuts")).drop("cell", "cuts")
     narrow = docs.select(cell.alias("cell"), key.alias("key"), (size if law == "bytes" else F.lit(0)).cast("long").alias("size"))
     narrow = narrow.join(cells, "cell").withColumn("part", F.pmod("key", "cuts"))
-    before = Window.orderBy("curve", "part").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = narrow.groupBy("curve", "part").agg(F.count("*").alias("n"), F.sum("size").alias("b")).select(
-        "curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank0"), F.coalesce(F.sum("b").over(before), F.lit(0)).alias("bytes0")
-    )  # at most one row for each cell and cut
+    sums = narrow.groupBy("curve", "part").agg(F.count("*").alias("n"), F.sum("size").alias("b"))
+    whole = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
+    # one row for each cell, at most 2 ** (BITS * dims)
+    of_cell = sums.groupBy("curve").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).select(
+        "curve", F.coalesce(F.sum("n").over(whole), F.lit(0)).alias("cell_rank"), F.coalesce(F.sum("b").over(whole), F.lit(0)).alias("cell_bytes")
+    )
+    before = Window.partitionBy("curve").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sums.select(
+        "curve", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"), F.coalesce(F.sum("b").over(before), F.lit(0)).alias("b")
+    ).join(F.broadcast(of_cell), "curve")
+    firsts = firsts.select("curve", "part", (F.col("cell_rank") + F.col("n")).alias("rank0"), (F.col("cell_bytes") + F.col("b")).alias("bytes0"))
     inside = Window.partitionBy("curve", "part").orderBy("key", "doc_id", "size", "text_crc32")
-    ranked = rows.join(F.broadcast(firsts), ["curve", "part"]).withColumn("rank", F.col("rank0") + F.row_number().over(inside) - 1)
+    ranked = rows.join(firsts, ["curve", "part"]).withColumn("rank", F.col("rank0") + F.row_number().over(inside) - 1)
     if law == "rows":
         shard = F.expr(f"rank * {count} div {max(total, 1)}")
         slot = F.col("rank") - F.expr(f"(shard * {total} + {count - 1}) div {count}")
