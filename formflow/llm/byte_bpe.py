@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
@@ -55,6 +56,7 @@ class Encoder:
         words = (max(ranks.values()) >> WIDTH) + 1
         self.buckets: list[list[int] | None] = [None] * (words << WIDTH)  # places by rank
         self.lower = [0] * words  # a bit for each rank whose bucket has places
+        self.tokens = {rank: token for token, rank in ranks.items()}
         self.kept: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
 
@@ -157,31 +159,40 @@ def encoder_of(key: str, ranks: dict[bytes, int], pattern: str) -> Encoder:
 
 
 def _little_endian(ids: array) -> bytes:
-    import sys
-
     if sys.byteorder == "big":
         ids = array("I", ids)
         ids.byteswap()
     return ids.tobytes()
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str] | None = None) -> DataFrame:
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: list[str] | None = None, decoded: bool = False) -> DataFrame:
     """Rows of ``docs`` packed (all columns, or those of ``keep``), with ``n_tokens`` and ``ids``:
-    the ids as little-endian unsigned 32-bit integers."""
+    the ids as little-endian unsigned 32-bit integers. With ``decoded`` also the bytes that these ids stand for, as
+    :func:`decode` gives them, worked out by the same worker."""
     sent = docs.sparkSession.sparkContext.broadcast((ranks, pattern))
     key = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(key, *sent.value)
         for batch in slices(batches):
-            ids = [encoder.encode(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(ROW), pa.array(map(len, ids), pa.int64()), pa.array(map(_little_endian, ids), pa.binary())],
-                names=[ROW, "n_tokens", "ids"],
-            )
+            ids = [_little_endian(encoder.encode(t)) for t in batch.column("text").to_pylist()]
+            columns = [batch.column(ROW), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([decode_ids(x, encoder.tokens) for x in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[ROW, "n_tokens", "ids", "decoded"][: len(columns)])
 
     rows = packed(docs, keep, text=text_of("text"))
-    return rows.mapInArrow(run, f"{ROW} {rows.schema[ROW].dataType.simpleString()}, n_tokens long, ids binary")
+    types = f"{ROW} {rows.schema[ROW].dataType.simpleString()}, n_tokens long, ids binary"
+    return rows.mapInArrow(run, types + (", decoded binary" if decoded else ""))
+
+
+def decode_ids(raw: bytes, tokens) -> bytes:
+    """The bytes of ids (little-endian unsigned 32-bit integers); ``tokens``: the bytes of each id."""
+    ids = array("I")
+    ids.frombytes(raw)
+    if sys.byteorder == "big":
+        ids.byteswap()
+    return b"".join(map(tokens.__getitem__, ids))
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -189,13 +200,8 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.__getitem__
         for batch in slices(batches):
-            texts = []
-            for raw in batch.column("ids").to_pylist():
-                ids = array("I")
-                ids.frombytes(raw)
-                texts.append(b"".join(map(token, ids)))
+            texts = [decode_ids(raw, sent.value) for raw in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, f"{_ddl(encoded)}, decoded binary")

@@ -21,7 +21,7 @@ _STEP_INVERSE = np.uint64(pow(int(_STEP), -1, 2**64))
 #: Longest buffer that is hashed in one piece; a longer single text still is.
 BATCH_BYTES = 1 << 20
 #: Longest buffer whose tables of powers a worker keeps.
-KEPT_BYTES = 6 << 20
+KEPT_BYTES = BATCH_BYTES + (1 << 16)
 
 
 def word_class(text_pattern: str) -> np.ndarray:
@@ -71,13 +71,13 @@ _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, BATCH_BYTES + (1 << 16))
+        size = max(n, KEPT_BYTES)
         tables = []
         for step in (_STEP, _STEP_INVERSE):
             t = np.full(size, step, np.uint64)
             t[0] = 1
             tables.append(np.cumprod(t, dtype=np.uint64))
-        if n > KEPT_BYTES:  # of one giant text
+        if n > KEPT_BYTES:
             return tables[0], tables[1]
         _powers = tuple(tables)
     return _powers

@@ -61,5 +61,8 @@ def test_round_trip_with_null_empty_and_other_columns(spark):
     for r in out:
         assert bytes(r.decoded).decode() == (r["__row"].text or "")
         assert r.n_tokens * 4 == len(r.ids)
+    both = byte_bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True)
+    key = lambda r: str((r["__row"], r.ids))
+    assert sorted(both.collect(), key=key) == sorted(out, key=key)
     empty = byte_bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN)
     assert byte_bpe.decode(empty, RANKS).collect() == []
