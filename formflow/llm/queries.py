@@ -133,7 +133,7 @@ ORACLE["op2_benchmark_decontamination"] = DECONTAMINATION_SQL
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """The digest columns of op3, from the ids and the bytes decoded from them."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    out = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"]), ranks)
+    out = byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN, keep=["doc_id"], decoded=True)
     return out.select(
         f"{ROW}.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
@@ -220,14 +220,15 @@ with parsed as (
     select doc_id as page_id, max((quality = 0 or toxic = 1)::int) as bad from labels where (quality = 0 or toxic = 1) is not null group by 1
 ), counted as (
     select host, count(bad)::double as n, coalesce(sum(bad), 0)::double as bad,
-        string_split(regexp_replace(host, '^.*@|:[0-9]*$', '', 'g'), '.') as parts
+        regexp_replace(host, '^.*@|:[0-9]*$|[.]+$|[.]+:[0-9]*$', '', 'g') as name, string_split(name, '.') as parts,
+        regexp_matches(name, '^[0-9]+([.][0-9]+){{3}}$|[[]|:') as address
     from split_up left join labelled using (page_id) group by host
 ), domained as (
-    select *, array_to_string(parts[case when array_to_string(parts[-2:], '.') in ({', '.join(f"'{s}'" for s in url_reputation.LONG_SUFFIXES)})
-        then -3 else -2 end:], '.') as domain
+    select *, if(address, name, array_to_string(parts[case when array_to_string(parts[-2:], '.') in ({', '.join(f"'{s}'" for s in url_reputation.LONG_SUFFIXES)})
+        then -3 else -2 end:], '.')) as domain
     from counted
 ), hosts as (
-    select *, case when contains(domain, '.') then substr(domain, strpos(domain, '.') + 1) else domain end as suffix from domained
+    select *, case when contains(domain, '.') and not address then substr(domain, strpos(domain, '.') + 1) else domain end as suffix from domained
 ), overall as (
     select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) as p from hosts
 ),

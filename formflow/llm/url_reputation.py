@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 from formflow.llm.common import ROW, packed, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Suffixes of two labels below which names are registered. A deployment passes its own list.
-LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "co.nz", "co.za")
+#: Suffixes of two labels below which names are registered, unless a caller passes its own list.
+LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "com.br", "co.jp", "co.in", "co.nz", "co.za")
+#: Hosts that are addresses, and so their own domain.
+ADDRESS = "^[0-9]+([.][0-9]+){3}$|[\\[\\]:]"
 #: Blocked from this lower bound of the bad rate on; the bound is so many deviations below the mean.
 LIMIT, DEVIATIONS = 0.4, 1.645
 
@@ -62,14 +64,16 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def domain_of(host: Column, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> Column:
-    """Registered domain: the label before the suffix, and the suffix; a host of one label is its own."""
-    name = F.regexp_replace(host, "^.*@|:[0-9]*$", "")
+    """Registered domain: the label before the suffix, and the suffix. User, port and final dots are left out; a host of
+    one label and one that is an address are their own."""
+    name = F.regexp_replace(host, "^.*@|:[0-9]*$|[.]+$|[.]+:[0-9]*$", "")
     two = F.substring_index(name, ".", -2)
-    return F.when(two.isin(*long_suffixes), F.substring_index(name, ".", -3)).otherwise(two)
+    return F.when(name.rlike(ADDRESS), name).when(two.isin(*long_suffixes), F.substring_index(name, ".", -3)).otherwise(two)
 
 
 def suffix_of(domain: Column) -> Column:
-    return F.when(F.instr(domain, ".") > 0, F.substring(domain, F.instr(domain, ".") + 1, F.length(domain))).otherwise(domain)
+    below = (F.instr(domain, ".") > 0) & ~domain.rlike(ADDRESS)
+    return F.when(below, F.substring(domain, F.instr(domain, ".") + 1, F.length(domain))).otherwise(domain)
 
 
 def _strength(children: DataFrame) -> float:
@@ -86,12 +90,12 @@ def _strength(children: DataFrame) -> float:
     return 1 / rho - 1
 
 
-def host_rates(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
+def host_rates(pages: DataFrame, outcomes: DataFrame, long_suffixes: Sequence[str] = LONG_SUFFIXES) -> DataFrame:
     """Per host: labelled pages, bad ones, posterior mean and deviation of its bad rate."""
     labelled = outcomes.where("bad is not null").groupBy("page_id").agg(F.max(F.col("bad").cast("int")).alias("bad"))
     urls = pages.select("page_id", host_of(F.col("url")).alias("host")).join(labelled, "page_id", "left")
     hosts = urls.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    hosts = hosts.withColumn("domain", domain_of(F.col("host")))
+    hosts = hosts.withColumn("domain", domain_of(F.col("host"), long_suffixes))
     hosts = staged(hosts.withColumn("suffix", suffix_of(F.col("domain"))), "hosts")
     n, bad = (x or 0 for x in hosts.agg(F.sum("n"), F.sum("bad")).first())
     overall = (bad + 1) / (n + 2)
@@ -111,14 +115,19 @@ def host_rates(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], keep: list[str] | None = None, limit: float = LIMIT
+    pages: DataFrame,
+    outcomes: DataFrame,
+    rules: Sequence[Rule],
+    keep: list[str] | None = None,
+    limit: float = LIMIT,
+    long_suffixes: Sequence[str] = LONG_SUFFIXES,
 ) -> DataFrame:
     """Rows of ``pages(page_id, url, ...)`` packed, with host, path, rule, the host's bad rate and its lower
     bound, and the verdict. ``outcomes(page_id, bad)`` labels some of them."""
     url = F.col("url")
     rows = packed(pages, keep, host=host_of(url), path=path_of(url))
     rows = rows.withColumn("match", matching_rule(F.col("host"), F.col("path"), rules))
-    rates = host_rates(pages, outcomes).select("host", "rate", F.greatest(F.lit(0.0), F.col("rate") - DEVIATIONS * F.col("deviation")).alias("bound"))
+    rates = host_rates(pages, outcomes, long_suffixes).select("host", "rate", F.greatest(F.lit(0.0), F.col("rate") - DEVIATIONS * F.col("deviation")).alias("bound"))
     judged = rows.join(rates, "host", "left")
     return judged.select(
         ROW,
@@ -131,6 +140,6 @@ def judge(
     )
 
 
-def keep_allowed(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def keep_allowed(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], **how) -> DataFrame:
     """The rows of ``pages`` that are not blocked, with their columns."""
-    return judge(pages, outcomes, rules).where("verdict = 'allow'").select(f"{ROW}.*")
+    return judge(pages, outcomes, rules, **how).where("verdict = 'allow'").select(f"{ROW}.*")

@@ -47,6 +47,31 @@ def test_urls_are_parsed_and_rules_fit(spark):
     assert url_reputation.keep_allowed(pages, outcomes.limit(0), URL_RULES).columns == pages.columns
 
 
+def test_domains_and_suffixes(spark):
+    cases = {
+        "www.example.com": ("example.com", "com"), "a.com.": ("a.com", "com"), "a.b.com..:80": ("b.com", "com"), "x.gov.uk": ("x.gov.uk", "gov.uk"),
+        "www.x.co.uk": ("x.co.uk", "co.uk"), "10.0.0.1": ("10.0.0.1", "10.0.0.1"), "10.0.0.1:8080": ("10.0.0.1", "10.0.0.1"),
+        "[::1]:80": ("[::1]", "[::1]"), "me@host.org:1": ("host.org", "org"), "localhost": ("localhost", "localhost"), "": ("", ""),
+        "1.2.3.example": ("3.example", "example"),
+    }
+    hosts = spark.createDataFrame([(h,) for h in cases], "host string")
+    domain = url_reputation.domain_of(hosts.host)
+    got = {r.host: (r.d, r.s) for r in hosts.select("host", domain.alias("d"), url_reputation.suffix_of(domain).alias("s")).collect()}
+    assert got == cases
+    own = url_reputation.domain_of(hosts.host, ["example.com"])
+    assert hosts.where("host = 'www.example.com'").select(own).first()[0] == "www.example.com"
+
+
+def test_a_list_of_suffixes_and_repeated_and_long_urls(spark):
+    rows = [(i, f"http://h{i % 2}.shop.x/{'p' * (100_000 if i == 3 else 5)}") for i in range(40)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, i % 2 == 1) for i in range(40)] * 3, "page_id long, bad boolean")
+    out = url_reputation.judge(pages, outcomes, (), long_suffixes=["shop.x"]).collect()
+    assert len(out) == 80 and {(r.host, r.verdict) for r in out} == {("h0.shop.x", "allow"), ("h1.shop.x", "block")}
+    rates = {r.host: r for r in url_reputation.host_rates(pages, outcomes, ["shop.x"]).collect()}
+    assert (rates["h1.shop.x"].n, rates["h1.shop.x"].bad) == (40, 40)
+
+
 def test_reputation_shrinks_and_blocks_on_evidence(spark):
     hosts = {"bad.example.co.uk": (40, 38), "good.example.net": (40, 1), "little.example.net": (1, 1), "other.example.co.uk": (40, 2)}
     rows, labels = [], []
