@@ -8,12 +8,18 @@ back calibrates its probabilities. A paragraph whose licence is not certain enou
 of the unknown class, and so is one whose predicted family no template of that family
 confirms: enough of a template's word pairs must be in the paragraph.
 
+A paragraph is a line, and also up to ``SPAN`` consecutive lines of a text that is wrapped:
+lines of ``WRAP`` characters at most, without an empty one between them. So a notice
+that is broken at 70 or 80 columns, with comment marks before its lines, is judged whole.
+Of spans that overlap the first one with a family counts, unless a line of it has that
+family by itself; an unknown one counts only where nothing near it is known.
+
 Scoring is one expression per document over its paragraphs, without a shuffle: the
 features that carry a weight are a fixed table in the plan, all others cost one lookup.
 
 Defined results: null counts as empty; a document without words has no paragraph;
-repeated rows are scanned one by one; an empty table gives an empty result; other
-columns are left alone.
+repeated rows are scanned one by one; of families with equal scores the first by name
+is predicted; an empty table gives an empty result; other columns are left alone.
 """
 
 from __future__ import annotations
@@ -72,6 +78,10 @@ FAMILIES = (NONE, *sorted({f for f, _ in TEMPLATES}))
 SLOTS = 1 << 15
 VARIANTS, HELD_BACK = 40, 8
 SAMPLE_DOCS = 200
+#: Words around a notice are taken from so many paragraphs of the sample, the first so many words of each.
+AROUND_PARAGRAPHS, AROUND_WORDS = 40, 6
+#: Longest line of a wrapped text, and lines that are judged together.
+WRAP, SPAN = 100, 4
 CERTAIN, CONFIRMED = 0.6, 0.6
 TEMPERATURES = (0.5, 0.75, 1.0, 1.5, 2.0, 3.0)
 
@@ -124,14 +134,14 @@ def examples(docs: DataFrame, templates: Templates) -> DataFrame:
     # words leave through the generator: a filter on them is not pushed below it, where it would repeat the cutting
     lines = taken.selectExpr(f"explode(filter(transform(split(text, '\\n'), x -> {words_sql('x')}), w -> size(w) > 0)) as words")
     plain = lines.where(f"not ({confirmed_sql('words', '', templates)})")
-    around = [w for r in plain.limit(40).collect() for w in r.words[:6]][:200] or ["and"]
+    around = [w for r in plain.limit(AROUND_PARAGRAPHS).collect() for w in r.words[:AROUND_WORDS]] or ["and"]
     held = _literal("'" + w + "'" for w in around)
     notices = spark.createDataFrame([*TEMPLATES, *((NONE, t) for t in OTHERWISE)], "family string, text string")
     varied = notices.selectExpr("family", f"{words_sql('text')} as words", f"explode(sequence(0, {VARIANTS - 1})) as v")
     # words left out, from none to one in five, and words of the sample before or after
     varied = varied.selectExpr(
         "family",
-        f"""if(v % 3 = 1, slice({held}, 1 + pmod(v * 7, {len(around)}), pmod(v, 12)), array()) ||
+        f"""if(v % 3 = 1, slice({held}, 1 + pmod(v * 7, {len(around)}), if(v % 2 = 0, 30, pmod(v, 12))), array()) ||
             filter(words, (w, i) -> pmod(xxhash64(w, i, v), 100) >= pmod(v * 5, 25)) ||
             if(v % 4 = 1, slice({held}, 1 + pmod(v * 11, {len(around)}), pmod(v, 9)), array()) as words""",
         f"v >= {VARIANTS - HELD_BACK} as held_back",
@@ -189,14 +199,43 @@ def labelled_sql(words: str, model: Model, templates: Templates) -> str:
     return f"get(transform(array({known}), known -> if(size(known) = 0, null, get(transform(array({scores}), z -> {judged}), 0))), 0)"
 
 
+def _spans_sql(lines: str) -> str:
+    """For each line the words of the span that begins with it, null if the next line does not continue it."""
+    words = ""
+    for k in range(SPAN - 1, 0, -1):
+        more = f" || {words}" if words else ""
+        words = f"if(coalesce(get({lines}, i + {k}).wrapped, false), get({lines}, i + {k}).words{more}, array())"
+    return f"transform({lines}, (l, i) -> if(l.wrapped and coalesce(get({lines}, i + 1).wrapped, false), l.words || {words}, null))"
+
+
+def _found_sql(families: str) -> str:
+    """Of the families of all lines and, after them, of all spans: (place, family) of each notice, by place."""
+    near = f"sequence(-{SPAN - 1}, {SPAN - 1})"
+    span = lambda at: f"get({families}, if({at} between 0 and n - 1, n + {at}, -1))"
+    line = lambda at: f"get({families}, if({at} between 0 and n - 1, {at}, -1))"
+    known = lambda x: f"coalesce({x} <> 'unknown', false)"
+    of_line = f"""{known(line('i'))} or {line('i')} = 'unknown' and not exists({near}, d -> d <= 0 and {known(span('i + d'))})"""
+    of_span = f"""case when {known(span('i'))} then not exists({near}, d -> d < 0 and coalesce({span('i + d')} = {span('i')}, false)
+                or d >= 0 and coalesce({line('i + d')} = {span('i')}, false))
+            else not exists({near}, d -> {known(span('i + d'))} or d < 0 and {span('i + d')} is not null or {line('i + d')} is not null) end"""
+    places = "sequence(0, n - 1)"
+    return f"""array_sort(
+        transform(filter({places}, i -> {line('i')} is not null and ({of_line})), i -> named_struct('place', i, 'family', {line('i')})) ||
+        transform(filter({places}, i -> {span('i')} is not null and ({of_span})), i -> named_struct('place', i, 'family', {span('i')})))"""
+
+
 def scan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Rows of ``docs`` packed (all columns, or those of ``keep``), with ``paragraphs``, and for those with a licence
-    ``places`` (their numbers from 0) and ``found`` (the family, or unknown)."""
+    """Rows of ``docs`` packed (all columns, or those of ``keep``), with ``paragraphs`` (lines with words), and for those with a
+    licence ``places`` (numbers of lines from 0) and ``found`` (the family, or unknown)."""
     templates = template_pairs(docs.sparkSession)
     model = fit(docs, templates)
     rows = packed(docs, keep, text=text_of("text"))
-    lines = f"filter(transform(split(text, '\\n'), x -> {words_sql('x')}), w -> size(w) > 0)"
-    rows = rows.withColumn("lines", F.expr(lines))
-    hits = f"filter(transform(lines, (words, n) -> named_struct('place', n, 'family', {labelled_sql('words', model, templates)})), x -> x.family is not null)"
-    rows = rows.select(ROW, F.size("lines").alias("paragraphs"), F.expr(hits).alias("hits"))
+    line = f"transform(array({words_sql('x')}), w -> named_struct('words', w, 'wrapped', size(w) > 0 and length(x) <= {WRAP}))[0]"
+    rows = rows.withColumn("lines", F.expr(f"transform(split(text, '\n', -1), x -> {line})"))
+    judged = f"transform(lines.words || {_spans_sql('lines')}, words -> if(size(words) > 0, {labelled_sql('words', model, templates)}, null))"
+    # arrays are columns of their own, and leave through a generator, so that each is worked out once
+    rows = rows.select(ROW, F.expr("inline(array(named_struct('paragraphs', size(filter(lines, l -> size(l.words) > 0)), 'n', size(lines), "
+                                   f"'families', {judged})))"))
+    found = f"if(exists(families, x -> x is not null), {_found_sql('families')}, array())"
+    rows = rows.select(ROW, "paragraphs", F.expr(found).alias("hits"))
     return rows.select(ROW, "paragraphs", F.col("hits.place").alias("places"), F.col("hits.family").alias("found"))

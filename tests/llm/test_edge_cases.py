@@ -246,6 +246,41 @@ def test_filter_never_counts_too_low():
 # --- licences ---------------------------------------------------------------------------
 
 
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:""",
+    "apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at""",
+    "gpl": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+
+
+def test_wrapped_headers(spark):
+    """Standard headers as they stand in source files: broken at 70 to 80 columns, with comment marks, alone or between code."""
+    rows = []
+    for name, text in WRAPPED.items():
+        for mark in ("", "# ", " * ", "// ", "    "):
+            body = "\n".join(mark + x for x in text.split("\n"))
+            rows += [(name, body), (name, f"{mark}Copyright 1999 The Authors\n{mark}\n{body}\n\nint main(void) {{ return 0; }}"), (name, "A tale.\n" + body)]
+    filler = [(None, " ".join(f"tale{(i * 7 + j) % 53} of" for j in range(30))) for i in range(40)]
+    verse = [(None, "\n".join(f"line {k} of a verse that goes on and on" for k in range(20))), (None, "\n\n\n"), (None, "a\n" * 50)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows + filler + verse)] * 2, "doc_id long, text string")
+    for r in license_scan.scan(docs).collect():
+        want, text = (rows + filler + verse)[r["__row"].doc_id]
+        assert sorted(set(r.found)) == ([want] if want else []), (want, list(r.found), text)
+        assert len(r.found) <= 2
+
+
 def test_licences(spark):
     texts = {
         1: "A tale of old.\nReleased under the MIT License.\nThe end.",
