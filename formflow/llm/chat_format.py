@@ -9,8 +9,13 @@ Control strings in texts and roles are escaped by a backslash, as are backslashe
 that the rendered text can be read back exactly.
 
 Conversations are streams of sorted rows: a task holds one conversation's rendered text
-at a time. One that is longer than ``PART_CHARS`` is rendered in parts, cut between
-turns, so a conversation of any length works in bounded memory.
+at a time. One that is longer than ``PART_CHARS`` is dealt to tasks by ranges of its turns
+and comes out as several rows, cut between turns. A cut changes nothing: a turn ends with
+a line feed and the next begins with ``#``, which the tokenizer's pattern never puts into one
+piece, so ids and masks of the parts, one after the other, are those of the whole text
+(the tests hold them against it). So a conversation of any length is rendered and encoded
+in parallel, in bounded memory; only a digest over it, where one is wanted, is a chain
+that one task follows, without holding it.
 
 Defined results: null text or role counts as empty; a null conv_id is a conversation of
 its own, a null turn comes first; rows with equal turn are ordered by role and text;
@@ -30,11 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm.common import text_of
+from formflow.llm.common import slices, staged, text_of
 
 OPEN, SEPARATOR, CLOSE = "### ", ": ", "</turn>\n"
 LEARNT = "assistant"
+#: Longer conversations are dealt to several tasks.
 PART_CHARS = 1_000_000
+#: Ranges of one conversation at most.
+STEPS = 1000
 
 _TEXT = re.compile(r"\\|###|</turn>")
 _ROLE = re.compile(r"\\|###|</turn>|:")
@@ -89,32 +97,56 @@ def mask(tokens: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray,
 
 
 _FORMATTED = (
-    "conv_id long, part int, text string, token_ids array<int>, loss_tokens array<int>, loss_start array<int>, loss_end array<int>"
+    "conv_id long, ranges int, range int, part int, text string, token_ids array<int>, loss_tokens array<int>, loss_start array<int>, loss_end array<int>"
 )
+_KEYS = ("conv_id", "ranges", "range")
 _BATCH_CHARS = 200_000  # encoded together; an encoding is some hundred times its text
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, int, list[tuple[str, str]]]]:
-    """Turns of one conversation, or of one part of a long one, from rows sorted by conversation and turn."""
-    conv, part, turns, size, begun = None, 0, [], 0, False
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int, list[tuple[str, str]]]]:
+    """Turns of one conversation, or of one part of a long one, from rows sorted by conversation, range and turn."""
+    key, part, turns, size = None, 0, [], 0
     for batch in batches:
-        for c, role, text in zip(*(batch.column(n).to_pylist() for n in ("conv_id", "role", "text")), strict=True):
-            if begun and c != conv:
-                yield conv, part, turns
+        for *now, role, text in zip(*(batch.column(n).to_pylist() for n in (*_KEYS, "role", "text")), strict=True):
+            now = tuple(now)
+            if key is not None and now != key:
+                yield key, part, turns
                 part, turns, size = 0, [], 0
             elif size > PART_CHARS:
-                yield conv, part, turns
+                yield key, part, turns
                 part, turns, size = part + 1, [], 0
-            conv, begun = c, True
+            key = now
             turns.append((role, text))
             size += len(text)
-    if begun:
-        yield conv, part, turns
+    if key is not None:
+        yield key, part, turns
+
+
+def _ranged(turns: DataFrame) -> DataFrame:
+    """``turns`` with the number of ranges that their conversation is dealt in, by its length, and the range of each.
+
+    Only conversations longer than PART_CHARS have more than one: at most one in so many characters of the table, each with
+    the turns at which its ranges end, which are quantiles of an aggregate. Turns of one number stay together.
+    """
+    length = F.sum(F.length("text") + F.length("role")).alias("chars")
+    long = turns.groupBy("conv_id").agg(length).where(F.col("chars") > PART_CHARS)
+    long = long.select(F.col("conv_id").alias("_conv"), F.ceil(F.col("chars") / PART_CHARS).cast("int").alias("ranges"))
+    # a sketch with map-side combine, however many rows a conversation has
+    bounds = turns.join(long, F.col("conv_id").eqNullSafe(F.col("_conv"))).select("_conv", "ranges", F.col("turn").cast("double").alias("turn"))
+    bounds = bounds.groupBy("_conv", "ranges").agg(F.percentile_approx("turn", [k / STEPS for k in range(1, STEPS)], 10 * STEPS).alias("steps"))
+    cut = f"array_distinct(transform(sequence(1, least(ranges, {STEPS}) - 1), k -> element_at(steps, cast(k * {STEPS} div least(ranges, {STEPS}) as int))))"
+    bounds = staged(bounds.select("_conv", F.expr(f"coalesce({cut}, array())").alias("ends")), "ranges")
+    if bounds.isEmpty():
+        return turns.withColumns({"ranges": F.lit(1), "range": F.lit(0)})
+    # at most one row for PART_CHARS characters
+    found = turns.join(F.broadcast(bounds), F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    place = F.expr("coalesce(size(filter(ends, e -> turn > e)), 0)")
+    return found.withColumns({"ranges": F.expr("coalesce(size(ends), 0) + 1"), "range": place}).drop("ends")
 
 
 def format_conversations(rows: DataFrame, tokenizer_json: str) -> DataFrame:
     """One row for each conversation (or part of a long one): its rendered text, the token ids, and which tokens
-    are learnt from which characters. Parts of a conversation follow each other."""
+    are learnt from which characters. Parts of a conversation follow each other by ``range`` (of ``ranges``) and ``part``."""
     sent = rows.sparkSession.sparkContext.broadcast(plain_offsets(tokenizer_json))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,19 +159,19 @@ def format_conversations(rows: DataFrame, tokenizer_json: str) -> DataFrame:
 
         def flush(held):
             encoded = tokenizer.encode_batch([text for _, _, text, _ in held], add_special_tokens=False)
-            columns = [[] for _ in range(7)]
-            for (conv, part, text, spans), e in zip(held, encoded, strict=True):
+            columns = [[] for _ in range(9)]
+            for (key, part, text, spans), e in zip(held, encoded, strict=True):
                 index, cut = mask(np.array(e.offsets, np.int64).reshape(-1, 2), spans)
-                for column, value in zip(columns, (conv, part, text, e.ids, index, cut[:, 0], cut[:, 1]), strict=True):
+                for column, value in zip(columns, (*key, part, text, e.ids, index, cut[:, 0], cut[:, 1]), strict=True):
                     column.append(value)
-            types = [pa.int64(), pa.int32(), pa.string(), *[pa.list_(pa.int32())] * 4]
+            types = [pa.int64(), *[pa.int32()] * 3, pa.string(), *[pa.list_(pa.int32())] * 4]
             names = [x.split()[0] for x in _FORMATTED.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         held, size = [], 0
-        for conv, part, turns in _parts(batches):
+        for key, part, turns in _parts(batches):
             text, spans = render(turns)
-            held.append((conv, part, text, spans))
+            held.append((key, part, text, spans))
             size += len(text)
             if size > _BATCH_CHARS:
                 yield flush(held)
@@ -150,7 +182,7 @@ def format_conversations(rows: DataFrame, tokenizer_json: str) -> DataFrame:
     turns = rows.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").alias("turn"), text_of("role").alias("role"), text_of("text").alias("text")
     )
-    dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    dealt = _ranged(turns).repartition("conv_id", "range").sortWithinPartitions("conv_id", "range", "turn", "role", "text")
     return dealt.mapInArrow(run, _FORMATTED)
 
 
@@ -163,54 +195,91 @@ def plain_offsets(tokenizer_json: str) -> str:
     return json.dumps(made)
 
 
+_READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+_PIECE = "ranges int, range int, part int, said binary, learnt binary"
+_READ_NAMES = [x.split()[0] for x in _READ.split(", ")]
+
+
+def _learnt(text: str, starts: list[int], ends: list[int]) -> str:
+    """The text under the mask, unescaped: the parts of neighbouring tokens are put together first."""
+    spans: list[list[int]] = []
+    for start, end in zip(starts, ends, strict=True):
+        if spans and start <= spans[-1][1]:
+            spans[-1][1] = max(end, spans[-1][1])
+        else:
+            spans.append([start, end])
+    return "".join(unescape(text[start:end]) for start, end in spans)
+
+
+class _Digest:
+    """What a conversation's output says, from its parts in order."""
+
+    def __init__(self, conv):
+        self.conv, self.turns, self.said, self.chars, self.learnt, self.formatted = conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0
+
+    def add(self, turns: int, said: bytes, chars: int, learnt: bytes, formatted: int) -> None:
+        self.turns += turns
+        self.said.update(said)
+        self.chars += chars
+        self.learnt.update(learnt)
+        self.formatted += formatted
+
+    def row(self) -> tuple:
+        return self.conv, self.turns, self.said.hexdigest(), self.chars, self.learnt.hexdigest(), self.formatted
+
+
 def read_back(formatted: DataFrame) -> DataFrame:
     """Per conversation what its output says: turns and their digest, text under the mask and its digest, length.
 
-    Works on the partitions of ``format_conversations`` as they are.
+    Works on the partitions of ``format_conversations`` as they are. What the parts of a long conversation say
+    is read where they are; its digests follow in a stream of these pieces, in order.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, out = None, []
-        for batch in batches:
-            for conv, part, text, starts, ends in zip(
-                *(batch.column(c).to_pylist() for c in ("conv_id", "part", "text", "loss_start", "loss_end")), strict=True
-            ):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for batch in slices(batches, 64):
+            out = []
+            names = ("conv_id", "ranges", "range", "part", "text", "loss_start", "loss_end")
+            for conv, ranges, range_, part, text, starts, ends in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                turns = parse(text)
+                said = "".join(f"{role}\n{words}\n" for role, words in turns).encode()
+                learnt = _learnt(text, starts, ends)
+                found = (len(turns), said, len(learnt), learnt.encode(), len(text))
+                if ranges > 1:
+                    out.append(((conv, found[0], None, found[2], None, found[4]), (ranges, range_, part, said, found[3])))
+                    continue
                 if part == 0:
                     if now:
-                        out.append(now)
-                    now = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                for role, said in parse(text):
-                    now[1] += 1
-                    now[2].update(f"{role}\n{said}\n".encode())
-                spans: list[list[int]] = []
-                for start, end in zip(starts, ends, strict=True):
-                    if spans and start <= spans[-1][1]:
-                        spans[-1][1] = max(end, spans[-1][1])
-                    else:
-                        spans.append([start, end])
-                for start, end in spans:
-                    learnt = unescape(text[start:end])
-                    now[3] += len(learnt)
-                    now[4].update(learnt.encode())
-                now[5] += len(text)
-            yield _digests(out)
+                        out.append((now.row(), (1, None, None, None, None)))
+                    now = _Digest(conv)
+                now.add(*found)
+            yield _read_rows(out)
+        yield _read_rows([(now.row(), (1, None, None, None, None))] if now else [])
+
+    found = formatted.mapInArrow(read, f"{_READ}, {_PIECE}")
+    found = staged(found, "read")
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for batch in slices(batches, 8):
             out = []
-        yield _digests([now] if now else [])
-
-    return formatted.mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
-    )
-
-
-def _digests(rows: list[list]) -> pa.RecordBatch:
-    columns = [
-        pa.array([r[0] for r in rows], pa.int64()),
-        pa.array([r[1] for r in rows], pa.int64()),
-        pa.array([r[2].hexdigest() for r in rows], pa.string()),
-        pa.array([r[3] for r in rows], pa.int64()),
-        pa.array([r[4].hexdigest() for r in rows], pa.string()),
-        pa.array([r[5] for r in rows], pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(
-        columns, names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    )
+            names = ("conv_id", "n_turns", "said", "loss_chars", "learnt", "formatted_chars")
+            for conv, *rest in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                if now is None or now.conv != conv:
+                    if now:
+                        out.append((now.row(), (1, None, None, None, None)))
+                    now = _Digest(conv)
+                now.add(*rest)
+            yield _read_rows(out)
+        yield _read_rows([(now.row(), (1, None, None, None, None))] if now else [])
+
+    pieces = found.where("ranges > 1").repartition("conv_id").sortWithinPartitions("conv_id", "range", "part")
+    long = pieces.mapInArrow(follow, f"{_READ}, {_PIECE}")
+    return found.where("ranges = 1").select(*_READ_NAMES).unionByName(long.select(*_READ_NAMES))
+
+
+def _read_rows(rows: list[tuple[tuple, tuple]]) -> pa.RecordBatch:
+    columns = zip(*(a + b for a, b in rows), strict=True) if rows else [()] * 11
+    types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = [*_READ_NAMES, *(x.split()[0] for x in _PIECE.split(", "))]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)

@@ -196,6 +196,36 @@ def test_conversations_are_read_back(spark, monkeypatch, part_chars):
     assert chat_format.read_back(chat_format.format_conversations(df.limit(0), tokenizer())).collect() == []
 
 
+@pytest.mark.parametrize("part_chars", [1, 300, 5000])
+def test_parts_of_a_long_conversation_are_encoded_as_the_whole(spark, monkeypatch, part_chars):
+    """Ids, loss tokens and their characters of all parts, one after the other, against one encoding of the whole text."""
+    from tokenizers import Tokenizer
+
+    rng = random.Random(part_chars)
+    pieces = ["word", " ", "  ", "\n", "\n\n", "###", "# ", "</turn>", "\\", "é", "日本", "🙂", "12", "'s", ">", ">\n", "\t", "\r\n", "!!!", " ", " "]
+    said = lambda: "".join(rng.choice(pieces) for _ in range(rng.randint(0, 12)))
+    rows = [(1, t // 3, rng.choice(["user", "assistant", said()]), said()) for t in range(400)] + [(2, 0, "assistant", "short"), (1, None, "assistant", " first ")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    whole = chat_format.format_conversations(df, tokenizer()).where("conv_id = 1").collect()
+    assert len(whole) == 1
+    monkeypatch.setattr(chat_format, "PART_CHARS", part_chars)
+    made = chat_format.format_conversations(df, tokenizer()).where("conv_id = 1").collect()
+    parts = sorted(made, key=lambda r: (r.range, r.part))
+    assert len(parts) > 1 and len({r.range for r in parts}) > 1 and {r.ranges for r in parts} == {parts[0].ranges}
+    text = "".join(r.text for r in parts)
+    assert text == whole[0].text
+    library = Tokenizer.from_str(chat_format.plain_offsets(tokenizer()))
+    library.encode_special_tokens = True
+    ids, loss, chars, at, token = [], [], [], 0, 0
+    for r in parts:
+        ids += r.token_ids
+        loss += [token + k for k in r.loss_tokens]
+        chars += [(at + a, at + b) for a, b in zip(r.loss_start, r.loss_end, strict=True)]
+        at, token = at + len(r.text), token + len(r.token_ids)
+    assert ids == list(whole[0].token_ids) == library.encode(text, add_special_tokens=False).ids
+    assert loss == list(whole[0].loss_tokens) and chars == list(zip(whole[0].loss_start, whole[0].loss_end, strict=True))
+
+
 # --- language model ---------------------------------------------------------------------
 
 
