@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 from formflow.session import shared_dir
 
 ROW = "__row"
+#: Staged tables, below the shared folder.
+FOLDER = "formflow-llm"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +27,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     made it. The folder belongs to whoever owns ``spark.checkpoint.dir``.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/formflow-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{FOLDER}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear_staged(spark: SparkSession, older_than_hours: float) -> int:
+    """Delete staged tables that were written so long ago; returns how many. For the owner of the folder,
+    between runs: a result that has not been written elsewhere still reads its tables."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{FOLDER}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    latest = (time.time() - older_than_hours * 3600) * 1000
+    old = [s.getPath() for s in fs.listStatus(folder) if s.getModificationTime() <= latest] if fs.exists(folder) else []
+    for path in old:
+        fs.delete(path, True)
+    return len(old)
+
+
 def packed(df: DataFrame, keep: list[str] | None = None, **columns: Column) -> DataFrame:
     """The row (or its columns in ``keep``) as one struct beside the working columns, so that
     no column of the input can clash with one of the operator's own."""

@@ -24,7 +24,8 @@ tasks grow with the square of its members outside one component.
 
 Defined results: null counts as empty text; a text of one to four words has one shingle
 of all its words; texts without words are only linked to exact copies; repeated rows
-are copies; an empty table gives an empty result; other columns are left alone. Words
+are copies; an empty table gives an empty result; ``keep_one`` keeps all columns,
+``near_duplicates`` reads doc_id and text only. Words
 are runs of ASCII letters, digits and non-ASCII characters, A-Z lower-cased.
 """
 

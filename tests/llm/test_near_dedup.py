@@ -185,3 +185,22 @@ def test_registers_agree_with_probability_jaccard():
     )
     assert abs((found[0] == found[1]).mean() - want) < 0.02
     assert abs(nd.similarity(a, b) - max(want, 100 / 300)) < 1e-9
+
+
+@pytest.mark.parametrize("hot", [1000, 3])
+def test_components_of_stars_chains_and_repeated_links(spark, hot, monkeypatch):
+    from formflow.llm import components as cc
+
+    monkeypatch.setattr(cc, "HOT", hot)
+    rng = random.Random(3)
+    links = [(500, k) for k in range(300)] + [(k + 1000, k + 1001) for k in range(40)] + [(2000, 2000), (7, 7)] + [(3001, 3000), (3000, 3001)] * 3
+    links += [(rng.randrange(5000, 5100), rng.randrange(5000, 5100)) for _ in range(70)]
+    rng.shuffle(links)
+    want = {x: x for p in links for x in p if p[0] != p[1]}
+    for _ in range(60):
+        for a, b in links:
+            if a != b:
+                want[a] = want[b] = min(want[a], want[b])
+    got = cc.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {r.id: r.root for r in got} == want and len(got) == len(want)
+    assert cc.components(spark.createDataFrame([], "a long, b long")).collect() == []

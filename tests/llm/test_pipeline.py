@@ -103,6 +103,28 @@ def test_stages_keep_the_columns_of_documents(spark, folder):
         assert stage(spark, empty, folder[0]).collect() == []
 
 
+def test_nulls_repeats_ties_and_clashing_columns(spark, folder, tmp_path):
+    """Rows alike, rows without id or text, a long text, and columns named as the stages name theirs."""
+    rng = random.Random(12)
+    good = [" ".join(words_of(rng, 120)) for _ in range(6)]
+    long = " ".join(words_of(rng, 20_000))
+    near = good[3].rsplit(" ", 1)[0] + " other"
+    rows = [(1, good[0]), (1, good[0]), (2, good[0]), (None, good[1]), (None, good[1]), (3, None), (4, ""), (5, " \n "), (6, good[3]), (7, near), (None, near)]
+    rows += [(8, long), (9, good[4]), (9, good[4] + " x"), (9, good[5])]
+    names = ["doc_id", "text", "__row", "copy_key", "row_no", "spans", "kept", "id", "class_id"]
+    full = [(*r, f"a{i}", "b", "c", "d", "e", "f", "g") for i, r in enumerate(rows)]
+    docs = spark.createDataFrame(full, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names[2:])).repartition(3)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder[0])
+        assert docs.columns == names
+    left = sorted((r.doc_id or 0, r.text) for r in docs.collect())
+    # of the two rows with doc_id 9 that are near each other one stays: the one of the least text key or the other
+    assert [x for x in left if x[0] != 9] == [(0, good[1]), (1, good[0]), (6, good[3]), (8, long)]
+    assert (9, good[5]) in left and len([x for x in left if x[0] == 9]) == 2
+    out = corpus_pipeline.STAGES[-1][1](spark, docs, folder[0]).collect()
+    assert sorted(r.doc_id or 0 for r in out) == [0, 1, 6, 8, 9, 9] and all(r.n_tokens > 0 for r in out)
+
+
 def test_the_rest_imports_without_this_folder(tmp_path):
     for name in ("formflow", "__spark_entry__.py"):
         source = ROOT / name
