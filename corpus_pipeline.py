@@ -4,6 +4,12 @@ Every stage's result is written as Parquet below the shared folder and read back
 the next one's input, so a lost executor costs one stage at most. The last stage
 returns each document that is left with the digests of its token ids and of the bytes
 decoded from them.
+
+Defined results: a null, empty or wordless text fails the quality rules and goes, as in any
+row; a text of any length is judged, compared and encoded whole; of repeated rows, of copies
+and of a group of near duplicates the one of the least doc_id stays (a null one comes last,
+and of rows alike in id and text any one stays); an empty table gives an empty result;
+columns besides doc_id and text, whatever their names, go through the stages untouched.
 """
 
 from __future__ import annotations
