@@ -93,7 +93,9 @@ def subject_keys(ctx: Context, columns: Sequence[ColumnSpec], key: str, type_uui
     """Of each subject (of one type) its id as ``key``, its type and its answers to the sync questions ``columns``."""
     people = ctx.table("individual")
     if type_uuid is not None:
-        people = people.join(type_ids(ctx, "subject_type", type_uuid, "subject_type_id"), "subject_type_id", "left_semi")
+        # a scalar subquery and not a join: the document is not carried through any
+        ids = type_ids(ctx, "subject_type", type_uuid, "subject_type_id").agg(F.collect_set("subject_type_id"))
+        people = people.where(F.array_contains(ids.scalar(), F.col("subject_type_id")))
     names = concept_map(ctx.table("concept"), ctx.table("concept_answer"), sorted({c.concept_uuid for c in columns}))
     return subject_values(people, list(columns), names, [F.col("id").alias(key), F.col("subject_type_id").alias(SUBJECT_TYPE)])
 

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from formflow.functions.naming import view_name
 from formflow.model import SUBJECT_TYPES, TableSpec, pick_tables
 from formflow.operators import families, media_search, reports, views
 from formflow.operators.media_search import MediaRequest
 from formflow.plans.evolve import load_specs
-from formflow.sources.snapshots import Store
+from formflow.sources.snapshots import PART, Store
 
 SUBJECTS, ENROLMENTS, DUE, COMPLETED, OVERDUE = "subject_view", "enrolment_view", "due_visits_view", "completed_visits_view", "overdue_visits_view"
 MEDIA, ANALYSIS = "media", "media_analysis"
+#: Digests of what the analysis was made from, by bucket.
+DIGESTS, ANALYSIS_BUCKETS = "_media_digests", 64
 #: Families of the activity reports, by the types of their tables.
 ACTIVITY = {
     "subjects": SUBJECT_TYPES,
@@ -131,6 +134,42 @@ def search_media(store: Store, request: MediaRequest, **how) -> DataFrame:
     return media_search.search_media(store.read(MEDIA), store.read("address"), request, named, specs, **how)
 
 
+def _bucket(name: Column) -> Column:
+    """Which part of the analysis a file belongs to, by its name without an ending."""
+    return F.concat(F.lit("b"), F.pmod(F.xxhash64(F.substring_index(name, ".", 1)), F.lit(ANALYSIS_BUCKETS)).cast("string"))
+
+
+def _inventory(media: DataFrame, keys: DataFrame, tenant_dir: str) -> dict[str, tuple]:
+    """A digest of both inventories for each bucket: counts and sums of hashes, with map-side combine; ANALYSIS_BUCKETS rows."""
+    sides = [
+        media.select(PART, F.xxhash64(F.lit(tenant_dir), "uuid", "image_url", "created_date_time").alias("h")),
+        keys.select(PART, F.xxhash64(F.lit(tenant_dir), F.lit("key"), "object_key").alias("h")),
+    ]
+    found = sides[0].unionByName(sides[1]).groupBy(PART).agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("digest"))
+    return {r[PART]: (r["n"], r["digest"]) for r in found.collect()}
+
+
 def run_media_analysis(store: Store, keys: DataFrame, tenant_dir: str) -> DataFrame:
-    """Checks all stored media against the files of the storage and publishes the result."""
-    return store.publish(media_search.media_analysis(store.read(MEDIA), keys, tenant_dir), ANALYSIS, sort_by=None)
+    """Checks all stored media against the files of the storage and publishes the result.
+
+    Both inventories are read and digested by bucket of the file name; only buckets that differ from
+    the last run's are joined and written again.
+    """
+    media = store.read(MEDIA)
+    media = media.withColumn(PART, _bucket(F.coalesce(media_search.file_name(F.col("image_url")), F.col("image_url"), F.lit(""))))
+    keys = keys.withColumn(PART, _bucket(F.coalesce(media_search.file_name(F.col("object_key")), F.lit(""))))
+    now = _inventory(media, keys, tenant_dir)
+    known = store.manifest()
+    entry = known.get(ANALYSIS)
+    before = {}
+    if entry and DIGESTS in known and all(piece["parts"] is not None for piece in entry):
+        before = {r["bucket"]: (r["n"], r["digest"]) for r in store.load(known[DIGESTS]).collect()}
+    changed = sorted(b for b in now.keys() | before.keys() if now.get(b) != before.get(b))
+    if changed or entry is None:
+        some = F.col(PART).isin(changed)
+        rows = media_search.media_analysis(media.where(some).drop(PART), keys.where(some).drop(PART), tenant_dir)
+        rows = rows.withColumn(PART, _bucket(F.coalesce(media_search.file_name(F.col("image_url")), F.col("image_url"), F.lit(""))))
+        digests = store.spark.createDataFrame([(b, *v) for b, v in now.items()], "bucket string, n long, digest string")
+        written = store.write_months(rows, ANALYSIS, entry if before else None, changed, sort_by="uuid")
+        store.commit({ANALYSIS: written, DIGESTS: store.write(digests, DIGESTS, sort_by=None)})
+    return store.read(ANALYSIS)

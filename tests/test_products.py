@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 from clinic import NOW1, clinic, tables
+from formflow.operators import media_search
 from formflow.operators.media_search import MediaRequest
 from formflow.plans import products
 from formflow.plans.sync import sync_tenant
@@ -40,3 +41,26 @@ def test_reports_search_and_analysis_of_a_store(spark, filled):
     keys = spark.createDataFrame([("org/one.jpg",)], "object_key string")
     out = products.run_media_analysis(store, keys, "m.example.com/org")
     assert store.read(products.ANALYSIS).count() == out.count() == len(found)
+
+
+def test_media_analysis_reads_again_what_changed(spark, store):
+    """A second run after a new file rewrites that file's bucket; a third without changes writes nothing."""
+    name = lambda n: f"00000000-0000-4000-8000-{n:012d}.jpg"
+    media = [(f"e{n}", f"http://m/org/{name(n)}", None, False) for n in range(200)] + [("e5", f"http://m/org/{name(5)}", None, False), ("x", "odd", None, False)]
+    store.publish(spark.createDataFrame(media, "uuid string, image_url string, created_date_time timestamp, is_voided boolean"), products.MEDIA, sort_by=None)
+    keys = [(f"org/{name(n)}",) for n in range(100)]
+    frame = lambda rows: spark.createDataFrame(rows, "object_key string")
+    whole = lambda rows: sorted(map(str, media_search.media_analysis(store.read(products.MEDIA), frame(rows), "/org/").collect()))
+    got = products.run_media_analysis(store, frame(keys), "/org/")
+    assert sorted(map(str, got.collect())) == whole(keys)
+    first = {p: e["folder"] for e in store.manifest()[products.ANALYSIS] for p in e["parts"]}
+    keys.append((f"org/thumbnails/{name(7)}",))
+    got = products.run_media_analysis(store, frame(keys), "/org/")
+    assert sorted(map(str, got.collect())) == whole(keys)
+    second = {p: e["folder"] for e in store.manifest()[products.ANALYSIS] for p in e["parts"]}
+    assert first.keys() == second.keys() and sum(first[p] != second[p] for p in first) == 1
+    versions = store._versions()
+    products.run_media_analysis(store, frame(keys), "/org/")
+    assert store._versions() == versions
+    got = products.run_media_analysis(store, frame([]), "/org/")
+    assert sorted(map(str, got.collect())) == whole([])

@@ -455,3 +455,76 @@ def test_tenant_filter_by_rows(spark):
     members = spark.createDataFrame([(10,)], "organisation_id long")
     assert sorted(r["id"] for r in tables.tenant_filter(df, members).collect()) == [1, 3]
     assert [r["id"] for r in tables.tenant_filter(df, [20]).collect()] == [2]
+
+
+# --- plans -----------------------------------------------------------------------------
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
+
+
+def _names(node):
+    output = node.output()
+    return [output.apply(i).name() for i in range(output.size())]
+
+
+def _joins(df):
+    plan = df._jdf.queryExecution().optimizedPlan()
+    for node in _nodes(plan):
+        if node.nodeName() == "Join":
+            children = node.children()
+            yield [_names(children.apply(i)) for i in range(children.size())]
+
+
+@pytest.mark.parametrize("name", ["e3_encounter", "e4_encounter_cancel", "e5_enrolment", "e6_exit", "e7_program_encounter", "e8_program_encounter_cancel", "e9_eligibility", "o11_sync_attr"])
+def test_a_subjects_document_is_in_no_join(spark, name):
+    """Of the subject a join carries its key, its type and the answers that are sync attributes."""
+    from formflow.workload import QUERIES
+
+    found = list(_joins(QUERIES[name](spark, "/root/testdata/sf0.001")))
+    assert found
+    for side in (names for pair in found for names in pair):
+        assert "_obs" not in side
+        assert "observations" not in side or not {"subject_type_id", "_subject_type_id"} & set(side), side
+
+
+def test_placed_rows_need_no_subjects(spark, store):
+    """Rows that a run has placed give the same table as the sources do, and join names of types only."""
+    from formflow.bindings import Bound, context
+    from formflow.operators import entities
+    from formflow.plans.sync import Staged
+    from formflow.sources.tables import Context
+    from formflow.workload.common import encounter_spec, plain, program_encounter_spec
+
+    sf = "/root/testdata/sf0.001"
+    ctx = context(spark, sf)
+    for spec, source in ((encounter_spec(), "encounter"), (program_encounter_spec(), "program_encounter")):
+        rows = entities.place(ctx, source, ctx.changed(source), entities.sync_columns([spec]))
+        ready = Context(Staged(Bound(spark, sf), {source: store.stage(rows, source, "encounter_type_id")}))
+        table = entities.flatten(ready, spec)
+        for left, right in _joins(table):
+            assert len(right) == 1 and right[0] in ("_subject_type_id", "_program_id", "encounter_type_id")
+        assert sorted(map(str, plain(table).collect())) == sorted(map(str, plain(entities.flatten(ctx, spec)).collect()))
+        assert table.where("Ward is not null").count() > 0
+
+
+def test_a_rename_leaves_months_without_the_old_name_alone(spark, store):
+    rows = [(1, "Old", "2024-01-05"), (2, "Other", "2024-02-05"), (3, "A, Old", "2024-03-05"), (4, None, "2024-04-05")]
+    table = spark.createDataFrame(rows, "id long, answer string, day string").select(
+        "id", "answer", F.col("day").cast("timestamp").alias("created_date_time"), F.col("day").cast("timestamp").alias("last_modified_date_time")
+    )
+    first = store.write_months(table, "t")
+    none = table.limit(0)
+    for many, touched in ((False, {"m2024_01"}), (True, {"m2024_01", "m2024_03"})):
+        rename = maintain.rename_multi if many else maintain.rename_single
+        entry = merge_months(
+            store, "t", first, none, ["id"], "last_modified_date_time",
+            prepare=lambda old: rename(old, "answer", [("Old", "New")]), dirty=maintain.holds_any("answer", ["Old"], many),
+        )
+        kept = {p for e in entry if e["folder"] == first[0]["folder"] for p in e["parts"]}
+        assert {p for e in entry for p in e["parts"]} - kept == touched
+        found = {r.id: r.answer for r in store.load(entry).collect()}
+        assert found == {1: "New", 2: "Other", 3: "A, New" if many else "A, Old", 4: None}
+    assert merge_months(store, "t", first, none, ["id"], "last_modified_date_time") == first
