@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from formflow.bindings import bound, metadata, with_bindings
@@ -233,6 +234,34 @@ ORACLE["m9_spec_diff"] = with_bindings(
                             and n.parent_uuid is not distinct from o.parent_uuid)""",
 )
 
+def _merged(spark, sf_dir):
+    """The edited specs with the columns that only the stored ones have, per table."""
+    specs = _specs(spark, sf_dir)
+    place = F.row_number().over(Window.partitionBy("table_name").orderBy("concept_id", "parent_uuid"))
+    sides = [
+        evolve.specs_of(rows.withColumns({"position": place, "role": F.lit(None).cast("string")})) for rows in (_old(specs), _edited(specs))
+    ]
+    rows = evolve.spec_rows(spark, evolve.merge_specs(*sides))
+    counts = [F.count("column_name").alias("columns"), F.count_if("voided").alias("voided")]
+    return rows.groupBy("type", "subject_type_uuid", "table_name").agg(*counts)
+
+
+QUERIES["m11_merge_specs"] = _merged
+ORACLE["m11_merge_specs"] = with_bindings(
+    _NAMES,
+    f"""with r as ({FORM_SQL}), s as (select distinct * from ({_SPEC.format('varchar', 'r')})), o as (select * from s where concept_id % 13 <> 0),
+        n as (select * replace (case when right(form_uuid, 1) = '1' then 'R-' || table_name else table_name end as table_name,
+                case when right(form_uuid, 1) = '2' then 'new-' || subject_type_uuid else subject_type_uuid end as subject_type_uuid) from s where concept_id % 11 <> 0),
+        gone as (
+            select o.type, o.subject_type_uuid, count(*) as n from o
+            anti join n on n.type = o.type and n.subject_type_uuid = o.subject_type_uuid and n.concept_uuid = o.concept_uuid
+                and n.parent_uuid is not distinct from o.parent_uuid
+            group by all
+        )
+        select type, subject_type_uuid, table_name, count(*) + coalesce(max(gone.n), 0) as columns, count_if(voided) + coalesce(max(gone.n), 0) as voided
+        from n left join gone using (type, subject_type_uuid) group by type, subject_type_uuid, table_name""",
+)
+
 _CHANGES = [
     Change("rename_column", "t", "name", "uuid"),
     Change("rename_column", "t", "uuid", "name"),
