@@ -164,7 +164,8 @@ class Model:
 def fit(docs: DataFrame, templates: Templates) -> Model:
     """Fits on VARIANTS variations of each notice and the paragraphs of SAMPLE_DOCS documents at most."""
     data = examples(docs, templates).coalesce(1).cache()
-    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=SLOTS).fit(data)
+    # what occurs in one or two examples only says nothing of others, and most of the sample's word pairs do
+    counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, vocabSize=SLOTS, minDF=3.0).fit(data)
     rows = counter.transform(data)
     model = LogisticRegression(family="multinomial", regParam=2e-4, maxIter=25, standardization=False).fit(rows.where("not held_back"))
     raw = model.transform(rows.where("held_back")).select("label", vector_to_array("rawPrediction").alias("z"))
