@@ -48,7 +48,7 @@ SEGMENT_BYTES = 128 << 20
 #: Filter bits for each entry, and probes for each: 1 % of the probes of absent entries hit.
 BITS, PROBES = 10, 7
 #: Distinct grams in one bucket of the count, about.
-BUCKET = 1_000_000
+BUCKET = 500_000
 
 END = np.uint64(0x5EED0E4D)
 BEGIN = np.uint64(0x5EED0BE6)
