@@ -9,7 +9,7 @@ from formflow.bindings import Bound, bound, metadata, with_bindings
 from formflow.operators import entities, families, reports
 from formflow.operators.media_search import ConceptFilter, MediaRequest
 from formflow.plans import catalog, products
-from formflow.plans.evolve import SPEC_TABLE, load_specs, save_specs, spec_rows, specs_of
+from formflow.plans.evolve import SPEC_TABLE, save_specs, spec_rows, specs_of, stored_specs
 from formflow.plans.sync import Run, sync_table
 from formflow.sources.tables import EPOCH, Context
 from formflow.workload.common import spec
@@ -123,7 +123,7 @@ def _saved_specs(spark, sf_dir):
     place = F.row_number().over(Window.partitionBy("table_name").orderBy("concept_id", "parent_uuid"))
     rows = spec_bodies(spark, sf_dir).withColumns({"position": place, "role": F.lit(None).cast("string")})
     store.commit({SPEC_TABLE: save_specs(store, specs_of(rows))})
-    return spec_rows(spark, load_specs(store)).drop("position", "role")
+    return spec_rows(spark, specs_of(stored_specs(store))).drop("position", "role")
 
 
 QUERIES["s9_saved_specs"] = _saved_specs
