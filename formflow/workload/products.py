@@ -104,7 +104,7 @@ ORACLE["rp_store_activity"] = _activity_sql("")
 
 def _table_summary(spark, sf_dir):
     """Tables of the tenant by type, from the specs of its forms."""
-    rows = reports.table_summary(spark, catalog.to_specs(catalog.form_specs(metadata(spark, sf_dir))))
+    rows = reports.table_summary(spark, catalog.table_heads(catalog.form_specs(metadata(spark, sf_dir))))
     return rows.groupBy("type").agg(F.count("*").alias("tables"))
 
 
