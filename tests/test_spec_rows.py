@@ -59,3 +59,16 @@ def test_rows_go_through_the_store_without_the_driver(spark, store, monkeypatch)
     got = [(r["table_name"], r["form_uuid"], r["position"], r["column_name"], r["voided"]) for r in evolve.stored_specs(store).collect()]
     assert sorted(got) == [("t", "f2", 0, "a", False), ("t", "f2", 1, "b", False), ("t", "f2", 2, "c", True), ("u", None, 0, None, None)]
     assert [(s.name, s.form_uuid, [c.name for c in s.columns]) for s in evolve.load_specs(store)] == [("t", "f2", ["a", "b", "c"]), ("u", None, [])]
+
+
+def test_only_changes_meet_the_tables(spark):
+    """Columns that stay as they are go into no second join of the diff."""
+    spec = TableSpec("t", "Person", "s", columns=(ColumnSpec("a", "text"), ColumnSpec("b", "text")))
+    rows = evolve.spec_rows(spark, [spec])
+    told = evolve.diff_rows(rows, rows)
+    assert told.collect() == []
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line.strip(" :+-") for line in plan.splitlines() if "Join " in line or "Generate " in line]
+    assert any(line.startswith("Generate") for line in joins)
+    outer = next(i for i, line in enumerate(joins) if line.startswith("Generate"))
+    assert joins[outer - 1].startswith("Join Inner") and joins[outer + 1].startswith("Join FullOuter"), joins
