@@ -53,6 +53,42 @@ def test_kept_pieces_do_not_change_the_result(monkeypatch):
         check("unheard-of gibberish unheardof wordlets once again unheardof")
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aé ,'s1\n\t\u00a0\u2003\x1c日"), max_size=6))
+def test_texts_together(texts):
+    """Pieces of many texts in one queue, and stretches between spaces, give each text's own ids."""
+    encoder = byte_bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    for _ in range(2):
+        found = [list(byte_bpe._ids(x)) for x in encoder.encode_all(texts)]
+        assert found == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+def test_other_patterns_are_not_cut_at_spaces():
+    pattern = r"\p{L}+ ?|\s+|[^\p{L}\s]+"
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=RANKS, special_tokens={})
+    encoder = byte_bpe.Encoder(RANKS, pattern)
+    for text in ("two words  and three", " a b, c\n d", ""):
+        assert list(encoder.encode(text)) == library.encode_ordinary(text)
+
+
+def test_pieces_share_a_queue(monkeypatch):
+    """The bitmap is asked once for a bucket, not once for a place."""
+    asked = 0
+
+    class Lower(list):
+        def __getitem__(self, word):
+            nonlocal asked
+            asked += 1
+            return list.__getitem__(self, word)
+
+    encoder = byte_bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    encoder.lower = Lower(encoder.lower)
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choices(("th", "er", "in", "on", "qu"), k=5)) for _ in range(1000)})
+    encoder.encode_all([" ".join(words)])
+    assert asked < 2 * len(words) and not any(encoder.lower) and not any(encoder.buckets)
+
+
 def test_round_trip_with_null_empty_and_other_columns(spark):
     rows = [(1, None, "x"), (2, "", "y"), (2, "", "y"), (3, "Grüße " * 5000, None), (None, "a\u0000b \U0001f600", "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
