@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formflow.llm.common import ROW, packed, slices, staged, text_of
+from formflow.llm.common import ROW, batch_rows, packed, slices, staged, text_of
 from formflow.llm.words import SOLID, in_batches, mix, split_words
 
 BASE = 1.6
@@ -47,6 +47,8 @@ HEAD = 300_000
 SEGMENT_BYTES = 128 << 20
 #: Filter bits for each entry, and probes for each: 1 % of the probes of absent entries hit.
 BITS, PROBES = 10, 7
+#: Texts sent to Python at once.
+TEXTS = 512
 #: Distinct grams in one bucket of the count, about.
 BUCKET = 500_000
 
@@ -216,7 +218,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
     packs = docs.select(text_of("text").cast("binary").alias("text")).mapInArrow(
         _counter(word_buckets, pair_buckets), "kind int, bucket long, grams binary, counts binary"
     )
-    return staged(packs.groupBy("kind", "bucket").applyInArrow(_summed, "kind int, gram long, n long"), "grams")
+    with batch_rows(docs.sparkSession, TEXTS):
+        return staged(packs.groupBy("kind", "bucket").applyInArrow(_summed, "kind int, gram long, n long"), "grams")
 
 
 def _in_filter(grams: DataFrame, parts: int) -> Filter:
@@ -236,7 +239,7 @@ def _in_filter(grams: DataFrame, parts: int) -> Filter:
 
 def _pieces(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[list[bytes], list[pa.Array]]]:
     """Texts in lists of a bounded size, with the columns ``key`` of their rows."""
-    for batch in slices(batches, 512):
+    for batch in slices(batches, TEXTS):
         at = 0
         for some in in_batches(((t,) for t in batch.column("text").to_pylist()), 0):
             yield [t for (t,) in some], [batch.column(c).slice(at, len(some)) for c in key]
@@ -317,7 +320,8 @@ def score(docs: DataFrame, training: DataFrame, keep: list[str] | None = None, h
         key = ["row_no"] if k else [ROW, "row_no"]
         types = "row_no long, score double" if k else f"{ROW} {rows.schema[ROW].dataType.simpleString()}, row_no long, score double, {_FIRST_TYPES}"
         sent = spark.sparkContext.broadcast(held)
-        passes.append(staged(rows.select("text", *key).mapInArrow(_scorer(sent, key, not k), types), "scores"))
+        with batch_rows(spark, TEXTS):
+            passes.append(staged(rows.select("text", *key).mapInArrow(_scorer(sent, key, not k), types), "scores"))
         sent.unpersist()
     first = passes[0]
     rare = first.select("row_no", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row_no", F.col("x.rare").alias("gram"), F.col("x.times").alias("k"))

@@ -86,3 +86,13 @@ def test_input_from_a_shuffle_keeps_every_row(spark, segment_bytes):
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert {r["__row"].doc_id: r.n_tokens for r in out} == {i: 2 + i % 50 for i, _ in rows} and len(out) == 3000
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, staged = spark.conf.get(key), {}, log_bloom.staged
+    monkeypatch.setattr(log_bloom, "staged", lambda df, name: (seen.setdefault(name, int(spark.conf.get(key))), staged(df, name))[1])
+    docs = spark.range(1500).selectExpr("id as doc_id", "concat('a b ', id) as text")
+    out = log_bloom.score(docs, docs, keep=["doc_id"]).collect()
+    assert len(out) == 1500 and {r.n_tokens for r in out} == {4}
+    assert seen == {"grams": log_bloom.TEXTS, "scores": log_bloom.TEXTS} and spark.conf.get(key) == before
