@@ -7,6 +7,7 @@ stay lazy until they are published; every publication is one commit.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from formflow.model import SUBJECT_TYPES, TableSpec, pick_tables
 from formflow.operators import families, media_search, reports, views
 from formflow.operators.media_search import MediaRequest
 from formflow.plans.evolve import load_specs
-from formflow.sources.snapshots import PART, Store
+from formflow.sources.snapshots import PART, Store, lookup
 
 SUBJECTS, ENROLMENTS, DUE, COMPLETED, OVERDUE = "subject_view", "enrolment_view", "due_visits_view", "completed_visits_view", "overdue_visits_view"
 MEDIA, ANALYSIS = "media", "media_analysis"
@@ -49,20 +50,34 @@ def family(store: Store, specs: Iterable[TableSpec], types: Iterable[str]) -> fa
         return families.union_tagged([(s, store.load(known[name])) for name, s in mine.items()])
     marks = [(s.name, s.type, *(getattr(s, u) for u in families.TYPE_UUIDS)) for s in mine.values()]
     fields = [families.TAG, families.KIND, *families.TYPE_UUIDS]
-    return rows.join(store.spark.createDataFrame(marks, ", ".join(f"{f} string" for f in fields)), families.TAG)
+    return rows.join(lookup(store.spark, fields, marks), families.TAG)
+
+
+def used_addresses(store: Store) -> DataFrame:
+    """The addresses that rows of the views can have, staged. Where few are used their size is known before the
+    joins are planned, and rows of the views are not shuffled by address."""
+    specs = load_specs(store)
+    address = store.read("address")
+    found = [family(store, specs, types) for types in (SUBJECT_TYPES, ("ProgramEnrolment",), views.VISIT_TYPES)]
+    ids = [families.rows_of(rows).select(F.col("address_id").alias("_used")).distinct() for rows in found if rows is not None]
+    if not ids:
+        return address
+    used = reduce(lambda a, b: a.unionByName(b), ids)
+    return store.stage(address.join(used, address["id"] == used["_used"], "left_semi"), "address")
 
 
 def build_views(
-    store: Store, tables: Mapping[str, DataFrame], as_of: str, org_ids: Iterable[int] | None = None
+    store: Store, tables: Mapping[str, DataFrame], as_of: str, org_ids: Iterable[int] | None = None, address: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """All views of a store by name: subjects, enrolments, visits by state, and the coded view of each table.
 
     ``tables`` are the sources of names: users and the types of subjects, programmes, visits and
-    addresses. A view over no tables has its columns and no rows.
+    addresses. A view over no tables has its columns and no rows. ``address``: the addresses to join, all that are
+    stored if not given.
     """
     specs = load_specs(store)
     levels = views.address_columns(tables["address_level_type"], org_ids)
-    address = store.read("address")
+    address = store.read("address") if address is None else address
     users = tables["users"]
     subjects = family(store, specs, SUBJECT_TYPES)
     individual = None if subjects is None else subjects.select("id", "uuid", "first_name", "last_name")
@@ -95,7 +110,7 @@ def build_views(
 
 def publish_views(store: Store, tables: Mapping[str, DataFrame], as_of: str, org_ids: Iterable[int] | None = None) -> list[str]:
     """Writes all views and makes them current in one commit; returns their names."""
-    made = build_views(store, tables, as_of, org_ids)
+    made = build_views(store, tables, as_of, org_ids, used_addresses(store))
     store.commit({name: store.write(df, name, sort_by=None) for name, df in made.items()})
     return sorted(made)
 
