@@ -8,6 +8,7 @@ from formflow.operators import media_search
 from formflow.operators.media_search import MediaRequest
 from formflow.plans import products
 from formflow.plans.sync import sync_tenant
+from formflow.sources import snapshots
 from formflow.sources.snapshots import Store
 
 
@@ -64,3 +65,24 @@ def test_media_analysis_reads_again_what_changed(spark, store):
     assert store._versions() == versions
     got = products.run_media_analysis(store, frame([]), "/org/")
     assert sorted(map(str, got.collect())) == whole([])
+
+
+def test_views_join_the_addresses_in_use(filled):
+    store, _ = filled
+    ids = {r["address_id"] for n in ("person", "house", "person_nutrition") for r in store.read(n).collect()}
+    found = {r["id"] for r in products.used_addresses(store).collect()}
+    known = {r["id"] for r in store.read("address").collect()}
+    assert ids & known <= found <= known and found
+
+
+def test_few_rows_have_a_known_size_and_few_tables_no_shuffle(spark, store, monkeypatch):
+    few = snapshots.lookup(spark, ["a", "b"], [("x", None), ("y", "z")])
+    assert sorted(map(tuple, few.collect())) == [("x", None), ("y", "z")]
+    assert int(few._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) < 10_000
+    rows, hints = spark.createDataFrame([(1, "t"), (2, "u"), (3, "t")], "id long, _tag string"), []
+    hint = type(rows).hint
+    monkeypatch.setattr(type(rows), "hint", lambda df, name, *a: (hints.append(name), hint(df, name, *a))[1])
+    for limit, used in ((2, []), (1, ["rebalance"])):
+        monkeypatch.setattr(snapshots, "FEW_TABLES", limit)
+        entries = store.write_family(rows, f"family{limit}", "_tag", ["t", "u"])
+        assert {n: sorted(r.id for r in store.load(e).collect()) for n, e in entries.items()} == {"t": [1, 3], "u": [2]} and hints == used
